@@ -71,6 +71,14 @@ def fixed_month(frame: DataFrame, read_month: int, stamp_month: int, key: str,
             .withColumn(month, F.lit(int(stamp_month)).cast("int")))
 
 
+def fixed_months(frame: DataFrame, lag: int, key: str, columns: Mapping[str, str], month: str = "month",
+                 extra: Column | None = None, source_month: str = "month") -> DataFrame:
+    """``fixed_month`` for every month of the table in one pass; ``lag`` months later is stamped."""
+    rows = frame if extra is None else frame.filter(extra)
+    return rows.select(F.col(key), *[F.col(c).alias(new) for c, new in columns.items()],
+                       shift_month(source_month, lag).alias(month)).distinct()
+
+
 def lag_snapshots(base: DataFrame, source: DataFrame, key: str, value: str, lags: Sequence[int],
                   prefix: str, month: str = "month") -> DataFrame:
     """``prefix_k`` = value of the same customer k months earlier, for every k in ``lags``.
