@@ -5,10 +5,13 @@ The SQL snippets next to the functions define the same relations for the SQL cou
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelscore.functions.months import month_key
+from panelscore.session import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,3 +106,10 @@ def shift_sql(column: str, n: int) -> str:
 
 def log_odds_sql(p: str) -> str:
     return f"CASE WHEN {p} > 0 AND {p} < 1 THEN ln({p} / (1.0::double - {p})) END"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``; a temporary one only where a local session has
+    no such setting."""
+    local = spark.sparkContext.master.startswith("local")
+    return new_folder(spark, name, tempfile.mkdtemp(prefix="panelscore-") if local else None)

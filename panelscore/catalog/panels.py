@@ -73,10 +73,10 @@ def universe_canonical_id(spark, sf_dir):
         trimmed_in("o_orderpriority", ["1-URGENT", "2-HIGH", "5-LOW"])
         & F.col("o_orderkey").isNotNull() & (F.col("o_totalprice") > 0))
     per_party = rollup.canonical_ids(o.select("o_custkey", F.col("o_orderkey").alias("internal_id")),
-                                     "o_custkey", ["internal_id"])
+                                     ["o_custkey"], ["internal_id"])
     c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("unique_id"))
     rows = per_party.join(c, F.col("o_custkey") == F.col("c_custkey")).withColumnRenamed("o_custkey", "party")
-    return rollup.canonical_ids(rows.select("unique_id", "internal_id", "party"), "unique_id",
+    return rollup.canonical_ids(rows.select("unique_id", "internal_id", "party"), ["unique_id"],
                                 ["internal_id", "party"])
 
 

@@ -1 +1,225 @@
-"""placeholder"""
+"""Key checks, profiles, evolution, histograms, score buckets and drift on the test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelscore.catalog.mapping import CUSTOMER_PD_SQL, PORTFOLIO_SQL, customer_pd, portfolio, table
+from panelscore.catalog.registry import query
+from panelscore.functions.months import month_key
+from panelscore.functions.scoring import PD_CUTS, bucket_labels
+from panelscore.operators import drift, profile, rollup
+
+COLUMNS = ["quantity", "price", "discount", "tax"]
+CURRENT = 200101
+
+_LINES_SQL = """
+lines AS (
+  SELECT (year(l_shipdate) * 100 + month(l_shipdate))::int AS month, l_quantity AS quantity, l_extendedprice AS price,
+         CASE WHEN l_discount <> 0.03 THEN l_discount END AS discount,
+         CASE WHEN l_returnflag <> 'R' THEN l_tax END AS tax
+  FROM lineitem)"""
+
+
+def _lines(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        month_key("l_shipdate").alias("month"), F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("price"),
+        F.when(F.col("l_discount") != 0.03, F.col("l_discount")).alias("discount"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_tax")).alias("tax"))
+
+
+def _each(select: str) -> str:
+    return "\nUNION ALL ".join(select.replace("{c}", c) for c in COLUMNS)
+
+
+@query("key_check", f"""
+WITH {PORTFOLIO_SQL}, k AS (SELECT CASE WHEN status <> 'P' THEN party END AS party FROM portfolio)
+SELECT count_if(party IS NULL)::bigint AS null_keys, count(party)::bigint AS n_keys,
+       count(DISTINCT party)::bigint AS n_distinct, (count(party) - count(DISTINCT party))::bigint AS n_duplicates
+FROM k
+""")
+def key_check(spark, sf_dir):
+    p = portfolio(spark, sf_dir).select(F.when(F.col("status") != "P", F.col("party")).alias("party"))
+    return profile.key_check(p, "party")
+
+
+@query("key_check_approx")
+def key_check_approx(spark, sf_dir):
+    return profile.key_check(portfolio(spark, sf_dir), "account", exact=False)
+
+
+@query("duplicate_keys", f"""
+WITH {PORTFOLIO_SQL}
+SELECT party, month, count(*)::bigint AS n_rows FROM portfolio GROUP BY party, month HAVING count(*) > 1
+""")
+def duplicate_keys(spark, sf_dir):
+    return rollup.duplicate_keys(portfolio(spark, sf_dir), ["party", "month"])
+
+
+@query("variable_profile", f"""
+WITH {_LINES_SQL}, p AS ({_each('''
+SELECT '{c}' AS variable, count({c})::bigint AS n, round(100.0 * count_if({c} IS NULL) / count(*), 6)::double AS null_pct,
+  round(100.0 * count_if({c} = 0) / count(*), 6)::double AS zero_pct, count(DISTINCT {c})::bigint AS n_distinct,
+  round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c}) AS min, max({c}) AS max,
+  round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
+  round(quantile_cont({c}, 0.75), 6) AS p75 FROM lines''')})
+SELECT *, CASE WHEN null_pct >= 20 THEN 'red' WHEN null_pct >= 5 THEN 'yellow' ELSE 'green' END AS null_light FROM p
+""")
+def variable_profile(spark, sf_dir):
+    out = profile.variable_profile(_lines(spark, sf_dir), COLUMNS)
+    return out.withColumns({c: F.round(c, 6) for c in ("null_pct", "zero_pct", "mean", "std", "p25", "p50", "p75")})
+
+
+@query("variable_profile_approx")
+def variable_profile_approx(spark, sf_dir):
+    return profile.variable_profile(_lines(spark, sf_dir), COLUMNS, exact=False)
+
+
+_EVOLUTION_SQL = f"""{_LINES_SQL},
+evo AS ({_each('''
+SELECT '{c}' AS variable, month, count({c})::bigint AS n, 100.0::double * count_if({c} IS NULL) / count(*) AS null_pct,
+  avg({c}) AS mean, stddev_samp({c}) AS std FROM lines GROUP BY month''')})"""
+
+
+@query("evolution", f"""
+WITH {_EVOLUTION_SQL}
+SELECT variable, month, n, round(null_pct, 6) AS null_pct, round(mean, 6) AS mean, round(std, 6) AS std FROM evo
+""")
+def evolution(spark, sf_dir):
+    out = profile.evolution(_lines(spark, sf_dir), COLUMNS)
+    return out.select("variable", "month", "n", *[F.round(c, 6).alias(c) for c in ("null_pct", "mean", "std")])
+
+
+_PIVOT_MONTHS = [200001, 200002, 200003, 200004, 200005, 200006]
+
+
+@query("evolution_pivot", f"""
+WITH {_EVOLUTION_SQL}
+SELECT variable, {', '.join(f'round(max(CASE WHEN month = {m} THEN mean END), 6) AS m_{m}' for m in _PIVOT_MONTHS)}
+FROM evo GROUP BY variable
+""")
+def evolution_pivot(spark, sf_dir):
+    evo = profile.evolution(_lines(spark, sf_dir), COLUMNS)
+    out = profile.evolution_pivot(evo, "mean", _PIVOT_MONTHS)
+    return out.select("variable", *[F.round(f"m_{m}", 6).alias(f"m_{m}") for m in _PIVOT_MONTHS])
+
+
+@query("evolution_lights", f"""
+WITH {_EVOLUTION_SQL},
+h AS (SELECT variable, avg(mean) AS average FROM evo WHERE month < {CURRENT} GROUP BY variable),
+d AS (SELECT c.variable, c.mean AS current, h.average, CASE WHEN h.average <> 0 THEN abs(c.mean - h.average) / abs(h.average) END AS deviation
+      FROM evo c LEFT JOIN h USING (variable) WHERE c.month = {CURRENT})
+SELECT variable, round(current, 6) AS current, round(average, 6) AS average, round(deviation, 6) AS deviation,
+  CASE WHEN deviation IS NULL THEN 'yellow' WHEN deviation >= 0.25 THEN 'red' WHEN deviation >= 0.05 THEN 'yellow' ELSE 'green' END AS light
+FROM d
+""")
+def evolution_lights(spark, sf_dir):
+    lines = _lines(spark, sf_dir)
+    averages = profile.historical_averages(profile.evolution(lines.filter(F.col("month") < CURRENT), COLUMNS))
+    current = profile.moments(lines.filter(F.col("month") == CURRENT), COLUMNS)
+    out = profile.evolution_lights(current, averages)
+    return out.withColumns({c: F.round(c, 6) for c in ("current", "average", "deviation")})
+
+
+@query("histogram", f"""
+WITH {_LINES_SQL}, b AS ({_each('''
+SELECT '{c}' AS variable, x AS value, lo, hi FROM (SELECT {c} AS x, (SELECT min({c}) FROM lines) AS lo,
+  (SELECT max({c}) FROM lines) AS hi FROM lines) WHERE x IS NOT NULL''')}),
+n AS (SELECT variable, lo, hi, least(floor((value - lo) / ((hi - lo) / 30.0::double))::int + 1, 30) AS bin FROM b)
+SELECT variable, bin::int AS bin, round(lo + (bin - 1) * ((hi - lo) / 30.0::double), 6) AS lower,
+       round(lo + bin * ((hi - lo) / 30.0::double), 6) AS upper, count(*)::bigint AS n
+FROM n GROUP BY variable, lo, hi, bin
+""")
+def histogram(spark, sf_dir):
+    out = profile.histogram(_lines(spark, sf_dir), COLUMNS)
+    return out.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
+
+
+_LABELS = bucket_labels()
+_BUCKET_CASE = "CASE WHEN pd IS NULL THEN 'C0: NULL' WHEN pd < 0 THEN 'C?' " + " ".join(
+    f"WHEN pd < {cut} THEN '{lab}'" for cut, lab in zip(PD_CUTS, _LABELS[1:])) + f" ELSE '{_LABELS[-1]}' END"
+
+
+@query("pd_buckets_by_month", f"""
+WITH {PORTFOLIO_SQL}, {CUSTOMER_PD_SQL},
+s AS (SELECT DISTINCT p.month, p.party FROM portfolio p),
+v AS (SELECT s.month, {_BUCKET_CASE} AS bucket FROM s JOIN customer_pd c USING (party)),
+totals AS (SELECT month, count(*) AS total FROM v GROUP BY month),
+labels AS (SELECT unnest([{', '.join(f"'{lab}'" for lab in _LABELS)}]) AS bucket),
+n AS (SELECT month, bucket, count(*) AS n FROM v GROUP BY month, bucket)
+SELECT t.month, l.bucket, coalesce(n.n, 0)::bigint AS n, t.total::bigint AS total,
+       round(100.0::double * coalesce(n.n, 0) / t.total, 4) AS pct
+FROM totals t CROSS JOIN labels l LEFT JOIN n ON n.month = t.month AND n.bucket = l.bucket
+""")
+def pd_buckets_by_month(spark, sf_dir):
+    panel = portfolio(spark, sf_dir).select("month", "party").distinct()
+    scored = panel.join(customer_pd(spark, sf_dir).select("party", "pd"), "party")
+    out = profile.buckets_by_month(scored, "pd")
+    return out.withColumn("pct", F.round("pct", 4))
+
+
+# ---- drift ---------------------------------------------------------------------------------
+
+SPLIT = 199801
+
+_PSI_SQL = """
+SELECT '{c}' AS variable, sum((pc - pb) * ln(pc / pb)) AS psi FROM (
+  SELECT greatest(b / sum(b) OVER (), 1e-6) AS pb, greatest(c / sum(c) OVER (), 1e-6) AS pc FROM (
+    SELECT bin, count_if(month < {split})::double AS b, count_if(month >= {split})::double AS c FROM (
+      SELECT month, CASE WHEN {c} IS NULL THEN -1 ELSE len(list_filter(
+        (SELECT list_distinct(quantile_cont({c}, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) FROM lines WHERE month < {split}),
+        lambda e: {c} > e)) END AS bin FROM lines) GROUP BY bin))""".replace("{split}", str(SPLIT))
+
+_KS_SQL = """
+SELECT '{c}' AS variable, max(abs(cb / nb - cc / nc)) AS ks, max(nb) AS nb, max(nc) AS nc FROM (
+  SELECT sum(b) OVER (ORDER BY v) AS cb, sum(c) OVER (ORDER BY v) AS cc, sum(b) OVER () AS nb, sum(c) OVER () AS nc FROM (
+    SELECT {c} AS v, count_if(month < {split})::double AS b, count_if(month >= {split})::double AS c
+    FROM lines WHERE {c} IS NOT NULL GROUP BY v))""".replace("{split}", str(SPLIT))
+
+
+def _sides(spark, sf_dir):
+    lines = _lines(spark, sf_dir)
+    return lines.filter(F.col("month") < SPLIT), lines.filter(F.col("month") >= SPLIT)
+
+
+@query("drift_psi", f"""
+WITH {_LINES_SQL}, p AS ({_each(_PSI_SQL)})
+SELECT variable, round(psi, 8) AS psi,
+       CASE WHEN psi >= 0.25 THEN 'red' WHEN psi >= 0.1 THEN 'yellow' ELSE 'green' END AS psi_light FROM p
+""")
+def drift_psi(spark, sf_dir):
+    base, current = _sides(spark, sf_dir)
+    out = drift.psi(*drift.side_counts(base, current, COLUMNS))
+    return out.select("variable", F.round("psi", 8).alias("psi"),
+                      profile.light("psi", *drift.PSI_LIGHT).alias("psi_light"))
+
+
+_P_SQL = ("CASE WHEN lam < 0.2 THEN 1.0::double ELSE greatest(0.0::double, least(1.0::double, list_sum(list_transform("
+          "range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 2.0::double ELSE -2.0::double END) "
+          "* exp(-2.0::double * k * k * lam * lam))))) END")
+
+
+@query("drift_ks", f"""
+WITH {_LINES_SQL}, d AS ({_each(_KS_SQL)}),
+l AS (SELECT variable, ks, (sqrt(nb * nc / (nb + nc)) + 0.12::double + 0.11::double / sqrt(nb * nc / (nb + nc))) * ks AS lam FROM d)
+SELECT variable, round(ks, 8) AS ks, round({_P_SQL}, 6) AS ks_p FROM l
+""")
+def drift_ks(spark, sf_dir):
+    base, current = _sides(spark, sf_dir)
+    cum, _ = drift.side_counts(base, current, COLUMNS)
+    return drift.ks(cum).select("variable", F.round("ks", 8).alias("ks"), F.round("ks_p", 6).alias("ks_p"))
+
+
+@query("drift_kpis", f"""
+WITH {_LINES_SQL}, p AS ({_each(_PSI_SQL)}), d AS ({_each(_KS_SQL)}),
+l AS (SELECT variable, (sqrt(nb * nc / (nb + nc)) + 0.12::double + 0.11::double / sqrt(nb * nc / (nb + nc))) * ks AS lam FROM d),
+s AS (SELECT variable, psi, {_P_SQL} AS ks_p FROM p JOIN l USING (variable))
+SELECT count_if(psi < 0.1)::bigint AS green, count_if(psi >= 0.1 AND psi < 0.25)::bigint AS yellow,
+       count_if(psi >= 0.25)::bigint AS red, count_if(ks_p < 0.05)::bigint AS n_significant,
+       round(avg(psi), 8) AS avg_psi, round(max(psi), 8) AS max_psi FROM s
+""")
+def drift_kpis(spark, sf_dir):
+    base, current = _sides(spark, sf_dir)
+    out = drift.drift_kpis(drift.drift(base, current, COLUMNS))
+    return out.withColumns({"avg_psi": F.round("avg_psi", 8), "max_psi": F.round("max_psi", 8)})

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelscore.operators.joins import lookup_join
+
 
 def canonical_owner(owners: DataFrame, party: str, related: str, is_company: Column,
-                    out: str | None = None) -> DataFrame:
-    """One owner per party: a person owns itself, a company takes its largest owner id."""
+                    by: Sequence[str] = ()) -> DataFrame:
+    """One owner per party (and ``by``): a person owns itself, a company takes its largest owner id."""
     chosen = F.when(is_company, F.col(related)).otherwise(F.col(party))
-    return owners.groupBy(party).agg(F.max(chosen).alias(out or related))
+    return owners.groupBy(*by, party).agg(F.max(chosen).alias(related))
 
 
 def flag_chosen(rows: DataFrame, chosen: DataFrame, on: Sequence[str], flag: str = "is_chosen") -> DataFrame:
@@ -21,27 +23,31 @@ def flag_chosen(rows: DataFrame, chosen: DataFrame, on: Sequence[str], flag: str
     return rows.join(marked, on=list(on), how="left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
 
 
-def chosen_owner_pairs(owners: DataFrame, party: str, related: str, is_company: Column) -> DataFrame:
-    """(party, owner) for the parties whose canonical owner really occurs among their relations.
+def chosen_owner_pairs(owners: DataFrame, party: str, related: str, is_company: Column,
+                       by: Sequence[str] = ()) -> DataFrame:
+    """(by..., party, owner) for the parties whose canonical owner really occurs among their relations.
 
     Equal to canonical_owner -> flag_chosen -> keep flagged -> distinct, without joining the
     relation table to itself: the chosen id is a relation row exactly when it is the largest
     related id of a company row, or the party itself and a self relation exists.
     """
     p, r = F.col(party), F.col(related)
-    per_party = owners.groupBy(party).agg(
+    per_party = owners.groupBy(*by, party).agg(
         F.max(F.when(is_company, r).otherwise(p)).alias("__chosen"),
         F.max(F.when(is_company, r)).alias("__owner"),
         F.max(F.when(p == r, F.lit(1))).alias("__self"))
     occurs = ((F.col("__chosen") == F.col("__owner"))
               | ((F.col("__chosen") == p) & (F.col("__self") == 1)))
-    return per_party.filter(occurs).select(party, F.col("__chosen").alias(related))
+    return per_party.filter(occurs).select(*by, party, F.col("__chosen").alias(related))
+
 
+def owner_values(pairs: DataFrame, values: DataFrame, party: str, related: str, columns: Sequence[str],
+                 suffix: str = "_owner", by: Sequence[str] = (), hot_rows: int | None = 5_000_000) -> DataFrame:
+    """The owner's variables next to the party; ``values`` is keyed by ``by`` and ``party``.
 
-def owner_values(pairs: DataFrame, values: DataFrame, party: str, related: str,
-                 columns: Sequence[str], suffix: str = "_owner") -> DataFrame:
-    """The owner's variables next to the party; ``values`` is keyed by ``party``."""
-    owner_side = values.select(F.col(party).alias(related),
+    One person may own a large part of all companies, so frequent owners are salted.
+    """
+    owner_side = values.select(*by, F.col(party).alias(related),
                                *[F.col(c).alias(c + suffix) for c in columns])
-    return (pairs.join(owner_side, on=related, how="left")
-            .select(party, *[c + suffix for c in columns]))
+    return (lookup_join(pairs, owner_side, [*by, related], "left", hot_rows)
+            .select(*by, party, *[c + suffix for c in columns]))

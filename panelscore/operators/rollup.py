@@ -71,9 +71,9 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str] |
     return best.select(*keys, *[F.col(f"__best.{c}").alias(c) for c in rest])
 
 
-def canonical_ids(rows: DataFrame, key: str, ids: Sequence[str]) -> DataFrame:
+def canonical_ids(rows: DataFrame, keys: Sequence[str], ids: Sequence[str]) -> DataFrame:
     """One id of each kind per key, the largest."""
-    return rows.groupBy(key).agg(*[F.max(c).alias(c) for c in ids])
+    return rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in ids])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
