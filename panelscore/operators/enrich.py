@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelscore.functions.months import month_index, shift_month
-from panelscore.operators.joins import left_lookup
+from panelscore.functions.months import add_months, month_index, shift_month
+from panelscore.operators.joins import left_lookup, spread
 from panelscore.operators.rollup import one_row_per_key
+from panelscore.sources.tables import month_slice
 
 
 @dataclass(frozen=True)
@@ -19,6 +20,7 @@ class FeatureSource:
 
     ``offset=+1`` means that a source row of month m serves base month m + 1.  ``unique`` says
     that the table already has one row per (month, key), which saves the de-duplication.
+    ``serves=(first, last)`` is the range of base months; only partitions that serve it are read.
     """
 
     name: str
@@ -29,15 +31,29 @@ class FeatureSource:
     month: str = "month"
     unique: bool = False
     nullable_key: bool = False
+    serves: tuple[int, int] | None = None
 
     def prepared(self, month: str) -> DataFrame:
         cols = self.columns if isinstance(self.columns, Mapping) else {c: c for c in self.columns}
-        taken = self.frame.select(
-            shift_month(self.month, self.offset).alias(month), F.col(self.key),
+        rows = self.frame
+        if self.serves is not None:
+            rows = month_slice(rows, self.month, *[add_months(m, -self.offset) for m in self.serves])
+        taken = rows.select(
+            served_month(self.month, self.offset, self.key).alias(month), F.col(self.key),
             *[F.col(c).alias(new) for c, new in cols.items()])
         return taken if self.unique else one_row_per_key(taken, [month, self.key])
 
 
+def served_month(month: str, offset: int, key: str) -> Column:
+    """Month a source row serves; null for rows without key, which match nothing.
+
+    The key is part of the expression on purpose.  A join key that depends on a partition column
+    alone makes Spark insert a dynamic pruning filter that repeats the whole base plan, once per
+    source and nested: the plan doubles with every join.  Ranges are pruned by ``serves`` instead.
+    """
+    return F.when(F.col(key).isNotNull(), shift_month(month, offset))
+
+
 def enrich(base: DataFrame, sources: Sequence[FeatureSource], month: str = "month",
            spread_by: Sequence[str] | None = None) -> DataFrame:
     """Left-join every source straight to the base; the number of rows never changes.
@@ -88,19 +104,15 @@ def lag_snapshots(base: DataFrame, source: DataFrame, key: str, value: str, lags
     one value per (month, customer) first, so a window partition holds at most two rows per month
     of a customer-month base.
     """
-    values = (source.groupBy(month, key).agg(F.max(value).alias("__value"))
-              .withColumn("__is_base", F.lit(False)))
-    stacked = base.withColumn("__is_base", F.lit(True)).unionByName(values, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy("__index")
-    seen = stacked.withColumn("__index", month_index(month)).withColumns(
-        {f"{prefix}_{k}": F.max("__value").over(w.rangeBetween(-k, -k)) for k in lags})
-    rows = seen.filter(F.col("__is_base") & F.col(key).isNotNull())
-    names = [f"{prefix}_{k}" for k in lags]
-    rows = rows.select(*base.columns, *names)
-    # a missing key matches nothing: those rows skip the window and get nulls
-    unknown = base.filter(F.col(key).isNull()).select(
-        *base.columns, *[F.lit(None).cast(rows.schema[n].dataType).alias(n) for n in names])
-    return rows.unionByName(unknown)
+    values = (source.filter(F.col(key).isNotNull()).groupBy(month, key).agg(F.max(value).alias("__value"))
+              .withColumns({"__is_base": F.lit(False), "__salt": F.lit(0)}))
+    # rows without key match nothing; spread, so that they do not form one window partition
+    alone = F.when(F.col(key).isNull(), spread(base.columns, 4096)).otherwise(F.lit(0))
+    stacked = (base.withColumns({"__is_base": F.lit(True), "__salt": alone})
+               .unionByName(values, allowMissingColumns=True).withColumn("__index", month_index(month)))
+    w = Window.partitionBy(key, "__salt").orderBy("__index")
+    names = {f"{prefix}_{k}": F.max("__value").over(w.rangeBetween(-k, -k)) for k in lags}
+    return stacked.withColumns(names).filter("__is_base").select(*base.columns, *names)
 
 
 def membership(base: DataFrame, members: DataFrame, on: Sequence[str], flag: str = "is_member") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from panelscore.functions import features
 from panelscore.functions.cleaning import BUSINESS_SENTINELS, null_sentinels
-from panelscore.functions.months import add_months, shift_month
+from panelscore.functions.months import add_months
 from panelscore.operators import densify, enrich, joins, relations, rollup, shape
 from panelscore.sources.tables import month_slice
 
@@ -94,13 +94,13 @@ def universe(portfolio: DataFrame, first: int, last: int, products: Sequence[str
     return rollup.canonical_ids(rows, ["month", "unique_id"], ["internal_id", "party_id"])
 
 
-def serving(table: DataFrame, first: int, last: int, lag: int = 1) -> DataFrame:
+def serving(table: DataFrame, first: int, last: int, lag: int = 1, key: str = "unique_id") -> DataFrame:
     """Rows that serve the process months first..last, stamped with the month they serve.
 
     The range filter is on the raw month column; only the needed partitions are read.
     """
     rows = month_slice(table, "month", add_months(first, -lag), add_months(last, -lag))
-    return rows.withColumn("month", shift_month("month", lag))
+    return rows.withColumn("month", enrich.served_month("month", lag, key))
 
 
 def own_values(base_vars: DataFrame, material_vars: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def activity_features(universe_rows: DataFrame, segment_info: DataFrame, transac
 
 def read_source(role: str, table: DataFrame, first: int, last: int) -> enrich.FeatureSource:
     prefix, key, which, columns = READERS[role]
-    rows = serving(table, first, last, 0 if which == PROCESS else 1)
+    rows = serving(table, first, last, 0 if which == PROCESS else 1, key)
     return enrich.FeatureSource(role, rows, {c: f"{prefix}__{c}" for c in columns}, key)
 
 
@@ -181,12 +181,12 @@ def build(tables: Mapping[str, DataFrame], first: int, last: int | None = None,
     last = first if last is None else last
     customers = universe(tables["portfolio"], first, last, products)
 
-    def at_data_month(role: str) -> DataFrame:
-        return serving(tables[role], first, last, 1)
+    def at_data_month(role: str, key: str = "unique_id") -> DataFrame:
+        return serving(tables[role], first, last, 1, key)
 
     owner = owner_features(customers, at_data_month("prospects"), at_data_month("relations"),
                            at_data_month("applicants"), at_data_month("base_vars"), at_data_month("material_vars"))
-    activity = activity_features(customers, at_data_month("segment_info"), at_data_month("transactions"),
+    activity = activity_features(customers, at_data_month("segment_info"), at_data_month("transactions", "party_id"),
                                  tables["portfolio"], at_data_month("liabilities"), first, last)
     sources = [enrich.FeatureSource(n, df, [c for c in df.columns if c not in ID], "unique_id", unique=True)
                for n, df in (("owner", owner), ("activity", activity))]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from panelscore.functions import features
 from panelscore.functions.cleaning import null_sentinels
+from panelscore.functions.months import add_months
 from panelscore.operators import enrich, rollup, shape
 from panelscore.operators.rollup import one_row_per_key
 from panelscore.sources.tables import month_slice
@@ -113,11 +114,12 @@ def customer_months(accounts: DataFrame, one_per_unique: bool = True) -> DataFra
     return out.withColumn("n_products", sum((F.col(f) for f in flags[1:]), F.col(flags[0])))
 
 
-def feature_sources(tables: Mapping[str, DataFrame]) -> list[enrich.FeatureSource]:
+def feature_sources(tables: Mapping[str, DataFrame], first: int, last: int) -> list[enrich.FeatureSource]:
     absent = [r for r in SOURCES if r not in tables]
     if absent:
         raise ValueError(f"missing source tables: {absent}")
-    return [enrich.FeatureSource(role, tables[role], columns, key, offset, nullable_key=key == "unique_id")
+    return [enrich.FeatureSource(role, tables[role], columns, key, offset, nullable_key=key == "unique_id",
+                                 serves=(first, last))
             for role, (columns, key, offset) in SOURCES.items()]
 
 
@@ -141,10 +143,12 @@ def build(portfolio: DataFrame, tables: Mapping[str, DataFrame], arrears: DataFr
 
     A range is built in one pass over every source, not month by month.
     """
+    last = first if last is None else last
     base = customer_months(accounts_of_month(portfolio, first, last), one_per_unique)
+    arrears = month_slice(arrears, "month", add_months(first, -5), last)
     panel = enrich.lag_snapshots(base, arrears.withColumn("party_id", F.trim(F.col("party_id"))), "party_id",
                                  "max_days_past_due", range(6), "arrears")
-    panel = enrich.enrich(panel, feature_sources(tables), spread_by=["month", "party_id"])
+    panel = enrich.enrich(panel, feature_sources(tables, first, last), spread_by=["month", "party_id"])
     panel = derived(null_sentinels(panel))
     panel = shape.decimals_to_double(null_sentinels(panel))
     panel = features.apply_clips(panel, CLIPS)
