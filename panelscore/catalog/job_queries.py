@@ -305,3 +305,152 @@ def retail_panel(spark, sf_dir):
     digits = {"max_debt_12_24": 6, "arrears_growth": 6, "liability_asset_share_24m_cap": 8, "min_payment_share_6m_cap": 8,
               "revolving_share_3m_cap": 8, "min_savings_6m_cap": 8, "atm_operations_3m_cap": 8}
     return panel.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+def business_tables(spark, sf_dir, feat):
+    """Role tables of the business panel: ids are U<customer>, I<customer> and P<customer>."""
+    c = F.col
+    number = c("party").cast("string")
+    f = feat.select("*", F.concat(F.lit("U"), number).alias("unique_id"), F.concat(F.lit("I"), number).alias("internal_id"),
+                    F.concat(F.lit("P"), number).alias("party_id"))
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("party"),
+        F.when(c("c_mktsegment").isin("BUILDING", "MACHINERY"), F.lit("6"))
+        .when(c("c_mktsegment") != "FURNITURE", F.lit("1")).alias("person_type"),
+        F.when(c("c_mktsegment") == "BUILDING", F.lit("COMERCIO")).when(c("c_mktsegment") == "HOUSEHOLD", F.lit("SALUD"))
+        .when(c("c_mktsegment") == "MACHINERY", F.lit("AGRO")).alias("activity"))
+    kinds = f.join(cust, "party")
+    p = portfolio(spark, sf_dir)
+    pn = c("party").cast("string")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag").distinct()
+    rel = p.select("month", "party", "account").join(li, c("account") == c("l_orderkey")).select(
+        "month", F.concat(F.lit("U"), pn).alias("unique_id"),
+        F.concat(F.lit("U"), c("l_suppkey").cast("string")).alias("related_id"),
+        F.when(c("l_returnflag") == "A", F.lit("DUENIO")).when(c("l_returnflag") == "N", F.lit("DUENIO P.N."))
+        .otherwise(F.lit("OTHER")).alias("relation_type"))
+
+    def t(key, **cols):
+        return f.select("month", key, *[e.alias(n) for n, e in cols.items()])
+
+    price, n, tax, disc, qty = c("price"), c("n_items"), c("tax"), c("discount"), c("quantity")
+    return {
+        "portfolio": p.select(
+            "month", F.concat(F.lit("U"), pn).alias("unique_id"), F.concat(F.lit("I"), pn).alias("internal_id"),
+            F.concat(F.lit("P"), pn).alias("party_id"),
+            F.when(c("product") == "1-URGENT", F.lit("CCOEFT ")).when(c("product") == "2-HIGH", F.lit("PAGPYM"))
+            .otherwise(F.lit("OTHER")).alias("product_code"), (c("maturity") - 2).alias("maturity_months"),
+            F.when(c("status") != "P", F.lit("1 ")).otherwise(F.lit("0")).alias("valid_flag"),
+            F.when(c("status") == "F", F.lit("A")).when(c("status") == "O", F.lit("AC")).otherwise(F.lit("X")).alias("status"),
+            c("balance").alias("balance_local")),
+        "prospects": kinds.select("month", "unique_id", "person_type"),
+        "relations": rel,
+        "applicants": kinds.select("month", "unique_id", (n * 7 + 15).cast("int").alias("age"), "activity", "person_type"),
+        "base_vars": t("unique_id", worst_overdue=qty.cast("int"), worst_class_count=n, active_months=(n * 2).cast("int"),
+                       max_advance=price, utilisation=disc * 4000),
+        "material_vars": f.filter(price > 100000).select(
+            "month", "unique_id", (F.floor(qty / 2)).cast("int").alias("worst_overdue"), n.alias("worst_class_count"),
+            n.cast("int").alias("active_months")),
+        "segment_info": t("unique_id", in_segment=F.when(n >= 3, 1).otherwise(0)),
+        "transactions": t("party_id", sales_mean_6m=price, sales_max_12m=F.when(disc == 0.1, 0.0).otherwise(price * 2),
+                          purchases_mean_12m=price * tax),
+        "liabilities": t("unique_id", mean_balance_3m=F.when(tax == 0.08, 0.0).otherwise(qty * 1000)),
+        "tenure": t("unique_id", months_registered=qty.cast("int")),
+        "weighted_arrears": t("unique_id", risk_weighted_debt_12m=F.when(n == 2, 2222222222.0).otherwise(price * 3)),
+        "other_debt": t("unique_id", revolving_max_3m=price),
+        "experience": t("unique_id", n_employees=F.when(n == 5, -99).otherwise(n)),
+        "balance_summary": t("unique_id", n_active_balances_1m=n * 3),
+        "asset_liability": t("unique_id", min_liability_24m=disc * 10, max_savings_12m=price, median_savings_6m=tax,
+                             max_min_savings_6m=qty * 50, mean_median_savings_6m=disc * 50, savings_asset_share_24m=tax * 400,
+                             max_min_liability_12m=price, min_asset_6m=disc, max_min_asset_6m=price * 2,
+                             max_min_savings_12m=price * 2),
+        "deposits": t("unique_id", foreign_transfer_ticket_3m=price * 3),
+        "withdrawals": t("unique_id", service_payment_ticket_3m=F.when(tax == 0.04, 44444.4444).otherwise(price)),
+        "channel_payments": t("unique_id", payment_months_6m=n, payment_amount_6m=price),
+        "debt_by_product": t("unique_id", worst_overdue_6m=qty * 4),
+        "channel": t("unique_id", min_ticket_12m=price / 5),
+        "liability_evolution": t("internal_id", mean_increase_6m=price),
+        "client_evolution": t("internal_id", max_overdue_6m=qty.cast("int")),
+    }
+
+
+# output column -> (SQL over f0 = process month, f1 = data month, and the joined tables)
+_BUSINESS_VALUES = {
+    "ODEBT__revolving_max_3m": "f0.price::double", "EXPERIENCE__n_employees": "CASE WHEN f0.n_items <> 5 THEN f0.n_items END",
+    "ASSETLIAB__max_min_liability_12m": "f0.price::double", "EVOLUTION__max_overdue_6m": "f0.quantity",
+    "BALANCE__n_active_balances_1m": "f0.n_items * 3", "TENURE__months_registered": "f1.quantity",
+    "OWNER__utilisation_owner": "(o.discount * 4000)::decimal(23,6)", "ASSETLIAB__min_liability_24m": "f0.discount * 10",
+    "CHANNEL__min_ticket_12m": "f0.price::double / 5", "ASSETLIAB__savings_asset_share_24m": "f0.tax * 400",
+    "ASSETLIAB__max_min_savings_6m": "f0.quantity * 50", "ASSETLIAB__mean_median_savings_6m": "f0.discount * 50",
+    "ACTIVITY__decrease_over_liabilities":
+        "CASE WHEN f1.n_items >= 3 AND f1.tax <> 0.08 AND f1.quantity <> 0 THEN dec.v / (f1.quantity * 1000) END",
+    "OWNER__age": "f1.n_items * 7 + 15", "LIABILITY__mean_increase_6m": "f1.price::double",
+    "ASSETLIAB__max_min_asset_6m": "f0.price::double * 2", "DEBT__worst_overdue_6m": "f0.quantity * 4",
+    "WARREARS__risk_weighted_debt_12m": "CASE WHEN f1.n_items <> 2 THEN f1.price::double * 3 END",
+    "ACTIVITY__sales_mean_over_max": "CASE WHEN f1.n_items >= 3 AND f1.discount <> 0.1 THEN 0.5::double END",
+    "ASSETLIAB__max_min_savings_12m": "f0.price::double * 2", "DEPOSIT__foreign_transfer_ticket_3m": "f0.price::double * 3",
+    "ACTIVITY__sales_over_purchases":
+        "CASE WHEN f1.n_items >= 3 AND f1.tax <> 0 THEN f1.price::double / (f1.price::double * f1.tax) END",
+    "CHANNELPAY__payment_amount_6m": "f0.price::double", "OWNER__worst_overdue_owner": "ov.worst_overdue",
+}
+_BUSINESS_RAW = {
+    "CHANNELPAY__payment_months_6m": "f0.n_items::double",
+    "WITHDRAWAL__service_payment_ticket_3m": "CASE WHEN f0.tax <> 0.04 THEN f0.price::double END",
+    "OWNER__max_advance_owner": "o.price::double",
+    "OWNER__active_months": "(CASE WHEN f1k.kind <> '6' THEN v1.active_months ELSE greatest(v1.active_months, ov.active_months) END)::double",
+    "ASSETLIAB__max_savings_12m": "f0.price::double", "ASSETLIAB__median_savings_6m": "f0.tax",
+    "ASSETLIAB__min_asset_6m": "f0.discount",
+    "activity_group": "(CASE WHEN f1k.activity IS NULL OR f1k.activity IN ('COMERCIO', 'SALUD') THEN 1 ELSE 0 END)::double",
+}
+
+
+def _cap_sql(value, lo, hi):
+    x = f"({value})::double"
+    x = f"greatest({x}, {lo})" if lo is not None else x
+    x = f"least({x}, {hi})" if hi is not None else x
+    return f"round(CASE WHEN ({value}) IS NOT NULL THEN {x} END, 6)"
+
+
+_STEP = "CASE WHEN {a} IS NOT NULL OR {b} IS NOT NULL THEN greatest(coalesce({a}, 0) - coalesce({b}, 0), 0) END"
+_STEPS = [_STEP.format(a=f"b{k + 1}.v", b=f"b{k}.v") for k in (3, 2, 1)]
+
+_BUSINESS_SQL = f"""
+WITH {_FEAT_SQL},
+universe AS (SELECT DISTINCT month, party FROM portfolio WHERE product IN ('1-URGENT', '2-HIGH') AND maturity - 2 > 0),
+kinds AS (SELECT c_custkey AS party, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN '6' WHEN c_mktsegment <> 'FURNITURE' THEN '1' END AS kind,
+          CASE c_mktsegment WHEN 'BUILDING' THEN 'COMERCIO' WHEN 'HOUSEHOLD' THEN 'SALUD' WHEN 'MACHINERY' THEN 'AGRO' END AS activity FROM customer),
+vals AS (SELECT month, party, CASE WHEN price > 100000 THEN floor(quantity / 2) ELSE quantity END::int AS worst_overdue,
+         CASE WHEN price > 100000 THEN n_items ELSE n_items * 2 END::int AS active_months FROM items),
+owners AS (SELECT DISTINCT p.month, p.party, l.l_suppkey AS related, i.party IS NOT NULL AND k.kind = '6' AS is_company
+  FROM portfolio p JOIN lineitem l ON l.l_orderkey = p.account JOIN kinds k ON k.party = p.party
+  LEFT JOIN items i ON i.month = p.month AND i.party = p.party WHERE l.l_returnflag IN ('A', 'N')),
+chosen AS (SELECT month, party, max('U' || (CASE WHEN coalesce(is_company, false) THEN related ELSE party END)::varchar) AS related FROM owners GROUP BY month, party),
+pairs AS (SELECT DISTINCT c.month, c.party, o.related FROM chosen c JOIN owners o ON o.month = c.month AND o.party = c.party
+          AND 'U' || o.related::varchar = c.related),
+sums AS (SELECT month, party, sum(balance)::double AS v FROM portfolio WHERE status <> 'P' GROUP BY month, party),
+steps AS (SELECT u.month, u.party, {', '.join(f'({s}) AS s{i}' for i, s in enumerate(_STEPS))} FROM universe u
+  {' '.join(f"LEFT JOIN sums b{k} ON b{k}.party = u.party AND {shift_sql(f'b{k}.month', k)} = u.month" for k in range(1, 5))}),
+dec AS (SELECT month, party, (coalesce(s0, 0) + coalesce(s1, 0) + coalesce(s2, 0))
+          / nullif((s0 IS NOT NULL)::int + (s1 IS NOT NULL)::int + (s2 IS NOT NULL)::int, 0) AS v FROM steps)
+SELECT u.month, 'U' || u.party::varchar AS unique_id, 'P' || u.party::varchar AS party_id, 'I' || u.party::varchar AS internal_id,
+  {', '.join(f'{_cap_sql(_BUSINESS_VALUES[c], lo, hi)} AS "{c}_cap"' for c, lo, hi in business.CAPS)},
+  {', '.join(f'{e} AS "{n}"' for n, e in _BUSINESS_RAW.items())}
+FROM universe u
+LEFT JOIN items f0 ON f0.party = u.party AND f0.month = u.month
+LEFT JOIN items f1 ON f1.party = u.party AND {shift_sql('f1.month', 1)} = u.month
+LEFT JOIN kinds f1k ON f1k.party = f1.party
+LEFT JOIN vals v1 ON v1.party = u.party AND {shift_sql('v1.month', 1)} = u.month
+LEFT JOIN pairs pr ON pr.party = u.party AND {shift_sql('pr.month', 1)} = u.month
+LEFT JOIN items o ON o.party = pr.related AND o.month = pr.month
+LEFT JOIN vals ov ON ov.party = pr.related AND ov.month = pr.month
+LEFT JOIN dec ON dec.party = u.party AND dec.month = u.month
+"""
+
+
+@query("business_panel", _BUSINESS_SQL)
+def business_panel(spark, sf_dir):
+    """Every process month of the portfolio in one pass."""
+    feat = feature_table(spark, sf_dir)
+    months = observed_months(table(spark, sf_dir, "orders"), month_key("o_orderdate"))
+    panel = business.build(business_tables(spark, sf_dir, feat), months[0], months[-1])
+    caps = [target for _, target, _, _ in business.CLIPS]
+    return panel.withColumns({c: F.round(c, 6) for c in caps})
