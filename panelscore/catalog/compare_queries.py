@@ -124,9 +124,23 @@ def key_overlap(spark, sf_dir):
     return compare.key_overlap(compare.paired(base, target, ["o_orderkey"], []))
 
 
-@query("schema_diff")
+def _only(table: str, side: str, columns: dict[str, str]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", 'only_{side}' AS difference, {repr(t) if side == 'base' else 'NULL'} AS base_value, "
+        f"{repr(t) if side == 'target' else 'NULL'} AS target_value, count({c})::bigint AS n_known FROM {table}"
+        for c, t in columns.items())
+
+
+@query("schema_diff", _only("customer", "base", {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
+                                                 "c_acctbal": "double", "c_mktsegment": "string"}) + "\nUNION ALL "
+       + _only("supplier", "target", {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int",
+                                      "s_acctbal": "double"}))
 def schema_diff(spark, sf_dir):
-    return compare.compare_schemas(table(spark, sf_dir, "customer").schema, table(spark, sf_dir, "supplier").schema, spark)
+    """Columns that differ, with the number of rows that hold a value there."""
+    base, target = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    known = [df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "n_known")
+             for df in (base, target)]
+    return compare.compare_schemas(base.schema, target.schema, spark).join(known[0].unionByName(known[1]), "column", "left")
 
 
 @query("null_rate_diff", """

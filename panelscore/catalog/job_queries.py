@@ -162,7 +162,7 @@ _FEAT_SQL = f"{PORTFOLIO_SQL}, {SHIPPED_SQL}"
 def feature_table(spark, sf_dir):
     """Customer-month features, staged once: some twenty role tables are cut from it."""
     feat = shape.decimals_to_double(shipped_items(spark, sf_dir))
-    return sinks.stage(feat, scratch(spark, "features"), "month")
+    return sinks.stage(feat, scratch(spark, "features"))
 
 
 def retail_portfolio(spark, sf_dir):
@@ -300,7 +300,7 @@ def retail_panel(spark, sf_dir):
     arrears = (portfolio(spark, sf_dir).filter(F.col("status") != "O")
                .groupBy("month", F.col("party").cast("string").alias("party_id"))
                .agg(F.max("maturity").alias("max_days_past_due")))
-    panel = retail.build(p, retail_tables(spark, feat), arrears, months[0], months[-1])
+    panel = retail.build(p, retail_tables(spark, feat), arrears, months[0], months[-1], unique_roles=retail.SOURCES)
     panel = shape.decimals_to_double(panel)
     digits = {"max_debt_12_24": 6, "arrears_growth": 6, "liability_asset_share_24m_cap": 8, "min_payment_share_6m_cap": 8,
               "revolving_share_3m_cap": 8, "min_savings_6m_cap": 8, "atm_operations_3m_cap": 8}
@@ -451,6 +451,7 @@ def business_panel(spark, sf_dir):
     """Every process month of the portfolio in one pass."""
     feat = feature_table(spark, sf_dir)
     months = observed_months(table(spark, sf_dir, "orders"), month_key("o_orderdate"))
-    panel = business.build(business_tables(spark, sf_dir, feat), months[0], months[-1])
+    panel = business.build(business_tables(spark, sf_dir, feat), months[0], months[-1],
+                           unique_roles=business.READERS)
     caps = [target for _, target, _, _ in business.CLIPS]
     return panel.withColumns({c: F.round(c, 6) for c in caps})

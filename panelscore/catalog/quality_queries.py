@@ -190,7 +190,7 @@ SELECT variable, round(psi, 8) AS psi,
 """)
 def drift_psi(spark, sf_dir):
     base, current = _sides(spark, sf_dir)
-    out = drift.psi(*drift.side_counts(base, current, COLUMNS))
+    out = drift.statistics(base, current, COLUMNS)
     return out.select("variable", F.round("psi", 8).alias("psi"),
                       profile.light("psi", *drift.PSI_LIGHT).alias("psi_light"))
 
@@ -207,8 +207,7 @@ SELECT variable, round(ks, 8) AS ks, round({_P_SQL}, 6) AS ks_p FROM l
 """)
 def drift_ks(spark, sf_dir):
     base, current = _sides(spark, sf_dir)
-    cum, _ = drift.side_counts(base, current, COLUMNS)
-    return drift.ks(cum).select("variable", F.round("ks", 8).alias("ks"), F.round("ks_p", 6).alias("ks_p"))
+    return drift.statistics(base, current, COLUMNS).select("variable", F.round("ks", 8).alias("ks"), F.round("ks_p", 6).alias("ks_p"))
 
 
 @query("drift_kpis", f"""

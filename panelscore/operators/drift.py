@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelscore.operators import ranks
@@ -30,56 +30,53 @@ def _stack(base: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataF
     return b.unionByName(current.select(*columns).withColumn("__side", F.lit(1)))
 
 
-def side_counts(base: DataFrame, current: DataFrame, columns: Sequence[str],
-                rows_per_bucket: int = ranks.ROWS_PER_BUCKET) -> tuple[DataFrame, DataFrame]:
-    """Cumulative counts per distinct value with one pair of columns per side, and the null counts."""
+def side_counts(base: DataFrame, current: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Counts per distinct value and per variable's nulls: ``b`` in the base, ``c`` in the current."""
     both = _stack(base, current, columns)
-    cuts = ranks.bucket_cuts(both, columns, rows_per_bucket)
     is_current = F.col("__side")
-    cum = ranks.cumulative_counts(ranks.melt(both, columns, ["__side"]),
-                                  {"b": F.lit(1) - is_current, "c": is_current}, cuts)
+    counts = ranks.value_counts(ranks.melt(both, columns, ["__side"]),
+                                {"b": F.lit(1) - is_current, "c": is_current})
     nulls = both.groupBy("__side").agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     nulls = nulls.unpivot(["__side"], list(columns), "variable", "n_null")
     nulls = nulls.groupBy("variable").agg(
         F.sum(F.when(is_current == 0, F.col("n_null")).otherwise(0)).alias("b"),
         F.sum(F.when(is_current == 1, F.col("n_null")).otherwise(0)).alias("c"))
-    return cum, nulls
+    return counts, nulls
 
 
 def _share(n: str, total: str) -> Column:
     return F.greatest(F.try_divide(F.col(n).cast("double"), F.col(total)), F.lit(SHARE_FLOOR))
 
 
-def psi(cum: DataFrame, nulls: DataFrame, n_bins: int = 10) -> DataFrame:
-    """(variable, psi)."""
+def statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], n_bins: int = 10,
+               rows_per_bucket: int = ranks.ROWS_PER_BUCKET) -> DataFrame:
+    """(variable, psi, ks, ks_p) from one pass over the running counts and one over the counts."""
+    counts, nulls = side_counts(base, current, columns)
+    cuts = ranks.bucket_cuts(_stack(base, current, columns), columns, rows_per_bucket)
+    rows = ranks.with_totals(ranks.cumulative_counts(counts, ["b", "c"], cuts), counts, ["b", "c"])
+    gap = F.abs(F.try_divide(F.col("cum_b").cast("double"), F.col("total_b"))
+                - F.try_divide(F.col("cum_c").cast("double"), F.col("total_c")))
     names = {f"e{i}": i / n_bins for i in range(1, n_bins)}
-    edges = ranks.exact_quantiles(cum, names, "b").select(
-        "variable", F.array_distinct(F.array(*names)).alias("edges"))
+    aggs, edges = ranks.quantile_parts(names, "b")
+    ends = rows.groupBy("variable").agg(*aggs, F.max(gap).alias("ks"), F.first("total_c").alias("total_c"))
+    ends = ends.select("variable", "ks", "total_b", "total_c",
+                       F.array_distinct(F.array(*edges.values())).alias("edges"))
     above = F.size(F.filter(F.col("edges"), lambda e: F.col("value") > e))
-    bins = (cum.join(F.broadcast(edges), "variable")  # one row per analysed column
+    kept = [F.first(c).alias(c) for c in ("ks", "total_b", "total_c")]
+    bins = (counts.join(F.broadcast(ends), "variable")  # one row per analysed column
             .withColumn("bin", above).groupBy("variable", "bin")
-            .agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
-    bins = bins.unionByName(nulls.filter((F.col("b") > 0) | (F.col("c") > 0))
-                            .withColumn("bin", F.lit(-1)))
-    totals = bins.groupBy("variable").agg(F.sum("b").alias("__nb"), F.sum("c").alias("__nc"))
-    shares = bins.join(totals, "variable").select(
-        "variable", _share("b", "__nb").alias("pb"), _share("c", "__nc").alias("pc"))
-    return shares.groupBy("variable").agg(
-        F.sum((F.col("pc") - F.col("pb")) * F.log(F.col("pc") / F.col("pb"))).alias("psi"))
-
-
-def ks(cum: DataFrame) -> DataFrame:
-    """(variable, ks, ks_p, n_base, n_current)."""
-    totals = cum.groupBy("variable").agg(F.sum("b").alias("n_base"), F.sum("c").alias("n_current"))
-    gap = F.abs(F.try_divide(F.col("cum_b").cast("double"), F.col("n_base"))
-                - F.try_divide(F.col("cum_c").cast("double"), F.col("n_current")))
-    best = (cum.join(F.broadcast(totals), "variable")  # one row per analysed column
-            .groupBy("variable").agg(F.max(gap).alias("ks"), F.first("n_base").alias("n_base"),
-                                     F.first("n_current").alias("n_current")))
-    n = F.try_divide(F.col("n_base").cast("double") * F.col("n_current"),
-                     F.col("n_base").cast("double") + F.col("n_current"))
+            .agg(F.sum("b").alias("b"), F.sum("c").alias("c"), *kept))
+    bins = bins.unionByName(nulls.filter((F.col("b") > 0) | (F.col("c") > 0)).withColumn("bin", F.lit(-1)),
+                            allowMissingColumns=True)
+    per_variable = Window.partitionBy("variable")  # at most n_bins + 1 rows
+    shares = bins.withColumns({"__nb": F.sum("b").over(per_variable), "__nc": F.sum("c").over(per_variable)})
+    pb, pc = _share("b", "__nb"), _share("c", "__nc")
+    kept = [F.first(c, ignorenulls=True).alias(c) for c in ("ks", "total_b", "total_c")]
+    out = shares.groupBy("variable").agg(F.sum((pc - pb) * F.log(pc / pb)).alias("psi"), *kept)
+    n = F.try_divide(F.col("total_b").cast("double") * F.col("total_c"),
+                     F.col("total_b").cast("double") + F.col("total_c"))
     lam = (F.sqrt(n) + 0.12 + F.try_divide(F.lit(0.11), F.sqrt(n))) * F.col("ks")
-    return best.withColumn("ks_p", ks_p_value(lam))
+    return out.select("variable", "psi", "ks", ks_p_value(lam).alias("ks_p"))
 
 
 def ks_p_value(lam: Column, terms: int = KS_TERMS) -> Column:
@@ -94,8 +91,7 @@ def drift(base: DataFrame, current: DataFrame, columns: Sequence[str],
           psi_light: tuple[float, float] = PSI_LIGHT,
           rows_per_bucket: int = ranks.ROWS_PER_BUCKET) -> DataFrame:
     """(variable, psi, psi_light, ks, ks_p, ks_light, summary); summary is the worse of the lights."""
-    cum, nulls = side_counts(base, current, columns, rows_per_bucket)
-    both = psi(cum, nulls).join(ks(cum).select("variable", "ks", "ks_p"), "variable", "left")
+    both = statistics(base, current, columns, rows_per_bucket=rows_per_bucket)
     both = both.withColumns({
         "psi_light": light("psi", *psi_light),
         "ks_light": F.when(F.col("ks_p") < KS_SIGNIFICANT, F.lit("red")).otherwise(F.lit("green"))})

@@ -92,10 +92,8 @@ def variable_profile(df: DataFrame, columns: Sequence[str], exact: bool = True,
     base = moments(df, columns)
     if exact:
         cuts = ranks.bucket_cuts(df, columns, rows_per_bucket)
-        cum = ranks.cumulative_counts(ranks.melt(df, columns), {"n": F.lit(1)}, cuts)
-        q = ranks.exact_quantiles(cum, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-        d = cum.groupBy("variable").agg(F.count("*").alias("n_distinct"))
-        extra = d.join(q, "variable", "left")
+        counts = ranks.value_counts(ranks.melt(df, columns), {"n": F.lit(1)})
+        extra = ranks.exact_quantiles(counts, cuts, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     else:
         wide = df.agg(*[F.approx_count_distinct(c).alias(f"{c}|d") for c in columns],
                       *[F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75]).alias(f"{c}|q")

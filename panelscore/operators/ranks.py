@@ -68,16 +68,18 @@ def with_bucket(long: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFra
             .drop("cuts"))
 
 
-def cumulative_counts(long: DataFrame, weights: Mapping[str, Column],
-                      cuts: Mapping[str, Sequence[float]]) -> DataFrame:
-    """(variable, value, one count and ``cum_`` count per weight) for every distinct value.
+def value_counts(long: DataFrame, weights: Mapping[str, Column]) -> DataFrame:
+    """(variable, value, one count per weight) for every distinct non-null value.
 
     ``weights`` names the populations, for example ``{"n": lit(1)}`` or one 0/1 column per side.
-    Null values are left out.
     """
-    names = list(weights)
-    counts = (long.filter(F.col("value").isNotNull()).withColumns(dict(weights))
-              .groupBy("variable", "value").agg(*[F.sum(n).alias(n) for n in names]))
+    return (long.filter(F.col("value").isNotNull()).withColumns(dict(weights))
+            .groupBy("variable", "value").agg(*[F.sum(n).alias(n) for n in weights]))
+
+
+def cumulative_counts(counts: DataFrame, names: Sequence[str], cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+    """``value_counts`` plus a ``cum_`` count per weight, in the order of the values."""
+    names = list(names)
     counts = with_bucket(counts, cuts)
     inside = Window.partitionBy("variable", "bucket").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -95,19 +97,33 @@ def cumulative_counts(long: DataFrame, weights: Mapping[str, Column],
                          *[(F.col(f"cum_{n}") + F.col(f"__o_{n}")).alias(f"cum_{n}") for n in names])
 
 
-def exact_quantiles(cumulative: DataFrame, probs: Mapping[str, float], weight: str = "n") -> DataFrame:
-    """One row per variable with interpolated quantiles, the definition of ``percentile``.
+def with_totals(cumulative: DataFrame, counts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Adds ``total_<name>``; the totals are one row per analysed column."""
+    totals = counts.groupBy("variable").agg(*[F.sum(n).alias(f"total_{n}") for n in names])
+    return cumulative.join(F.broadcast(totals), "variable")
+
 
-    ``probs`` maps output name -> probability.  Each quantile is two conditional minima over the
-    cumulative counts, so this is one aggregate with map-side partials.
+def quantile_parts(probs: Mapping[str, float], weight: str = "n") -> tuple[list[Column], dict[str, Column]]:
+    """Aggregates over ``with_totals`` rows of one variable, and the quantiles built from them.
+
+    Same definition as ``percentile`` (interpolated).  Each quantile is two conditional minima over
+    the cumulative counts, so it combines map-side.
     """
-    total = cumulative.groupBy("variable").agg(F.sum(weight).alias("__total"))
-    rows = cumulative.join(F.broadcast(total), "variable")  # one row per analysed column
-    aggs, out = [F.first("__total").alias("__total")], []
+    total = f"total_{weight}"
+    aggs, out = [F.first(total).alias(total)], {}
     for name, p in probs.items():
-        position = (F.col("__total") - 1) * F.lit(float(p))
+        position = (F.col(total) - 1) * F.lit(float(p))
         for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             aggs.append(F.min(F.when(F.col(f"cum_{weight}") > rank, F.col("value"))).alias(f"__{name}_{side}"))
         lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
-        out.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
-    return rows.groupBy("variable").agg(*aggs).select("variable", *out)
+        out[name] = lo + (hi - lo) * (position - F.floor(position))
+    return aggs, out
+
+
+def exact_quantiles(counts: DataFrame, cuts: Mapping[str, Sequence[float]], probs: Mapping[str, float],
+                    weight: str = "n") -> DataFrame:
+    """One row per variable: the quantiles and ``n_distinct``."""
+    rows = with_totals(cumulative_counts(counts, [weight], cuts), counts, [weight])
+    aggs, out = quantile_parts(probs, weight)
+    return (rows.groupBy("variable").agg(*aggs, F.count("*").alias("n_distinct"))
+            .select("variable", "n_distinct", *[c.alias(n) for n, c in out.items()]))

@@ -7,7 +7,7 @@ month; each table is read either at the data month or at the process month.  All
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -169,15 +169,19 @@ def activity_features(universe_rows: DataFrame, segment_info: DataFrame, transac
         inside("sales_mean_6m", "purchases_mean_12m").alias("ACTIVITY__sales_over_purchases"))
 
 
-def read_source(role: str, table: DataFrame, first: int, last: int) -> enrich.FeatureSource:
+def read_source(role: str, table: DataFrame, first: int, last: int, unique: bool = False) -> enrich.FeatureSource:
     prefix, key, which, columns = READERS[role]
     rows = serving(table, first, last, 0 if which == PROCESS else 1, key)
-    return enrich.FeatureSource(role, rows, {c: f"{prefix}__{c}" for c in columns}, key)
+    return enrich.FeatureSource(role, rows, {c: f"{prefix}__{c}" for c in columns}, key, unique=unique)
 
 
 def build(tables: Mapping[str, DataFrame], first: int, last: int | None = None,
-          features_wanted: Sequence[str] = FEATURES, products: Sequence[str] = PRODUCTS) -> DataFrame:
-    """The panel of the process months, keys and features in contract order, features as double."""
+          features_wanted: Sequence[str] = FEATURES, products: Sequence[str] = PRODUCTS,
+          unique_roles: Collection[str] = ()) -> DataFrame:
+    """The panel of the process months, keys and features in contract order, features as double.
+
+    Feature tables named in ``unique_roles`` have one row per month and key already.
+    """
     last = first if last is None else last
     customers = universe(tables["portfolio"], first, last, products)
 
@@ -190,7 +194,7 @@ def build(tables: Mapping[str, DataFrame], first: int, last: int | None = None,
                                  tables["portfolio"], at_data_month("liabilities"), first, last)
     sources = [enrich.FeatureSource(n, df, [c for c in df.columns if c not in ID], "unique_id", unique=True)
                for n, df in (("owner", owner), ("activity", activity))]
-    sources += [read_source(role, tables[role], first, last) for role in READERS]
+    sources += [read_source(role, tables[role], first, last, role in unique_roles) for role in READERS]
     panel = enrich.enrich(customers, sources)
     panel = null_sentinels(panel, BUSINESS_SENTINELS, [c for c in panel.columns if c not in KEYS])
     panel = features.apply_clips(panel, CLIPS).withColumn(

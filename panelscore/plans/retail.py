@@ -6,7 +6,7 @@ below; map other column names with ``withColumnsRenamed`` before the call.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -114,12 +114,13 @@ def customer_months(accounts: DataFrame, one_per_unique: bool = True) -> DataFra
     return out.withColumn("n_products", sum((F.col(f) for f in flags[1:]), F.col(flags[0])))
 
 
-def feature_sources(tables: Mapping[str, DataFrame], first: int, last: int) -> list[enrich.FeatureSource]:
+def feature_sources(tables: Mapping[str, DataFrame], first: int, last: int,
+                    unique_roles: Collection[str] = ()) -> list[enrich.FeatureSource]:
     absent = [r for r in SOURCES if r not in tables]
     if absent:
         raise ValueError(f"missing source tables: {absent}")
     return [enrich.FeatureSource(role, tables[role], columns, key, offset, nullable_key=key == "unique_id",
-                                 serves=(first, last))
+                                 unique=role in unique_roles, serves=(first, last))
             for role, (columns, key, offset) in SOURCES.items()]
 
 
@@ -138,17 +139,18 @@ def derived(panel: DataFrame) -> DataFrame:
 
 
 def build(portfolio: DataFrame, tables: Mapping[str, DataFrame], arrears: DataFrame, first: int,
-          last: int | None = None, one_per_unique: bool = True) -> DataFrame:
+          last: int | None = None, one_per_unique: bool = True, unique_roles: Collection[str] = ()) -> DataFrame:
     """The panel of one month or of a month range, in contract order.
 
-    A range is built in one pass over every source, not month by month.
+    A range is built in one pass over every source, not month by month.  Tables named in
+    ``unique_roles`` are known to have one row per month and key and are not de-duplicated.
     """
     last = first if last is None else last
     base = customer_months(accounts_of_month(portfolio, first, last), one_per_unique)
     arrears = month_slice(arrears, "month", add_months(first, -5), last)
     panel = enrich.lag_snapshots(base, arrears.withColumn("party_id", F.trim(F.col("party_id"))), "party_id",
                                  "max_days_past_due", range(6), "arrears")
-    panel = enrich.enrich(panel, feature_sources(tables, first, last), spread_by=["month", "party_id"])
+    panel = enrich.enrich(panel, feature_sources(tables, first, last, unique_roles), spread_by=["month", "party_id"])
     panel = derived(null_sentinels(panel))
     panel = shape.decimals_to_double(null_sentinels(panel))
     panel = features.apply_clips(panel, CLIPS)
