@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelscore.sources.tables import exists
@@ -66,6 +66,15 @@ def drop_month(spark: SparkSession, path: str, month: str, value: int) -> bool:
     return bool(fs.delete(folder, True))
 
 
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the data files of one month; every write job uses new names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return set()
+    return {f.getPath().getName() for f in fs.listStatus(path) if not f.getPath().getName().startswith(("_", "."))}
+
+
 def replace_month(df: DataFrame, path: str, value: int, month: str = "month",
                   allow_new_columns: bool = True) -> int:
     """Replace exactly one month and return the rows written.
@@ -77,13 +86,15 @@ def replace_month(df: DataFrame, path: str, value: int, month: str = "month",
                                    F.coalesce(F.col(month).cast("string"), F.lit("null"))))
     guarded = df.withColumn(month, F.when(F.col(month) == F.lit(int(value)), F.col(month).cast("int"))
                             .otherwise(wrong.cast("int")))
-    seen = Observation()
-    counted = guarded.observe(seen, F.count("*").alias("n"))
-    write_months(counted, path, month, "replace", allow_new_columns)
-    n = int(seen.get["n"])
-    if n == 0 and exists(df.sparkSession, f"{path}/{month}={int(value)}"):
-        drop_month(df.sparkSession, path, month, value)
-    return n
+    spark, folder = df.sparkSession, f"{path}/{month}={int(value)}"
+    before = _files(spark, folder)
+    write_months(guarded, path, month, "replace", allow_new_columns)
+    after = _files(spark, folder)
+    if not after - before:
+        if after:
+            drop_month(spark, path, month, value)
+        return 0
+    return spark.read.parquet(folder).count()
 
 
 def stage(df: DataFrame, path: str, month: str | None = None) -> DataFrame:
