@@ -27,7 +27,7 @@ SELECT month, party, (CASE
   WHEN a IS NULL AND b < 0 THEN -1111111111 WHEN a = 0 AND b IS NULL THEN 7777777777
   WHEN a = 0 AND b = 0 THEN 5555555555 WHEN b IS NULL AND a > 0 THEN 2222222222
   WHEN b IS NULL AND a < 0 THEN -2222222222 WHEN b = 0 AND a > 0 THEN 3333333333
-  WHEN b = 0 AND a < 0 THEN -3333333333 ELSE round(round(a / b, 8), 6) END)::double AS ratio,
+  WHEN b = 0 AND a < 0 THEN -3333333333 ELSE round(a / b, 8) END)::double AS ratio,
   round(CASE WHEN b <> 0 THEN a / b END, 6) AS plain
 FROM v
 """)
@@ -42,7 +42,7 @@ def ratio_with_sentinels(spark, sf_dir):
          .otherwise(200000 - F.col("s_balance").cast("double"))).cast("double")
     rows = rows.select("month", "party", a.alias("a"), b.alias("b"))
     ratio = features.ratio_with_sentinels("a", "b")
-    return rows.select("month", "party", F.round(ratio.cast("double"), 6).alias("ratio"),
+    return rows.select("month", "party", ratio.cast("double").alias("ratio"),
                        F.round(features.plain_ratio("a", "b"), 6).alias("plain"))
 
 

@@ -285,7 +285,7 @@ SELECT month, party_id, unique_id, internal_id, days_past_due::double AS days_pa
   {_clip_sql('age', 22, 69)} AS age_cap, fd AS pos_share_6m, {_clip_sql('fn', 3, 24)} AS income_months_24m_cap,
   gd AS risky_contacts_max_3m, round({_clip_sql('ft * 5', 0, 0.33333333333333)}, 8) AS atm_operations_3m_cap,
   gt AS provision_cost_share_3m, CASE WHEN gq > 100 THEN 1 WHEN gq IS NOT NULL THEN 0 END::int AS savings_over_300_flag,
-  round({_ratio_sql('d12', 'd24')}, 6)::double AS max_debt_12_24, round({_ratio_sql('u3m', 'p3m')}, 6)::double AS arrears_growth,
+  ({_ratio_sql('d12', 'd24')})::double AS max_debt_12_24, ({_ratio_sql('u3m', 'p3m')})::double AS arrears_growth,
   gn::double AS service_payment_months_3m
 FROM d
 """
@@ -302,7 +302,7 @@ def retail_panel(spark, sf_dir):
                .agg(F.max("maturity").alias("max_days_past_due")))
     panel = retail.build(p, retail_tables(spark, feat), arrears, months[0], months[-1], unique_roles=retail.SOURCES)
     panel = shape.decimals_to_double(panel)
-    digits = {"max_debt_12_24": 6, "arrears_growth": 6, "liability_asset_share_24m_cap": 8, "min_payment_share_6m_cap": 8,
+    digits = {"liability_asset_share_24m_cap": 8, "min_payment_share_6m_cap": 8,
               "revolving_share_3m_cap": 8, "min_savings_6m_cap": 8, "atm_operations_3m_cap": 8}
     return panel.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
@@ -403,11 +403,14 @@ _BUSINESS_RAW = {
 }
 
 
-def _cap_sql(value, lo, hi):
+def _cap_sql(name, value, lo, hi):
     x = f"({value})::double"
     x = f"greatest({x}, {lo})" if lo is not None else x
     x = f"least({x}, {hi})" if hi is not None else x
-    return f"round(CASE WHEN ({value}) IS NOT NULL THEN {x} END, 6)"
+    capped = f"CASE WHEN ({value}) IS NOT NULL THEN {x} END"
+    if name.startswith("ACTIVITY"):  # decimal(19,8) in the panel; compared at 6 digits
+        return f"round(({capped})::decimal(19,8), 6)::double"
+    return f"round({capped}, 8)"
 
 
 _STEP = "CASE WHEN {a} IS NOT NULL OR {b} IS NOT NULL THEN greatest(coalesce({a}, 0) - coalesce({b}, 0), 0) END"
@@ -432,7 +435,7 @@ steps AS (SELECT u.month, u.party, {', '.join(f'({s}) AS s{i}' for i, s in enume
 dec AS (SELECT month, party, (coalesce(s0, 0) + coalesce(s1, 0) + coalesce(s2, 0))
           / nullif((s0 IS NOT NULL)::int + (s1 IS NOT NULL)::int + (s2 IS NOT NULL)::int, 0) AS v FROM steps)
 SELECT u.month, 'U' || u.party::varchar AS unique_id, 'P' || u.party::varchar AS party_id, 'I' || u.party::varchar AS internal_id,
-  {', '.join(f'{_cap_sql(_BUSINESS_VALUES[c], lo, hi)} AS "{c}_cap"' for c, lo, hi in business.CAPS)},
+  {', '.join(f'{_cap_sql(c, _BUSINESS_VALUES[c], lo, hi)} AS "{c}_cap"' for c, lo, hi in business.CAPS)},
   {', '.join(f'{e} AS "{n}"' for n, e in _BUSINESS_RAW.items())}
 FROM universe u
 LEFT JOIN items f0 ON f0.party = u.party AND f0.month = u.month
@@ -454,4 +457,4 @@ def business_panel(spark, sf_dir):
     panel = business.build(business_tables(spark, sf_dir, feat), months[0], months[-1],
                            unique_roles=business.READERS)
     caps = [target for _, target, _, _ in business.CLIPS]
-    return panel.withColumns({c: F.round(c, 6) for c in caps})
+    return panel.withColumns({c: F.round(c, 6 if c.startswith("ACTIVITY") else 8) for c in caps})
