@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, PORTFOLIO_SQL, customer_month, portfolio,
+from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, HOT_ROWS, PORTFOLIO_SQL, customer_month, portfolio,
                                         shift_sql, table)
 from panelscore.catalog.registry import query
 from panelscore.functions import cleaning, features, months
 from panelscore.operators import enrich, shape
+from panelscore.operators.joins import lookup_join
 
 _A = ("CASE WHEN b.month % 100 = 3 THEN NULL WHEN b.month % 100 = 4 THEN 0 "
       "ELSE b.balance::double - 250000 END")
@@ -84,8 +85,10 @@ LEFT JOIN (SELECT p_partkey, CASE WHEN p_size > 5 THEN p_size END AS size FROM p
 """)
 def clip_features(spark, sf_dir):
     size = F.when(F.col("p_size") > 5, F.col("p_size"))
-    p = table(spark, sf_dir, "part").select("p_partkey", size.alias("p_size"))
-    rows = table(spark, sf_dir, "lineitem").join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), size.alias("p_size"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                                 "l_extendedprice", "l_discount")
+    rows = lookup_join(li, p, ["l_partkey"], "left", HOT_ROWS)
     rules = [("l_quantity", "quantity_cap", 5, 40), ("l_extendedprice", "price_cap", None, 60000),
              ("l_discount", "discount_cap", 0.02, None), ("p_size", "size_cap", 10, 30),
              ("p_absent", "absent_cap", 0, 1)]

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, CUSTOMER_PD_SQL, PORTFOLIO_SQL, SHIPPED_SQL, customer_month,
+from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, CUSTOMER_PD_SQL, HOT_ROWS, PORTFOLIO_SQL, SHIPPED_SQL, customer_month,
                                         customer_pd, log_odds_sql, portfolio, scratch, shift_sql, shipped_items, table)
 from panelscore.catalog.registry import query
 from panelscore.functions.months import add_months, month_key, month_list, observed_months
-from panelscore.operators import compare, rollup, shape
+from panelscore.operators import joins, rollup, shape
 from panelscore.plans import business, jobs, retail
 from panelscore.sources import control, sinks, tables
 
@@ -170,7 +170,7 @@ def retail_portfolio(spark, sf_dir):
     padded = F.concat(F.lit(" "), F.col("party").cast("string"), F.lit("  "))
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("party"), "c_acctbal")
     unique = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("U"), F.call_function("div", F.col("party"), F.lit(2)).cast("string")))
-    return portfolio(spark, sf_dir).join(c, "party").select(
+    return joins.lookup_join(portfolio(spark, sf_dir), c, ["party"], "inner", HOT_ROWS).select(
         "month", padded.alias("party_id"), unique.alias("unique_id"),
         F.when(F.col("account") % 10 != 0, F.col("account").cast("string")).alias("internal_id"),
         F.col("maturity").alias("maturity_months"), (F.col("maturity") * 2).alias("days_past_due"),

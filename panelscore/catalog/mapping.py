@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from panelscore.functions.months import month_key
 from panelscore.session import new_folder
 
+HOT_ROWS = 5_000_000  # keys with at least this many rows are salted in row-level joins
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelscore.catalog.mapping import PORTFOLIO_SQL, money, portfolio, table
+from panelscore.catalog.mapping import HOT_ROWS, PORTFOLIO_SQL, money, portfolio, table
 from panelscore.catalog.registry import query
 from panelscore.functions import features
 from panelscore.operators import enrich, joins, relations, shape
@@ -35,10 +35,11 @@ def relation(spark, sf_dir):
     """(party, related, party_type), reduced to distinct (order, supplier) before the join."""
     li = (table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag").isin("A", "R"))
           .select("l_orderkey", "l_suppkey").distinct())
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("party"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("party"))
     related = F.when(F.col("l_suppkey") == F.col("party"), F.col("party")).otherwise(-1 - F.col("l_suppkey"))
-    pairs = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("party", related.alias("related")).distinct()
-    return pairs.join(party_types(spark, sf_dir), "party")
+    pairs = (joins.lookup_join(li, o, ["l_orderkey"], "inner", HOT_ROWS)
+             .select("party", related.alias("related")).distinct())
+    return joins.lookup_join(pairs, party_types(spark, sf_dir), ["party"], "inner", HOT_ROWS)
 
 
 def _is_company():

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelscore.functions.features import convert_currency
 from panelscore.functions.months import in_months, month_key
-from panelscore.operators.joins import left_lookup, lookup_join
+from panelscore.operators.joins import lookup_join
 
 
 def overdue_days(balances: DataFrame, first: int, last: int, *, day: str = "balance_day",
@@ -21,16 +21,15 @@ def overdue_days(balances: DataFrame, first: int, last: int, *, day: str = "bala
 
 def with_local_debt(rows: DataFrame, rates: DataFrame, *, currency: str = "currency",
                     day: str = "balance_day", debt: str = "total_debt", local: str = "0001",
-                    foreign: str = "1001") -> DataFrame:
+                    foreign: str = "1001", hot_rows: int | None = 5_000_000) -> DataFrame:
     """Debt in local currency: ``rates`` has one row (currency, day, rate) per currency and day.
 
     Only foreign rows need a rate.  The others, usually most of the table, have no join key and are
-    spread by their content instead of meeting in one task.  The rate table is small (currencies x
-    days), so Spark's size check normally broadcasts it.
+    spread by their content instead of meeting in one task; so are days with very many rows.
     """
     keyed = rows.withColumn("__fx", F.when(F.col(currency) == F.lit(foreign), F.col(currency)))
     lookup = rates.filter(F.col(currency) == F.lit(foreign)).select(F.col(currency).alias("__fx"), day, "rate")
-    priced = left_lookup(keyed, lookup, ["__fx", day], nullable=["__fx"], spread_by=rows.columns)
+    priced = lookup_join(keyed, lookup, ["__fx", day], "left", hot_rows)
     return priced.select(*rows.columns, convert_currency(currency, debt, "rate", local, foreign)
                          .alias("debt_local"))
 
@@ -67,6 +66,7 @@ def customer_month_arrears(rows: DataFrame, accounts: DataFrame, *, account: str
             .agg(F.max(overdue).alias(out)))
 
 
-def restrict_to(rows: DataFrame, known: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key is known (semi-join, no fan-out)."""
-    return rows.join(known.select(*on), on=list(on), how="left_semi")
+def restrict_to(rows: DataFrame, known: DataFrame, on: Sequence[str],
+                hot_rows: int | None = 5_000_000) -> DataFrame:
+    """Rows whose key is known (semi-join, no fan-out); frequent keys are salted."""
+    return lookup_join(rows, known.select(*on), on, "left_semi", hot_rows)

@@ -51,17 +51,20 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str =
 
     ``hot_rows=None`` leaves skew to AQE.  With a number, keys that have at least that many fact
     rows are salted: their fact rows are spread over ``salts`` tasks and their dim rows are
-    repeated ``salts`` times.  All other keys take the plain path (salt 0), so the result is the
-    same join either way.
+    repeated ``salts`` times; fact rows without key are spread as well.  All other keys take the
+    plain path (salt 0), so the result is the same join either way.
     """
-    if how not in ("left", "inner"):
-        raise ValueError("how must be 'left' or 'inner'")
+    if how not in ("left", "inner", "left_semi"):
+        raise ValueError("how must be 'left', 'inner' or 'left_semi'")
     if hot_rows is None:
         return facts.join(dim, on=list(on), how=how)
     hot = hot_keys(facts, on, hot_rows).withColumn("__hot", F.lit(True))
     columns = list(facts.columns)
+    scattered = F.coalesce(F.col("__hot"), F.lit(False))
+    for c in on:
+        scattered = scattered | F.col(c).isNull()
     salted = (facts.join(F.broadcast(hot), on=list(on), how="left")
-              .withColumn(_SALT, F.when(F.col("__hot"), spread(columns, salts)).otherwise(F.lit(0)))
+              .withColumn(_SALT, F.when(scattered, spread(columns, salts)).otherwise(F.lit(0)))
               .select(*columns, _SALT))
     all_salts = F.array(*[F.lit(i) for i in range(salts)])
     repeated = (dim.join(F.broadcast(hot), on=list(on), how="left")
