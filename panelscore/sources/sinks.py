@@ -2,8 +2,8 @@
 
 Replacing months uses Spark's dynamic partition overwrite: tasks write to a staging folder and the
 job commit moves the finished partitions, so a lost executor only repeats tasks and other months
-are never touched.  The move itself is per month directory, not one transaction; a table format
-with transactions can be used instead by passing its name as ``fmt``.
+are never touched.  The move itself is per month directory, not one transaction; ``write_months``
+takes the name of a table format with transactions as ``fmt`` where its jar is present.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from panelscore.sources.tables import exists
 
 
-def _schema_check(spark: SparkSession, df: DataFrame, path: str, allow_new: bool) -> None:
+def _schema_check(spark: SparkSession, df: DataFrame, path: str, allow_new: bool, fmt: str) -> None:
     if not exists(spark, path):
         return
-    old = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    old = {f.name: f.dataType for f in spark.read.format(fmt).load(path).schema.fields}
     new = {f.name: f.dataType for f in df.schema.fields}
     wrong = [c for c in new if c in old and old[c] != new[c]]
     absent = [c for c in old if c not in new]
@@ -36,7 +36,7 @@ def balanced(df: DataFrame, month: str) -> DataFrame:
 
 
 def write_months(df: DataFrame, path: str, month: str = "month", mode: str = "replace",
-                 allow_new_columns: bool = True, balance: bool = True) -> None:
+                 allow_new_columns: bool = True, balance: bool = True, fmt: str = "parquet") -> None:
     """Write by month.
 
     mode "replace"  months present in ``df`` are replaced, all others stay
@@ -45,9 +45,9 @@ def write_months(df: DataFrame, path: str, month: str = "month", mode: str = "re
     """
     spark = df.sparkSession
     if mode != "all":
-        _schema_check(spark, df, path, allow_new_columns)
+        _schema_check(spark, df, path, allow_new_columns, fmt)
     rows = balanced(df, month) if balance else df
-    writer = rows.write.partitionBy(month)
+    writer = rows.write.format(fmt).partitionBy(month)
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "all":
@@ -56,7 +56,7 @@ def write_months(df: DataFrame, path: str, month: str = "month", mode: str = "re
         writer = writer.mode("append")
     else:
         raise ValueError(f"unknown mode {mode}")
-    writer.parquet(path)
+    writer.save(path)
 
 
 def drop_month(spark: SparkSession, path: str, month: str, value: int) -> bool:

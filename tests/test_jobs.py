@@ -53,6 +53,13 @@ def test_write_modes_and_schema_drift(spark, months, tmp_path):
     assert "y" in tables.read_folders(spark, [path]).columns
 
 
+def test_other_format(spark, months, tmp_path):
+    path = str(tmp_path / "o")
+    for _ in range(2):
+        sinks.write_months(months, path, fmt="orc")
+    assert tables.read_table(spark, path, "orc").count() == 15
+
+
 @pytest.mark.parametrize("rows,n,want", [(319155 * 35, 35, 35000), (1000, 10, 10), (5, 10, 1), (0, 0, 1)])
 def test_chunk_rows(rows, n, want):
     assert sinks.chunk_rows(rows, n) == want
