@@ -269,7 +269,7 @@ WHERE a IS NOT NULL AND b IS NOT NULL AND a <> b GROUP BY verdict
 def lag_trace(spark, sf_dir):
     """The target takes the balance of the month before (and 0 for some customers)."""
     from panelscore.functions.months import shift_month
-    cm = customer_month(spark, sf_dir)
+    cm = customer_month(spark, sf_dir, add_months(_PROCESS, -1), _PROCESS)
     target = cm.select(shift_month("month", 1).alias("month"), "party",
                        F.when(F.col("n_accounts") > 1, F.lit(0)).otherwise(F.col("balance")).alias("v"))
     return trace.lag_trace(cm, target, "party", "balance", "v", add_months(_PROCESS, -1), _PROCESS)

@@ -10,7 +10,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscore.functions.months import month_key
+from panelscore.functions.months import in_months, month_key
 from panelscore.session import new_folder
 
 HOT_ROWS = 5_000_000  # keys with at least this many rows are salted in row-level joins
@@ -25,9 +25,11 @@ def money(column: str):
     return F.col(column).cast("decimal(18,2)")
 
 
-def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Account-month table: orders."""
+def portfolio(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Account-month table: orders, optionally of a month range (filtered on the raw date)."""
     o = table(spark, sf_dir, "orders")
+    if first is not None:
+        o = o.filter(in_months("o_orderdate", first, last or first))
     return o.select(
         month_key("o_orderdate").alias("month"), F.col("o_custkey").alias("party"),
         F.col("o_orderkey").alias("account"), F.col("o_orderstatus").alias("status"),
@@ -43,9 +45,9 @@ portfolio AS (
   FROM orders)"""
 
 
-def customer_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_month(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """Balance and account count per customer and month."""
-    return (portfolio(spark, sf_dir).groupBy("month", "party")
+    return (portfolio(spark, sf_dir, first, last).groupBy("month", "party")
             .agg(F.sum("balance").alias("balance"), F.count("*").alias("n_accounts")))
 
 

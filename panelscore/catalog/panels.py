@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, PORTFOLIO_SQL, SHIPPED_SQL, customer_month,
-                                        portfolio, shift_sql, shipped_items, table)
+                                        portfolio, scratch, shift_sql, shipped_items, table)
 from panelscore.catalog.registry import query
 from panelscore.functions.features import decreasing_variation, max_of, trimmed_in
-from panelscore.functions.months import observed_months
+from panelscore.functions.months import month_key, observed_months
 from panelscore.operators import arrears, densify, enrich, joins, rollup, shape
+from panelscore.sources import sinks, tables
 
 ROLLUP_SQL = f"""
 WITH {PORTFOLIO_SQL}
@@ -204,8 +205,8 @@ var AS (SELECT party, i, CASE WHEN balance IS NULL AND prev IS NULL THEN NULL
 SELECT party, round(avg(decrease), 4) AS mean_decrease FROM var WHERE i > 1 GROUP BY party
 """)
 def mean_decrease_3m(spark, sf_dir):
-    p = portfolio(spark, sf_dir)
-    last4 = observed_months(p, "month")[-4:]
+    last4 = observed_months(portfolio(spark, sf_dir), "month")[-4:]
+    p = portfolio(spark, sf_dir, last4[0], last4[-1])
     out = densify.mean_decrease(p, "party", last4, "balance", "mean_decrease")
     return out.withColumn("mean_decrease", F.round("mean_decrease", 4))
 
@@ -256,6 +257,41 @@ def daily_arrears(spark, sf_dir):
             .agg(F.max("days_past_due").alias("max_days_past_due")))
 
 
+@query("account_day_stage", f"""
+WITH days AS (SELECT l_orderkey AS account, l_shipdate::date AS balance_day, l_returnflag,
+                     datediff('day', DATE '1998-01-01', l_shipdate::date)::int AS dpd FROM lineitem),
+rows AS (SELECT (year(balance_day) * 100 + month(balance_day))::int AS month, o.o_custkey AS party, d.account, dpd, l_returnflag
+         FROM days d JOIN orders o ON o.o_orderkey = d.account WHERE dpd > 0)
+SELECT month, party, max(dpd)::int AS max_days_past_due, count(*)::bigint AS n_days, count(DISTINCT account)::bigint AS n_accounts
+FROM rows WHERE l_returnflag = 'A' GROUP BY month, party
+""")
+def account_day_stage(spark, sf_dir):
+    """The account-day table written by month, read back and aggregated to customer and month."""
+    accounts = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("account"), F.col("o_custkey").alias("party"))
+    days = _balance_days(spark, sf_dir).withColumn("debt_local", F.when(F.col("currency") == "0001", F.lit(1.0)))
+    months = observed_months(table(spark, sf_dir, "lineitem"), month_key("l_shipdate"))
+    rows = arrears.account_day(arrears.overdue_days(days, 199801, max(months[-1], 199801)), accounts)
+    staged = sinks.stage(rows, scratch(spark, "account-day"), "month").filter(F.col("debt_local") > 0)
+    per_account = staged.groupBy("month", "party", "account").agg(F.max("days_past_due").alias("dpd"), F.count("*").alias("n"))
+    return per_account.groupBy("month", "party").agg(
+        F.max("dpd").alias("max_days_past_due"), F.sum("n").alias("n_days"), F.count("*").alias("n_accounts"))
+
+
+_SCAN = """
+SELECT account, trim(status) AS status, substr(trim(product), 1, 1) AS product_code,
+       CASE WHEN balance < 1000 AND trim(status) = 'P' THEN 0 ELSE balance END AS balance
+FROM {source}
+WHERE account IS NOT NULL AND ((trim(status) = 'F' AND trim(product) IN ('1-URGENT'))
+   OR (trim(status) IN ('O', 'P') AND trim(product) IN ('2-HIGH', '5-LOW')))
+"""
+
+
+@query("sql_text_scan", f"WITH {PORTFOLIO_SQL} SELECT account, status, product_code, balance::double AS balance FROM ("
+       + _SCAN.format(source="portfolio") + ")")
+def sql_text_scan(spark, sf_dir):
+    return shape.decimals_to_double(tables.select_sql(spark, portfolio(spark, sf_dir), _SCAN))
+
+
 @query("top_n_per_month", f"""
 WITH {PORTFOLIO_SQL},
 r AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY account) AS i FROM portfolio)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelscore.catalog.mapping import CUSTOMER_PD_SQL, PORTFOLIO_SQL, customer_pd, portfolio, table
 from panelscore.catalog.registry import query
-from panelscore.functions.months import month_key
+from panelscore.functions.months import first_day, in_months, month_key
 from panelscore.functions.scoring import PD_CUTS, bucket_labels
 from panelscore.operators import drift, profile, rollup
 
@@ -21,8 +21,10 @@ lines AS (
   FROM lineitem)"""
 
 
-def _lines(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select(
+def _lines(spark, sf_dir, where=None):
+    """``where`` is a predicate on the raw ship date, so that it reaches the scan."""
+    li = table(spark, sf_dir, "lineitem")
+    return (li if where is None else li.filter(where)).select(
         month_key("l_shipdate").alias("month"), F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
         F.when(F.col("l_discount") != 0.03, F.col("l_discount")).alias("discount"),
@@ -115,9 +117,9 @@ SELECT variable, round(current, 6) AS current, round(average, 6) AS average, rou
 FROM d
 """)
 def evolution_lights(spark, sf_dir):
-    lines = _lines(spark, sf_dir)
-    averages = profile.historical_averages(profile.evolution(lines.filter(F.col("month") < CURRENT), COLUMNS))
-    current = profile.moments(lines.filter(F.col("month") == CURRENT), COLUMNS)
+    history = _lines(spark, sf_dir, F.col("l_shipdate") < F.lit(first_day(CURRENT)))
+    averages = profile.historical_averages(profile.evolution(history, COLUMNS))
+    current = profile.moments(_lines(spark, sf_dir, in_months("l_shipdate", CURRENT, CURRENT)), COLUMNS)
     out = profile.evolution_lights(current, averages)
     return out.withColumns({c: F.round(c, 6) for c in ("current", "average", "deviation")})
 
@@ -179,8 +181,8 @@ SELECT '{c}' AS variable, max(abs(cb / nb - cc / nc)) AS ks, max(nb) AS nb, max(
 
 
 def _sides(spark, sf_dir):
-    lines = _lines(spark, sf_dir)
-    return lines.filter(F.col("month") < SPLIT), lines.filter(F.col("month") >= SPLIT)
+    split = F.lit(first_day(SPLIT))
+    return (_lines(spark, sf_dir, F.col("l_shipdate") < split), _lines(spark, sf_dir, F.col("l_shipdate") >= split))
 
 
 @query("drift_psi", f"""

@@ -8,6 +8,7 @@ from panelscore.catalog.mapping import (CUSTOMER_PD_SQL, PORTFOLIO_SQL, customer
 from panelscore.catalog.registry import query
 from panelscore.functions import scoring
 from panelscore.operators import enrich, joins, models
+from panelscore.plans import jobs
 
 INTERCEPT, SLOPE = -0.75, 0.85
 
@@ -127,3 +128,20 @@ SELECT party, round(1 / (1 + exp(-margin::double)), 8) AS numpd FROM s
 def tree_table_score(spark, sf_dir):
     out = models.score_trees(customer_pd(spark, sf_dir), _TREES, ["acctbal", "nation", "pd"], "numpd")
     return out.select("party", F.round("numpd", 8).alias("numpd"))
+
+
+@query("score_panel", f"""
+WITH {PORTFOLIO_SQL}, {CUSTOMER_PD_SQL},
+m AS (SELECT DISTINCT month, party FROM portfolio),
+r AS (SELECT m.month, m.party, 1 / (1 + exp(-({_linear_sql(_MODEL_A)}))) AS pd_raw FROM m JOIN customer_pd c USING (party)),
+x AS (SELECT *, {INTERCEPT}::double + {SLOPE}::double * ({log_odds_sql('pd_raw')}) AS xb FROM r)
+SELECT month, party, round(pd_raw, 8) AS pd_raw, round(xb, 8) AS numxb, round(1 / (1 + exp(-xb)), 8) AS numpd,
+       CASE WHEN xb IS NOT NULL THEN greatest(3.0::double, round(174.25::double - 57.708::double * xb, 0)) END AS numscore FROM x
+""")
+def score_panel(spark, sf_dir):
+    """The whole panel through model, log-odds, recalibration and points."""
+    months = portfolio(spark, sf_dir).select("month", "party").distinct()
+    panel = months.join(customer_pd(spark, sf_dir), "party")
+    names = [f for f in _MODEL_A if f != models.INTERCEPT]
+    out = jobs.score_panel(panel, lambda df: models.score_linear(df, _MODEL_A), names, (INTERCEPT, SLOPE))
+    return out.select("month", "party", *[F.round(c, 8).alias(c) for c in ("pd_raw", "numxb", "numpd")], "numscore")
