@@ -59,10 +59,11 @@ def enrich(base: DataFrame, sources: Sequence[FeatureSource], month: str = "mont
     """Left-join every source straight to the base; the number of rows never changes.
 
     Sources are taken key by key, so the base is shuffled once per distinct key and not once per
-    source: consecutive left joins on the same key keep its partitioning.
+    source: consecutive left joins on the same key keep its partitioning.  Rows without a nullable
+    key are spread by ``spread_by`` (default: all base columns).
     """
     keys_in_order = list(dict.fromkeys(s.key for s in sources))
-    by = list(spread_by) if spread_by is not None else [month, keys_in_order[0]]
+    by = list(spread_by) if spread_by is not None else list(base.columns)
     out, columns = base, list(base.columns)
     for key in keys_in_order:
         for s in (s for s in sources if s.key == key):
