@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscore.llm import mixing, quality, simhash
-from panelscore.llm.common import session
+from panelscore.llm import language, lm, mixing, quality, simhash, toxicity
+from panelscore.llm.common import remainder, session
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,32 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    labelled = language.sample(docs, ~held_out)
+    predicted = language.predict(docs.select("doc_id", "text"), labelled)
+    return predicted.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = toxicity.fit(docs, labels.where(~held_out).select("doc_id", "toxic"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    codes, words = lm.train(docs, ~held_out)
+    scored = lm.score(docs, codes, words, docs.where(~held_out).count())
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                         "score")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.deal(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "shards")
@@ -35,6 +61,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op2_language": op2_language,
+        "op3_toxicity": op3_toxicity,
+        "op6_lm": op6_lm,
         "op8_mixing": op8_mixing,
         "op10_quality": op10_quality,
     }
