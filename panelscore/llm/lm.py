@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from panelscore.llm.common import split_words, stage
 
-DEPTH = 4
+DEPTH = 5
 END = b"\n"
 SHARD_RUNS = 6_000_000
 #: Entries that a task gathers before it passes them on, and bytes it looks up at once.

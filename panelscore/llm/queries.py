@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscore.llm import language, lm, mixing, quality, simhash, toxicity
+from panelscore.llm import language, lm, mixing, passages, quality, simhash, toxicity
 from panelscore.llm.common import remainder, session
 
 
@@ -52,6 +52,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.cluster(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     measured = quality.measure(docs, quality.fit(docs, quality.trusted_ids(labels)))
@@ -65,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op6_lm": op6_lm,
         "op8_mixing": op8_mixing,
+        "op9_passages": op9_passages,
         "op10_quality": op10_quality,
     }
 
