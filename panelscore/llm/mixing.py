@@ -68,16 +68,25 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> C
         down = x * (total - marked - drawn + x)
         return F.when(x > low, F.log(up.cast("double")) - F.log(down.cast("double"))).otherwise(F.lit(0.0))
 
+    def bound(value: Column, use) -> Column:  # so that the value is computed once
+        return F.element_at(F.transform(F.array(value), use), 1)
+
     support = F.sequence(low, high)
     zero = F.struct(F.lit(0.0).alias("p"), F.lit(float("-inf")).alias("most"))
     most = F.aggregate(support, zero, lambda s, x: F.struct(
         (s["p"] + step(x)).alias("p"), F.greatest(s["most"], s["p"] + step(x)).alias("most")))["most"]
-    mass = F.aggregate(support, F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("sum")), lambda s, x: F.struct(
-        (s["p"] + step(x)).alias("p"), (s["sum"] + F.exp(s["p"] + step(x) - most)).alias("sum")))["sum"]
-    begin = F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("sum"), low.alias("at"))
-    found = F.aggregate(support, begin, lambda s, x: F.struct(
-        (s["p"] + step(x)).alias("p"), (s["sum"] + F.exp(s["p"] + step(x) - most)).alias("sum"),
-        F.when(s["sum"] <= u * mass, x).otherwise(s["at"]).alias("at")))["at"]
+
+    def mass(top: Column) -> Column:
+        return F.aggregate(support, F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("sum")), lambda s, x: F.struct(
+            (s["p"] + step(x)).alias("p"), (s["sum"] + F.exp(s["p"] + step(x) - top)).alias("sum")))["sum"]
+
+    def quantile(top: Column, want: Column) -> Column:
+        begin = F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("sum"), low.alias("at"))
+        return F.aggregate(support, begin, lambda s, x: F.struct(
+            (s["p"] + step(x)).alias("p"), (s["sum"] + F.exp(s["p"] + step(x) - top)).alias("sum"),
+            F.when(s["sum"] <= want, x).otherwise(s["at"]).alias("at")))["at"]
+
+    found = bound(most, lambda top: bound(u * mass(top), lambda want: quantile(top, want)))
     return F.when(low >= high, low).otherwise(found)
 
 
@@ -99,11 +108,11 @@ def split_quotas(quotas: DataFrame, levels: int, seed: str = "split") -> DataFra
         def draw(s: Column, part: Column) -> Column:
             u = F.pmod(F.xxhash64(F.lit(seed), F.lit(depth), F.col("node"), part["number"]),
                        F.lit(1 << 40)) / float(1 << 40)
-            left = hypergeometric(s["total"], part["n"], s["half"], u)
-            out = F.concat(s["out"], F.array(F.struct(part["number"].alias("number"), part["n"].alias("n"),
-                                                      left.alias("left"))))
-            return F.struct((s["total"] - part["n"]).alias("total"),
-                            (s["half"] - F.element_at(out, -1)["left"]).alias("half"), out.alias("out"))
+            drawn = F.array(hypergeometric(s["total"], part["n"], s["half"], u))
+            return F.element_at(F.transform(drawn, lambda left: F.struct(
+                (s["total"] - part["n"]).alias("total"), (s["half"] - left).alias("half"),
+                F.concat(s["out"], F.array(F.struct(part["number"].alias("number"), part["n"].alias("n"),
+                                                    left.alias("left")))).alias("out"))), 1)
 
         drawn = node.select("node", F.aggregate("parts", begin, draw)["out"].alias("out"))
         sides = F.array(
