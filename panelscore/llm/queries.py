@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscore.llm import language, lm, mixing, passages, quality, simhash, toxicity
+from panelscore.llm import chat, language, lm, mixing, passages, pieces, quality, search, simhash, toxicity
 from panelscore.llm.common import remainder, session
 
 
@@ -38,6 +38,65 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+#: The tool of the conversations: each turn of a user calls it, and the turn after it by the assistant is the result.
+REPLY = {"reply": {"text": ("string", True), "turn": ("integer", True)}}
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").where("conv_id is not null and turn is not null")
+    name = F.concat(F.lit("call_"), F.col("conv_id"), F.lit("_"))
+    calls = turns.where("role = 'user'").select(
+        "conv_id", F.col("turn").alias("place"), F.concat(name, "turn").alias("call_id"), F.lit("reply").alias("name"),
+        F.to_json(F.struct("turn", "text")).alias("arguments"), F.lit(None).cast("string").alias("refers_to"))
+    results = turns.where("role = 'assistant'").select(
+        "conv_id", F.col("turn").alias("place"), F.concat(name, F.col("turn") - 1).alias("call_id"),
+        F.col("text").alias("content"))
+    linked = chat.link(calls, results, REPLY).select(
+        "conv_id", F.col("place").alias("turn"), "sort_place", "level", "kind", "call_id", "status",
+        F.concat_ws("; ", "errors").alias("errors"), "json")
+    others = turns.where("role is null or role not in ('user', 'assistant')").select(
+        "conv_id", "turn", F.col("turn").alias("sort_place"), F.lit(0).alias("level"), F.lit("message").alias("kind"),
+        F.lit(None).cast("string").alias("call_id"), F.lit("plain").alias("status"), F.lit("").alias("errors"),
+        chat.message_json(F.col("role"), F.col("text")).alias("json"))
+    return linked.unionByName(others)
+
+
+OP5_SQL = """
+WITH turns AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+calls AS (SELECT conv_id, turn AS place, 'call_' || conv_id || '_' || turn AS call_id, text
+          FROM turns WHERE role = 'user'),
+results AS (SELECT conv_id, turn AS place, 'call_' || conv_id || '_' || (turn - 1) AS call_id, text
+            FROM turns WHERE role = 'assistant'),
+nc AS (SELECT conv_id, call_id, count(*) AS n_calls, min(place) AS call_place FROM calls GROUP BY ALL),
+nr AS (SELECT conv_id, call_id, count(*) AS n_results FROM results GROUP BY ALL)
+SELECT c.conv_id, c.place AS turn, c.place AS sort_place, CAST(0 AS INTEGER) AS level, 'call' AS kind, c.call_id,
+       CASE WHEN n_calls > 1 OR coalesce(n_results, 0) > 1 THEN 'repeated' WHEN n_results IS NULL THEN 'unanswered'
+            ELSE 'linked' END AS status,
+       CASE WHEN c.text IS NULL THEN 'missing text' ELSE '' END AS errors,
+       '{"role":"assistant","tool_calls":[{"arguments":{' || coalesce('"text":' || to_json(c.text) || ',', '')
+       || '"turn":' || c.place || '},"id":' || to_json(c.call_id) || ',"name":"reply"}]}' AS json
+FROM calls c JOIN nc USING (conv_id, call_id) LEFT JOIN nr USING (conv_id, call_id)
+UNION ALL
+SELECT r.conv_id, r.place, greatest(r.place, coalesce(call_place, r.place)),
+       CAST(CASE WHEN call_place >= r.place THEN 1 ELSE 0 END AS INTEGER), 'result', r.call_id,
+       CASE WHEN coalesce(n_calls, 0) > 1 OR n_results > 1 THEN 'repeated' WHEN n_calls IS NULL THEN 'orphan'
+            ELSE 'linked' END,
+       '', '{' || coalesce('"content":' || to_json(r.text) || ',', '') || '"role":"tool","tool_call_id":'
+       || to_json(r.call_id) || '}'
+FROM results r JOIN nr USING (conv_id, call_id) LEFT JOIN nc USING (conv_id, call_id)
+UNION ALL
+SELECT conv_id, turn, turn, CAST(0 AS INTEGER), 'message', NULL, 'plain', '',
+       '{' || coalesce('"content":' || to_json(text), '')
+       || CASE WHEN text IS NOT NULL AND role IS NOT NULL THEN ',' ELSE '' END
+       || coalesce('"role":' || to_json(role), '') || '}'
+FROM turns WHERE role IS NULL OR role NOT IN ('user', 'assistant')
+"""
+
+
 def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = remainder(F.col("doc_id"), 7) == 2
@@ -47,6 +106,28 @@ def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "score")
 
 
+#: Neighbours that the search returns for each query.
+TOP_K = 10
+
+
+def op7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), search.sign_code(F.col("embedding")).alias("code")).where("embedding is not null")
+    return search.top_k(coded, coded.where("id % 100 = 0"), TOP_K).select(
+        F.col("query_id").alias("vec_id"), "rank", F.col("id").alias("neighbour_id"), "distance")
+
+
+OP7_SQL = f"""
+WITH coded AS (SELECT vec_id, [CASE WHEN embedding[i] > 0 THEN '1' ELSE '0' END FOR i IN range(1, 65)] AS bits
+               FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
+     codes AS (SELECT DISTINCT vec_id, array_to_string(bits, '') AS code FROM coded),
+     pairs AS (SELECT q.vec_id, d.vec_id AS neighbour_id, CAST(hamming(q.code, d.code) AS INTEGER) AS distance
+               FROM codes q JOIN codes d ON q.vec_id <> d.vec_id WHERE q.vec_id % 100 = 0),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour_id) AS nth FROM pairs)
+SELECT vec_id, CAST(nth AS INTEGER) AS rank, neighbour_id, distance FROM ranked WHERE nth <= {TOP_K}
+"""
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.deal(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "shards")
@@ -67,7 +148,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash": op1_simhash,
         "op2_language": op2_language,
         "op3_toxicity": op3_toxicity,
+        "op4_pieces": op4_pieces,
+        "op5_chat": op5_chat,
         "op6_lm": op6_lm,
+        "op7_search": op7_search,
         "op8_mixing": op8_mixing,
         "op9_passages": op9_passages,
         "op10_quality": op10_quality,
@@ -75,4 +159,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_chat": OP5_SQL,
+        "op7_search": OP7_SQL,
+    }
