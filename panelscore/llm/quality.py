@@ -107,8 +107,14 @@ def measure(docs: DataFrame, ratios: list[float], doc_id: str = "doc_id", text:
 
 
 def kept_documents(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, unchanged."""
-    return measure(docs, fit(docs, trusted, doc_id, text), doc_id, text).where("kept").select("row.*")
+    """The rows of ``docs`` that pass, unchanged.
+
+    A filter would be pushed below the projections and compute the counts again for each use of them; a generator
+    is not, and computes them once.
+    """
+    measured = measure(docs, fit(docs, trusted, doc_id, text), doc_id, text)
+    passed = F.filter(F.array(F.struct("row", "kept")), lambda x: x["kept"])
+    return measured.select(F.explode(passed).alias("passed")).select("passed.row.*")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
