@@ -82,10 +82,11 @@ def automaton(text: list[int], classes: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = len(arrows) - 1
         last = new
-    first = np.zeros(classes, np.int32)
+    first = np.full(classes, len(arrows), np.int32)  # the state after a letter that no phrase has
     for c, s in arrows[0].items():
         first[c] = s
-    table = np.repeat((2 * classes * first + 1)[None, :], len(arrows), axis=0).astype(np.int32)
+    table = np.repeat((2 * classes * first + 1)[None, :], len(arrows) + 1, axis=0).astype(np.int32)
+    table[0] -= 1  # the first letter ends no phrase
     rows = np.repeat(np.arange(len(arrows)), [len(a) for a in arrows])
     columns = np.fromiter((c for a in arrows for c in a), np.int64, len(rows))
     table[rows, columns] = 2 * classes * np.fromiter((s for a in arrows for s in a.values()), np.int64, len(rows))

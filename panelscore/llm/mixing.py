@@ -183,18 +183,20 @@ def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows that the mix takes, each as often as it is taken, dealt out and ordered by shard and hash.
 
-    Columns are those of ``docs``. The text of a source's edge document ends with its last taken word. Ids must be
-    unique; of rows that repeat an id or have none, the words taken follow the id.
+    Columns are those of ``docs``. The text of a source's edge document ends with its last taken word. Ids name
+    documents: rows that repeat an id are taken alike, and rows without one are not taken.
     """
-    dealt = deal(docs, doc_id, text, source, **options).where(F.size("shards") > 0).groupBy("doc_id").agg(
-        F.max(F.struct("taken", "size", "shards")).alias("mix"))
-    joined = docs.join(dealt.select(F.col("doc_id").alias(doc_id), "mix"), doc_id)
-    share = F.col("mix.taken") % F.greatest(F.col("mix.size"), F.lit(1))
-    names = [F.col(f"`{c}`") for c in docs.columns if c != text]
-    each = joined.select("*", F.posexplode("mix.shards").alias("nth", "shard"))
-    edge = (F.col("nth") == F.size("mix.shards") - 1) & (share > 0)
+    dealt = deal(docs, doc_id, text, source, **options).where((F.size("shards") > 0) & F.col("doc_id").isNotNull())
+    # names that no column of the input has
+    each_id = dealt.groupBy(F.col("doc_id").alias("__id")).agg(F.max(F.struct("taken", "size", "shards")).alias("__mix"))
+    joined = docs.join(each_id, F.col(doc_id) == F.col("__id"))
+    share = F.col("__mix.taken") % F.greatest(F.col("__mix.size"), F.lit(1))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    each = joined.select("*", F.posexplode("__mix.shards").alias("__nth", "__shard"))
+    edge = (F.col("__nth") == F.size("__mix.shards") - 1) & (share > 0)
     head = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(rf"\s*{WORD}"), F.lit(0)), F.lit(1),
                                 share.cast("int")), "")
     cut = F.when(edge, head).otherwise(F.col(text)).alias(text)
-    return (each.select(*names, cut, "shard", "nth").repartition("shard")
-            .sortWithinPartitions("shard", F.xxhash64(doc_id, "nth")).select(*docs.columns))
+    return (each.select(*others, cut, "__shard", "__nth").repartition("__shard")
+            .sortWithinPartitions("__shard", F.xxhash64(F.col(doc_id), F.col("__nth"))).select(*names))

@@ -202,16 +202,15 @@ class Coder:
         return text.removeprefix(" ")
 
 
-_coders: dict[int, Coder] = {}
+_coders: dict[str, Coder] = {}
 
 
-def _coder(shared) -> Coder:
-    """One coder a worker."""
-    vocabulary = shared.value
-    if id(vocabulary) not in _coders:
+def _coder(shared, model: str) -> Coder:
+    """One coder a worker, for the model file named."""
+    if model not in _coders:
         _coders.clear()
-        _coders[id(vocabulary)] = Coder(vocabulary)
-    return _coders[id(vocabulary)]
+        _coders[model] = Coder(shared.value)
+    return _coders[model]
 
 
 @functools.lru_cache(4)
@@ -224,7 +223,7 @@ def encoder(spark: SparkSession, model: str = MODEL):
     shared = spark.sparkContext.broadcast(_read(model))
 
     def run(texts: pa.Array) -> pa.Array:
-        rows = _coder(shared).encode(texts.to_pylist())
+        rows = _coder(shared, model).encode(texts.to_pylist())
         flat = np.fromiter(itertools.chain.from_iterable(itertools.chain.from_iterable(r for r in rows if r)), np.int32)
         sizes = np.array([0 if r is None else sum(map(len, r)) for r in rows], np.int64)
         offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
@@ -240,7 +239,7 @@ def decoder(spark: SparkSession, model: str = MODEL):
     shared = spark.sparkContext.broadcast(_read(model))
 
     def run(ids: pa.Array) -> pa.Array:
-        coder = _coder(shared)
+        coder = _coder(shared, model)
         return pa.array([None if not r.is_valid else coder.decode(r.values.to_numpy().tolist()) for r in ids], pa.string())
 
     run.__annotations__ = {"ids": pa.Array, "return": pa.Array}

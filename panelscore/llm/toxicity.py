@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from panelscore.llm.common import sampled_ids, words
 
@@ -34,6 +34,8 @@ SAMPLE_ROWS, TERMS = 20_000, 2_000
 SUPPORT, LEAST = 3, 1.0
 #: Lengths of word beginnings, and the least length of a term that is matched with an edit.
 BEGINNINGS, FUZZY_LENGTH = (4, 5, 6, 7, 8, 9), 5
+#: Share of a term's weight that a misspelling has which no labelled document shows.
+UNSEEN = 0.75
 WINDOW = 8
 MARKS = "\"'`.,;:!?()[]{}<>|*#$%&«»„“”‚‘’…-—–/\\"
 QUOTES = set("\"'`«»„“”‚‘’")
@@ -116,7 +118,7 @@ class Lexicon:
             if len(word) > k and (w := self.begins.get(word[:k])) is not None and (best is None or w > best[0]):
                 best = (w, word[:k] + "*", False)
         if best is None and len(word) >= FUZZY_LENGTH - 1 and (term := self.near(word)):
-            best = (self.fuzzy.get(term, self.exact[term] / 2), term, True)
+            best = (self.fuzzy.get(term, UNSEEN * self.exact[term]), term, True)
         if len(self.found) > 300_000:  # bounded memory; matches are found again
             self.found.clear()
         self.found[token] = best
@@ -128,7 +130,7 @@ class Lexicon:
         return tokens, {i: toxic[t] for i, t in enumerate(tokens) if t in toxic} if toxic else {}
 
     def features(self, text: str | None) -> list[float]:
-        """Largest weight, its share beside a quotation, weight of different terms, of misspelled ones, company."""
+        """Largest weight, its share beside a quotation, weight of different terms, of misspelled ones alone, company."""
         tokens, hits = self.hits(text)
         if not hits:
             return [0.0] * FEATURES
@@ -144,7 +146,7 @@ class Lexicon:
             company = max(company, min(beside, 20.0))
             into = bent if misspelled else plain
             into[term] = max(into.get(term, 0.0), weight)
-        return [1.0, best, quoted, min(sum(plain.values()), 40.0), min(sum(bent.values()), 40.0), company,
+        return [1.0, best, quoted, min(sum(plain.values()) + sum(bent.values()), 40.0), min(sum(bent.values()), 40.0), company,
                 math.log1p(len(hits)) - math.log1p(len(tokens))]
 
 
@@ -228,18 +230,17 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def _fuzzy_weights(sample: DataFrame, model: Model, base: float) -> dict[str, float]:
-    """Log-odds of a toxic label where a term occurs misspelled; half the exact weight counts as two documents."""
+    """Log-odds of a toxic label where a term occurs misspelled; the weight without evidence counts as two documents."""
     def run(batch: pd.Series) -> pd.Series:
         lexicon = model.lexicon()
         return pd.Series([sorted({m[1] for m in lexicon.hits(t)[1].values() if m[2]}) for t in batch])
 
     run.__annotations__ = {"batch": pd.Series, "return": pd.Series}
-    from pyspark.sql.types import StringType
     bent = sample.select("toxic", F.explode(F.pandas_udf(run, ArrayType(StringType()))("text")).alias("term"))
     exact = dict(model.terms)
     found = {}
     for r in bent.groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).collect():
-        w = (_log_odds(r["toxic"], r["n"], base) * r["n"] + exact[r["term"]]) / (r["n"] + 2)
+        w = (_log_odds(r["toxic"], r["n"], base) * r["n"] + 2 * UNSEEN * exact[r["term"]]) / (r["n"] + 2)
         found[r["term"]] = max(0.0, w)
     return found
 
