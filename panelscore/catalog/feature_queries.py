@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, HOT_ROWS, PORTFOLIO_SQL, customer_month, portfolio,
+from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, PORTFOLIO_SQL, customer_month, portfolio,
                                         shift_sql, table)
 from panelscore.catalog.registry import query
 from panelscore.functions import cleaning, features, months
@@ -88,7 +88,7 @@ def clip_features(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), size.alias("p_size"))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
                                                  "l_extendedprice", "l_discount")
-    rows = lookup_join(li, p, ["l_partkey"], "left", HOT_ROWS)
+    rows = lookup_join(li, p, ["l_partkey"], "left")
     rules = [("l_quantity", "quantity_cap", 5, 40), ("l_extendedprice", "price_cap", None, 60000),
              ("l_discount", "discount_cap", 0.02, None), ("p_size", "size_cap", 10, 30),
              ("p_absent", "absent_cap", 0, 1)]
@@ -186,7 +186,7 @@ def rename_contract(spark, sf_dir):
     out = shape.rename_safe(li, {"l_orderkey": "orderkey", "l_linenumber": "linenumber",
                                  "l_quantity": "quantity", "missing": "x", "disc": "disc"})
     out, _ = shape.shorten_names(out, 16)
-    out = shape.decimals_to_double(out)
+    out = shape.as_double(out)
     out = cleaning.fill_nulls(cleaning.nan_to_null(out), {"disc": 0.0})
     out = shape.to_double(out, keep=["orderkey", "linenumber"])
     out = shape.align_types(out, {"quantity": "int"})

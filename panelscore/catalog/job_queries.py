@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, CUSTOMER_PD_SQL, HOT_ROWS, PORTFOLIO_SQL, SHIPPED_SQL, customer_month,
+from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, CUSTOMER_PD_SQL, PORTFOLIO_SQL, SHIPPED_SQL, customer_month,
                                         customer_pd, log_odds_sql, portfolio, scratch, shift_sql, shipped_items, table)
 from panelscore.catalog.registry import query
 from panelscore.functions.months import add_months, month_key, month_list, observed_months
@@ -107,7 +107,7 @@ SELECT month, party, CASE WHEN month BETWEEN 200106 AND 200108 THEN 2 ELSE 1 END
 """)
 def month_backfill(spark, sf_dir):
     """All months written once; the last three are then rebuilt and replaced one by one."""
-    cm = shape.decimals_to_double(customer_month(spark, sf_dir).select("month", "party", "balance"))
+    cm = shape.as_double(customer_month(spark, sf_dir).select("month", "party", "balance"))
     path = scratch(spark, "backfill")
     sinks.write_months(cm.withColumn("version", F.lit(1)), path, mode="all")
     last = tables.month_slice(cm, "month", 200106, 200108).withColumn("version", F.lit(2))
@@ -124,7 +124,7 @@ SELECT month, account, party, balance::double AS balance FROM portfolio
 """)
 def chunk_export(spark, sf_dir):
     path = scratch(spark, "chunks")
-    p = shape.decimals_to_double(portfolio(spark, sf_dir).select("month", "account", "party", "balance"))
+    p = shape.as_double(portfolio(spark, sf_dir).select("month", "account", "party", "balance"))
     sinks.export_chunks(p, path)
     return tables.read_folders(spark, [path])
 
@@ -161,7 +161,7 @@ _FEAT_SQL = f"{PORTFOLIO_SQL}, {SHIPPED_SQL}"
 
 def feature_table(spark, sf_dir):
     """Customer-month features, staged once: some twenty role tables are cut from it."""
-    feat = shape.decimals_to_double(shipped_items(spark, sf_dir))
+    feat = shape.as_double(shipped_items(spark, sf_dir))
     return sinks.stage(feat, scratch(spark, "features"))
 
 
@@ -170,7 +170,7 @@ def retail_portfolio(spark, sf_dir):
     padded = F.concat(F.lit(" "), F.col("party").cast("string"), F.lit("  "))
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("party"), "c_acctbal")
     unique = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("U"), F.call_function("div", F.col("party"), F.lit(2)).cast("string")))
-    return joins.lookup_join(portfolio(spark, sf_dir), c, ["party"], "inner", HOT_ROWS).select(
+    return joins.lookup_join(portfolio(spark, sf_dir), c, ["party"], "inner").select(
         "month", padded.alias("party_id"), unique.alias("unique_id"),
         F.when(F.col("account") % 10 != 0, F.col("account").cast("string")).alias("internal_id"),
         F.col("maturity").alias("maturity_months"), (F.col("maturity") * 2).alias("days_past_due"),
@@ -301,7 +301,7 @@ def retail_panel(spark, sf_dir):
                .groupBy("month", F.col("party").cast("string").alias("party_id"))
                .agg(F.max("maturity").alias("max_days_past_due")))
     panel = retail.build(p, retail_tables(spark, feat), arrears, months[0], months[-1], unique_roles=retail.SOURCES)
-    panel = shape.decimals_to_double(panel)
+    panel = shape.as_double(panel)
     digits = {"liability_asset_share_24m_cap": 8, "min_payment_share_6m_cap": 8,
               "revolving_share_3m_cap": 8, "min_savings_6m_cap": 8, "atm_operations_3m_cap": 8}
     return panel.withColumns({c: F.round(c, n) for c, n in digits.items()})

@@ -5,15 +5,12 @@ The SQL snippets next to the functions define the same relations for the SQL cou
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelscore.functions.months import in_months, month_key
 from panelscore.session import new_folder
 
-HOT_ROWS = 5_000_000  # keys with at least this many rows are salted in row-level joins
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,7 +110,5 @@ def log_odds_sql(p: str) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a temporary one only where a local session has
-    no such setting."""
-    local = spark.sparkContext.master.startswith("local")
-    return new_folder(spark, name, tempfile.mkdtemp(prefix="panelscore-") if local else None)
+    """A new folder below the shared folder."""
+    return new_folder(spark, name)

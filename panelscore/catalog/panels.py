@@ -40,7 +40,7 @@ def rolled_up(spark, sf_dir):
 
 @query("customer_month_rollup", ROLLUP_SQL)
 def customer_month_rollup(spark, sf_dir):
-    return shape.decimals_to_double(rolled_up(spark, sf_dir))
+    return shape.as_double(rolled_up(spark, sf_dir))
 
 
 @query("portfolio_by_month", f"""
@@ -93,7 +93,7 @@ def month_shift_enrich(spark, sf_dir):
     cm = customer_month(spark, sf_dir)
     src = enrich.FeatureSource("previous", cm, {"balance": "prev_balance", "n_accounts": "prev_accounts"},
                                "party", offset=1, unique=True)
-    return shape.decimals_to_double(enrich.enrich(cm.select("month", "party", "balance"), [src]))
+    return shape.as_double(enrich.enrich(cm.select("month", "party", "balance"), [src]))
 
 
 @query("fixed_month_read", f"""
@@ -106,7 +106,7 @@ def fixed_month_read(spark, sf_dir):
     out = enrich.fixed_months(portfolio(spark, sf_dir), 1, "party", {"product": "product", "balance": "balance"},
                               extra=F.col("status") != "P")
     out = shape.with_literals(shape.prefixed(out, "PORT", ["party", "month"]), {"stage": "read"})
-    return shape.decimals_to_double(out)
+    return shape.as_double(out)
 
 
 @query("wide_enrichment", f"""
@@ -141,7 +141,7 @@ def wide_enrichment(spark, sf_dir):
         enrich.FeatureSource("items_before", items, {"discount": "prev_discount"}, "party", 1, unique=True),
         enrich.FeatureSource("urgent", urgent, {"account": "last_urgent"}, "party"),
         enrich.FeatureSource("by_name", named, ["nation", "segment"], "unique_id", nullable_key=True)]
-    return shape.decimals_to_double(enrich.enrich(base, sources, spread_by=["month", "party"]))
+    return shape.as_double(enrich.enrich(base, sources, spread_by=["month", "party"]))
 
 
 @query("lag_snapshots", f"""
@@ -158,7 +158,7 @@ FROM lags
 def lag_snapshots(spark, sf_dir):
     cm = customer_month(spark, sf_dir)
     out = enrich.lag_snapshots(cm.select("month", "party"), cm, "party", "balance", range(6), "balance")
-    out = shape.decimals_to_double(out)
+    out = shape.as_double(out)
     names = [f"balance_{k}" for k in range(6)]
     return out.withColumns({"max_u3m": max_of(*names[:3]), "max_p3m": max_of(*names[3:]),
                             "max_u6m": max_of(*names)})
@@ -236,7 +236,7 @@ loan AS (SELECT d.*, a.party FROM days d JOIN acc a USING (account) WHERE a.app
 both_ AS (SELECT * FROM card UNION ALL SELECT * FROM loan),
 local_ AS (SELECT b.*, CASE WHEN b.currency = '1001' THEN debt * rate WHEN b.currency = '0001' THEN debt END AS debt_local
            FROM both_ b LEFT JOIN rates r ON r.currency = b.currency AND r.balance_day = b.balance_day
-           WHERE dpd > 0 AND b.balance_day >= DATE '1998-01-01' AND b.balance_day < DATE '2001-01-01')
+           WHERE dpd > 0 AND b.balance_day >= DATE '1998-01-01')
 SELECT (year(balance_day) * 100 + month(balance_day))::int AS month, party, max(dpd)::int AS max_days_past_due
 FROM local_ WHERE debt_local > 0 GROUP BY ALL
 """)
@@ -247,7 +247,7 @@ def daily_arrears(spark, sf_dir):
     rates = (days.filter(F.dayofmonth("balance_day") <= 20).select("balance_day").distinct()
              .withColumns({"currency": F.lit("1001"),
                            "rate": F.lit(3.0) + F.dayofmonth("balance_day") / F.lit(100.0)}))
-    rows = arrears.overdue_days(days, 199801, 200012)
+    rows = arrears.overdue_days(days, 199801, 299912)  # to the end of the data
     priced = arrears.with_local_debt(rows, rates)
     systems = [arrears.account_month_max(priced.filter(F.col("l_linestatus") == status)).withColumn("app", F.lit(status))
                for status in ("F", "O")]
@@ -289,7 +289,7 @@ WHERE account IS NOT NULL AND ((trim(status) = 'F' AND trim(product) IN ('1-URGE
 @query("sql_text_scan", f"WITH {PORTFOLIO_SQL} SELECT account, status, product_code, balance::double AS balance FROM ("
        + _SCAN.format(source="portfolio") + ")")
 def sql_text_scan(spark, sf_dir):
-    return shape.decimals_to_double(tables.select_sql(spark, portfolio(spark, sf_dir), _SCAN))
+    return shape.as_double(tables.select_sql(spark, portfolio(spark, sf_dir), _SCAN))
 
 
 @query("top_n_per_month", f"""
@@ -300,7 +300,7 @@ SELECT month, account, party, balance::double AS balance FROM r WHERE i <= 5
 def top_n_per_month(spark, sf_dir):
     p = portfolio(spark, sf_dir).select("month", "account", "party", "balance")
     top = rollup.top_n_per_group(p, ["month"], [F.col("account")], 5, ["account"])
-    return shape.decimals_to_double(top)
+    return shape.as_double(top)
 
 
 @query("full_merge", f"""
@@ -316,4 +316,4 @@ def full_merge(spark, sf_dir):
     a = p.filter(F.col("product") == "1-URGENT").groupBy("party").agg(F.max("balance").alias("urgent_max"))
     b = p.filter(F.col("product") == "5-LOW").groupBy("party").agg(F.max("balance").alias("low_max"))
     c = p.filter(F.col("status") == "P").groupBy("party").agg(F.count("*").alias("n_pending"))
-    return shape.decimals_to_double(joins.full_merge([a, b, c], ["party"]))
+    return shape.as_double(joins.full_merge([a, b, c], ["party"]))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelscore.catalog.mapping import CUSTOMER_PD_SQL, PORTFOLIO_SQL, customer_pd, portfolio, table
 from panelscore.catalog.registry import query
-from panelscore.functions.months import first_day, in_months, month_key
+from panelscore.functions.months import first_day, in_months, month_key, month_list
 from panelscore.functions.scoring import PD_CUTS, bucket_labels
 from panelscore.operators import drift, profile, rollup
 
@@ -93,7 +93,7 @@ def evolution(spark, sf_dir):
     return out.select("variable", "month", "n", *[F.round(c, 6).alias(c) for c in ("null_pct", "mean", "std")])
 
 
-_PIVOT_MONTHS = [200001, 200002, 200003, 200004, 200005, 200006]
+_PIVOT_MONTHS = month_list(199201, 200312)  # all months that items can be shipped in
 
 
 @query("evolution_pivot", f"""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelscore.catalog.mapping import HOT_ROWS, PORTFOLIO_SQL, money, portfolio, table
+from panelscore.catalog.mapping import PORTFOLIO_SQL, money, portfolio, table
 from panelscore.catalog.registry import query
 from panelscore.functions import features
 from panelscore.operators import enrich, joins, relations, shape
@@ -37,9 +37,9 @@ def relation(spark, sf_dir):
           .select("l_orderkey", "l_suppkey").distinct())
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("party"))
     related = F.when(F.col("l_suppkey") == F.col("party"), F.col("party")).otherwise(-1 - F.col("l_suppkey"))
-    pairs = (joins.lookup_join(li, o, ["l_orderkey"], "inner", HOT_ROWS)
+    pairs = (joins.lookup_join(li, o, ["l_orderkey"], "inner")
              .select("party", related.alias("related")).distinct())
-    return joins.lookup_join(pairs, party_types(spark, sf_dir), ["party"], "inner", HOT_ROWS)
+    return joins.lookup_join(pairs, party_types(spark, sf_dir), ["party"], "inner")
 
 
 def _is_company():
@@ -149,4 +149,4 @@ def known_accounts(spark, sf_dir):
              .select(F.col("o_orderkey").alias("l_orderkey")))
     from panelscore.operators.arrears import restrict_to
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", money("l_extendedprice").alias("price"))
-    return shape.decimals_to_double(restrict_to(rows, known, ["l_orderkey"]))
+    return shape.as_double(restrict_to(rows, known, ["l_orderkey"]))

@@ -25,13 +25,6 @@ BUSINESS_SENTINELS = (
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    """Names of the numeric columns that are not excluded (case-insensitive)."""
-    skip = {c.lower() for c in exclude}
-    return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, T.NumericType) and f.name.lower() not in skip]
-
-
 def _is_sentinel(c: Column, kind: T.DataType, sentinels: Sequence[float]) -> Column | None:
     if isinstance(kind, _WHOLE):
         whole = [int(s) for s in sentinels if float(s).is_integer()]

@@ -28,12 +28,9 @@ RATIO_POSITIVE_OVER_ZERO = 3333333333
 RATIO_NEGATIVE_OVER_ZERO = -3333333333
 
 
-def _by_sign(x: Column, zero: int, positive: int, negative: int, null: int) -> Column:
-    code = {0: zero, 1: positive, -1: negative}
-    expr = F.when(x.isNull(), F.lit(null).cast("bigint"))
-    expr = expr.when(x == 0, F.lit(code[0]).cast("bigint"))
-    expr = expr.when(x > 0, F.lit(code[1]).cast("bigint"))
-    return expr.otherwise(F.lit(code[-1]).cast("bigint"))
+def _by_sign(x: Column, null: int, zero: int, positive: int, negative: int) -> Column:
+    """The code for the sign of ``x``."""
+    return F.when(x > 0, positive).when(x < 0, negative).when(x == 0, zero).otherwise(null).cast("bigint")
 
 
 def ratio_with_sentinels(numerator, denominator) -> Column:
@@ -43,12 +40,12 @@ def ratio_with_sentinels(numerator, denominator) -> Column:
     denominator looks at the sign of A.  A quotient beyond 11 integer digits gives null.
     """
     a, b = _col(numerator), _col(denominator)
-    no_numerator = _by_sign(b, RATIO_NULL_OVER_ZERO, RATIO_NULL_OVER_POSITIVE,
-                            RATIO_NULL_OVER_NEGATIVE, RATIO_BOTH_NULL)
-    no_denominator = _by_sign(a, RATIO_ZERO_OVER_NULL, RATIO_POSITIVE_OVER_NULL,
-                              RATIO_NEGATIVE_OVER_NULL, RATIO_BOTH_NULL)
-    zero_denominator = _by_sign(a, RATIO_ZERO_OVER_ZERO, RATIO_POSITIVE_OVER_ZERO,
-                                RATIO_NEGATIVE_OVER_ZERO, RATIO_NULL_OVER_ZERO)
+    no_numerator = _by_sign(b, RATIO_BOTH_NULL, RATIO_NULL_OVER_ZERO, RATIO_NULL_OVER_POSITIVE,
+                            RATIO_NULL_OVER_NEGATIVE)
+    no_denominator = _by_sign(a, RATIO_BOTH_NULL, RATIO_ZERO_OVER_NULL, RATIO_POSITIVE_OVER_NULL,
+                              RATIO_NEGATIVE_OVER_NULL)
+    zero_denominator = _by_sign(a, RATIO_NULL_OVER_ZERO, RATIO_ZERO_OVER_ZERO, RATIO_POSITIVE_OVER_ZERO,
+                                RATIO_NEGATIVE_OVER_ZERO)
     code = (F.when(a.isNull(), no_numerator)
             .when(b.isNull(), no_denominator)
             .when(b == 0, zero_denominator))

@@ -27,11 +27,8 @@ def add_months(month: int, n: int) -> int:
 
 def month_list(first: int, last: int) -> list[int]:
     """All months from ``first`` to ``last``, both included, oldest first."""
-    months, m = [], int(first)
-    while m <= int(last):
-        months.append(m)
-        m = add_months(m, 1)
-    return months
+    low, high = (m // 100 * 12 + m % 100 - 1 for m in (int(first), int(last)))
+    return [i // 12 * 100 + i % 12 + 1 for i in range(low, high + 1)]
 
 
 def months_back(month: int, n: int) -> list[int]:

@@ -40,14 +40,6 @@ def points(x, offset: float = POINTS_OFFSET, factor: float = POINTS_FACTOR,
                   F.greatest(F.lit(float(floor)), F.round(F.lit(offset) - F.lit(factor) * v, digits)))
 
 
-def recalibrated(p, intercept: float, slope: float, prefix: str = "") -> dict[str, Column]:
-    """Raw and calibrated log-odds, calibrated probability and points of one probability column."""
-    xb = log_odds(p)
-    xb_cal = linear(xb, intercept, slope)
-    return {f"{prefix}xb": xb, f"{prefix}xb_cal": xb_cal,
-            f"{prefix}pd_cal": inverse_logit(xb_cal), f"{prefix}points": points(xb_cal)}
-
-
 def risk_band(p, cuts: Sequence[float] = BAND_CUTS,
               labels: Sequence[str] = ("low", "watch", "high"), null_band: str | None = None) -> Column:
     """Label of the first cut above p.  An unknown p falls into the last band unless

@@ -14,34 +14,34 @@ from panelscore.operators.joins import lookup_join
 
 def overdue_days(balances: DataFrame, first: int, last: int, *, day: str = "balance_day",
                  overdue: str = "days_past_due") -> DataFrame:
-    """Days in arrears within the month range; both filters reach the scan."""
+    """Days in arrears within the month range; both filters reach the scan of a plain day column."""
     return (balances.filter(F.col(overdue) > 0).filter(in_months(day, first, last))
             .withColumn("month", month_key(day)))
 
 
 def with_local_debt(rows: DataFrame, rates: DataFrame, *, currency: str = "currency",
                     day: str = "balance_day", debt: str = "total_debt", local: str = "0001",
-                    foreign: str = "1001", hot_rows: int | None = 5_000_000) -> DataFrame:
+                    foreign: str = "1001") -> DataFrame:
     """Debt in local currency: ``rates`` has one row (currency, day, rate) per currency and day.
 
     Only foreign rows need a rate.  The others, usually most of the table, have no join key and are
-    spread by their content instead of meeting in one task; so are days with very many rows.
+    spread by their content instead of meeting in one task.  The rates are few and are broadcast
+    where Spark's size check allows.
     """
     keyed = rows.withColumn("__fx", F.when(F.col(currency) == F.lit(foreign), F.col(currency)))
     lookup = rates.filter(F.col(currency) == F.lit(foreign)).select(F.col(currency).alias("__fx"), day, "rate")
-    priced = lookup_join(keyed, lookup, ["__fx", day], "left", hot_rows)
+    priced = lookup_join(keyed, lookup, ["__fx", day], "left")
     return priced.select(*rows.columns, convert_currency(currency, debt, "rate", local, foreign)
                          .alias("debt_local"))
 
 
-def account_day(rows: DataFrame, accounts: DataFrame, *, account: str = "account", party: str = "party",
-                hot_rows: int | None = 5_000_000) -> DataFrame:
+def account_day(rows: DataFrame, accounts: DataFrame, *, account: str = "account", party: str = "party") -> DataFrame:
     """Account-day rows with their customers (an account may have several), for staging.
 
     The inner join already restricts the facts to known accounts, so no semi-join runs before it.
     """
     known = accounts.select(account, party).distinct()
-    return lookup_join(rows, known, [account], "inner", hot_rows)
+    return lookup_join(rows, known, [account], "inner")
 
 
 def account_month_max(rows: DataFrame, *, account: str = "account",
@@ -66,7 +66,6 @@ def customer_month_arrears(rows: DataFrame, accounts: DataFrame, *, account: str
             .agg(F.max(overdue).alias(out)))
 
 
-def restrict_to(rows: DataFrame, known: DataFrame, on: Sequence[str],
-                hot_rows: int | None = 5_000_000) -> DataFrame:
-    """Rows whose key is known (semi-join, no fan-out); frequent keys are salted."""
-    return lookup_join(rows, known.select(*on), on, "left_semi", hot_rows)
+def restrict_to(rows: DataFrame, known: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose key is known (semi-join, no fan-out)."""
+    return lookup_join(rows, known.select(*on), on, "left_semi")

@@ -44,17 +44,25 @@ def common_columns(base: DataFrame, target: DataFrame, keys: Sequence[str], excl
 
 
 def paired(base: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One row per key: ``n_base``, ``n_target`` and ``<c>_base`` / ``<c>_target`` values."""
+    """One row per key: ``n_base``, ``n_target`` and ``<c>_base`` / ``<c>_target`` values.
+
+    Rows with a null in their key match nothing and stay rows of their side; equal ones count as repeated.
+    """
     def side(df: DataFrame, mark: int) -> DataFrame:
         return df.select(*keys, *[F.col(c).cast("double").alias(c)
                                   if _kind(df.schema[c].dataType) == "number" else F.col(c)
                                   for c in columns], F.lit(mark).alias("__side"))
 
     both = side(base, 0).unionByName(side(target, 1))
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    both = both.withColumn("__alone", F.when(missing, F.xxhash64("__side", *columns)).otherwise(F.lit(0)))
+    both = both.withColumn("__lone_side", F.when(missing, F.col("__side")))
     here = {"base": F.col("__side") == 0, "target": F.col("__side") == 1}
     aggs = [F.count_if(p).alias(f"n_{s}") for s, p in here.items()]
     aggs += [F.max(F.when(p, F.col(c))).alias(f"{c}_{s}") for c in columns for s, p in here.items()]
-    return both.groupBy(*keys).agg(*aggs)
+    return both.groupBy(*keys, "__alone", "__lone_side").agg(*aggs).drop("__alone", "__lone_side")
 
 
 def _unique() -> Column:

@@ -5,7 +5,7 @@ PSI  sum over bins of (a - b) * ln(a / b); bins are the deciles of the base (his
 KS   largest distance between the two cumulative distributions; the p-value is the asymptotic
      series with the small-sample correction.
 
-Both come from the same distinct-value counts, that is, from one shuffle.
+Both come from the same distinct-value counts. NaN counts as null.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def side_counts(base: DataFrame, current: DataFrame, columns: Sequence[str]) ->
     is_current = F.col("__side")
     counts = ranks.value_counts(ranks.melt(both, columns, ["__side"]),
                                 {"b": F.lit(1) - is_current, "c": is_current})
-    nulls = both.groupBy("__side").agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    nulls = both.groupBy("__side").agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in columns])
     nulls = nulls.unpivot(["__side"], list(columns), "variable", "n_null")
     nulls = nulls.groupBy("variable").agg(
         F.sum(F.when(is_current == 0, F.col("n_null")).otherwise(0)).alias("b"),
@@ -48,12 +48,11 @@ def _share(n: str, total: str) -> Column:
     return F.greatest(F.try_divide(F.col(n).cast("double"), F.col(total)), F.lit(SHARE_FLOOR))
 
 
-def statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], n_bins: int = 10,
-               rows_per_bucket: int = ranks.ROWS_PER_BUCKET) -> DataFrame:
+def statistics(base: DataFrame, current: DataFrame, columns: Sequence[str],
+               n_bins: int = 10) -> DataFrame:
     """(variable, psi, ks, ks_p) from one pass over the running counts and one over the counts."""
     counts, nulls = side_counts(base, current, columns)
-    cuts = ranks.bucket_cuts(_stack(base, current, columns), columns, rows_per_bucket)
-    rows = ranks.with_totals(ranks.cumulative_counts(counts, ["b", "c"], cuts), counts, ["b", "c"])
+    rows = ranks.with_totals(ranks.cumulative_counts(counts, ["b", "c"]), counts, ["b", "c"])
     gap = F.abs(F.try_divide(F.col("cum_b").cast("double"), F.col("total_b"))
                 - F.try_divide(F.col("cum_c").cast("double"), F.col("total_c")))
     names = {f"e{i}": i / n_bins for i in range(1, n_bins)}
@@ -88,10 +87,9 @@ def ks_p_value(lam: Column, terms: int = KS_TERMS) -> Column:
 
 
 def drift(base: DataFrame, current: DataFrame, columns: Sequence[str],
-          psi_light: tuple[float, float] = PSI_LIGHT,
-          rows_per_bucket: int = ranks.ROWS_PER_BUCKET) -> DataFrame:
+          psi_light: tuple[float, float] = PSI_LIGHT) -> DataFrame:
     """(variable, psi, psi_light, ks, ks_p, ks_light, summary); summary is the worse of the lights."""
-    both = statistics(base, current, columns, rows_per_bucket=rows_per_bucket)
+    both = statistics(base, current, columns)
     both = both.withColumns({
         "psi_light": light("psi", *psi_light),
         "ks_light": F.when(F.col("ks_p") < KS_SIGNIFICANT, F.lit("red")).otherwise(F.lit("green"))})

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelscore.functions.months import add_months, month_index, shift_month
-from panelscore.operators.joins import left_lookup, spread
+from panelscore.operators.joins import left_lookup, row_hash
 from panelscore.operators.rollup import one_row_per_key
 from panelscore.sources.tables import month_slice
 
@@ -108,7 +108,7 @@ def lag_snapshots(base: DataFrame, source: DataFrame, key: str, value: str, lags
     values = (source.filter(F.col(key).isNotNull()).groupBy(month, key).agg(F.max(value).alias("__value"))
               .withColumns({"__is_base": F.lit(False), "__salt": F.lit(0)}))
     # rows without key match nothing; spread, so that they do not form one window partition
-    alone = F.when(F.col(key).isNull(), spread(base.columns, 4096)).otherwise(F.lit(0))
+    alone = F.when(F.col(key).isNull(), row_hash(base.columns)).otherwise(F.lit(0))
     stacked = (base.withColumns({"__is_base": F.lit(True), "__salt": alone})
                .unionByName(values, allowMissingColumns=True).withColumn("__index", month_index(month)))
     w = Window.partitionBy(key, "__salt").orderBy("__index")

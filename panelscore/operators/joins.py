@@ -16,76 +16,75 @@ from pyspark.sql import functions as F
 _SALT = "__salt"
 
 
+def row_hash(columns: Sequence[str]) -> Column:
+    """Stable hash of the row content (a task that is run again gets the same one)."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+
+
 def spread(columns: Sequence[str], n: int) -> Column:
-    """Stable number 0..n-1 from the row content (a task that is run again gets the same one)."""
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(n)).cast("int")
+    """Stable number 0..n-1 from the row content."""
+    return F.pmod(row_hash(columns), F.lit(n)).cast("int")
 
 
 def left_lookup(base: DataFrame, source: DataFrame, on: Sequence[str], nullable: Sequence[str] = (),
-                spread_by: Sequence[str] = (), salts: int = 256) -> DataFrame:
+                spread_by: Sequence[str] = ()) -> DataFrame:
     """Left join to a source that has one row per key.
 
     Rows whose key is null never match, but a plain shuffle still sends all of them to one task.
-    With ``nullable`` those rows are spread over ``salts`` tasks by the columns ``spread_by``.
+    With ``nullable`` those rows are shuffled by a hash of the columns ``spread_by`` as well. On both
+    sides the extra key is computed from the key: a constant would be folded, and the shuffle would
+    be by the key alone again.
     """
     if not nullable:
         return base.join(source, on=list(on), how="left")
     missing = F.lit(False)
     for c in nullable:
         missing = missing | F.col(c).isNull()
-    left = base.withColumn(_SALT, F.when(missing, spread(spread_by, salts)).otherwise(F.lit(0)))
-    right = source.withColumn(_SALT, F.lit(0))
+    same = F.pmod(F.xxhash64(*[F.col(c) for c in on]), F.lit(1))
+    left = base.withColumn(_SALT, F.when(missing, row_hash(spread_by)).otherwise(same))
+    right = source.withColumn(_SALT, same)
     return left.join(right, on=[*on, _SALT], how="left").drop(_SALT)
 
 
-def hot_keys(facts: DataFrame, on: Sequence[str], min_rows: int, limit: int = 1000) -> DataFrame:
-    """The most frequent keys, at most ``limit`` of them.  Counting combines map-side, so a key
-    that holds a third of all rows arrives at the reducer as one row per map task."""
-    return (facts.groupBy(*on).count().filter(F.col("count") >= min_rows)
-            .orderBy(F.desc("count"), *on).limit(limit).select(*on))
-
-
-def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
-                hot_rows: int | None = None, salts: int = 64) -> DataFrame:
-    """Join row-level facts to a narrower table.
+def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join row-level facts to a narrower table, reading the facts once.
 
-    ``hot_rows=None`` leaves skew to AQE.  With a number, keys that have at least that many fact
-    rows are salted: their fact rows are spread over ``salts`` tasks and their dim rows are
-    repeated ``salts`` times; fact rows without key are spread as well.  All other keys take the
-    plain path (salt 0), so the result is the same join either way.
+    A frequent key is split at run time: AQE cuts its partition of the facts into parts of the
+    advisory size and gives each the partition of ``dim``. There are as many parts as the key has
+    rows for, and no list of frequent keys. Facts without key are spread in a left join and drop
+    out of the others before the shuffle.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError("how must be 'left', 'inner' or 'left_semi'")
-    if hot_rows is None:
-        return facts.join(dim, on=list(on), how=how)
-    hot = hot_keys(facts, on, hot_rows).withColumn("__hot", F.lit(True))
-    columns = list(facts.columns)
-    scattered = F.coalesce(F.col("__hot"), F.lit(False))
-    for c in on:
-        scattered = scattered | F.col(c).isNull()
-    salted = (facts.join(F.broadcast(hot), on=list(on), how="left")
-              .withColumn(_SALT, F.when(scattered, spread(columns, salts)).otherwise(F.lit(0)))
-              .select(*columns, _SALT))
-    all_salts = F.array(*[F.lit(i) for i in range(salts)])
-    repeated = (dim.join(F.broadcast(hot), on=list(on), how="left")
-                .withColumn(_SALT, F.explode(F.when(F.col("__hot"), all_salts)
-                                             .otherwise(F.array(F.lit(0)))))
-                .drop("__hot"))
-    return salted.join(repeated, on=[*on, _SALT], how=how).drop(_SALT)
+    if how == "left":
+        return left_lookup(facts, dim, on, on, facts.columns)
+    return facts.join(dim, on=list(on), how=how)
 
 
 def full_merge(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
-    """Full outer merge of sources with one row per key; one shuffle per source.
+    """Full outer merge of sources by key; one shuffle for all sources.
 
     A chain of full outer joins re-shuffles its growing result, because the key of an outer join
-    is a coalesce.  Stacking the sources and keeping the single value per key needs one shuffle.
+    is a coalesce. Stacking the sources and keeping one row per source and key needs one shuffle.
+    Of several rows of a source with one key the largest is kept, as a whole. Rows with a null in
+    their key match nothing and stay apart.
     """
     on = list(on)
-    wide = frames[0]
-    for f in frames[1:]:
+    missing = F.lit(False)
+    for c in on:
+        missing = missing | F.col(c).isNull()
+    values = {i: [c for c in f.columns if c not in on] for i, f in enumerate(frames)}
+    keyed = [f.where(~missing).select(*on, F.struct(F.lit(1).alias("__in"), *values[i]).alias(f"__s{i}"))
+             for i, f in enumerate(frames)]
+    wide = keyed[0]
+    for f in keyed[1:]:
         wide = wide.unionByName(f, allowMissingColumns=True)
-    values = [c for c in wide.columns if c not in on]
-    return wide.groupBy(*on).agg(*[F.max(c).alias(c) for c in values])
+    merged = wide.groupBy(*on).agg(*[F.max(f"__s{i}").alias(f"__s{i}") for i in values])
+    merged = merged.select(*on, *[F.col(f"__s{i}.{c}").alias(c) for i in values for c in values[i]])
+    for f in frames:
+        if any(f.schema[c].nullable for c in on):
+            merged = merged.unionByName(f.where(missing), allowMissingColumns=True)
+    return merged
 
 
 def with_side_flags(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "full",

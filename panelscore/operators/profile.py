@@ -3,7 +3,7 @@
 Definitions
 -----------
 profile     per variable: n (non-null), null_pct, zero_pct, n_distinct, mean, std (sample), min,
-            p25, p50, p75, max.  Percentages are of all rows.
+            p25, p50, p75, max.  Percentages are of all rows; NaN counts as null.
 light       ``green`` / ``yellow`` / ``red`` by two thresholds on a metric.
 evolution   the profile per variable and month; averages over the months weigh every month alike;
             a current value is judged by its relative deviation from the historical average.
@@ -54,8 +54,14 @@ def key_check(df: DataFrame, key: str, exact: bool = True) -> DataFrame:
 _METRICS = ("n", "null_pct", "zero_pct", "mean", "std", "min", "max")
 
 
-def _moments(c: str) -> list[Column]:
+def _known(c: str) -> Column:
+    """The value as double; NaN counts as null."""
     v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def _moments(c: str) -> list[Column]:
+    v = _known(c)
     rows = F.count("*")
     return [
         F.count(v).cast("double").alias(f"{c}|n"),
@@ -86,17 +92,15 @@ def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
 
 
 def variable_profile(df: DataFrame, columns: Sequence[str], exact: bool = True,
-                     null_light: tuple[float, float] = NULL_PCT_LIGHT,
-                     rows_per_bucket: int = ranks.ROWS_PER_BUCKET) -> DataFrame:
+                     null_light: tuple[float, float] = NULL_PCT_LIGHT) -> DataFrame:
     """One row per variable with the profile metrics and the light of its null rate."""
     base = moments(df, columns)
     if exact:
-        cuts = ranks.bucket_cuts(df, columns, rows_per_bucket)
         counts = ranks.value_counts(ranks.melt(df, columns), {"n": F.lit(1)})
-        extra = ranks.exact_quantiles(counts, cuts, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+        extra = ranks.exact_quantiles(counts, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     else:
-        wide = df.agg(*[F.approx_count_distinct(c).alias(f"{c}|d") for c in columns],
-                      *[F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75]).alias(f"{c}|q")
+        wide = df.agg(*[F.approx_count_distinct(_known(c)).alias(f"{c}|d") for c in columns],
+                      *[F.percentile_approx(_known(c), [0.25, 0.5, 0.75]).alias(f"{c}|q")
                         for c in columns])
         rows = F.explode(F.array(*[F.struct(
             F.lit(c).alias("variable"), F.col(f"`{c}|d`").alias("n_distinct"),
@@ -160,11 +164,6 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
                          (F.col("min") + F.col("bin") * width).alias("upper"), "n")
 
 
-def score_columns(columns: Sequence[str]) -> list[str]:
-    """Names that hold a probability or a score."""
-    return [c for c in columns if "numpd" in c.lower() or c.upper().startswith("SC_") or "SCORE" in c.upper()]
-
-
 def buckets_by_month(df: DataFrame, score: str, month: str = "month",
                      cuts: Sequence[float] = PD_CUTS) -> DataFrame:
     """(month, bucket, n, total, pct) with one row per month and report bucket, empty ones too.
@@ -183,9 +182,3 @@ def buckets_by_month(df: DataFrame, score: str, month: str = "month",
     return (per_month.select(month, "total", rows.alias("r")).select(month, "total", "r.*")
             .withColumn("pct", F.lit(100.0) * F.col("n") / F.col("total"))
             .select(month, "bucket", "n", "total", "pct"))
-
-
-def top_of_each_month(df: DataFrame, month: str, key: str, n: int) -> DataFrame:
-    """Debug sample: first ``n`` rows of each month by key."""
-    from panelscore.operators.rollup import top_n_per_group
-    return top_n_per_group(df, [month], [F.col(key)], n, [key])

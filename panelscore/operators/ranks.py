@@ -1,10 +1,11 @@
 """Exact order statistics of many columns without a global sort in one task.
 
 A cumulative count over all values of a variable would put the variable into one window
-partition.  Here every variable is cut into buckets at approximate quantiles (a mergeable sketch),
-distinct values are counted with map-side combine, the running count is taken inside each bucket,
-and the bucket totals, a few thousand numbers per variable, give the offsets.  The cut points only
-balance the work: any cut points lead to the same counts.
+partition.  Here distinct values are counted with map-side combine and fall into buckets by their
+size: the bucket is the scaled logarithm of the absolute value, with its sign, so that it grows with
+the value.  A factor of two is cut into ``BUCKETS_PER_OCTAVE`` buckets, all values from 1 to a million
+into twenty times as many.  The running count is taken inside each bucket, and the bucket totals give
+the offsets.  Nothing is sampled, no number reaches the driver, and the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -14,58 +15,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
+BUCKETS_PER_OCTAVE = 512
 
 
 def melt(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
-    """Wide -> (ids..., variable, value) with values as double."""
+    """Wide -> (ids..., variable, value) with values as double; NaN counts as null."""
     wide = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns])
-    return wide.unpivot(list(ids), list(columns), "variable", "value")
+    long = wide.unpivot(list(ids), list(columns), "variable", "value")
+    return long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
 
-def bucket_cuts(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET,
-                rows: int | None = None) -> dict[str, list[float]]:
-    """Cut points per column; no cuts at all for a small table.
-
-    At most ``MAX_BUCKETS`` numbers per column reach the driver, whatever the table size.
-    """
-    n = df.count() if rows is None else rows
-    buckets = min(MAX_BUCKETS, n // rows_per_bucket)
-    if buckets < 2:
-        return {c: [] for c in columns}
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts: dict[str, list[float]] = {}
-    for start in range(0, len(columns), 50):
-        part = columns[start:start + 50]
-        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10 * buckets).alias(c)
-                       for c in part]).first()
-        cuts.update({c: sorted(set(row[c] or [])) for c in part})
-    return cuts
-
-
-def _bucket(value: Column, cuts: Column, n_steps: int) -> Column:
-    """Number of cut points <= value, by binary search over the sorted array."""
-    size = F.size(cuts)
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n_steps))])
-
-    def move(found, step):
-        nxt = found + step
-        fits = (nxt <= size) & (F.try_element_at(cuts, nxt) <= value)
-        return F.when(F.coalesce(fits, F.lit(False)), nxt).otherwise(found)
-
-    return F.aggregate(steps, F.lit(0), move)
-
-
-def with_bucket(long: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
-    longest = max((len(c) for c in cuts.values()), default=0)
-    if longest == 0:
-        return long.withColumn("bucket", F.lit(0))
-    rows = [(v, [float(x) for x in c]) for v, c in cuts.items()]
-    table = long.sparkSession.createDataFrame(rows, "variable string, cuts array<double>")
-    found = long.join(F.broadcast(table), "variable")  # one row per analysed column
-    return (found.withColumn("bucket", _bucket(F.col("value"), F.col("cuts"), longest.bit_length()))
-            .drop("cuts"))
+def bucket(value: Column) -> Column:
+    """A number that does not fall while ``value`` grows; 0 for zero only."""
+    # exponents of doubles lie between -1075 and 1024; infinities have a bucket beyond all numbers
+    size = F.when(F.abs(value) == float("inf"), F.lit(2048.0)).otherwise(F.log2(F.abs(value)))
+    place = F.floor((size + 1076) * BUCKETS_PER_OCTAVE).cast("int") + 1
+    return F.when(value > 0, place).when(value < 0, -place).otherwise(0)
 
 
 def value_counts(long: DataFrame, weights: Mapping[str, Column]) -> DataFrame:
@@ -77,22 +42,19 @@ def value_counts(long: DataFrame, weights: Mapping[str, Column]) -> DataFrame:
             .groupBy("variable", "value").agg(*[F.sum(n).alias(n) for n in weights]))
 
 
-def cumulative_counts(counts: DataFrame, names: Sequence[str], cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+def cumulative_counts(counts: DataFrame, names: Sequence[str]) -> DataFrame:
     """``value_counts`` plus a ``cum_`` count per weight, in the order of the values."""
     names = list(names)
-    counts = with_bucket(counts, cuts)
+    counts = counts.withColumn("bucket", bucket(F.col("value")))
     inside = Window.partitionBy("variable", "bucket").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     running = counts.withColumns({f"cum_{n}": F.sum(n).over(inside) for n in names})
-    if not any(cuts.values()):
-        return running.drop("bucket")
     before = Window.partitionBy("variable").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.groupBy("variable", "bucket").agg(*[F.sum(n).alias(f"__t_{n}") for n in names])
                .select("variable", "bucket",
                        *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}")
                          for n in names]))
-    # at most MAX_BUCKETS rows per analysed column
-    placed = running.join(F.broadcast(offsets), ["variable", "bucket"])
+    placed = running.join(offsets, ["variable", "bucket"])
     return placed.select("variable", "value", *names,
                          *[(F.col(f"cum_{n}") + F.col(f"__o_{n}")).alias(f"cum_{n}") for n in names])
 
@@ -120,10 +82,9 @@ def quantile_parts(probs: Mapping[str, float], weight: str = "n") -> tuple[list[
     return aggs, out
 
 
-def exact_quantiles(counts: DataFrame, cuts: Mapping[str, Sequence[float]], probs: Mapping[str, float],
-                    weight: str = "n") -> DataFrame:
+def exact_quantiles(counts: DataFrame, probs: Mapping[str, float], weight: str = "n") -> DataFrame:
     """One row per variable: the quantiles and ``n_distinct``."""
-    rows = with_totals(cumulative_counts(counts, [weight], cuts), counts, [weight])
+    rows = with_totals(cumulative_counts(counts, [weight]), counts, [weight])
     aggs, out = quantile_parts(probs, weight)
     return (rows.groupBy("variable").agg(*aggs, F.count("*").alias("n_distinct"))
             .select("variable", "n_distinct", *[c.alias(n) for n, c in out.items()]))

@@ -42,12 +42,12 @@ def chosen_owner_pairs(owners: DataFrame, party: str, related: str, is_company:
 
 
 def owner_values(pairs: DataFrame, values: DataFrame, party: str, related: str, columns: Sequence[str],
-                 suffix: str = "_owner", by: Sequence[str] = (), hot_rows: int | None = 5_000_000) -> DataFrame:
+                 suffix: str = "_owner", by: Sequence[str] = ()) -> DataFrame:
     """The owner's variables next to the party; ``values`` is keyed by ``by`` and ``party``.
 
-    One person may own a large part of all companies, so frequent owners are salted.
+    One person may own a large part of all companies, so frequent owners are left to AQE, which splits them.
     """
     owner_side = values.select(*by, F.col(party).alias(related),
                                *[F.col(c).alias(c + suffix) for c in columns])
-    return (lookup_join(pairs, owner_side, [*by, related], "left", hot_rows)
+    return (lookup_join(pairs, owner_side, [*by, related], "left")
             .select(*by, party, *[c + suffix for c in columns]))

@@ -51,11 +51,6 @@ def rollup_accounts(accounts: DataFrame, keys: Sequence[str], valid: Column, *,
     return accounts.groupBy(*keys).agg(*out)
 
 
-def text_number_max(column, condition: Column) -> Column:
-    """Aggregate: largest number held in a text column where the condition is met, else 0."""
-    return F.coalesce(F.max(F.when(condition, F.trim(_c(column)).try_cast("int"))), F.lit(0))
-
-
 def one_row_per_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """One deterministic row per key: the largest one in column order, nulls last.
 

@@ -79,7 +79,6 @@ CAPS = [
 CLIPS = [(c, f"{c}_cap", lo, hi) for c, lo, hi in CAPS]
 
 ID = ["month", "unique_id"]
-HOT_ROWS = 5_000_000
 KEYS = ["month", "unique_id", "party_id", "internal_id"]
 RAW_FEATURES = ["CHANNELPAY__payment_months_6m", "WITHDRAWAL__service_payment_ticket_3m",
                 "OWNER__max_advance_owner", "OWNER__active_months", "ASSETLIAB__max_savings_12m",
@@ -123,7 +122,7 @@ def owner_features(universe_rows: DataFrame, prospects: DataFrame, relation: Dat
     kinds = rollup.one_row_per_key(prospects, ID, ["person_type"])
     owners = (relation.filter(F.col("relation_type").isin(OWNER_RELATIONS))
               .select(*ID, "related_id").distinct())
-    owners = joins.lookup_join(owners, kinds, ID, "left", HOT_ROWS)
+    owners = joins.lookup_join(owners, kinds, ID, "left")
     is_company = F.coalesce(F.col("person_type") == COMPANY, F.lit(False))
     pairs = relations.chosen_owner_pairs(owners, "unique_id", "related_id", is_company, ["month"])
     values = own_values(base_vars, material_vars)

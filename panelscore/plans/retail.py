@@ -152,6 +152,6 @@ def build(portfolio: DataFrame, tables: Mapping[str, DataFrame], arrears: DataFr
                                  "max_days_past_due", range(6), "arrears")
     panel = enrich.enrich(panel, feature_sources(tables, first, last, unique_roles), spread_by=["month", "party_id"])
     panel = derived(null_sentinels(panel))
-    panel = shape.decimals_to_double(null_sentinels(panel))
+    panel = shape.as_double(null_sentinels(panel))
     panel = features.apply_clips(panel, CLIPS)
     return shape.contract(shape.align_types(panel, TYPES), KEYS, FEATURES, missing="error")

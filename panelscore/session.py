@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +22,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_folder: str | None = None
+
+
+def use_for_local_runs(folder: str) -> None:
+    """Names the folder for staged tables of sessions that run in this process alone."""
+    global _local_folder
+    _local_folder = folder
+
+
 def shared_dir(spark: SparkSession, default: str | None = None) -> str:
     """Folder for staged tables: ``spark.checkpoint.dir``, else ``default``.
 
-    There is no fallback to a local temporary folder: on a cluster the executors would not share it.
+    A local folder is used only where it was named for local runs, and only by a session without executors
+    of its own: on a cluster the executors would not share it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or default
+    if not folder and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        folder = _local_folder
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return folder.rstrip("/")

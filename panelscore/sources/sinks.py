@@ -8,7 +8,6 @@ takes the name of a table format with transactions as ``fmt`` where its jar is p
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,20 +110,11 @@ def written_months(spark: SparkSession, path: str, month: str = "month") -> Data
     return spark.read.parquet(path).groupBy(month).agg(F.count("*").alias("n_rows"))
 
 
-def chunk_rows(rows: int, months: int, share: float = 0.1) -> int:
-    """Rows per file: a share of the mean month, rounded up to a multiple of half a power of ten."""
-    raw = max(1, int(rows / max(1, months) * share))
-    step = max(1, 10 ** int(math.log10(raw)) // 2)
-    return math.ceil(raw / step) * step
-
-
-def export_chunks(df: DataFrame, path: str, month: str = "month", share: float = 0.1) -> int:
-    """Per-month files of at most ``chunk_rows`` rows; returns that size."""
-    n, m = df.agg(F.count("*"), F.count_distinct(month)).first()
-    size = chunk_rows(n, m, share)
-    (balanced(df, month).write.mode("overwrite").option("maxRecordsPerFile", size)
-     .partitionBy(month).parquet(path))
-    return size
+def export_chunks(df: DataFrame, path: str, month: str = "month", rows_per_file: int = 100_000,
+                  fmt: str = "parquet") -> None:
+    """Per-month files of at most ``rows_per_file`` rows."""
+    (balanced(df, month).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+     .partitionBy(month).format(fmt).save(path))
 
 
 def write_metrics(frames: Mapping[str, DataFrame], path: str, fmt: str = "json") -> None:

@@ -5,6 +5,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import __spark_entry__  # noqa: E402,F401  names the folder for staged tables of local runs
+
 
 @pytest.fixture(scope="session")
 def spark():

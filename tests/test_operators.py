@@ -63,17 +63,37 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("hot", [None, 1, 500])
-def test_lookup_join_is_a_plain_join(spark, skewed, how, hot):
+def test_lookup_join_is_a_plain_join(spark, skewed, how):
     dim = spark.createDataFrame([(k, k * 10) for k in range(50)] + [(7, -1)], "k int, d int")
-    got = joins.lookup_join(skewed, dim, ["k"], how, hot_rows=hot, salts=8)
+    got = joins.lookup_join(skewed, dim, ["k"], how)
     assert rows(got, "k", "v", "d") == rows(skewed.join(dim, "k", how), "k", "v", "d")
 
 
-def test_left_lookup_keeps_null_keys(spark, skewed):
+def test_left_lookup_keeps_and_spreads_null_keys(spark, skewed):
     dim = spark.createDataFrame([(k, k * 10) for k in range(50)], "k int, d int")
-    got = joins.left_lookup(skewed, dim, ["k"], ["k"], ["v"], salts=8)
+    got = joins.left_lookup(skewed, dim, ["k"], ["k"], ["v"])
     assert rows(got, "k", "v", "d") == rows(skewed.join(dim, "k", "left"), "k", "v", "d")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
+                                             "spark.sql.shuffle.partitions")}
+    try:
+        for key, value in zip(before, ("-1", "false", "16")):
+            spark.conf.set(key, value)
+        got = joins.left_lookup(skewed, dim, ["k"], ["k"], ["v"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert all("__salt" in line for line in plan.split("\n") if "hashpartitioning" in line)
+        alone = got.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+        assert len(alone) == 16 and max(r["count"] for r in alone) < 200
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_full_merge_keeps_whole_rows_and_null_keys_apart(spark):
+    a = spark.createDataFrame([(1, 1, 2), (1, 9, None), (None, 3, 3), (None, 3, 3)], "k int, x int, z int")
+    b = spark.createDataFrame([(1, "u"), (None, "v")], "k int, c string")
+    assert rows(joins.full_merge([a, b], ["k"]), "k", "x", "z", "c") == rows(spark.createDataFrame(
+        [(1, 9, None, "u"), (None, 3, 3, None), (None, 3, 3, None), (None, None, None, "v")],
+        "k int, x int, z int, c string"), "k", "x", "z", "c")
 
 
 def test_full_merge_is_an_outer_chain(spark):
@@ -202,7 +222,7 @@ def test_arrears(spark):
     priced = arrears.with_local_debt(arrears.overdue_days(bal, 202501, 202501), rates)
     assert priced.count() == 7
     assert rows(arrears.customer_month_arrears(priced, acc), "month", "party", "max_days_past_due") == [(202501, "p", 9), (202501, "q", 9)]
-    staged = arrears.account_day(priced, acc, hot_rows=2)
+    staged = arrears.account_day(priced, acc)
     assert staged.count() == 11
     direct = staged.filter("debt_local > 0").groupBy("month", "party").agg(F.max("days_past_due"))
     assert rows(direct) == [(202501, "p", 9), (202501, "q", 9)]
@@ -222,20 +242,33 @@ def values(spark):
     return spark.createDataFrame(data, "a double, b double, side int, nothing double")
 
 
-@pytest.mark.parametrize("per_bucket", [10**9, 100, 7])
-def test_exact_quantiles_do_not_depend_on_buckets(values, per_bucket):
-    cuts = ranks.bucket_cuts(values, ["a", "b"], per_bucket)
-    assert (per_bucket < 10**9) == any(cuts.values())
+def test_exact_quantiles(values):
     counts = ranks.value_counts(ranks.melt(values, ["a", "b"]), {"n": F.lit(1)})
-    got = {r["variable"]: r for r in ranks.exact_quantiles(counts, cuts, {"q1": 0.013, "q5": 0.5, "q9": 0.999}).collect()}
+    got = {r["variable"]: r for r in ranks.exact_quantiles(counts, {"q1": 0.013, "q5": 0.5, "q9": 0.999}).collect()}
     for c in ("a", "b"):
         x = np.array([r[0] for r in values.select(c).dropna().collect()])
         assert [got[c][q] for q in ("q1", "q5", "q9")] == pytest.approx(list(np.quantile(x, [0.013, 0.5, 0.999])), abs=1e-9)
         assert got[c]["n_distinct"] == len(set(x))
 
 
+def test_buckets_grow_with_the_value(spark):
+    x = sorted([0.0, 5e-324, 1e-300, 0.1, 0.1001, 1.0, 1.0001, 2.0, 1e6, 1e300, 1.7e308, float("inf")])
+    data = [(-v,) for v in x if v] + [(v,) for v in x]
+    got = [r[0] for r in spark.createDataFrame(data, "v double").orderBy("v").select(ranks.bucket(F.col("v"))).collect()]
+    assert got == sorted(got) and got[len(x) - 1] == 0 and got[-1] > got[-2] > got[-3]
+
+
+def test_nan_counts_as_null(spark):
+    df = spark.createDataFrame([(float(i % 10),) for i in range(50)] + [(float("nan"),)] * 5, "x double")
+    got = profile.variable_profile(df, ["x"]).first()
+    assert (got["n"], got["max"], got["mean"], got["p75"], got["n_distinct"]) == (50, 9.0, 4.5, 7.0, 10)
+    bins = profile.histogram(df, ["x"], 5).collect()
+    assert sorted((r["bin"], r["n"]) for r in bins) == [(i, 10) for i in range(1, 6)]
+    assert drift.drift(df, df, ["x"]).first()["psi"] == 0
+
+
 def test_profile(values):
-    got = {r["variable"]: r for r in profile.variable_profile(values, ["a", "b", "nothing"], rows_per_bucket=500).collect()}
+    got = {r["variable"]: r for r in profile.variable_profile(values, ["a", "b", "nothing"]).collect()}
     assert got["nothing"]["n"] == 0 and got["nothing"]["null_light"] == "red" and got["nothing"]["n_distinct"] == 0
     x = np.array([r[0] for r in values.select("a").dropna().collect()])
     assert got["a"]["std"] == pytest.approx(x.std(ddof=1)) and got["a"]["p50"] == pytest.approx(np.median(x))
@@ -245,24 +278,29 @@ def test_profile(values):
 
 def test_drift_against_brute_force(values):
     base, cur = values.filter("side = 0"), values.filter("side = 1").withColumn("a", F.col("a") + 0.4)
-    for per_bucket in (10**9, 150):
-        got = {r["variable"]: r for r in drift.drift(base, cur, ["a", "b"], rows_per_bucket=per_bucket).collect()}
-        for c in ("a", "b"):
-            x = [r[0] for r in base.select(c).collect()]
-            y = [r[0] for r in cur.select(c).collect()]
-            xs, ys = np.array([v for v in x if v is not None]), np.array([v for v in y if v is not None])
-            edges = sorted(set(np.quantile(xs, np.arange(1, 10) / 10)))
-            pb = [np.sum(np.searchsorted(edges, xs, side="left") == i) for i in range(len(edges) + 1)] + [len(x) - len(xs)]
-            pc = [np.sum(np.searchsorted(edges, ys, side="left") == i) for i in range(len(edges) + 1)] + [len(y) - len(ys)]
-            p, q = (np.maximum(np.array(v) / s, 1e-6) for v, s in ((pb, len(x)), (pc, len(y))))
-            keep = [(a, b) for a, b, i, j in zip(p, q, pb, pc) if i or j]
-            assert got[c]["psi"] == pytest.approx(sum((b - a) * np.log(b / a) for a, b in keep), abs=1e-9)
-            grid = np.unique(np.concatenate([xs, ys]))
-            d = np.max(np.abs(np.searchsorted(np.sort(xs), grid, "right") / len(xs) - np.searchsorted(np.sort(ys), grid, "right") / len(ys)))
-            assert got[c]["ks"] == pytest.approx(d, abs=1e-12)
+    got = {r["variable"]: r for r in drift.drift(base, cur, ["a", "b"]).collect()}
+    for c in ("a", "b"):
+        x = [r[0] for r in base.select(c).collect()]
+        y = [r[0] for r in cur.select(c).collect()]
+        xs, ys = np.array([v for v in x if v is not None]), np.array([v for v in y if v is not None])
+        edges = sorted(set(np.quantile(xs, np.arange(1, 10) / 10)))
+        pb = [np.sum(np.searchsorted(edges, xs, side="left") == i) for i in range(len(edges) + 1)] + [len(x) - len(xs)]
+        pc = [np.sum(np.searchsorted(edges, ys, side="left") == i) for i in range(len(edges) + 1)] + [len(y) - len(ys)]
+        p, q = (np.maximum(np.array(v) / s, 1e-6) for v, s in ((pb, len(x)), (pc, len(y))))
+        keep = [(a, b) for a, b, i, j in zip(p, q, pb, pc) if i or j]
+        assert got[c]["psi"] == pytest.approx(sum((b - a) * np.log(b / a) for a, b in keep), abs=1e-9)
+        grid = np.unique(np.concatenate([xs, ys]))
+        d = np.max(np.abs(np.searchsorted(np.sort(xs), grid, "right") / len(xs) - np.searchsorted(np.sort(ys), grid, "right") / len(ys)))
+        assert got[c]["ks"] == pytest.approx(d, abs=1e-12)
     assert got["a"]["ks_p"] < 0.05 and got["a"]["ks_light"] == "red" and got["b"]["ks_p"] > 0.05
 
 
+def test_null_keys_are_not_compared(spark):
+    a = spark.createDataFrame([(1, 1.0), (None, 2.0), (None, 2.0)], "k int, v double")
+    got = compare.compare_rows(a, a, ["k"], ["v"]).collect()
+    assert len(got) == 3 and sum(r["n_base"] == r["n_target"] == 1 for r in got) == 1
+
+
 def test_no_drift_against_itself(values):
     got = drift.drift(values, values, ["a", "b"]).collect()
     assert all(r["psi"] == 0 and r["ks"] == 0 and r["ks_p"] == 1 and r["summary"] == "green" for r in got)
