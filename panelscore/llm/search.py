@@ -17,7 +17,7 @@ found once; ids are integers. Other columns are neither read nor changed.
 
 from __future__ import annotations
 
-import itertools
+import functools
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,10 +46,6 @@ def _segments(code: Column, m: int) -> list[tuple[int, int, Column]]:
             for i, (low, high) in enumerate(zip(bounds, bounds[1:]))]
 
 
-def _masks(width: int, radius: int) -> list[int]:
-    return [sum(1 << b for b in bits) for bits in itertools.combinations(range(width), radius)]
-
-
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, with_self: bool = False) -> DataFrame:
     """(query_id, rank, id, distance) for queries (id, code) against all rows (id, code)."""
     rows = rows.where("id is not null and code is not null")
@@ -65,18 +61,17 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, with_self: bool = Fa
     active = stage(wanted.select(F.col("code").alias("q")).distinct(), "search-queries")
     found = stage(active.select("q", F.col("q").alias("code"), F.lit(0).alias("distance"), F.lit(0).cast("long")
                                 .alias("n")).limit(0), "search-found")
-    done = []
-    width = max(w for _, w, _ in _segments(F.lit(0), m))
-    for radius in range(width + 1):
+    done, spark = [], rows.sparkSession
+    widths = sorted({w for _, w, _ in _segments(F.lit(0), m)})
+    for radius in range(widths[-1] + 1):
         probes = F.array(*[F.struct(F.lit(i).alias("segment"), v.alias("value"),
                                     F.lit(w).alias("width")) for i, w, v in _segments(F.col("q"), m)])
-        masks = F.array(*[F.struct(F.lit(w).alias("width"), F.array(*[F.lit(x).cast("long") for x in _masks(w, radius)])
-                                   .cast("array<bigint>").alias("masks")) for w in sorted({
-                                       w for _, w, _ in _segments(F.lit(0), m)})])
-        spread = active.select("q", F.explode(probes).alias("p")).select(
-            "q", "p.segment", "p.value", F.explode(F.filter(masks, lambda x: x["width"] == F.col("p.width"))).alias("x"))
-        looked = spread.select("q", "segment", F.explode(F.transform("x.masks", lambda b: F.col("value").bitwiseXOR(b)))
-                               .alias("value"))
+        masks = functools.reduce(DataFrame.unionByName, [
+            spark.range(1 << w).where(F.bit_count("id") == radius).select(F.lit(w).alias("width"), F.col("id").alias("mask"))
+            for w in widths])
+        # at most 2^16 masks a width, and one or two widths
+        looked = active.select("q", F.explode(probes).alias("p")).select("q", "p.*").join(
+            F.broadcast(masks), "width").select("q", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
         hits = looked.join(segments, ["segment", "value"]).select("q", "code", "n").distinct().select(
             "q", "code", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance"), "n")
         merged = found.unionByName(hits).distinct()
@@ -87,7 +82,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, with_self: bool = Fa
         covered = m * (radius + 1) - 1
         closed = kept.where(F.col("distance") <= covered).groupBy("q").agg(F.sum("n").alias("n")).where(
             F.col("n") >= need).select("q")
-        if radius == width:
+        if radius == widths[-1]:
             done.append(kept)
             break
         done.append(kept.join(closed, "q", "left_semi"))
