@@ -124,6 +124,24 @@ def key_overlap(spark, sf_dir):
     return compare.key_overlap(compare.paired(base, target, ["o_orderkey"], []))
 
 
+@query("compare_null_keys", """
+WITH b AS (SELECT CASE WHEN c_custkey % 20 = 0 THEN NULL ELSE c_custkey END AS k, c_acctbal AS v FROM customer),
+t AS (SELECT k, CASE WHEN k % 7 = 0 THEN v + 1 ELSE v END AS v FROM b),
+known AS (SELECT b.k FROM b JOIN t ON b.k = t.k),
+alone AS (SELECT v, count(*) AS n FROM b WHERE k IS NULL GROUP BY v)
+SELECT (SELECT count(*) FROM known)::bigint AS n_both, (SELECT count(*) FROM alone)::bigint AS only_base,
+       (SELECT count(*) FROM alone)::bigint AS only_target,
+       (SELECT 2 * count_if(n > 1) FROM alone)::bigint AS n_repeated
+""")
+def compare_null_keys(spark, sf_dir):
+    """Rows without key match nothing, on either side."""
+    base = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_custkey") % 20 != 0, F.col("c_custkey")).alias("k"), F.col("c_acctbal").alias("v"))
+    target = base.withColumn("v", F.when(F.col("k") % 7 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    rows = compare.compare_rows(base, target, ["k"], ["v"])
+    return compare.key_overlap(rows)
+
+
 def _only(table: str, side: str, columns: dict[str, str]) -> str:
     return "\nUNION ALL ".join(
         f"SELECT '{c}' AS \"column\", 'only_{side}' AS difference, {repr(t) if side == 'base' else 'NULL'} AS base_value, "

@@ -317,3 +317,26 @@ def full_merge(spark, sf_dir):
     b = p.filter(F.col("product") == "5-LOW").groupBy("party").agg(F.max("balance").alias("low_max"))
     c = p.filter(F.col("status") == "P").groupBy("party").agg(F.count("*").alias("n_pending"))
     return shape.as_double(joins.full_merge([a, b, c], ["party"]))
+
+
+_LARGEST = ("SELECT party, {0}, {1} FROM (SELECT *, row_number() OVER (PARTITION BY party ORDER BY {0} DESC NULLS LAST, "
+            "{1} DESC NULLS LAST) AS i FROM {2} WHERE party IS NOT NULL) WHERE i = 1")
+
+
+@query("full_merge_repeated_keys", f"""
+WITH a AS (SELECT CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE o_custkey END AS party, o_orderkey,
+                  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS price FROM orders),
+b AS (SELECT CASE WHEN c_custkey % 40 = 0 THEN NULL ELSE c_custkey // 2 END AS party, c_nationkey, c_acctbal FROM customer),
+a1 AS ({_LARGEST.format('o_orderkey', 'price', 'a')}), b1 AS ({_LARGEST.format('c_nationkey', 'c_acctbal', 'b')})
+SELECT party, o_orderkey, price, c_nationkey, c_acctbal FROM a1 FULL JOIN b1 USING (party)
+UNION ALL SELECT party, o_orderkey, price, NULL, NULL FROM a WHERE party IS NULL
+UNION ALL SELECT party, NULL, NULL, c_nationkey, c_acctbal FROM b WHERE party IS NULL
+""")
+def full_merge_repeated_keys(spark, sf_dir):
+    """Sources that repeat their keys, or lack them: whole rows are kept, keyless rows stay apart."""
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    a = o.select(F.when(F.col("o_custkey") % 50 != 0, F.col("o_custkey")).alias("party"), "o_orderkey",
+                 F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")).alias("price"))
+    b = c.select(F.when(F.col("c_custkey") % 40 != 0, F.floor(F.col("c_custkey") / 2)).alias("party"), "c_nationkey",
+                 "c_acctbal")
+    return joins.full_merge([a, b], ["party"])

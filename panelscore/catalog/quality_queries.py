@@ -138,6 +138,18 @@ def histogram(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
 
 
+@query("histogram_nan", """
+WITH v AS (SELECT c_acctbal AS x FROM customer WHERE c_custkey % 30 <> 0),
+e AS (SELECT min(x) AS lo, max(x) AS hi FROM v)
+SELECT 'x' AS variable, least(floor((x - lo) / ((hi - lo) / 30.0::double))::int + 1, 30)::int AS bin, count(*)::bigint AS n
+FROM v, e GROUP BY ALL
+""")
+def histogram_nan(spark, sf_dir):
+    """Values that are no numbers count as missing."""
+    x = F.when(F.col("c_custkey") % 30 == 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal"))
+    return profile.histogram(table(spark, sf_dir, "customer").select(x.alias("x")), ["x"]).select("variable", "bin", "n")
+
+
 _LABELS = bucket_labels()
 _BUCKET_CASE = "CASE WHEN pd IS NULL THEN 'C0: NULL' WHEN pd < 0 THEN 'C?' " + " ".join(
     f"WHEN pd < {cut} THEN '{lab}'" for cut, lab in zip(PD_CUTS, _LABELS[1:])) + f" ELSE '{_LABELS[-1]}' END"
