@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import functools
 import os
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,28 +20,29 @@ def session(spark: SparkSession) -> SparkSession:
     """Library settings, and Arrow batches small enough for tables of very long texts."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     return spark
 
 
-@functools.lru_cache(1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="panelscore-llm-")
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: computed once, and safe when executors are lost.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a session of one machine may leave it unset.
+    The folder is the session's ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    default = None
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.master.startswith("local["):
-        default = "file://" + os.path.join(_local_folder(), "staged")
-    path = new_folder(spark, name, default)
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a staged table that nothing will read again."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))

@@ -23,22 +23,24 @@ fold is undefined, only if ``learn`` is true for them. Other columns are neither
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelscore.llm.common import split_words, stage
+from panelscore.llm.common import discard, split_words, stage
 
 DEPTH = 5
 END = b"\n"
 SHARD_RUNS = 6_000_000
 #: Entries that a task gathers before it passes them on, and bytes it looks up at once.
-GATHER_RUNS, GATHER_WORDS, GATHER_ROWS = 4_000_000, 150_000, 200_000
+GATHER_RUNS, GATHER_WORDS, GATHER_ROWS = 4_000_000, 400_000, 300_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -290,48 +292,93 @@ def scores_of(split: list[list[bytes]], table: Table) -> np.ndarray:
     return result
 
 
-_tables: dict[int, Table] = {}
+_tables: dict[str, Table] = {}
 
 
-def _table_of(shared) -> Table:
+def _table_of(shared, name: str) -> Table:
     """One table a worker, built from the broadcast arrays when first needed."""
-    if id(shared.value) not in _tables:
+    if name not in _tables:
         _tables.clear()
-        _tables[id(shared.value)] = Table(*shared.value)
-    return _tables[id(shared.value)]
+        _tables[name] = Table(*shared.value)
+    return _tables[name]
+
+
+class Numbering(dict):
+    """Numbers keys in order of their first look-up."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = len(self)
+        return self[key]
+
+
+SCORED = "word string, chunk long, packed long, doc_id long, score double"
+
+
+class Chunk:
+    """Rows of some texts, sorted by word, so that they take little space in a shuffle."""
+
+    def __init__(self) -> None:
+        self.numbers = Numbering()
+        self.codes: list[int] = []
+        self.counts: list[int] = []
+        self.sizes: list[int] = []
+        self.kinds = 0
+        self.docs: list[tuple] = []
+        self.scores: list[float] = []
+
+    def add(self, doc_id: int | None, mark: int, words: list[bytes], score: float, with_words: bool) -> None:
+        counts = Counter(words)
+        self.kinds += len(counts)
+        if with_words:
+            self.codes += map(self.numbers.__getitem__, counts)
+            self.counts += counts.values()
+        self.sizes.append(len(counts) if with_words else 0)
+        self.docs.append((doc_id, mark, len(words)))
+        self.scores.append(score)
+
+    def rows(self) -> pa.RecordBatch:
+        """(word, chunk, packed, doc_id, score): one for each distinct word of a text, and one, of no word, for the text.
+
+        ``packed`` has the number of the text in its chunk above, and a count of words below. The chunk's number is a
+        hash of what is in it; equal chunks have equal texts. Rows of no word have a line break for it, which no word
+        contains, and a number that spreads them.
+        """
+        mark = xxhash.xxh3_64_intdigest(repr(self.docs).encode())
+        chunk = mark - (1 << 64) if mark >> 63 else mark
+        codes = np.array(self.codes, np.int32)
+        number = np.repeat(np.arange(len(self.docs), dtype=np.int64), self.sizes)
+        packed = (number << 32) | np.array(self.counts, np.int64)
+        order = np.argsort(codes, kind="stable")
+        n, k = len(codes), len(self.docs)
+        named = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
+        ends = pa.array([f"\n{d[1] % 997}" for d in self.docs], pa.string())
+        own = [(i << 32) | d[2] for i, d in enumerate(self.docs)]
+        columns = {
+            "word": pa.concat_arrays([named.take(pa.array(codes[order])), ends]),
+            "chunk": pa.array(np.full(n + k, chunk)),
+            "packed": pa.array(np.r_[packed[order], np.array(own, np.int64)]),
+            "doc_id": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array([d[0] for d in self.docs], pa.int64())]),
+            "score": pa.concat_arrays([pa.nulls(n, pa.float64()), pa.array(self.scores, pa.float64())])}
+        return pa.record_batch(list(columns.values()), list(columns))
 
 
 def _scored(shared, with_words: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(word, doc_id, packed, score): a row for each distinct word of a text, and one, of no word, for its score.
-
-    ``packed`` has a hash of the text above, and the word's count, or that of all words, below. Score rows have a line
-    break for a word, which no word contains, and a number that spreads them.
-    """
-    schema = pa.schema([("word", pa.string()), ("doc_id", pa.int64()), ("packed", pa.int64()), ("score", pa.float64())])
+    """The rows of chunks of texts, with the part of the scores that the runs of the shared table have."""
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table_of(shared)
+        table = _table_of(shared, name)
         for batch in batches:
             ids, marks = batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist()
             split = [split_words(t) for t in batch.column("text").to_pylist()]
-            scores = scores_of(split, table)
-            words, owner, packed, score = [], [], [], []
-            for i, mark, w, s in zip(ids, marks, split, scores):
-                counts = Counter(w) if with_words else {}
-                words += counts
-                owner += [i] * len(counts)
-                packed += [(mark << 32) | n for n in counts.values()]
-                score += [None] * len(counts)
-                words.append(b"\n%d" % (mark % 997))
-                owner.append(i)
-                packed.append((mark << 32) | len(w))
-                score.append(float(s))
-                if len(words) > GATHER_ROWS:
-                    yield pa.record_batch([pa.array(words, pa.binary()).cast(pa.string()), pa.array(owner, pa.int64()),
-                                           pa.array(packed, pa.int64()), pa.array(score, pa.float64())], schema)
-                    words, owner, packed, score = [], [], [], []
-            yield pa.record_batch([pa.array(words, pa.binary()).cast(pa.string()), pa.array(owner, pa.int64()),
-                                   pa.array(packed, pa.int64()), pa.array(score, pa.float64())], schema)
+            chunk = Chunk()
+            for i, mark, w, s in zip(ids, marks, split, scores_of(split, table)):
+                chunk.add(i, mark, w, float(s), with_words)
+                if chunk.kinds > GATHER_ROWS:
+                    yield chunk.rows()
+                    chunk = Chunk()
+            if chunk.docs:
+                yield chunk.rows()
     return run
 
 
@@ -342,6 +389,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text") -> tuple[DataFrame
     words = stage(counted.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     near = F.col("run").bitwiseAND(F.lit(0xFFFF00))
     runs = stage(counted.where("run is not null").groupBy("run").agg(F.sum("n").alias("n")), "lm-runs")
+    discard(counted)
     parts = runs.withColumn("near", near).repartition("near").drop("near")
     tops = (parts.mapInPandas(_tops, "near long, prefix long, zeros double, ones double, weighted double")
             .groupBy("near", "prefix").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]))
@@ -365,28 +413,27 @@ def score(docs: DataFrame, codes: DataFrame, words: DataFrame, ends: int, doc_id
     for shard in range(shards):
         own = codes.where(F.pmod(F.xxhash64("run"), F.lit(shards)) == shard).toPandas()
         shared = spark.sparkContext.broadcast((own["run"].to_numpy(np.int64), own["log10"].to_numpy(np.float32)))
-        parts.append(named.mapInArrow(_scored(shared, shard == 0), "word string, doc_id long, packed long, score double"))
-    rows = parts[0]
+        parts.append(named.mapInArrow(_scored(shared, shard == 0), SCORED))
     known = words.select("word", F.col("n").alias("c")).hint("shuffle_hash")
-    joined = rows.join(known, "word", "left")
+    joined = parts[0].join(known, "word", "left")
     n, c = F.col("packed").bitwiseAND(F.lit(0xFFFFFFFF)), F.coalesce("c", F.lit(0))
     is_word = F.col("score").isNull()
     measured = joined.select(
-        "doc_id", F.shiftright("packed", 32).alias("mark"), F.when(is_word, n).otherwise(0).alias("n"),
-        F.when(is_word & (c > 0), n).otherwise(0).alias("k"),
-        F.when(is_word, n * F.log10(c + F.lit(1.0))).otherwise(0.0).alias("base"), "score",
-        F.when(is_word, 0).otherwise(1).alias("copies"))
-    for more in parts[1:]:
+        "chunk", F.shiftright("packed", 32).alias("nth"), F.when(is_word & (c > 0), n).otherwise(0).alias("k"),
+        F.when(is_word, n * F.log10(c + F.lit(1.0))).otherwise(0.0).alias("base"), "doc_id", "score",
+        F.when(is_word, 0).otherwise(1).alias("copies"), F.when(is_word, 0).otherwise(n).alias("n"))
+    for more in parts[1:]:  # the same chunks, of which only the scores are new
         measured = measured.unionByName(more.select(
-            "doc_id", F.shiftright("packed", 32).alias("mark"), F.lit(0).cast("long").alias("n"),
-            F.lit(0).cast("long").alias("k"), F.lit(0.0).alias("base"), "score", F.lit(0).alias("copies")))
-    summed = measured.groupBy("doc_id", "mark").agg(*[F.sum(x).alias(x) for x in ("n", "k", "base", "score", "copies")])
-    one = summed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    m = F.col("copies")
-    tokens = F.floor(F.col("n") / m) + 1
-    space = math.log10(total + kinds + 1)
-    return one.select(
-        "doc_id", tokens.alias("n_tokens"), (F.floor(F.col("k") / m) + int(ends > 0)).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") / m + math.log10(ends + 1) - tokens * space).alias("base_score"),
+            "chunk", F.shiftright("packed", 32).alias("nth"), F.lit(0).cast("long").alias("k"), F.lit(0.0).alias("base"),
+            "doc_id", "score", F.lit(0).alias("copies"), n.alias("n")))
+    summed = measured.groupBy("chunk", "nth").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), *[F.sum(x).alias(x) for x in ("k", "base", "copies")],
+        F.sum("score").alias("score"))
+    one = summed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    m, space = F.col("copies"), math.log10(total + kinds + 1)
+    based = one.select(
+        "chunk", "nth", "copy", "doc_id", (F.col("n") + 1).alias("n_tokens"),
+        (F.floor(F.col("k") / m) + int(ends > 0)).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") / m + math.log10(ends + 1) - (F.col("n") + 1) * space).alias("base_score"),
         (F.col("score") / m).alias("score"))
+    return based.drop("chunk", "nth", "copy")
