@@ -9,6 +9,7 @@ from panelscore.catalog.registry import query
 from panelscore.functions.months import first_day, in_months, month_key, month_list
 from panelscore.functions.scoring import PD_CUTS, bucket_labels
 from panelscore.operators import drift, profile, rollup
+from panelscore.plans import quality
 
 COLUMNS = ["quantity", "price", "discount", "tax"]
 CURRENT = 200101
@@ -236,3 +237,79 @@ def drift_kpis(spark, sf_dir):
     base, current = _sides(spark, sf_dir)
     out = drift.drift_kpis(drift.drift(base, current, COLUMNS))
     return out.withColumns({"avg_psi": F.round("avg_psi", 8), "max_psi": F.round("max_psi", 8)})
+
+
+_SEGMENT_SQL = """
+seg AS (SELECT CASE WHEN l_linestatus = 'F' THEN 'F' END AS segment, l_orderkey AS id,
+               (year(l_shipdate) * 100 + month(l_shipdate))::int AS month, l_quantity AS quantity,
+               CASE WHEN l_discount <> 0.03 THEN l_discount END AS discount, l_tax * 3.0::double AS pd FROM lineitem)"""
+
+
+def _segments(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.when(F.col("l_linestatus") == "F", F.lit("F")).alias("segment"), F.col("l_orderkey").alias("id"),
+                     month_key("l_shipdate").alias("month"), F.col("l_quantity").alias("quantity"),
+                     F.when(F.col("l_discount") != 0.03, F.col("l_discount")).alias("discount"),
+                     (F.col("l_tax") * 3.0).alias("pd"))
+
+
+#: The month in which the quality job judges the items.
+JOB_MONTH = 199812
+
+
+def _job(spark, sf_dir) -> quality.Metrics:
+    return quality.run(_segments(spark, sf_dir), JOB_MONTH, ["quantity", "discount"], "id", {"pd": PD_CUTS},
+                       by=["segment"])
+
+
+@query("quality_by_segment", f"""
+WITH {_SEGMENT_SQL}, now AS (SELECT * FROM seg WHERE month = {JOB_MONTH}),
+long AS (SELECT segment, 'quantity' AS variable, quantity AS x FROM now UNION ALL SELECT segment, 'discount', discount FROM now)
+SELECT segment, variable, count(x)::bigint AS n, round(100.0::double * count_if(x IS NULL) / count(*), 6) AS null_pct,
+       round(avg(x), 6) AS mean, count(DISTINCT x)::bigint AS n_distinct, round(quantile_cont(x, 0.5), 6) AS p50,
+       CASE WHEN 100.0::double * count_if(x IS NULL) / count(*) >= 20 THEN 'red'
+            WHEN 100.0::double * count_if(x IS NULL) / count(*) >= 5 THEN 'yellow' ELSE 'green' END AS null_pct_light
+FROM long GROUP BY segment, variable
+""")
+def quality_by_segment(spark, sf_dir):
+    """The quality job by segment, of which one is null: its profile with a light per metric."""
+    return _job(spark, sf_dir).profile.select(
+        "segment", "variable", "n", F.round("null_pct", 6).alias("null_pct"), F.round("mean", 6).alias("mean"),
+        "n_distinct", F.round("p50", 6).alias("p50"), "null_pct_light")
+
+
+@query("drift_by_segment", f"""
+WITH {_SEGMENT_SQL},
+b AS (SELECT segment, quantity AS x FROM seg WHERE month < {JOB_MONTH}),
+c AS (SELECT segment, quantity AS x FROM seg WHERE month = {JOB_MONTH}),
+v AS (SELECT segment, x FROM b UNION SELECT segment, x FROM c),
+n AS (SELECT s.segment, (SELECT count(*) FROM b WHERE b.segment IS NOT DISTINCT FROM s.segment) AS nb,
+             (SELECT count(*) FROM c WHERE c.segment IS NOT DISTINCT FROM s.segment) AS nc
+      FROM (SELECT DISTINCT segment FROM v) s),
+d AS (SELECT v.segment, v.x, sum(coalesce(kb, 0)) OVER w AS cb, sum(coalesce(kc, 0)) OVER w AS cc
+      FROM v LEFT JOIN (SELECT segment, x, count(*) AS kb FROM b GROUP BY ALL) i
+             ON v.segment IS NOT DISTINCT FROM i.segment AND v.x = i.x
+           LEFT JOIN (SELECT segment, x, count(*) AS kc FROM c GROUP BY ALL) j
+             ON v.segment IS NOT DISTINCT FROM j.segment AND v.x = j.x
+      WINDOW w AS (PARTITION BY v.segment ORDER BY v.x))
+SELECT d.segment, 'quantity' AS variable, round(max(abs(cb / nb::double - cc / nc::double)), 8) AS ks
+FROM d JOIN n ON d.segment IS NOT DISTINCT FROM n.segment WHERE nb > 0 AND nc > 0 GROUP BY d.segment
+""")
+def drift_by_segment(spark, sf_dir):
+    """The quality job by segment: distance of the month's distribution from the history's."""
+    return _job(spark, sf_dir).drift.where("variable = 'quantity' and ks is not null").select(
+        "segment", "variable", F.round("ks", 8).alias("ks"))
+
+
+@query("score_distribution", f"""
+WITH {_SEGMENT_SQL},
+v AS (SELECT segment, month, {_BUCKET_CASE} AS bucket FROM seg WHERE month <= {JOB_MONTH}),
+m AS (SELECT segment, month, count(*) AS total FROM v GROUP BY segment, month),
+l AS (SELECT unnest([{', '.join(repr(x) for x in _LABELS)}]) AS bucket),
+k AS (SELECT segment, month, bucket, count(*) AS n FROM v GROUP BY ALL)
+SELECT 'pd' AS score, m.segment, m.month, l.bucket, coalesce(k.n, 0)::bigint AS n, m.total::bigint AS total
+FROM m CROSS JOIN l LEFT JOIN k ON k.segment IS NOT DISTINCT FROM m.segment AND k.month = m.month AND k.bucket = l.bucket
+""")
+def score_distribution(spark, sf_dir):
+    """The quality job by segment: buckets of the score per month, of the history and the month judged."""
+    return _job(spark, sf_dir).scores.select("score", "segment", "month", "bucket", "n", "total")

@@ -25,22 +25,16 @@ SHARE_FLOOR = 1e-6
 KS_TERMS = 100
 
 
-def _stack(base: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    b = base.select(*columns).withColumn("__side", F.lit(0))
-    return b.unionByName(current.select(*columns).withColumn("__side", F.lit(1)))
-
-
-def side_counts(base: DataFrame, current: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def side_counts(base: DataFrame, current: DataFrame, columns: Sequence[str],
+                by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Counts per distinct value and per variable's nulls: ``b`` in the base, ``c`` in the current."""
-    both = _stack(base, current, columns)
-    is_current = F.col("__side")
-    counts = ranks.value_counts(ranks.melt(both, columns, ["__side"]),
-                                {"b": F.lit(1) - is_current, "c": is_current})
-    nulls = both.groupBy("__side").agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in columns])
-    nulls = nulls.unpivot(["__side"], list(columns), "variable", "n_null")
-    nulls = nulls.groupBy("variable").agg(
-        F.sum(F.when(is_current == 0, F.col("n_null")).otherwise(0)).alias("b"),
-        F.sum(F.when(is_current == 1, F.col("n_null")).otherwise(0)).alias("c"))
+    b = base.select(*by, *columns).withColumn("__side", F.lit(0))
+    both = b.unionByName(current.select(*by, *columns).withColumn("__side", F.lit(1)))
+    sides = {"b": F.lit(1) - F.col("__side"), "c": F.col("__side")}
+    long = ranks.melt(both, columns, [*by, "__side"])
+    counts = ranks.value_counts(long, sides, by)
+    nulls = (long.filter(F.col("value").isNull()).withColumns(sides).groupBy(*by, "variable")
+             .agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
     return counts, nulls
 
 
@@ -48,34 +42,36 @@ def _share(n: str, total: str) -> Column:
     return F.greatest(F.try_divide(F.col(n).cast("double"), F.col(total)), F.lit(SHARE_FLOOR))
 
 
-def statistics(base: DataFrame, current: DataFrame, columns: Sequence[str],
-               n_bins: int = 10) -> DataFrame:
-    """(variable, psi, ks, ks_p) from one pass over the running counts and one over the counts."""
-    counts, nulls = side_counts(base, current, columns)
-    rows = ranks.with_totals(ranks.cumulative_counts(counts, ["b", "c"]), counts, ["b", "c"])
+def statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], n_bins: int = 10,
+               by: Sequence[str] = ()) -> DataFrame:
+    """(by..., variable, psi, ks, ks_p) from the running counts of the distinct values."""
+    group = [*by, "variable"]
+    counts, nulls = side_counts(base, current, columns, by)
+    rows = ranks.cumulative_counts(counts, ["b", "c"], by)
     gap = F.abs(F.try_divide(F.col("cum_b").cast("double"), F.col("total_b"))
                 - F.try_divide(F.col("cum_c").cast("double"), F.col("total_c")))
     names = {f"e{i}": i / n_bins for i in range(1, n_bins)}
     aggs, edges = ranks.quantile_parts(names, "b")
-    ends = rows.groupBy("variable").agg(*aggs, F.max(gap).alias("ks"), F.first("total_c").alias("total_c"))
-    ends = ends.select("variable", "ks", "total_b", "total_c",
+    ends = rows.groupBy(*group).agg(*aggs, F.max(gap).alias("ks"), F.first("total_c").alias("total_c"))
+    ends = ends.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("ks").alias("__ks"),
                        F.array_distinct(F.array(*edges.values())).alias("edges"))
+    same = F.lit(True)
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
     above = F.size(F.filter(F.col("edges"), lambda e: F.col("value") > e))
-    kept = [F.first(c).alias(c) for c in ("ks", "total_b", "total_c")]
-    bins = (counts.join(F.broadcast(ends), "variable")  # one row per analysed column
-            .withColumn("bin", above).groupBy("variable", "bin")
-            .agg(F.sum("b").alias("b"), F.sum("c").alias("c"), *kept))
-    bins = bins.unionByName(nulls.filter((F.col("b") > 0) | (F.col("c") > 0)).withColumn("bin", F.lit(-1)),
-                            allowMissingColumns=True)
-    per_variable = Window.partitionBy("variable")  # at most n_bins + 1 rows
+    bins = (rows.join(ends, same).withColumn("bin", above).groupBy(*group, "bin")
+            .agg(F.sum("b").alias("b"), F.sum("c").alias("c"), F.first("__ks").alias("ks"),
+                 F.first("total_b").alias("total_b"), F.first("total_c").alias("total_c")))
+    bins = bins.unionByName(nulls.withColumn("bin", F.lit(-1)), allowMissingColumns=True)
+    per_variable = Window.partitionBy(*group)  # at most n_bins + 1 rows
     shares = bins.withColumns({"__nb": F.sum("b").over(per_variable), "__nc": F.sum("c").over(per_variable)})
     pb, pc = _share("b", "__nb"), _share("c", "__nc")
     kept = [F.first(c, ignorenulls=True).alias(c) for c in ("ks", "total_b", "total_c")]
-    out = shares.groupBy("variable").agg(F.sum((pc - pb) * F.log(pc / pb)).alias("psi"), *kept)
+    out = shares.groupBy(*group).agg(F.sum((pc - pb) * F.log(pc / pb)).alias("psi"), *kept)
     n = F.try_divide(F.col("total_b").cast("double") * F.col("total_c"),
                      F.col("total_b").cast("double") + F.col("total_c"))
     lam = (F.sqrt(n) + 0.12 + F.try_divide(F.lit(0.11), F.sqrt(n))) * F.col("ks")
-    return out.select("variable", "psi", "ks", ks_p_value(lam).alias("ks_p"))
+    return out.select(*group, "psi", "ks", ks_p_value(lam).alias("ks_p"))
 
 
 def ks_p_value(lam: Column, terms: int = KS_TERMS) -> Column:
@@ -87,15 +83,15 @@ def ks_p_value(lam: Column, terms: int = KS_TERMS) -> Column:
 
 
 def drift(base: DataFrame, current: DataFrame, columns: Sequence[str],
-          psi_light: tuple[float, float] = PSI_LIGHT) -> DataFrame:
-    """(variable, psi, psi_light, ks, ks_p, ks_light, summary); summary is the worse of the lights."""
-    both = statistics(base, current, columns)
+          psi_light: tuple[float, float] = PSI_LIGHT, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., variable, psi, psi_light, ks, ks_p, ks_light, summary); summary is the worse of the lights."""
+    both = statistics(base, current, columns, by=by)
     both = both.withColumns({
         "psi_light": light("psi", *psi_light),
         "ks_light": F.when(F.col("ks_p") < KS_SIGNIFICANT, F.lit("red")).otherwise(F.lit("green"))})
     worse = (F.when((F.col("psi_light") == "red") | (F.col("ks_light") == "red"), F.lit("red"))
              .when(F.col("psi_light") == "yellow", F.lit("yellow")).otherwise(F.lit("green")))
-    return both.select("variable", "psi", "psi_light", "ks", "ks_p", "ks_light", worse.alias("summary"))
+    return both.select(*by, "variable", "psi", "psi_light", "ks", "ks_p", "ks_light", worse.alias("summary"))
 
 
 def drift_kpis(results: DataFrame) -> DataFrame:

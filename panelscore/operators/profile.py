@@ -33,18 +33,18 @@ def light(metric, yellow: float, red: float) -> Column:
             .when(m >= yellow, F.lit("yellow")).otherwise(F.lit("green")))
 
 
-def key_check(df: DataFrame, key: str, exact: bool = True) -> DataFrame:
-    """One row: null keys, keys, distinct keys, surplus rows.
+def key_check(df: DataFrame, key: str, exact: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """One row (per segment): null keys, keys, distinct keys, surplus rows.
 
     The exact form counts per key first (map-side combined); ``exact=False`` uses the sketch.
     """
     if not exact:
-        return df.agg(F.count_if(F.col(key).isNull()).alias("null_keys"), F.count(key).alias("n_keys"),
+        return df.groupBy(*by).agg(F.count_if(F.col(key).isNull()).alias("null_keys"), F.count(key).alias("n_keys"),
                       F.approx_count_distinct(key).alias("n_distinct")).withColumn(
             "n_duplicates", F.greatest(F.col("n_keys") - F.col("n_distinct"), F.lit(0)))
-    per_key = df.groupBy(key).agg(F.count("*").alias("__n"))
+    per_key = df.groupBy(*by, key).agg(F.count("*").alias("__n"))
     known = F.col(key).isNotNull()
-    return per_key.agg(
+    return per_key.groupBy(*by).agg(
         F.coalesce(F.sum(F.when(~known, F.col("__n"))), F.lit(0)).alias("null_keys"),
         F.coalesce(F.sum(F.when(known, F.col("__n"))), F.lit(0)).alias("n_keys"),
         F.count(key).alias("n_distinct")).withColumn(
@@ -92,26 +92,36 @@ def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
 
 
 def variable_profile(df: DataFrame, columns: Sequence[str], exact: bool = True,
-                     null_light: tuple[float, float] = NULL_PCT_LIGHT) -> DataFrame:
-    """One row per variable with the profile metrics and the light of its null rate."""
-    base = moments(df, columns)
+                     null_light: tuple[float, float] = NULL_PCT_LIGHT,
+                     by: Sequence[str] = ()) -> DataFrame:
+    """One row per (segment and) variable with the profile metrics and the light of its null rate."""
+    base = moments(df, columns, by)
     if exact:
-        counts = ranks.value_counts(ranks.melt(df, columns), {"n": F.lit(1)})
-        extra = ranks.exact_quantiles(counts, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+        counts = ranks.value_counts(ranks.melt(df, columns, by), {"n": F.lit(1)}, by)
+        extra = ranks.exact_quantiles(counts, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=by)
     else:
-        wide = df.agg(*[F.approx_count_distinct(_known(c)).alias(f"{c}|d") for c in columns],
+        wide = df.groupBy(*by).agg(*[F.approx_count_distinct(_known(c)).alias(f"{c}|d") for c in columns],
                       *[F.percentile_approx(_known(c), [0.25, 0.5, 0.75]).alias(f"{c}|q")
                         for c in columns])
         rows = F.explode(F.array(*[F.struct(
             F.lit(c).alias("variable"), F.col(f"`{c}|d`").alias("n_distinct"),
             *[F.col(f"`{c}|q`")[i].alias(p) for i, p in enumerate(("p25", "p50", "p75"))])
             for c in columns]))
-        extra = wide.select(rows.alias("r")).select("r.*")
-    return (base.join(extra, "variable", "left")
+        extra = wide.select(*by, rows.alias("r")).select(*by, "r.*")
+    return (_joined(base, extra, [*by, "variable"])
             .withColumn("n_distinct", F.coalesce(F.col("n_distinct"), F.lit(0)))
             .withColumn("null_light", light("null_pct", *null_light)))
 
 
+def _joined(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join in which a missing segment is a segment of its own."""
+    named = right.select(*[F.col(c).alias(f"__{c}") if c in on else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return left.join(named, same, "left").drop(*[f"__{c}" for c in on])
+
+
 def light_counts(df: DataFrame, light_column: str) -> DataFrame:
     """KPI row: number of variables per light."""
     c = F.col(light_column)
@@ -146,39 +156,40 @@ def evolution_lights(current: DataFrame, averages: DataFrame, metric: str = "mea
             .withColumn("light", light("deviation", *thresholds)))
 
 
-def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """(variable, bin 1..bins, lower, upper, n) over equal-width bins; empty bins are left out.
+def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS,
+              by: Sequence[str] = ()) -> DataFrame:
+    """(by..., variable, bin 1..bins, lower, upper, n) over equal-width bins; empty bins are left out.
 
     The largest value belongs to the last bin.  A constant variable has everything in bin 1.
     """
-    ends = moments(df, columns).select("variable", "min", "max")
-    long = ranks.melt(df, columns).filter(F.col("value").isNotNull())
-    placed = long.join(F.broadcast(ends), "variable")  # one row per analysed column
+    ends = moments(df, columns, by).select(*by, "variable", "min", "max")
+    long = ranks.melt(df, columns, by).filter(F.col("value").isNotNull())
+    placed = _joined(long, ends, [*by, "variable"])
     width = (F.col("max") - F.col("min")) / F.lit(float(bins))
     raw = F.floor(F.try_divide(F.col("value") - F.col("min"), width)).cast("int") + 1
     number = F.least(F.coalesce(raw, F.lit(1)), F.lit(bins))
-    counts = (placed.withColumn("bin", number).groupBy("variable", "bin")
+    counts = (placed.withColumn("bin", number).groupBy(*by, "variable", "bin")
               .agg(F.count("*").alias("n"), F.first("min").alias("min"), F.first("max").alias("max")))
-    return counts.select("variable", "bin",
+    return counts.select(*by, "variable", "bin",
                          (F.col("min") + (F.col("bin") - 1) * width).alias("lower"),
                          (F.col("min") + F.col("bin") * width).alias("upper"), "n")
 
 
 def buckets_by_month(df: DataFrame, score: str, month: str = "month",
-                     cuts: Sequence[float] = PD_CUTS) -> DataFrame:
-    """(month, bucket, n, total, pct) with one row per month and report bucket, empty ones too.
+                     cuts: Sequence[float] = PD_CUTS, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., month, bucket, n, total, pct) with one row per month and report bucket, empty ones too.
 
     ``total`` also covers values below 0, which have no bucket of their own in the report.
     """
-    counts = (df.withColumn("bucket", pd_bucket(score, cuts)).groupBy(month, "bucket")
+    counts = (df.withColumn("bucket", pd_bucket(score, cuts)).groupBy(*by, month, "bucket")
               .agg(F.count("*").alias("n")))
     labels = bucket_labels(cuts)
-    per_month = counts.groupBy(month).agg(
+    per_month = counts.groupBy(*by, month).agg(
         F.sum("n").alias("total"),
         *[F.sum(F.when(F.col("bucket") == lab, F.col("n")).otherwise(0)).alias(f"__b{i}")
           for i, lab in enumerate(labels)])
     rows = F.explode(F.array(*[F.struct(F.lit(lab).alias("bucket"), F.col(f"__b{i}").alias("n"))
                                for i, lab in enumerate(labels)]))
-    return (per_month.select(month, "total", rows.alias("r")).select(month, "total", "r.*")
+    return (per_month.select(*by, month, "total", rows.alias("r")).select(*by, month, "total", "r.*")
             .withColumn("pct", F.lit(100.0) * F.col("n") / F.col("total"))
-            .select(month, "bucket", "n", "total", "pct"))
+            .select(*by, month, "bucket", "n", "total", "pct"))

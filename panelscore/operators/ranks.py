@@ -33,40 +33,39 @@ def bucket(value: Column) -> Column:
     return F.when(value > 0, place).when(value < 0, -place).otherwise(0)
 
 
-def value_counts(long: DataFrame, weights: Mapping[str, Column]) -> DataFrame:
-    """(variable, value, one count per weight) for every distinct non-null value.
+def value_counts(long: DataFrame, weights: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., variable, value, one count per weight) for every distinct non-null value.
 
-    ``weights`` names the populations, for example ``{"n": lit(1)}`` or one 0/1 column per side.
+    ``weights`` names the populations, for example ``{"n": lit(1)}`` or one 0/1 column per side. ``by`` has the
+    segments, for which everything below is computed apart.
     """
     return (long.filter(F.col("value").isNotNull()).withColumns(dict(weights))
-            .groupBy("variable", "value").agg(*[F.sum(n).alias(n) for n in weights]))
+            .groupBy(*by, "variable", "value").agg(*[F.sum(n).alias(n) for n in weights]))
 
 
-def cumulative_counts(counts: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``value_counts`` plus a ``cum_`` count per weight, in the order of the values."""
-    names = list(names)
+def cumulative_counts(counts: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``value_counts`` plus a ``cum_`` count and a ``total_`` per weight, in the order of the values."""
+    names, group = list(names), [*by, "variable"]
     counts = counts.withColumn("bucket", bucket(F.col("value")))
-    inside = Window.partitionBy("variable", "bucket").orderBy("value").rowsBetween(
+    inside = Window.partitionBy(*group, "bucket").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     running = counts.withColumns({f"cum_{n}": F.sum(n).over(inside) for n in names})
-    before = Window.partitionBy("variable").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (counts.groupBy("variable", "bucket").agg(*[F.sum(n).alias(f"__t_{n}") for n in names])
-               .select("variable", "bucket",
-                       *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}")
-                         for n in names]))
-    placed = running.join(offsets, ["variable", "bucket"])
-    return placed.select("variable", "value", *names,
-                         *[(F.col(f"cum_{n}") + F.col(f"__o_{n}")).alias(f"cum_{n}") for n in names])
-
-
-def with_totals(cumulative: DataFrame, counts: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Adds ``total_<name>``; the totals are one row per analysed column."""
-    totals = counts.groupBy("variable").agg(*[F.sum(n).alias(f"total_{n}") for n in names])
-    return cumulative.join(F.broadcast(totals), "variable")
+    before = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    offsets = (counts.groupBy(*group, "bucket").agg(*[F.sum(n).alias(f"__t_{n}") for n in names])
+               .select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("bucket").alias("__bucket"),
+                       *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in names],
+                       *[F.sum(f"__t_{n}").over(whole).alias(f"total_{n}") for n in names]))
+    same = F.col("bucket") == F.col("__bucket")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    return running.join(offsets, same).select(
+        *group, "value", *names, *[(F.col(f"cum_{n}") + F.col(f"__o_{n}")).alias(f"cum_{n}") for n in names],
+        *[f"total_{n}" for n in names])
 
 
 def quantile_parts(probs: Mapping[str, float], weight: str = "n") -> tuple[list[Column], dict[str, Column]]:
-    """Aggregates over ``with_totals`` rows of one variable, and the quantiles built from them.
+    """Aggregates over ``cumulative_counts`` of one variable, and the quantiles built from them.
 
     Same definition as ``percentile`` (interpolated).  Each quantile is two conditional minima over
     the cumulative counts, so it combines map-side.
@@ -82,9 +81,10 @@ def quantile_parts(probs: Mapping[str, float], weight: str = "n") -> tuple[list[
     return aggs, out
 
 
-def exact_quantiles(counts: DataFrame, probs: Mapping[str, float], weight: str = "n") -> DataFrame:
-    """One row per variable: the quantiles and ``n_distinct``."""
-    rows = with_totals(cumulative_counts(counts, [weight]), counts, [weight])
+def exact_quantiles(counts: DataFrame, probs: Mapping[str, float], weight: str = "n",
+                    by: Sequence[str] = ()) -> DataFrame:
+    """One row per segment and variable: the quantiles and ``n_distinct``."""
+    rows = cumulative_counts(counts, [weight], by)
     aggs, out = quantile_parts(probs, weight)
-    return (rows.groupBy("variable").agg(*aggs, F.count("*").alias("n_distinct"))
-            .select("variable", "n_distinct", *[c.alias(n) for n, c in out.items()]))
+    return (rows.groupBy(*by, "variable").agg(*aggs, F.count("*").alias("n_distinct"))
+            .select(*by, "variable", "n_distinct", *[c.alias(n) for n, c in out.items()]))
