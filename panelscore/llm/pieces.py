@@ -45,6 +45,11 @@ def read_model(path: str = MODEL) -> Vocabulary:
     return found
 
 
+def _scattered(pairs: np.ndarray) -> np.ndarray:
+    mixed = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(40)).astype(np.int64)
+
+
 class Coder:
     def __init__(self, vocabulary: Vocabulary):
         self.ids = {p: i for i, (p, _, k) in enumerate(vocabulary) if k == 0}
@@ -68,6 +73,8 @@ class Coder:
         self.low, self.high = self._strings(keys), self._strings(ends)
         self.lengths = np.array([len(p) for p in self.pieces])
         self.beside: dict[int, bool] = {}
+        # pairs by a hash of theirs, for looking up many at once
+        self.pair_keys, self.pair_apart = np.full(1 << 20, -1), np.zeros(1 << 20, np.int8)
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
@@ -100,13 +107,14 @@ class Coder:
         return [p for p in part if p is not None]
 
     def unmerged(self, left: int, right: int) -> bool:
-        """Whether two pieces, by number, stay apart; -1 is a character without a piece."""
-        if left < 0:
-            return True
-        a, b = self.pieces[left], self.pieces[right]
-        if len(self.beside) > 500_000:
-            self.beside.clear()
-        found = self.beside[left * len(self.pieces) + right] = self.merged(a + b) == [a, b]
+        """Whether two pieces, by number, stay apart."""
+        pair = left * len(self.pieces) + right
+        found = self.beside.get(pair)
+        if found is None:
+            if len(self.beside) > 500_000:
+                self.beside.clear()
+            a, b = self.pieces[left], self.pieces[right]
+            found = self.beside[pair] = self.merged(a + b) == [a, b]
         return found
 
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -130,37 +138,62 @@ class Coder:
         for at in range(0, len(words), 20_000):
             some = words[at:at + 20_000]
             text = SPACE + ("\0" + SPACE).join(some)
-            end, piece = self.edges(text)
-            bounds = np.searchsorted(end, np.arange(len(text) + 2)).tolist()
-            numbers, starts = piece.tolist(), (end - self.lengths[piece]).tolist()
+            lengths = np.array([len(w) + 2 for w in some])
+            last, origin = self._relaxed(text, np.cumsum(lengths) - lengths)
             begin = 0
             for word in some:
-                self.known[word] = self._relaxed(SPACE + word, begin, bounds, numbers, starts)
+                self.known[word] = self._ids(text, begin, begin + len(word) + 1, last, origin)
                 begin += len(word) + 2
 
-    def _relaxed(self, unit: str, begin: int, bounds: list[int], numbers: list[int],
-                 starts: list[int]) -> tuple[int, ...]:
-        """Relaxes the edges that end inside the unit, from the end of its first character on."""
-        n, size, beside = len(unit), len(self.pieces), self.beside
-        last, origin = [-1] * (n + 1), list(range(-1, n))
-        for end in range(1, n + 1):
-            for e in range(bounds[begin + end], bounds[begin + end + 1]):
-                piece, start = numbers[e], starts[e] - begin
-                if start > 0:
-                    apart = beside.get(last[start] * size + piece)
-                    if not (self.unmerged(last[start], piece) if apart is None else apart):
-                        continue
-                elif start < 0:
-                    continue
-                last[end], origin[end] = piece, start
-                break
+    def _relaxed(self, text: str, begins: np.ndarray) -> tuple[list[int], list[int]]:
+        """The last piece up to each place, -1 for a character without one, and where it begins.
+
+        Edges are taken by their distance from the beginning of their unit, all units side by side, and the longer ones
+        of a place first.
+        """
+        end, piece = self.edges(text)
+        start = end - self.lengths[piece]
+        begin = begins[np.searchsorted(begins, start, "right") - 1]
+        distance = end - begin
+        first = np.flatnonzero(np.r_[True, end[1:] != end[:-1]][:len(end)])
+        rank = np.arange(len(end)) - np.repeat(first, np.diff(np.r_[first, len(end)]))
+        order = np.lexsort((rank, distance))
+        step = np.r_[True, (np.diff(distance[order]) != 0) | (np.diff(rank[order]) != 0)][:len(order)]
+        bounds = np.r_[np.flatnonzero(step), len(order)].tolist()
+        last, origin = np.full(len(text) + 1, -1), np.arange(-1, len(text))
+        for low, high in zip(bounds, bounds[1:]):
+            edge = order[low:high]
+            edge = edge[last[end[edge]] < 0]
+            before = last[start[edge]]
+            apart = (before < 0) | self.apart(before * len(self.pieces) + piece[edge], before >= 0)
+            edge = edge[apart]
+            last[end[edge]], origin[end[edge]] = piece[edge], start[edge]
+        return last.tolist(), origin.tolist()
+
+    def apart(self, pairs: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Whether the pairs of pieces stay unmerged, each found once; False where it is not wanted."""
+        slots = self.pair_keys.size - 1
+        slot = _scattered(pairs) & slots
+        found = np.where(wanted & (self.pair_keys[slot] == pairs), self.pair_apart[slot], np.int8(-1))
+        left = np.flatnonzero(wanted & (found < 0))
+        if len(left):
+            kinds, index = np.unique(pairs[left], return_inverse=True)
+            values = np.array([self.unmerged(*divmod(k, len(self.pieces))) for k in kinds.tolist()], np.int8)
+            found[left] = values[index]
+            at = _scattered(kinds) & slots  # of pairs with the same slot, the last one stays
+            self.pair_keys[at] = kinds
+            self.pair_apart[at] = values
+            kept = self.pair_keys[at] == kinds
+            self.pair_apart[at[kept]] = values[kept]
+        return found == 1
+
+    def _ids(self, text: str, begin: int, end: int, last: list[int], origin: list[int]) -> tuple[int, ...]:
         found: list[int] = []
-        end = n
-        while end:
+        while end > begin:
             if last[end] >= 0:
                 found.append(self.numbers[last[end]])
             else:
-                found += [self.byte[b] for b in reversed(unit[end - 1].encode())]
+                found += [self.byte[b] for b in reversed(text[end - 1].encode())]
             end = origin[end]
         found.reverse()
         return tuple(found)
