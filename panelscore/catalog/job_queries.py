@@ -8,7 +8,7 @@ from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, CUSTOMER_PD_SQL, POR
                                         customer_pd, log_odds_sql, portfolio, scratch, shift_sql, shipped_items, table)
 from panelscore.catalog.registry import query
 from panelscore.functions.months import add_months, month_key, month_list, observed_months
-from panelscore.operators import joins, rollup, shape
+from panelscore.operators import joins, models, rollup, shape
 from panelscore.plans import business, jobs, retail
 from panelscore.sources import control, sinks, tables
 
@@ -118,6 +118,73 @@ def month_backfill(spark, sf_dir):
     return spark.read.parquet(path).select("month", "party", "version", "balance")
 
 
+#: Months that the score job replaces, and months that the rebuild finds missing.
+_SCORED, _LOST = [200105, 200106, 200107], (200102, 200104)
+
+
+@query("score_months", f"""
+WITH {PORTFOLIO_SQL}, {CUSTOMER_PD_SQL},
+r AS (SELECT DISTINCT p.month, p.party, -1.0::double - 0.0004::double * c.acctbal AS xb
+      FROM portfolio p JOIN customer_pd c USING (party) WHERE p.month BETWEEN {_SCORED[0]} AND {_SCORED[-1]}),
+s AS (SELECT month, CASE WHEN xb IS NOT NULL THEN greatest(3.0::double, round(174.25::double - 57.708::double * xb, 0)) END AS v
+      FROM r)
+SELECT month, count(*)::bigint AS n_rows, count_if(v IS NULL)::bigint AS n_null, min(v) AS min, max(v) AS max,
+       round(avg(v), 6) AS mean FROM s GROUP BY month
+""")
+def score_months(spark, sf_dir):
+    """Months are scored and replaced one by one; the table is summarised as it is on disk."""
+    panel = portfolio(spark, sf_dir).select("month", "party").distinct().join(customer_pd(spark, sf_dir), "party")
+    model = {models.INTERCEPT: -1.0, "acctbal": -0.0004}
+    path = scratch(spark, "scores")
+    for _ in range(2):  # a second run replaces the first
+        results = jobs.score_months(panel, path, _SCORED, lambda df: models.score_linear(df, model), ["acctbal"])
+        if not all(r.ok for r in results):
+            raise RuntimeError(f"scoring failed: {results}")
+    return jobs.score_summary(spark, path).withColumn("mean", F.round("mean", 6))
+
+
+@query("rebuild_missing_months", f"""
+WITH {CUSTOMER_MONTH_SQL}
+SELECT month, count(*)::bigint AS n_rows, CASE WHEN month BETWEEN {_LOST[0]} AND {_LOST[1]} THEN 2 ELSE 1 END::int AS version
+FROM customer_month GROUP BY month
+""")
+def rebuild_missing_months(spark, sf_dir):
+    """A table that lacks its months at both ends of a range: what lies between them is rebuilt as well."""
+    cm = customer_month(spark, sf_dir).select("month", "party")
+    path = scratch(spark, "rebuild")
+    sinks.write_months(cm.where(~F.col("month").isin(*_LOST)).withColumn("version", F.lit(1)), path, mode="all")
+    required = [r["month"] for r in cm.select("month").distinct().collect()]  # one number a month
+    jobs.rebuild_missing(spark, path, required,
+                         lambda m: tables.month_slice(cm, "month", m).withColumn("version", F.lit(2)))
+    return spark.read.parquet(path).groupBy("month").agg(F.count("*").alias("n_rows"), F.max("version").alias("version"))
+
+
+@query("control_gate", f"""
+WITH {CUSTOMER_MONTH_SQL},
+c AS (SELECT 'portfolio' AS table_name, 200107 AS expected_month UNION ALL SELECT 'customers', 200106
+      UNION ALL SELECT 'later', 200207),
+m AS (SELECT 'portfolio' AS table_name, month FROM portfolio UNION ALL SELECT 'customers', month FROM customer_month
+      UNION ALL SELECT 'later', month FROM portfolio)
+SELECT c.table_name, c.expected_month::int AS expected_month, max(m.month)::int AS last_month,
+       count_if(m.month = c.expected_month)::bigint AS n_rows,
+       CASE WHEN count_if(m.month = c.expected_month) > 0 THEN 1 ELSE 0 END::int AS available
+FROM c JOIN m USING (table_name) GROUP BY c.table_name, c.expected_month
+""")
+def control_gate(spark, sf_dir):
+    """Control rows written as CSV and read back, the verdict per source, and the gate that it decides."""
+    path = scratch(spark, "control")
+    rows = [("app", "portfolio", "month", 0), ("app", "customers", "month", -1), ("app", "later", "month", 12)]
+    spark.createDataFrame(rows, control.CONTROL_SCHEMA).write.option("header", "true").csv(path)
+    p = portfolio(spark, sf_dir)
+    report = control.availability(control.read_control(spark, path), {
+        "portfolio": p, "customers": customer_month(spark, sf_dir), "later": p}, 200107)
+    try:
+        control.require_available(report)
+    except ValueError:
+        return report
+    raise RuntimeError("the gate let a missing source pass")
+
+
 @query("chunk_export", f"""
 WITH {PORTFOLIO_SQL}
 SELECT month, account, party, balance::double AS balance FROM portfolio

@@ -77,35 +77,24 @@ def score_trees(df: DataFrame, nodes: Sequence[Mapping], features: Sequence[str]
 
     Node 0 is the root; ``value <= threshold`` goes to ``yes``, everything else, nulls included, to
     ``no``; a row without feature is a leaf.  The leaf values are summed and passed through the
-    inverse logit.
+    inverse logit.  A tree becomes one nested expression, which stays inside generated code.
     """
-    index = {f: i for i, f in enumerate(features)}
+    require_features(df, features)
     trees: dict[int, dict[int, Mapping]] = {}
     for n in nodes:
         trees.setdefault(n["tree"], {})[n["node"]] = n
 
-    def predict(batch: pd.DataFrame) -> np.ndarray:
-        x = batch.to_numpy(dtype="float64")
-        total = np.zeros(len(x))
-        for tree in trees.values():
-            at = np.zeros(len(x), dtype="int64")
-            while True:
-                moved = False
-                for node in np.unique(at):
-                    n = tree[int(node)]
-                    if n["feature"] is None:
-                        continue
-                    here, moved = at == node, True
-                    with np.errstate(invalid="ignore"):
-                        left = x[:, index[n["feature"]]] <= n["threshold"]
-                    at = np.where(here, np.where(left, n["yes"], n["no"]), at)
-                if not moved:
-                    break
-            values = {k: float(n["value"]) for k, n in tree.items() if n["feature"] is None}
-            total += np.array([values[int(k)] for k in at])
-        return 1.0 / (1.0 + np.exp(-total))
-
-    return score_vectorised(df, features, predict, out)
+    def below(tree: Mapping[int, Mapping], number: int) -> Column:
+        n = tree[number]
+        if n["feature"] is None:
+            return F.lit(float(n["value"]))
+        low = F.col(n["feature"]).cast("double") <= F.lit(float(n["threshold"]))
+        return F.when(low, below(tree, n["yes"])).otherwise(below(tree, n["no"]))
+
+    total = F.lit(0.0)
+    for tree in trees.values():
+        total = total + below(tree, 0)
+    return df.withColumn(out, inverse_logit(total))
 
 
 def score_segments(df: DataFrame, segments: Sequence[tuple[int, Column | str, Mapping[str, float]]],

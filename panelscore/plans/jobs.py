@@ -89,6 +89,13 @@ def score_months(panel: DataFrame, path: str, months: Sequence[int], predict: Ca
     return run_months(months, job)
 
 
+def score_summary(spark: SparkSession, path: str, score: str = "numscore", month: str = "month") -> DataFrame:
+    """What a score table holds per month: rows, missing scores, smallest, largest and mean score."""
+    return spark.read.parquet(path).groupBy(month).agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col(score).isNull()).alias("n_null"), F.min(score).alias("min"),
+        F.max(score).alias("max"), F.avg(score).alias("mean"))
+
+
 def publish(scores: DataFrame, path: str, root: Mapping[str, tuple[str, str | None]], struct_name: str,
             field_types: Mapping[str, str] | None = None, month: str = "month", stamp: bool = True) -> DataFrame:
     """All months of a score table in the published layout, in one job; returns the verification.
