@@ -10,6 +10,7 @@ from panelscore.catalog.registry import query
 from panelscore.functions.features import decreasing_variation, max_of, trimmed_in
 from panelscore.functions.months import month_key, observed_months
 from panelscore.operators import arrears, densify, enrich, joins, rollup, shape
+from panelscore.plans import arrears as arrears_plan
 from panelscore.sources import sinks, tables
 
 ROLLUP_SQL = f"""
@@ -222,7 +223,7 @@ def _balance_days(spark, sf_dir):
                      .alias("days_past_due"), "l_linestatus")
 
 
-@query("daily_arrears", f"""
+_DAILY_SQL = f"""
 WITH acc AS (SELECT DISTINCT o_orderkey AS account, o_custkey AS party, o_orderstatus AS app FROM orders),
 days AS (SELECT l_orderkey AS account, l_shipdate::date AS balance_day,
                 CASE l_returnflag WHEN 'A' THEN '0001' WHEN 'N' THEN '1001' ELSE '9999' END AS currency,
@@ -239,7 +240,10 @@ local_ AS (SELECT b.*, CASE WHEN b.currency = '1001' THEN debt * rate WHEN b.cur
            WHERE dpd > 0 AND b.balance_day >= DATE '1998-01-01')
 SELECT (year(balance_day) * 100 + month(balance_day))::int AS month, party, max(dpd)::int AS max_days_past_due
 FROM local_ WHERE debt_local > 0 GROUP BY ALL
-""")
+"""
+
+
+@query("daily_arrears", _DAILY_SQL)
 def daily_arrears(spark, sf_dir):
     accounts = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("account"), F.col("o_custkey").alias("party"), F.col("o_orderstatus").alias("app"))
@@ -257,6 +261,25 @@ def daily_arrears(spark, sf_dir):
             .agg(F.max("days_past_due").alias("max_days_past_due")))
 
 
+@query("arrears_job", f"""
+WITH a AS ({_DAILY_SQL})
+SELECT a.month, a.party, a.max_days_past_due, b.max_days_past_due AS before_1, c.max_days_past_due AS before_2
+FROM a LEFT JOIN a b ON b.party = a.party AND {shift_sql('b.month', 1)} = a.month
+       LEFT JOIN a c ON c.party = a.party AND {shift_sql('c.month', 2)} = a.month
+""")
+def arrears_job(spark, sf_dir):
+    """Both systems to customers and months over the whole range, by a staged table, and the lags taken from it."""
+    accounts = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("account"), F.col("o_custkey").alias("party"), F.col("o_orderstatus").alias("app"))
+    days = _balance_days(spark, sf_dir).withColumnRenamed("debt_base", "total_debt")
+    rates = (days.filter(F.dayofmonth("balance_day") <= 20).select("balance_day").distinct()
+             .withColumns({"currency": F.lit("1001"),
+                           "rate": F.lit(3.0) + F.dayofmonth("balance_day") / F.lit(100.0)}))
+    systems = {status: days.filter(F.col("l_linestatus") == status) for status in ("F", "O")}
+    monthly = arrears_plan.build(systems, accounts, rates, 199801, 299912)
+    return enrich.lag_snapshots(monthly, monthly, "party", "max_days_past_due", [1, 2], "before")
+
+
 @query("account_day_stage", f"""
 WITH days AS (SELECT l_orderkey AS account, l_shipdate::date AS balance_day, l_returnflag,
                      datediff('day', DATE '1998-01-01', l_shipdate::date)::int AS dpd FROM lineitem),

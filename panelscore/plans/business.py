@@ -16,6 +16,8 @@ from panelscore.functions import features
 from panelscore.functions.cleaning import BUSINESS_SENTINELS, null_sentinels
 from panelscore.functions.months import add_months
 from panelscore.operators import densify, enrich, joins, relations, rollup, shape
+from panelscore.session import new_folder
+from panelscore.sources.sinks import stage
 from panelscore.sources.tables import month_slice
 
 # Products of the universe, owner relations, account states, economic activities.
@@ -94,6 +96,11 @@ def universe(portfolio: DataFrame, first: int, last: int, products: Sequence[str
     return rollup.canonical_ids(rows, ["month", "unique_id"], ["internal_id", "party_id"])
 
 
+def _once(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back, for what several joins of the panel use."""
+    return stage(df, new_folder(df.sparkSession, f"business-{name}"))
+
+
 def serving(table: DataFrame, first: int, last: int, lag: int = 1, key: str = "unique_id") -> DataFrame:
     """Rows that serve the process months first..last, stamped with the month they serve.
 
@@ -125,7 +132,7 @@ def owner_features(universe_rows: DataFrame, prospects: DataFrame, relation: Dat
     owners = joins.lookup_join(owners, kinds, ID, "left")
     is_company = F.coalesce(F.col("person_type") == COMPANY, F.lit(False))
     pairs = relations.chosen_owner_pairs(owners, "unique_id", "related_id", is_company, ["month"])
-    values = own_values(base_vars, material_vars)
+    values = _once(own_values(base_vars, material_vars), "values")
     owner = relations.owner_values(pairs, values, "unique_id", "related_id",
                                    ["worst_overdue", "max_advance", "utilisation", "active_months"], by=["month"])
     applicant = rollup.one_row_per_key(applicants, ID, ["age", "activity", "person_type"])
@@ -184,7 +191,7 @@ def build(tables: Mapping[str, DataFrame], first: int, last: int | None = None,
     Feature tables named in ``unique_roles`` have one row per month and key already.
     """
     last = first if last is None else last
-    customers = universe(tables["portfolio"], first, last, products)
+    customers = _once(universe(tables["portfolio"], first, last, products), "universe")
 
     def at_data_month(role: str, key: str = "unique_id") -> DataFrame:
         return serving(tables[role], first, last, 1, key)
@@ -193,7 +200,7 @@ def build(tables: Mapping[str, DataFrame], first: int, last: int | None = None,
                            at_data_month("applicants"), at_data_month("base_vars"), at_data_month("material_vars"))
     activity = activity_features(customers, at_data_month("segment_info"), at_data_month("transactions", "party_id"),
                                  tables["portfolio"], at_data_month("liabilities"), first, last)
-    sources = [enrich.FeatureSource(n, df, [c for c in df.columns if c not in ID], "unique_id", unique=True)
+    sources = [enrich.FeatureSource(n, _once(df, n), [c for c in df.columns if c not in ID], "unique_id", unique=True)
                for n, df in (("owner", owner), ("activity", activity))]
     sources += [read_source(role, tables[role], first, last, role in unique_roles) for role in READERS]
     panel = enrich.enrich(customers, sources)
