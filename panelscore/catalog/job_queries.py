@@ -363,7 +363,7 @@ def retail_panel(spark, sf_dir):
     """Every month of the portfolio in one pass."""
     feat = feature_table(spark, sf_dir)
     p = retail_portfolio(spark, sf_dir)
-    months = observed_months(table(spark, sf_dir, "orders"), month_key("o_orderdate"))
+    months = observed_months(table(spark, sf_dir, "orders"), "o_orderdate", month_key)
     arrears = (portfolio(spark, sf_dir).filter(F.col("status") != "O")
                .groupBy("month", F.col("party").cast("string").alias("party_id"))
                .agg(F.max("maturity").alias("max_days_past_due")))
@@ -520,7 +520,7 @@ LEFT JOIN dec ON dec.party = u.party AND dec.month = u.month
 def business_panel(spark, sf_dir):
     """Every process month of the portfolio in one pass."""
     feat = feature_table(spark, sf_dir)
-    months = observed_months(table(spark, sf_dir, "orders"), month_key("o_orderdate"))
+    months = observed_months(table(spark, sf_dir, "orders"), "o_orderdate", month_key)
     panel = business.build(business_tables(spark, sf_dir, feat), months[0], months[-1],
                            unique_roles=business.READERS)
     caps = [target for _, target, _, _ in business.CLIPS]

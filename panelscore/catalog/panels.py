@@ -292,7 +292,7 @@ def account_day_stage(spark, sf_dir):
     """The account-day table written by month, read back and aggregated to customer and month."""
     accounts = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("account"), F.col("o_custkey").alias("party"))
     days = _balance_days(spark, sf_dir).withColumn("debt_local", F.when(F.col("currency") == "0001", F.lit(1.0)))
-    months = observed_months(table(spark, sf_dir, "lineitem"), month_key("l_shipdate"))
+    months = observed_months(table(spark, sf_dir, "lineitem"), "l_shipdate", month_key)
     rows = arrears.account_day(arrears.overdue_days(days, 199801, max(months[-1], 199801)), accounts)
     staged = sinks.stage(rows, scratch(spark, "account-day"), "month").filter(F.col("debt_local") > 0)
     per_account = staged.groupBy("month", "party", "account").agg(F.max("days_past_due").alias("dpd"), F.count("*").alias("n"))

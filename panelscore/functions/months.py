@@ -88,8 +88,11 @@ def in_months(date, first: int, last: int) -> Column:
     return (d >= F.lit(first_day(first))) & (d < F.lit(first_day(add_months(last, 1))))
 
 
-def observed_months(df: DataFrame, month) -> list[int]:
-    """Months between the smallest and the largest one present.  Two numbers reach the driver."""
-    m = _col(month)
-    lo, hi = df.agg(F.min(m), F.max(m)).first()
+def observed_months(df: DataFrame, column, to_month=None) -> list[int]:
+    """Months between the smallest and the largest one present.  Two values reach the driver.
+
+    ``to_month`` turns a raw column, such as a date, into its month: once for each end, not for every row.
+    """
+    ends = df.agg(F.min(_col(column)).alias("lo"), F.max(_col(column)).alias("hi"))
+    lo, hi = (ends if to_month is None else ends.select(to_month("lo"), to_month("hi"))).first()
     return [] if lo is None else month_list(lo, hi)
