@@ -30,6 +30,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 KNOWN = 400_000
+NEVER = float("-inf")
 Vocabulary = tuple[tuple[str, float, int], ...]
 
 
@@ -65,6 +66,7 @@ class Coder:
         # a piece that its own characters don't merge to never occurs
         self.pieces = [p for p in self.ids if self.merged(p) == [p]]
         self.numbers = [self.ids[p] for p in self.pieces]
+        self.number_at = [*self.numbers, None, None]  # none at -1 and -2
         width = max(map(len, self.pieces))
         keys = np.zeros((len(self.pieces), width), ">u2")
         ends = np.full((len(self.pieces), width), 0xFFFF, ">u2")
@@ -84,6 +86,22 @@ class Coder:
 
     def merged(self, text: str) -> list[str]:
         """Merges neighbours into pieces, the best score first, of equal ones the leftmost."""
+        if len(text) > 40:
+            return self._merged_by_queue(text)
+        part, score = list(text), self.score.get
+        scores = [score(a + b, NEVER) for a, b in zip(part, part[1:])]
+        while scores and (best := max(scores)) > NEVER:
+            i = scores.index(best)
+            part[i:i + 2] = [part[i] + part[i + 1]]
+            del scores[i]
+            if i < len(scores):
+                scores[i] = score(part[i] + part[i + 1], NEVER)
+            if i:
+                scores[i - 1] = score(part[i - 1] + part[i], NEVER)
+        return part
+
+    def _merged_by_queue(self, text: str) -> list[str]:
+        """The same for long texts."""
         part: list[str | None] = list(text)
         after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
         queue: list[tuple[float, int, str]] = []
@@ -139,13 +157,29 @@ class Coder:
             some = words[at:at + 20_000]
             text = SPACE + ("\0" + SPACE).join(some)
             lengths = np.array([len(w) + 2 for w in some])
-            last, origin = self._relaxed(text, np.cumsum(lengths) - lengths)
-            begin = 0
-            for word in some:
-                self.known[word] = self._ids(text, begin, begin + len(word) + 1, last, origin)
-                begin += len(word) + 2
+            begins = np.cumsum(lengths) - lengths
+            last, origin = self._relaxed(text, begins)
+            self.known.update(zip(some, self._paths(text, begins, begins + lengths - 1, last, origin)))
+
+    def _paths(self, text: str, begins: np.ndarray, ends: np.ndarray, last: np.ndarray,
+               origin: np.ndarray) -> list[tuple[int, ...]]:
+        """Ids of the units, from their ends back to their beginnings, a piece of every unit at a time."""
+        steps, at = [], ends.copy()
+        while (at > begins).any():
+            open_ = at > begins
+            steps.append(np.where(open_, last[at], -2))
+            at = np.where(open_, origin[at], at)
+        grid = np.array(steps[::-1]).reshape(len(steps), len(begins)).T
+        taken = grid != -2
+        counts = taken.sum(axis=1)
+        numbers = list(map(self.number_at.__getitem__, grid[taken].tolist()))
+        bounds = np.r_[0, np.cumsum(counts)].tolist()
+        found = [tuple(numbers[a:b]) for a, b in zip(bounds, bounds[1:])]
+        for i in np.flatnonzero((grid == -1).any(axis=1)).tolist():  # with characters written as bytes
+            found[i] = self._ids(text, int(begins[i]), int(ends[i]), last, origin)
+        return found
 
-    def _relaxed(self, text: str, begins: np.ndarray) -> tuple[list[int], list[int]]:
+    def _relaxed(self, text: str, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The last piece up to each place, -1 for a character without one, and where it begins.
 
         Edges are taken by their distance from the beginning of their unit, all units side by side, and the longer ones
@@ -168,7 +202,7 @@ class Coder:
             apart = (before < 0) | self.apart(before * len(self.pieces) + piece[edge], before >= 0)
             edge = edge[apart]
             last[end[edge]], origin[end[edge]] = piece[edge], start[edge]
-        return last.tolist(), origin.tolist()
+        return last, origin
 
     def apart(self, pairs: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Whether the pairs of pieces stay unmerged, each found once; False where it is not wanted."""
@@ -187,14 +221,14 @@ class Coder:
             self.pair_apart[at[kept]] = values[kept]
         return found == 1
 
-    def _ids(self, text: str, begin: int, end: int, last: list[int], origin: list[int]) -> tuple[int, ...]:
+    def _ids(self, text: str, begin: int, end: int, last: np.ndarray, origin: np.ndarray) -> tuple[int, ...]:
         found: list[int] = []
         while end > begin:
             if last[end] >= 0:
                 found.append(self.numbers[last[end]])
             else:
                 found += [self.byte[b] for b in reversed(text[end - 1].encode())]
-            end = origin[end]
+            end = int(origin[end])
         found.reverse()
         return tuple(found)
 
