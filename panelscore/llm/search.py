@@ -2,8 +2,9 @@
 
 A code is cut into segments. Codes that differ in d bits differ by d / m or less in one of m segments, so segments within
 radius r of the query's find every code up to distance m * (r + 1) - 1. Rounds grow the radius: each looks up the
-segment values at exactly r bits from the query's, verifies the distances of what it finds, and closes the queries whose
-k-th distance is covered. The rest goes on, at last to a radius as wide as a segment, so that every result is exact.
+segment values within r bits of the query's and keeps, in the join, the codes whose verified distance is covered. A query
+whose k-th code is covered is closed; the rest goes on, at last to a radius as wide as a segment, so that every result
+is exact. A round repeats the look-ups of smaller radii, which are few, instead of keeping what is too far yet.
 
 Scale: the number of segments follows the number of codes, so that a segment value has few codes. Equal codes are one
 row of the index with a count; their ids are joined in the end. Of more than k ids of one code only the k smallest can
@@ -17,8 +18,6 @@ found once; ids are integers. Other columns are neither read nor changed.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,9 +34,8 @@ def sign_code(vector: Column, bits: int = BITS) -> Column:
 
 
 def segment_count(n: int) -> int:
-    """Segments of about log2(n) bits, of at most 16 and at least 4 bits."""
-    width = min(16, max(4, max(2, n).bit_length()))
-    return -(-BITS // width)
+    """Segments of 8 bits up to two thousand codes, of 13 up to half a million, and of 16 beyond: some ten codes a value."""
+    return 8 if n < 1 << 11 else 5 if n < 1 << 19 else 4
 
 
 def _segments(code: Column, m: int) -> list[tuple[int, int, Column]]:
@@ -59,35 +57,33 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, with_self: bool = Fa
     # equal queries of different ids search once, for one more row, since each may leave itself out
     need = k + (0 if with_self else 1)
     active = stage(wanted.select(F.col("code").alias("q")).distinct(), "search-queries")
-    found = stage(active.select("q", F.col("q").alias("code"), F.lit(0).alias("distance"), F.lit(0).cast("long")
-                                .alias("n")).limit(0), "search-found")
-    done, spark = [], rows.sparkSession
+    done = []
     widths = sorted({w for _, w, _ in _segments(F.lit(0), m)})
+    probes = F.array(*[F.struct(F.lit(i).alias("segment"), v.alias("value"), F.lit(w).alias("width"))
+                       for i, w, v in _segments(F.col("q"), m)])
     for radius in range(widths[-1] + 1):
-        probes = F.array(*[F.struct(F.lit(i).alias("segment"), v.alias("value"),
-                                    F.lit(w).alias("width")) for i, w, v in _segments(F.col("q"), m)])
-        masks = functools.reduce(DataFrame.unionByName, [
-            spark.range(1 << w).where(F.bit_count("id") == radius).select(F.lit(w).alias("width"), F.col("id").alias("mask"))
-            for w in widths])
-        # at most 2^16 masks a width, and one or two widths
-        looked = active.select("q", F.explode(probes).alias("p")).select("q", "p.*").join(
-            F.broadcast(masks), "width").select("q", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-        hits = looked.join(segments, ["segment", "value"]).select("q", "code", "n").distinct().select(
-            "q", "code", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance"), "n")
-        merged = found.unionByName(hits).distinct()
+        # at most 2^16 masks, a constant of the plan
+        masks = F.lit(None).cast("array<bigint>")
+        for w in widths:
+            of_width = F.split(F.lit(",".join(str(x) for x in range(1 << w) if x.bit_count() <= radius)), ",")
+            masks = F.when(F.col("width") == w, of_width.cast("array<bigint>")).otherwise(masks)
+        looked = active.select("q", F.explode(probes).alias("p")).select("q", "p.*").select(
+            "q", "segment", "value", F.explode(masks).alias("mask")).select(
+            "q", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
+        covered = m * (radius + 1) - 1
+        distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
+        near = (looked["segment"] == segments["segment"]) & (looked["value"] == segments["value"]) & (distance <= covered)
+        hits = looked.join(segments, near).select("q", "code", "n", distance.alias("distance")).distinct()
         # codes of the nearest distances whose rows reach ``need``; all codes of the last distance stay, for ties
         nearer = Window.partitionBy("q").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
-        kept = stage(merged.withColumn("before", F.coalesce(F.sum("n").over(nearer), F.lit(0))).where(
+        kept = stage(hits.withColumn("before", F.coalesce(F.sum("n").over(nearer), F.lit(0))).where(
             F.col("before") < need).drop("before"), "search-found")
-        covered = m * (radius + 1) - 1
-        closed = kept.where(F.col("distance") <= covered).groupBy("q").agg(F.sum("n").alias("n")).where(
-            F.col("n") >= need).select("q")
         if radius == widths[-1]:
             done.append(kept)
             break
+        closed = kept.groupBy("q").agg(F.sum("n").alias("n")).where(F.col("n") >= need).select("q")
         done.append(kept.join(closed, "q", "left_semi"))
         active = stage(active.join(closed, "q", "left_anti"), "search-queries")
-        found = kept.join(active, "q", "left_semi")
         if active.isEmpty():
             break
     nearest = done[0]
