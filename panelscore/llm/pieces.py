@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import functools
 import heapq
-import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +28,11 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-KNOWN = 400_000
+KNOWN = 300_000
+#: Characters of a batch that are split into words at once.
+SPLIT = 1_000_000
 NEVER = float("-inf")
+IDS = np.dtype("<i4")
 Vocabulary = tuple[tuple[str, float, int], ...]
 
 
@@ -66,7 +68,7 @@ class Coder:
         # a piece that its own characters don't merge to never occurs
         self.pieces = [p for p in self.ids if self.merged(p) == [p]]
         self.numbers = [self.ids[p] for p in self.pieces]
-        self.number_at = [*self.numbers, None, None]  # none at -1 and -2
+        self.number_at = np.array([*self.numbers, 0, 0], IDS)  # none at -1 and -2
         width = max(map(len, self.pieces))
         keys = np.zeros((len(self.pieces), width), ">u2")
         ends = np.full((len(self.pieces), width), 0xFFFF, ">u2")
@@ -77,8 +79,9 @@ class Coder:
         self.beside: dict[int, bool] = {}
         # pairs by a hash of theirs, for looking up many at once
         self.pair_keys, self.pair_apart = np.full(1 << 20, -1), np.zeros(1 << 20, np.int8)
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        # ids of words as bytes, four each
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def _strings(rows: np.ndarray) -> np.ndarray:
@@ -129,7 +132,7 @@ class Coder:
         pair = left * len(self.pieces) + right
         found = self.beside.get(pair)
         if found is None:
-            if len(self.beside) > 500_000:
+            if len(self.beside) > 300_000:
                 self.beside.clear()
             a, b = self.pieces[left], self.pieces[right]
             found = self.beside[pair] = self.merged(a + b) == [a, b]
@@ -162,7 +165,7 @@ class Coder:
             self.known.update(zip(some, self._paths(text, begins, begins + lengths - 1, last, origin)))
 
     def _paths(self, text: str, begins: np.ndarray, ends: np.ndarray, last: np.ndarray,
-               origin: np.ndarray) -> list[tuple[int, ...]]:
+               origin: np.ndarray) -> list[bytes]:
         """Ids of the units, from their ends back to their beginnings, a piece of every unit at a time."""
         steps, at = [], ends.copy()
         while (at > begins).any():
@@ -172,9 +175,9 @@ class Coder:
         grid = np.array(steps[::-1]).reshape(len(steps), len(begins)).T
         taken = grid != -2
         counts = taken.sum(axis=1)
-        numbers = list(map(self.number_at.__getitem__, grid[taken].tolist()))
-        bounds = np.r_[0, np.cumsum(counts)].tolist()
-        found = [tuple(numbers[a:b]) for a, b in zip(bounds, bounds[1:])]
+        data = self.number_at[grid[taken]].tobytes()
+        bounds = np.r_[0, 4 * np.cumsum(counts)].tolist()
+        found = [data[a:b] for a, b in zip(bounds, bounds[1:])]
         for i in np.flatnonzero((grid == -1).any(axis=1)).tolist():  # with characters written as bytes
             found[i] = self._ids(text, int(begins[i]), int(ends[i]), last, origin)
         return found
@@ -221,7 +224,7 @@ class Coder:
             self.pair_apart[at[kept]] = values[kept]
         return found == 1
 
-    def _ids(self, text: str, begin: int, end: int, last: np.ndarray, origin: np.ndarray) -> tuple[int, ...]:
+    def _ids(self, text: str, begin: int, end: int, last: np.ndarray, origin: np.ndarray) -> bytes:
         found: list[int] = []
         while end > begin:
             if last[end] >= 0:
@@ -229,18 +232,29 @@ class Coder:
             else:
                 found += [self.byte[b] for b in reversed(text[end - 1].encode())]
             end = int(origin[end])
-        found.reverse()
-        return tuple(found)
+        return np.array(found[::-1], IDS).tobytes()
 
-    def spaced(self, n: int, word: str) -> tuple[int, ...]:
+    def spaced(self, n: int, word: str) -> bytes:
         """Ids of a word with n more spaces in front. Runs of spaces merge after everything else."""
-        tail = self.known[word] if word else ()
-        if word and tail[0] == self.ids[SPACE]:
-            n, tail = n + 1, tail[1:]
-        return tuple(self.ids[p] for p in self.merged(SPACE * n)) + tail
-
-    def encode(self, texts: list[str | None]) -> list[list[tuple[int, ...]] | None]:
-        """For each text the ids of its units in order."""
+        tail = self.known[word] if word else b""
+        space = np.array([self.ids[SPACE]], IDS).tobytes()
+        if tail[:4] == space:
+            n, tail = n + 1, tail[4:]
+        return np.array([self.ids[p] for p in self.merged(SPACE * n)], IDS).tobytes() + tail
+
+    def encode(self, texts: list[str | None]) -> list[bytes | None]:
+        """For each text its ids, as bytes."""
+        out: list[bytes | None] = []
+        some, size = [], 0
+        for t in texts:
+            some.append(t)
+            size += len(t or "")
+            if size > SPLIT:
+                out += self._encoded(some)
+                some, size = [], 0
+        return out + self._encoded(some)
+
+    def _encoded(self, texts: list[str | None]) -> list[bytes | None]:
         split = [None if t is None else t.replace(SPACE, " ").split(" ") if t else [] for t in texts]
         new = set().union(*(w for w in split if w)).difference(self.known)
         if len(self.known) + len(new) > KNOWN:  # words of the batches before this half stay known once more
@@ -249,10 +263,10 @@ class Coder:
         for word in new & self.older.keys():
             self.known[word] = self.older[word]
         self.learn(sorted(new.difference(self.known, ("",))))
-        return [words and (self._spaced_text(words) if "" in words else list(map(self.known.__getitem__, words)))
-                for words in split]
+        return [None if words is None else b"".join(
+            self._spaced_text(words) if "" in words else map(self.known.__getitem__, words)) for words in split]
 
-    def _spaced_text(self, words: list[str]) -> list[tuple[int, ...]]:
+    def _spaced_text(self, words: list[str]) -> list[bytes]:
         ids, spaces = [], 0
         for w in words:
             if not w:
@@ -291,8 +305,8 @@ def encoder(spark: SparkSession, model: str = MODEL):
 
     def run(texts: pa.Array) -> pa.Array:
         rows = _coder(shared, model).encode(texts.to_pylist())
-        flat = np.fromiter(itertools.chain.from_iterable(itertools.chain.from_iterable(r for r in rows if r)), np.int32)
-        sizes = np.array([0 if r is None else sum(map(len, r)) for r in rows], np.int64)
+        flat = np.frombuffer(b"".join(r for r in rows if r), IDS)
+        sizes = np.array([len(r) // 4 if r else 0 for r in rows], np.int64)
         offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
         none = pa.array([r is None for r in rows], pa.bool_())
         return pa.ListArray.from_arrays(offsets, pa.array(flat), mask=none)
@@ -306,8 +320,10 @@ def decoder(spark: SparkSession, model: str = MODEL):
     shared = spark.sparkContext.broadcast(_read(model))
 
     def run(ids: pa.Array) -> pa.Array:
-        coder = _coder(shared, model)
-        return pa.array([None if not r.is_valid else coder.decode(r.values.to_numpy().tolist()) for r in ids], pa.string())
+        coder, offsets, flat = _coder(shared, model), ids.offsets.to_pylist(), ids.values.to_pylist()
+        valid = ids.is_valid().to_pylist()
+        return pa.array([coder.decode(flat[a:b]) if v else None for v, a, b in zip(valid, offsets, offsets[1:])],
+                        pa.string())
 
     run.__annotations__ = {"ids": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, StringType())
