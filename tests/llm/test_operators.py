@@ -516,6 +516,29 @@ def test_changed_passages_and_cutting(spark):
     assert left[2].startswith("Head one.\n") and left[2].endswith("tail two") and len(left[2].split()) < 30
 
 
+def test_changed_passages_without_long_runs(spark):
+    rng = np.random.default_rng(6)
+    shapes, times, rows, at = ((55, 1), (60, 1), (80, 1), (120, 2), (200, 4)), 40, [], {}
+    for size, changes in shapes:
+        for _ in range(times):
+            shared = [f"s{x}" for x in rng.integers(0, 10**9, size)]
+            other = list(shared)
+            for k in range(changes):
+                other[size * (k + 1) // (changes + 1)] = f"c{rng.integers(0, 10**9)}"
+            for words in (shared, other):
+                context = [f"w{x}" for x in rng.integers(0, 10**9, 300)]
+                rows.append((len(rows), " ".join(context[:150] + words + context[150:])))
+            at[len(rows) - 1] = (size, changes)
+    frame = common.session(spark).createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r for r in passages.cluster(frame).collect()}
+    for shape in shapes:
+        found = [i for i, s in at.items() if s == shape and got[i]["class_id"] == i - 1
+                 and got[i]["repeated_words"] >= 0.95 * shape[0]]
+        assert len(found) >= 0.9 * times, shape
+    for i in at:  # contexts are of random words
+        assert all(150 <= p["start"] and p["end"] <= 150 + at[i][0] for p in got[i]["passages"])
+
+
 def test_passages_unusual_rows(odd, empty):
     rows = passages.cluster(odd).collect()
     assert sorted(r["doc_id"] or 0 for r in rows) == [0, 1, 2, 3, 5, 6, 7, 7, 8, 9]
