@@ -539,6 +539,28 @@ def test_changed_passages_without_long_runs(spark):
         assert all(150 <= p["start"] and p["end"] <= 150 + at[i][0] for p in got[i]["passages"])
 
 
+def test_long_run_leaves_what_follows(spark):
+    rng = np.random.default_rng(7)
+    rows, own = [], {}
+    for _ in range(20):  # a shared header, and a form with one own word in every 20
+        head, form = ([f"s{x}" for x in rng.integers(0, 10**9, n)] for n in (60, 200))
+        for _ in range(2):
+            filled = list(form)
+            for k in range(10, 200, 20):
+                filled[k] = f"o{rng.integers(0, 10**9)}"
+            own[len(rows)] = [w for w in filled if w[0] == "o"]
+            rows.append((len(rows), " ".join(head + filled)))
+    tail = [f"t{x}" for x in rng.integers(0, 10**9, 121)]  # changed once, 90 words behind the start and 30 from the end
+    rows += [(100, " ".join(tail)), (101, " ".join([*tail[:90], "other", *tail[91:]]))]
+    frame = common.session(spark).createDataFrame(rows, "doc_id long, text string").repartition(4)
+    left = texts(passages.without_repeats(frame))
+    for i, mine in own.items():
+        gone = set(mine) - set(left[i].split())
+        assert len(gone) <= i % 2
+        assert i % 2 == 0 or len(left[i].split()) <= 200
+    assert left[100] == rows[-2][1] and 101 not in left
+
+
 def test_passages_unusual_rows(odd, empty):
     rows = passages.cluster(odd).collect()
     assert sorted(r["doc_id"] or 0 for r in rows) == [0, 1, 2, 3, 5, 6, 7, 7, 8, 9]
