@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscore.llm import chat, language, lm, mixing, passages, pieces, quality, search, simhash, toxicity
+from panelscore.llm import (chat, language, lm, mixing, packing, passages, pieces, quality, search, simhash, toxicity,
+                            whitening)
 from panelscore.llm.common import remainder, session
 
 
@@ -143,6 +144,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.drop("row")
 
 
+#: The tokenizer of op11; the file may lie elsewhere, see ``packing.pieces``.
+PACK_TOKENIZER = "word_bpe_49k.json"
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    found = packing.pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path(PACK_TOKENIZER))
+    digests = found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.place(digests)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(_table(spark, sf_dir, "embeddings"))
+    # beyond 64 bits, which takes over ten million distinct vectors, the deviation is null
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -155,6 +173,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_passages": op9_passages,
         "op10_quality": op10_quality,
+        "op11_packing": op11_packing,
+        "op13_whitening": op13_whitening,
     }
 
 
