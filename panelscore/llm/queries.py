@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscore.llm import (chat, language, lm, mixing, packing, passages, pieces, quality, search, simhash, toxicity,
-                            whitening)
+from panelscore.llm import (chat, language, lm, mixing, packing, passages, pieces, prefixes, quality, search, simhash,
+                            toxicity, whitening)
 from panelscore.llm.common import remainder, session
 
 
@@ -155,6 +155,44 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(digests)
 
 
+def op12_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixes.symbols(_table(spark, sf_dir, "conversations"))
+    return prefixes.trie(*prefixes.rebuilt(turns))
+
+
+#: The CRC-32 of an id: its bytes are put in, each followed by eight shifts (-1). Prefixes are named by MD5 chains.
+OP12_SQL = """
+WITH RECURSIVE turns AS (
+    SELECT conv_id AS c, turn, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS s,
+           length(coalesce(text, '')) AS chars
+    FROM conversations WHERE conv_id IS NOT NULL),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, s) AS pos FROM turns),
+convs AS (SELECT c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten([
+              [ascii(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR d IN string_split(c::VARCHAR, '')])),
+              lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) % 6 AS h
+          FROM (SELECT DISTINCT c FROM turns)),
+rebuilt AS (
+    SELECT v.c, o.pos, o.s, o.chars FROM convs v JOIN ordered o ON o.c = v.c - v.c % 100 AND o.pos <= v.h
+    UNION ALL SELECT v.c, o.pos + 6, o.s, o.chars FROM convs v JOIN ordered o ON o.c = v.c AND o.pos > v.h),
+numbered AS (SELECT c, s, chars, row_number() OVER (PARTITION BY c ORDER BY pos) AS d FROM rebuilt),
+places AS (
+    SELECT c, 0::BIGINT AS d, '' AS p, NULL::VARCHAR AS up, 0::BIGINT AS chars FROM convs
+    UNION ALL
+    SELECT n.c, n.d, md5(q.p || n.s), q.p, n.chars FROM places q JOIN numbered n ON n.c = q.c AND n.d = q.d + 1),
+ends AS (SELECT p, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS sha
+         FROM (SELECT c, arg_max(p, d) AS p FROM places GROUP BY c) GROUP BY p),
+nodes AS (SELECT p, any_value(up) AS up, any_value(d) AS d, min(c) AS c, count(*) AS n, any_value(chars) AS chars
+          FROM places GROUP BY p),
+children AS (SELECT up AS p, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up),
+valued AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children k USING (p)),
+below AS (SELECT a.p, sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((v.n - 1) * v.chars) AS saved
+          FROM valued v JOIN places a ON a.c = v.c AND a.d <= v.d GROUP BY a.p)
+SELECT v.c AS conv_id, v.d AS depth, u.c AS parent_conv_id, v.n AS n_convs, v.n_children, b.n_leaves::BIGINT AS n_leaves,
+       b.saved::BIGINT AS saved_tokens, coalesce(e.sha, sha256('')) AS ends_sha256
+FROM valued v JOIN below b USING (p) LEFT JOIN nodes u ON u.p = v.up LEFT JOIN ends e ON e.p = v.p
+"""
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whitened(_table(spark, sf_dir, "embeddings"))
     # beyond 64 bits, which takes over ten million distinct vectors, the deviation is null
@@ -174,6 +212,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_passages": op9_passages,
         "op10_quality": op10_quality,
         "op11_packing": op11_packing,
+        "op12_prefixes": op12_prefixes,
         "op13_whitening": op13_whitening,
     }
 
@@ -182,4 +221,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_chat": OP5_SQL,
         "op7_search": OP7_SQL,
+        "op12_prefixes": OP12_SQL,
     }
