@@ -20,12 +20,14 @@ carried. Long texts are read in parts; a part is at most ``PART`` bytes and the
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
@@ -37,21 +39,34 @@ END_ID = 1
 GROUP = 8192
 #: Sequences filled to this share of their tokens are closed after the first round.
 FULL = 0.97
-#: Words a worker remembers, the longest of them in bytes, and the bytes read or returned at once.
-KNOWN, KNOWN_BYTES, PART = 400_000, 128, 4 << 20
+#: Words a worker remembers in each of two generations, the longest of them in bytes, and the bytes read or returned at once.
+KNOWN, KNOWN_BYTES, PART = 600_000, 128, 4 << 20
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
+#: Words that canonical composition leaves as they are, and whose letters have a lower case of their own.
+LATIN = re.compile("[!-~À-ÖØ-öø-ɏ]+")
 #: Weights of tokens, pieces and attention cost: tokens decide, the others break ties.
 WEIGHTS = (1.0, 1e-3, 1e-3)
 
 
 class Words:
-    """The ids of words as little-endian unsigned 32-bit numbers, by a tokenizer of the ``tokenizers`` library."""
+    """The ids of words as little-endian unsigned 32-bit numbers, by a tokenizer of the ``tokenizers`` library.
+
+    Words of ASCII and Latin letters are split by the tokenizer's own pattern, in lower case if it says so, and each part
+    is looked up or given to its model; this is what the tokenizer does, without its bookkeeping of offsets. Other words,
+    and all words of a tokenizer of another build, are encoded as a whole.
+    """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
         self.known: dict[bytes, bytes] = {}
+        self.former: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.letters = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(True))]
+        parsed = json.loads(definition)
+        self.added = [t["content"] for t in parsed["added_tokens"]]
+        self.lower, self.pattern = _latin_rule(parsed)
 
     def encode(self, text: bytes) -> bytes:
         found, at = [], 0
@@ -65,17 +80,67 @@ class Words:
     def _part(self, words: list[bytes]) -> bytes:
         new = list(set(words).difference(self.known))
         if new:
-            texts = [w.decode("utf-8", "replace") for w in new]
-            ids = [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-            self.known.update(zip(new, ids))
+            others = []
+            for word in new:
+                if word in self.former:
+                    self.known[word] = self.former[word]
+                    continue
+                text = word.decode("utf-8", "replace")
+                if self.pattern and LATIN.fullmatch(text) and not any(a in text for a in self.added):
+                    self.known[word] = b"".join(map(self._part_ids, self.pattern.findall(text.lower() if self.lower else text)))
+                else:
+                    others.append((word, text))
+            encoded = self.tokenizer.encode_batch_fast([t for _, t in others], add_special_tokens=False)
+            self.known.update((w, self._bytes(e.ids)) for (w, _), e in zip(others, encoded))
         joined = b"".join(map(self.known.__getitem__, words))
         for word in new:
             if len(word) > KNOWN_BYTES:
                 del self.known[word]
-        if len(self.known) > KNOWN:
-            self.known.clear()
+        if len(self.known) > KNOWN:  # words that occur again move on, the others go
+            self.former, self.known = self.known, {}
         return joined
 
+    def _bytes(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.letters.__getitem__, ids))
+
+    def _part_ids(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            found = self._bytes([t.id for t in self.tokenizer.model.tokenize(_as_bytes(part))])
+            if len(self.parts) >= KNOWN:
+                self.parts.clear()
+            if len(part) <= KNOWN_BYTES:
+                self.parts[part] = found
+        return found
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter of each byte in byte-level models: itself if it prints, else the next one from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+def _as_bytes(part: str) -> str:
+    return part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_LETTERS)
+
+
+def _latin_rule(definition: dict) -> tuple[bool, regex.Pattern | None]:
+    """Whether a tokenizer lower-cases, and its pattern of parts, if it treats LATIN by these two alone."""
+    steps = definition["normalizer"]
+    steps = steps["normalizers"] if steps and steps["type"] == "Sequence" else [steps]
+    kinds = {s["type"] for s in steps if s}
+    blanks = [s for s in steps if s and s["type"] == "Replace" and s["pattern"] != {"Regex": r"\s+"}]
+    before = definition["pre_tokenizer"] or {}
+    split = before.get("pretokenizers", [])
+    plain = (kinds <= {"NFC", "Replace", "Lowercase"} and not blanks and [s["type"] for s in split] == ["Split", "ByteLevel"]
+             and split[0]["behavior"] == "Removed" and split[0]["invert"] and "Regex" in split[0]["pattern"]
+             and not split[1]["add_prefix_space"] and not split[1]["use_regex"])
+    return "Lowercase" in kinds, regex.compile(split[0]["pattern"]["Regex"]) if plain else None
+
 
 @functools.lru_cache(1)
 def _words(definition: str) -> Words:

@@ -68,7 +68,8 @@ def test_packing_query_digests(spark, sf_dir):
 def test_words_of_strange_texts():
     words = packing._words(open(TOKENIZER, encoding="utf-8").read())
     for text in ["", " \t\n", "it's I'll 12a-b", "a\x1cb\x85c\xa0d e", "x<|endoftext|>y <|startoftext|>", "É é ́x",
-                 "ΑΣ ΟΔΟΣ", "漢字 かな", "😀👍🏽", "a" * 5000, "\r\n\x0b\x0cx", "tab\tTAB"]:
+                 "ΑΣ ΟΔΟΣ", "漢字 かな", "😀👍🏽", "a" * 5000, "\r\n\x0b\x0cx", "tab\tTAB", "İX ÀÉß's Ǆ ǅx ×÷ ½² ŸœŒ'LL ɏȺ don't DON'T",
+                 "".join(map(chr, range(0x21, 0x250))), " ".join(map(chr, range(0x21, 0x2AF))), "<|endoftext|>É"]:
         assert np.frombuffer(words.encode(text.encode()), "<u4").tolist() == brute_ids(text)[:-1], text
 
 
