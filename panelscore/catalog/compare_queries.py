@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelscore.catalog.mapping import (CUSTOMER_MONTH_SQL, PORTFOLIO_SQL, customer_month, portfolio, shift_sql,
                                         table)
 from panelscore.catalog.registry import query
-from panelscore.functions.months import add_months
+from panelscore.functions.months import month_key, add_months
 from panelscore.operators import certify, compare, trace
 
 _NEW = {
@@ -291,3 +291,55 @@ def lag_trace(spark, sf_dir):
     target = cm.select(shift_month("month", 1).alias("month"), "party",
                        F.when(F.col("n_accounts") > 1, F.lit(0)).otherwise(F.col("balance")).alias("v"))
     return trace.lag_trace(cm, target, "party", "balance", "v", add_months(_PROCESS, -1), _PROCESS)
+
+
+_EVIDENCE = [add_months(_PROCESS, -2), add_months(_PROCESS, -1), _PROCESS]
+
+
+def _evidence_sql(name: str, source: str, target: str) -> str:
+    a, b, c = (f"max(CASE WHEN month = {m} THEN {source} END)" for m in _EVIDENCE)
+    t = f"max(CASE WHEN month = {target} THEN {source} END)"
+    return f"""SELECT '{name}' AS variable, count_if(v) AS voters, count_if(v AND a = t) AS v1, count_if(v AND b = t) AS v2,
+      count_if(v AND c = t) AS v3 FROM (SELECT *, a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL AND (a <> b OR a <> c) AS v
+      FROM (SELECT party, {a} AS a, {b} AS b, {c} AS c, {t} AS t FROM known GROUP BY party) WHERE party IN (SELECT party FROM tgt))"""
+
+
+@query("lag_evidence", f"""
+WITH {CUSTOMER_MONTH_SQL},
+known AS (SELECT month, party, balance, n_accounts, 1 AS one FROM customer_month WHERE month IN {tuple(_EVIDENCE)}),
+tgt AS (SELECT party FROM known WHERE month IN {tuple(_EVIDENCE[1:])}),
+w AS ({_evidence_sql("accounts", "n_accounts", str(_EVIDENCE[2]))} UNION ALL {_evidence_sql("balance", "balance", str(_EVIDENCE[1]))}
+      UNION ALL {_evidence_sql("constant", "one", str(_EVIDENCE[2]))}),
+l AS (SELECT *, greatest(v1, v2, v3) AS most, unnest([{', '.join(f"{{'m': {m}, 'v': v{i + 1}}}" for i, m in enumerate(_EVIDENCE))}]) AS e FROM w)
+SELECT variable, e.m::int AS candidate, voters::bigint AS voters, e.v::bigint AS votes,
+       CASE WHEN voters > 0 THEN e.v::double / voters END AS share,
+       CASE WHEN voters = 0 THEN 'ambiguous' WHEN most = 0 THEN 'none' WHEN (v1 = most)::int + (v2 = most)::int + (v3 = most)::int > 1
+            THEN 'ambiguous' WHEN v1 = most THEN '{_EVIDENCE[0]}' WHEN v2 = most THEN '{_EVIDENCE[1]}' ELSE '{_EVIDENCE[2]}' END AS verdict
+FROM l
+""")
+def lag_evidence(spark, sf_dir):
+    """Three variables of a target: one of the month before, one of the same month, and one that never changes."""
+    cm = customer_month(spark, sf_dir, _EVIDENCE[0], _PROCESS).select(
+        "month", "party", "balance", "n_accounts", F.lit(1).alias("one"))
+    m = F.col("month")
+    target = cm.where(m >= _EVIDENCE[1]).groupBy("party").agg(
+        F.max(F.when(m == _EVIDENCE[1], F.col("balance"))).alias("t_balance"),
+        F.max(F.when(m == _PROCESS, F.col("n_accounts"))).alias("t_accounts"),
+        F.max(F.when(m == _PROCESS, F.col("one"))).alias("t_one")).withColumn("month", F.lit(_PROCESS))
+    names = {"balance": ("balance", "t_balance"), "accounts": ("n_accounts", "t_accounts"), "constant": ("one", "t_one")}
+    return trace.lag_evidence(cm, target, "party", names, _EVIDENCE, _PROCESS)
+
+
+@query("differing_parts", """
+WITH t AS (SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1995 AND o_orderkey % 50 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price,
+                  o_orderdate FROM orders)
+SELECT o.o_orderkey, o.o_totalprice - t.price AS diff FROM orders o JOIN t USING (o_orderkey) WHERE o.o_totalprice <> t.price
+""")
+def differing_parts(spark, sf_dir):
+    """A copy of the orders that differs in some rows of one year, compared by month and block of keys."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"),
+                                                   month_key("o_orderdate").alias("month"), F.year("o_orderdate").alias("year"))
+    price = F.when((F.col("year") == 1995) & (F.col("o_orderkey") % 50 == 0), F.col("price") + 1).otherwise(F.col("price"))
+    base, target, _ = compare.differing_parts(orders, orders.withColumn("price", price), ["o_orderkey"], ["price"], "month")
+    rows = compare.compare_rows(base, target, ["o_orderkey"], ["price"])
+    return rows.where("price_eq = 0").select("o_orderkey", F.col("price_diff").alias("diff"))

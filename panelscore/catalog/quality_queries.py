@@ -10,9 +10,10 @@ from panelscore.functions.months import first_day, in_months, month_key, month_l
 from panelscore.functions.scoring import PD_CUTS, bucket_labels
 from panelscore.operators import drift, profile, rollup
 from panelscore.plans import quality
+from panelscore.session import new_folder
+from panelscore.sources import sinks
 
 COLUMNS = ["quantity", "price", "discount", "tax"]
-CURRENT = 200101
 
 _LINES_SQL = """
 lines AS (
@@ -32,6 +33,15 @@ def _lines(spark, sf_dir, where=None):
         F.when(F.col("l_returnflag") != "R", F.col("l_tax")).alias("tax"))
 
 
+#: The month in which current values are judged is the last one observed.
+_LAST = "(SELECT max(year(l_shipdate) * 100 + month(l_shipdate)) FROM lineitem)"
+
+
+def _last_month(spark, sf_dir) -> int:
+    """From the largest raw date, which the file statistics have."""
+    return table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").alias("d")).select(month_key("d")).first()[0]
+
+
 def _each(select: str) -> str:
     return "\nUNION ALL ".join(select.replace("{c}", c) for c in COLUMNS)
 
@@ -110,17 +120,18 @@ def evolution_pivot(spark, sf_dir):
 
 @query("evolution_lights", f"""
 WITH {_EVOLUTION_SQL},
-h AS (SELECT variable, avg(mean) AS average FROM evo WHERE month < {CURRENT} GROUP BY variable),
+h AS (SELECT variable, avg(mean) AS average FROM evo WHERE month < {_LAST} GROUP BY variable),
 d AS (SELECT c.variable, c.mean AS current, h.average, CASE WHEN h.average <> 0 THEN abs(c.mean - h.average) / abs(h.average) END AS deviation
-      FROM evo c LEFT JOIN h USING (variable) WHERE c.month = {CURRENT})
+      FROM evo c LEFT JOIN h USING (variable) WHERE c.month = {_LAST})
 SELECT variable, round(current, 6) AS current, round(average, 6) AS average, round(deviation, 6) AS deviation,
   CASE WHEN deviation IS NULL THEN 'yellow' WHEN deviation >= 0.25 THEN 'red' WHEN deviation >= 0.05 THEN 'yellow' ELSE 'green' END AS light
 FROM d
 """)
 def evolution_lights(spark, sf_dir):
-    history = _lines(spark, sf_dir, F.col("l_shipdate") < F.lit(first_day(CURRENT)))
+    last = _last_month(spark, sf_dir)
+    history = _lines(spark, sf_dir, F.col("l_shipdate") < F.lit(first_day(last)))
     averages = profile.historical_averages(profile.evolution(history, COLUMNS))
-    current = profile.moments(_lines(spark, sf_dir, in_months("l_shipdate", CURRENT, CURRENT)), COLUMNS)
+    current = profile.moments(_lines(spark, sf_dir, in_months("l_shipdate", last, last)), COLUMNS)
     out = profile.evolution_lights(current, averages)
     return out.withColumns({c: F.round(c, 6) for c in ("current", "average", "deviation")})
 
@@ -253,17 +264,13 @@ def _segments(spark, sf_dir):
                      (F.col("l_tax") * 3.0).alias("pd"))
 
 
-#: The month in which the quality job judges the items.
-JOB_MONTH = 199812
-
-
 def _job(spark, sf_dir) -> quality.Metrics:
-    return quality.run(_segments(spark, sf_dir), JOB_MONTH, ["quantity", "discount"], "id", {"pd": PD_CUTS},
+    return quality.run(_segments(spark, sf_dir), _last_month(spark, sf_dir), ["quantity", "discount"], "id", {"pd": PD_CUTS},
                        by=["segment"])
 
 
 @query("quality_by_segment", f"""
-WITH {_SEGMENT_SQL}, now AS (SELECT * FROM seg WHERE month = {JOB_MONTH}),
+WITH {_SEGMENT_SQL}, now AS (SELECT * FROM seg WHERE month = {_LAST}),
 long AS (SELECT segment, 'quantity' AS variable, quantity AS x FROM now UNION ALL SELECT segment, 'discount', discount FROM now)
 SELECT segment, variable, count(x)::bigint AS n, round(100.0::double * count_if(x IS NULL) / count(*), 6) AS null_pct,
        round(avg(x), 6) AS mean, count(DISTINCT x)::bigint AS n_distinct, round(quantile_cont(x, 0.5), 6) AS p50,
@@ -280,8 +287,8 @@ def quality_by_segment(spark, sf_dir):
 
 @query("drift_by_segment", f"""
 WITH {_SEGMENT_SQL},
-b AS (SELECT segment, quantity AS x FROM seg WHERE month < {JOB_MONTH}),
-c AS (SELECT segment, quantity AS x FROM seg WHERE month = {JOB_MONTH}),
+b AS (SELECT segment, quantity AS x FROM seg WHERE month < {_LAST}),
+c AS (SELECT segment, quantity AS x FROM seg WHERE month = {_LAST}),
 v AS (SELECT segment, x FROM b UNION SELECT segment, x FROM c),
 n AS (SELECT s.segment, (SELECT count(*) FROM b WHERE b.segment IS NOT DISTINCT FROM s.segment) AS nb,
              (SELECT count(*) FROM c WHERE c.segment IS NOT DISTINCT FROM s.segment) AS nc
@@ -303,7 +310,7 @@ def drift_by_segment(spark, sf_dir):
 
 @query("score_distribution", f"""
 WITH {_SEGMENT_SQL},
-v AS (SELECT segment, month, {_BUCKET_CASE} AS bucket FROM seg WHERE month <= {JOB_MONTH}),
+v AS (SELECT segment, month, {_BUCKET_CASE} AS bucket FROM seg WHERE month <= {_LAST}),
 m AS (SELECT segment, month, count(*) AS total FROM v GROUP BY segment, month),
 l AS (SELECT unnest([{', '.join(repr(x) for x in _LABELS)}]) AS bucket),
 k AS (SELECT segment, month, bucket, count(*) AS n FROM v GROUP BY ALL)
@@ -313,3 +320,70 @@ FROM m CROSS JOIN l LEFT JOIN k ON k.segment IS NOT DISTINCT FROM m.segment AND
 def score_distribution(spark, sf_dir):
     """The quality job by segment: buckets of the score per month, of the history and the month judged."""
     return _job(spark, sf_dir).scores.select("score", "segment", "month", "bucket", "n", "total")
+
+
+@query("quality_keys", f"""
+WITH {_SEGMENT_SQL}, now AS (SELECT * FROM seg WHERE month = {_LAST})
+SELECT segment, count_if(id IS NULL)::bigint AS null_keys, count(id)::bigint AS n_keys, count(DISTINCT id)::bigint AS n_distinct,
+       (count(id) - count(DISTINCT id))::bigint AS n_duplicates FROM now GROUP BY segment
+""")
+def quality_keys(spark, sf_dir):
+    """The quality job by segment: its key check."""
+    return _job(spark, sf_dir).keys
+
+
+_SEGMENT_LONG_SQL = ("SELECT segment, month, 'quantity' AS variable, quantity AS x FROM seg "
+                     "UNION ALL SELECT segment, month, 'discount', discount FROM seg")
+
+
+@query("quality_evolution", f"""
+WITH {_SEGMENT_SQL}, long AS ({_SEGMENT_LONG_SQL})
+SELECT segment, month, variable, count(x)::bigint AS n, round(100.0::double * count_if(x IS NULL) / count(*), 6) AS null_pct,
+       round(100.0::double * count_if(x = 0) / count(*), 6) AS zero_pct, round(avg(x), 6) AS mean,
+       round(stddev_samp(x), 6) AS std, min(x) AS min, max(x) AS max
+FROM long GROUP BY segment, month, variable
+""")
+def quality_evolution(spark, sf_dir):
+    """The quality job by segment: the profile of every month."""
+    return _job(spark, sf_dir).evolution.withColumns({
+        c: F.round(c, 6) for c in ("null_pct", "zero_pct", "mean", "std")})
+
+
+@query("quality_histogram", f"""
+WITH {_SEGMENT_SQL}, long AS ({_SEGMENT_LONG_SQL}),
+now AS (SELECT segment, variable, x FROM long WHERE month = {_LAST} AND x IS NOT NULL),
+e AS (SELECT segment, variable, min(x) AS lo, max(x) AS hi FROM now GROUP BY segment, variable),
+n AS (SELECT now.segment, now.variable, lo, hi, coalesce(least(floor((x - lo) / ((hi - lo) / 30.0::double))::int + 1, 30), 1) AS bin
+      FROM now JOIN e ON now.segment IS NOT DISTINCT FROM e.segment AND now.variable = e.variable)
+SELECT segment, variable, bin::int AS bin, round(lo + (bin - 1) * ((hi - lo) / 30.0::double), 6) AS lower, count(*)::bigint AS n
+FROM n GROUP BY segment, variable, lo, hi, bin
+""")
+def quality_histogram(spark, sf_dir):
+    """The quality job by segment: histograms of the month judged."""
+    return _job(spark, sf_dir).histogram.select("segment", "variable", "bin", F.round("lower", 6).alias("lower"), "n")
+
+
+_KPI_SQL = f"""
+WITH {_SEGMENT_SQL}, long AS ({_SEGMENT_LONG_SQL}),
+m AS (SELECT segment, variable, 100.0::double * count_if(x IS NULL) / count(*) AS nulls,
+             100.0::double * count_if(x = 0) / count(*) AS zeros FROM long WHERE month = {_LAST} GROUP BY segment, variable),
+l AS (SELECT segment, CASE WHEN nulls >= 20 OR zeros >= 90 THEN 'red' WHEN nulls >= 5 OR zeros >= 50 THEN 'yellow'
+                           ELSE 'green' END AS light FROM m)
+SELECT segment, count(*)::bigint AS n_variables, count_if(light = 'green')::bigint AS green,
+       count_if(light = 'yellow')::bigint AS yellow, count_if(light = 'red')::bigint AS red FROM l GROUP BY segment
+"""
+
+
+@query("quality_kpis", _KPI_SQL)
+def quality_kpis(spark, sf_dir):
+    """The quality job by segment: lights of its variables."""
+    return _job(spark, sf_dir).kpis
+
+
+@query("metric_bundle", _KPI_SQL)
+def metric_bundle(spark, sf_dir):
+    """All tables of the quality job written as a JSON bundle; the lights read back from it."""
+    path = new_folder(spark, "metrics")
+    sinks.write_metrics(_job(spark, sf_dir).frames(), path)
+    kinds = "segment string, n_variables long, green long, yellow long, red long"
+    return spark.read.schema(kinds).json(f"{path}/kpis")

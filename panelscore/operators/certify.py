@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelscore.operators.compare import comparable, compare_rows
+from panelscore.operators.compare import comparable, compare_rows, paired_by_segment, with_equality
 
 GLOBAL = "global"
 
@@ -87,14 +87,15 @@ def certify_segments(source: DataFrame, target: DataFrame, keys: Sequence[str],
     """The global checks and those of every segment.
 
     A segment is compared within itself: a key that changed segment is one-sided in both.  All
-    segments are evaluated by one grouped aggregate, however many there are.
+    segments are evaluated by one grouped aggregate, however many there are; the pairs of the whole
+    population come from those of the segments, so both tables are read once.
     """
     ok, _ = comparable(source, target, [c for c in columns if c not in {*exclude, segment}])
-    rows = compare_rows(source, target, [*keys, segment], ok, thresholds.tolerance)
-    share = schema_share(source, target, exclude)
-    parts = _checks(rows, ok, [c for c in critical if c in ok], share, thresholds, F.col(segment), [segment])
-    return certify(source, target, keys, [c for c in columns if c != segment], critical, exclude,
-                   thresholds).unionByName(parts)
+    share, kept = schema_share(source, target, exclude), [c for c in critical if c in ok]
+    whole, within = (with_equality(p, ok, thresholds.tolerance)
+                     for p in paired_by_segment(source, target, keys, segment, ok))
+    return _checks(whole, ok, kept, share, thresholds, F.lit(GLOBAL), []).unionByName(
+        _checks(within, ok, kept, share, thresholds, F.col(segment), [segment]))
 
 
 def overall(report: DataFrame) -> DataFrame:

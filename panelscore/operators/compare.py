@@ -3,6 +3,9 @@
 Tables are compared by stacking both sides and grouping by key, not by an outer join: one shuffle,
 map-side combined, and a key that occurs many times on both sides costs one row instead of all
 pairs.  Keys are expected to be unique; repeated keys are counted and never count as equal.
+
+Large tables that differ in few places are narrowed first: digests by month and block of keys tell which blocks differ,
+and only the rows of these are shuffled and compared (``differing_parts``).
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelscore.functions.features import same_text, same_within
+from panelscore.session import staged
 
 TOLERANCE = 1e-6
 PASS_PCT = 99.0
@@ -43,51 +47,137 @@ def common_columns(base: DataFrame, target: DataFrame, keys: Sequence[str], excl
     return [c for c in base.columns if c in target.columns and c not in skip]
 
 
-def paired(base: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One row per key: ``n_base``, ``n_target`` and ``<c>_base`` / ``<c>_target`` values.
-
-    Rows with a null in their key match nothing and stay rows of their side; equal ones count as repeated.
-    """
+def _stacked(base: DataFrame, target: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Both sides with ``__side`` 0 and 1; numbers as double."""
     def side(df: DataFrame, mark: int) -> DataFrame:
-        return df.select(*keys, *[F.col(c).cast("double").alias(c)
+        return df.select(*keep, *[F.col(c).cast("double").alias(c)
                                   if _kind(df.schema[c].dataType) == "number" else F.col(c)
                                   for c in columns], F.lit(mark).alias("__side"))
 
-    both = side(base, 0).unionByName(side(target, 1))
-    missing = F.lit(False)
+    return side(base, 0).unionByName(side(target, 1))
+
+
+def _missing(keys: Sequence[str]) -> Column:
+    found = F.lit(False)
     for k in keys:
-        missing = missing | F.col(k).isNull()
+        found = found | F.col(k).isNull()
+    return found
+
+
+def _values(columns: Sequence[str]) -> list[Column]:
+    here = {"base": F.col("__side") == 0, "target": F.col("__side") == 1}
+    return [*[F.count_if(p).alias(f"n_{s}") for s, p in here.items()],
+            *[F.max(F.when(p, F.col(c))).alias(f"{c}_{s}") for c in columns for s, p in here.items()]]
+
+
+def paired(base: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row per key: ``n_base``, ``n_target`` and ``<c>_base`` / ``<c>_target`` values.
+
+    Rows with a null in their key match nothing and stay rows of their side; equal ones count as repeated.
+    """
+    both = _stacked(base, target, keys, columns)
+    missing = _missing(keys)
     both = both.withColumn("__alone", F.when(missing, F.xxhash64("__side", *columns)).otherwise(F.lit(0)))
     both = both.withColumn("__lone_side", F.when(missing, F.col("__side")))
-    here = {"base": F.col("__side") == 0, "target": F.col("__side") == 1}
-    aggs = [F.count_if(p).alias(f"n_{s}") for s, p in here.items()]
-    aggs += [F.max(F.when(p, F.col(c))).alias(f"{c}_{s}") for c in columns for s, p in here.items()]
-    return both.groupBy(*keys, "__alone", "__lone_side").agg(*aggs).drop("__alone", "__lone_side")
+    return both.groupBy(*keys, "__alone", "__lone_side").agg(*_values(columns)).drop("__alone", "__lone_side")
+
+
+def paired_by_segment(base: DataFrame, target: DataFrame, keys: Sequence[str], segment: str,
+                      columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``paired`` by the keys and by keys and segment, from one aggregate over both tables.
+
+    The pairs of the keys are a second aggregate over those of keys and segment, which Spark computes once for both.
+    """
+    both = _stacked(base, target, [*keys, segment], columns)
+    alone = _missing([*keys, segment])
+    both = both.withColumn("__alone", F.when(alone, F.xxhash64("__side", *columns)).otherwise(F.lit(0)))
+    both = both.withColumn("__lone_side", F.when(alone, F.col("__side")))
+    within = both.groupBy(*keys, segment, "__alone", "__lone_side").agg(*_values(columns))
+    missing = _missing(keys)
+    whole = within.withColumn("__alone", F.when(missing, F.col("__alone")).otherwise(F.lit(0))).withColumn(
+        "__lone_side", F.when(missing, F.col("__lone_side"))).groupBy(*keys, "__alone", "__lone_side").agg(
+        *[F.sum(f"n_{s}").alias(f"n_{s}") for s in ("base", "target")],
+        *[F.max(f"{c}_{s}").alias(f"{c}_{s}") for c in columns for s in ("base", "target")])
+    return whole.drop("__alone", "__lone_side"), within.drop("__alone", "__lone_side")
 
 
 def _unique() -> Column:
     return (F.col("n_base") <= 1) & (F.col("n_target") <= 1)
 
 
-def compare_rows(base: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                 tolerance: float = TOLERANCE) -> DataFrame:
-    """Keys, both values, ``<c>_diff`` for numbers and ``<c>_eq`` per column.
-
-    Equal means: both null, the same text, or numbers within the tolerance.  NaN equals
-    nothing.  A key on one side only has nulls on the other, so its columns are equal where the
-    existing value is null too.
-    """
-    out = paired(base, target, keys, columns)
+def with_equality(pairs: DataFrame, columns: Sequence[str], tolerance: float = TOLERANCE) -> DataFrame:
+    """Adds ``<c>_diff`` for numbers and ``<c>_eq`` to ``paired`` rows; see ``compare_rows``."""
     new = {}
     for c in columns:
         a, b = F.col(f"{c}_base"), F.col(f"{c}_target")
-        if _kind(base.schema[c].dataType) == "number":
+        if _kind(pairs.schema[f"{c}_base"].dataType) == "number":
             new[f"{c}_diff"] = a - b
             same = same_within(a, b, tolerance)
         else:
             same = same_text(a, b)
         new[f"{c}_eq"] = F.when(_unique(), same).otherwise(0)
-    return out.withColumns(new)
+    return pairs.withColumns(new)
+
+
+def compare_rows(base: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                 tolerance: float = TOLERANCE) -> DataFrame:
+    """Keys, both values, ``<c>_diff`` for numbers and ``<c>_eq`` per column.
+
+    Equal means: both null, the same text, or numbers within the tolerance.  NaN equals
+    nothing.  A key on one side only has nulls on the other, so its columns are equal where the
+    existing value is null too.
+    """
+    return with_equality(paired(base, target, keys, columns), columns, tolerance)
+
+
+#: Blocks of keys a month in the first level of a digest comparison, and parts a differing block is cut into.
+BLOCKS, PARTS = 256, 64
+
+
+def block_digests(base: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                  blocks: Column, month: str | None = None) -> DataFrame:
+    """(month, block, n_base, n_target, same): digests of both tables by block of keys, in one aggregate.
+
+    A digest is the exact sum of the 64-bit hashes of the rows, so that order and partitions don't matter, and repeated
+    rows count as often as they occur. Both sides need the same types, or numbers of any type, which are hashed as doubles.
+    """
+    by = ["block", *([month] if month else [])]
+    kept = [*dict.fromkeys([*keys, *([month] if month else [])])]
+    both = _stacked(base, target, kept, [c for c in columns if c not in kept]).withColumn("block", blocks)
+    row = F.xxhash64(*kept, *[c for c in columns if c not in kept]).cast("decimal(20,0)")
+    here = {"base": F.col("__side") == 0, "target": F.col("__side") == 1}
+    counted = both.groupBy(*by).agg(
+        *[F.count_if(p).alias(f"n_{s}") for s, p in here.items()],
+        *[F.coalesce(F.sum(F.when(p, row)), F.lit(0).cast("decimal(38,0)")).alias(f"__{s}") for s, p in here.items()])
+    same = (F.col("n_base") == F.col("n_target")) & (F.col("__base") == F.col("__target"))
+    return counted.select(*by, "n_base", "n_target", same.alias("same"))
+
+
+def differing_parts(base: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                    month: str | None = None, blocks: int = BLOCKS, parts: int = PARTS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(base rows, target rows, report) after a digest tree of two levels: blocks of keys, then parts of those that differ.
+
+    Only rows of differing parts are left, for a comparison that shuffles no others. The tables are read for the digests,
+    whose shuffle is a row a block and task, and read again for the rows of blocks that differ. ``report`` has a row a
+    month and block: n_base, n_target, same. Rows whose key has a null have a block like others.
+    """
+    key = F.xxhash64(*keys)
+    block, part = F.pmod(key, F.lit(blocks)), F.pmod(F.shiftrightunsigned(key, 24), F.lit(parts))
+    report = staged(block_digests(base, target, keys, columns, block, month), "digests")
+
+    def within(df: DataFrame, listed: DataFrame, number: Column) -> DataFrame:
+        found = listed.select(F.col("block").alias("__block"), *([F.col(month).alias("__month")] if month else []))
+        same = number == F.col("__block")
+        if month:
+            same = same & F.col(month).eqNullSafe(F.col("__month"))
+        return df.join(found, same, "left_semi")
+
+    changed_blocks = report.where(~F.col("same"))
+    left, right = within(base, changed_blocks, block), within(target, changed_blocks, block)
+    both = block * parts + part
+    finer = staged(block_digests(left, right, keys, columns, both, month), "digests")
+    changed_parts = finer.where(~F.col("same"))
+    return within(base, changed_parts, both), within(target, changed_parts, both), report
 
 
 def match_summary(compared: DataFrame, columns: Sequence[str], pass_pct: float = PASS_PCT,

@@ -5,7 +5,8 @@ PSI  sum over bins of (a - b) * ln(a / b); bins are the deciles of the base (his
 KS   largest distance between the two cumulative distributions; the p-value is the asymptotic
      series with the small-sample correction.
 
-Both come from the same distinct-value counts. NaN counts as null.
+Both come from the same distinct-value counts, nulls among them, which are made in one pass over both sides and staged:
+running counts, edges, bins and nulls read them. NaN counts as null.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from panelscore.operators import ranks
 from panelscore.operators.profile import light
+from panelscore.session import staged
 
 # Customary limits and numeric floor.
 PSI_LIGHT = (0.10, 0.25)
@@ -32,10 +34,9 @@ def side_counts(base: DataFrame, current: DataFrame, columns: Sequence[str],
     both = b.unionByName(current.select(*by, *columns).withColumn("__side", F.lit(1)))
     sides = {"b": F.lit(1) - F.col("__side"), "c": F.col("__side")}
     long = ranks.melt(both, columns, [*by, "__side"])
-    counts = ranks.value_counts(long, sides, by)
-    nulls = (long.filter(F.col("value").isNull()).withColumns(sides).groupBy(*by, "variable")
-             .agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
-    return counts, nulls
+    every = staged(long.withColumns(sides).groupBy(*by, "variable", "value").agg(
+        F.sum("b").alias("b"), F.sum("c").alias("c")), "drift-counts")
+    return every.where("value is not null"), every.where("value is null").drop("value")
 
 
 def _share(n: str, total: str) -> Column:

@@ -1,11 +1,17 @@
-"""Exact order statistics of many columns without a global sort in one task.
-
-A cumulative count over all values of a variable would put the variable into one window
-partition.  Here distinct values are counted with map-side combine and fall into buckets by their
-size: the bucket is the scaled logarithm of the absolute value, with its sign, so that it grows with
-the value.  A factor of two is cut into ``BUCKETS_PER_OCTAVE`` buckets, all values from 1 to a million
-into twenty times as many.  The running count is taken inside each bucket, and the bucket totals give
-the offsets.  Nothing is sampled, no number reaches the driver, and the plan is the same at every size.
+"""Exact order statistics of many columns by radix refinement, without a global sort in one task.
+
+A cumulative count over all values of a variable would put the variable into one window partition. Here distinct values
+are counted with map-side combine, and a range of values is split again while it holds too many of them:
+
+* A double has an image, a signed 64-bit number in the same order: its bit pattern.
+* The first ranges are those of sign and exponent. A histogram over the ranges tells how many values each one holds. Ranges
+  above ``MOST_VALUES`` are split by the next ``DIGIT`` bits, with a histogram over their parts alone, until none is left
+  that is too large; after six rounds a range is a single value.
+* The ranges form a tree. A part's offset is that of the range it is from and the parts before it, so a window over
+  ranges has 2**DIGIT rows at most (4096 in the first round), and one over values ``MOST_VALUES``, whatever the
+  distribution: timestamps of one month, large ids and scores near 1 are cut as finely as they need.
+
+Nothing is sampled; of the data the driver learns only whether a range is left to split.
 """
 
 from __future__ import annotations
@@ -15,7 +21,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_OCTAVE = 512
+from panelscore.session import staged
+
+#: Distinct values of a range that is not split again, and the bits of a split.
+MOST_VALUES = 100_000
+DIGIT = 10
+_FRACTION = 52
 
 
 def melt(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
@@ -25,12 +36,30 @@ def melt(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> Data
     return long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
 
-def bucket(value: Column) -> Column:
-    """A number that does not fall while ``value`` grows; 0 for zero only."""
-    # exponents of doubles lie between -1075 and 1024; infinities have a bucket beyond all numbers
-    size = F.when(F.abs(value) == float("inf"), F.lit(2048.0)).otherwise(F.log2(F.abs(value)))
-    place = F.floor((size + 1076) * BUCKETS_PER_OCTAVE).cast("int") + 1
-    return F.when(value > 0, place).when(value < 0, -place).otherwise(0)
+def with_image(df: DataFrame, value: str = "value", name: str = "image") -> DataFrame:
+    """Adds a signed 64-bit number in the order of the doubles ``value``: the bits of the absolute value, with its sign.
+
+    Zeros have 0 and infinities the numbers beyond all others; null and NaN have null.
+    """
+    size, least = F.abs(value), 2.0 ** -1022
+    plain = F.when((size >= least) & (size < float("inf")), size).otherwise(1.0)
+    made = df.withColumn("__size", plain).withColumn(
+        "__e", F.greatest(F.least(F.floor(F.log2("__size")), F.lit(1023)), F.lit(-1022)))
+    # the logarithm may be off by one beside a power of two
+    for _ in range(2):
+        part = F.col("__size") / F.pow(F.lit(2.0), F.col("__e"))
+        made = made.withColumn("__e", F.col("__e") + F.when(part >= 2, 1).when(part < 1, -1).otherwise(0))
+    part = F.col("__size") / F.pow(F.lit(2.0), F.col("__e")) - 1
+    normal = (F.col("__e") + 1023) * (1 << _FRACTION) + (part * float(1 << _FRACTION)).cast("long")
+    tiny = (F.when(size < least, size).otherwise(0.0) / 5e-324).cast("long")
+    bits = F.when(size == float("inf"), F.lit(2047 << _FRACTION)).when(size < least, tiny).otherwise(normal)
+    signed = F.when(F.col(value) < 0, -bits).when(F.col(value).isNotNull() & ~F.isnan(value), bits)
+    return made.withColumn(name, signed).drop("__size", "__e")
+
+
+def _start(shift: int) -> Column:
+    """The least image of the range that a value is in."""
+    return F.shiftleft(F.shiftright("image", shift), shift)
 
 
 def value_counts(long: DataFrame, weights: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
@@ -43,25 +72,78 @@ def value_counts(long: DataFrame, weights: Mapping[str, Column], by: Sequence[st
             .groupBy(*by, "variable", "value").agg(*[F.sum(n).alias(n) for n in weights]))
 
 
-def cumulative_counts(counts: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """``value_counts`` plus a ``cum_`` count and a ``total_`` per weight, in the order of the values."""
+def _same(group: Sequence[str], prefix: str) -> Column:
+    """Equality with columns of a prefix, in which a missing segment is a segment of its own."""
+    found = F.lit(True)
+    for g in group:
+        found = found & F.col(g).eqNullSafe(F.col(f"{prefix}{g}"))
+    return found
+
+
+def _named(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in columns],
+                     *[F.col(c) for c in df.columns if c not in columns])
+
+
+def value_ranges(counts: DataFrame, names: Sequence[str], by: Sequence[str] = (),
+                 most: int = MOST_VALUES) -> list[tuple[int, DataFrame]]:
+    """Per round of the refinement its shift and the ranges that are not split again.
+
+    A range is (by..., variable, start) with ``n_values``, per weight the count ``o_`` of all values before it, and the
+    ``total_`` of the variable. ``counts`` has an ``image`` and is read once a round.
+    """
+    names, group = list(names), [*by, "variable"]
+    shift, found, heavy = _FRACTION, [], None
+    while True:
+        rows = counts.withColumn("start", _start(shift))
+        if heavy is None:
+            sums = rows.groupBy(*group, "start")
+        else:
+            inside = _named(heavy.select(*group, "start", *[f"o_{n}" for n in names], *[f"total_{n}" for n in names]),
+                            [*group, "start"], "__p_")
+            former = _start(min(shift + DIGIT, _FRACTION))
+            kept = [f"o_{n}" for n in names] + [f"total_{n}" for n in names]
+            rows = rows.withColumn("__former", former).join(
+                inside, _same(group, "__p_") & (F.col("__former") == F.col("__p_start")))
+            sums = rows.groupBy(*group, "__former", *kept, "start")
+        sums = sums.agg(F.count("*").alias("n_values"), *[F.sum(n).alias(n) for n in names])
+        whole = Window.partitionBy(*group, *([] if heavy is None else ["__former"]))
+        before = whole.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+        begin = {n: F.lit(0) if heavy is None else F.col(f"o_{n}") for n in names}
+        placed = sums.withColumns({f"__o_{n}": begin[n] + F.coalesce(F.sum(n).over(before), F.lit(0)) for n in names})
+        if heavy is None:
+            placed = placed.withColumns({f"total_{n}": F.sum(n).over(whole) for n in names})
+        ranges = staged(placed.select(*group, "start", "n_values", *[F.col(f"__o_{n}").alias(f"o_{n}") for n in names],
+                                      *[f"total_{n}" for n in names]), "ranges")
+        large = (F.col("n_values") > most) if shift else F.lit(False)
+        found.append((shift, ranges.where(~large)))
+        heavy = ranges.where(large)
+        if not shift or heavy.isEmpty():
+            return found
+        shift = max(0, shift - DIGIT)
+
+
+def cumulative_counts(counts: DataFrame, names: Sequence[str], by: Sequence[str] = (),
+                      most: int = MOST_VALUES) -> DataFrame:
+    """``value_counts`` plus a ``cum_`` count and a ``total_`` per weight, in the order of the values.
+
+    ``counts`` is read several times; callers stage it.
+    """
     names, group = list(names), [*by, "variable"]
-    counts = counts.withColumn("bucket", bucket(F.col("value")))
-    inside = Window.partitionBy(*group, "bucket").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    running = counts.withColumns({f"cum_{n}": F.sum(n).over(inside) for n in names})
-    before = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
-    offsets = (counts.groupBy(*group, "bucket").agg(*[F.sum(n).alias(f"__t_{n}") for n in names])
-               .select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("bucket").alias("__bucket"),
-                       *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in names],
-                       *[F.sum(f"__t_{n}").over(whole).alias(f"total_{n}") for n in names]))
-    same = F.col("bucket") == F.col("__bucket")
-    for i, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
-    return running.join(offsets, same).select(
-        *group, "value", *names, *[(F.col(f"cum_{n}") + F.col(f"__o_{n}")).alias(f"cum_{n}") for n in names],
-        *[f"total_{n}" for n in names])
+    imaged = with_image(counts)
+    parts = []
+    for shift, ranges in value_ranges(imaged, names, by, most):
+        inside = Window.partitionBy(*group, "start").orderBy("value").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        rows = imaged.withColumn("start", _start(shift)).join(
+            _named(ranges, [*group, "start"], "__r_"), _same([*group, "start"], "__r_"))
+        parts.append(rows.select(
+            *group, "value", *names, *[(F.sum(n).over(inside) + F.col(f"o_{n}")).alias(f"cum_{n}") for n in names],
+            *[f"total_{n}" for n in names]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def quantile_parts(probs: Mapping[str, float], weight: str = "n") -> tuple[list[Column], dict[str, Column]]:
@@ -84,7 +166,7 @@ def quantile_parts(probs: Mapping[str, float], weight: str = "n") -> tuple[list[
 def exact_quantiles(counts: DataFrame, probs: Mapping[str, float], weight: str = "n",
                     by: Sequence[str] = ()) -> DataFrame:
     """One row per segment and variable: the quantiles and ``n_distinct``."""
-    rows = cumulative_counts(counts, [weight], by)
+    rows = cumulative_counts(staged(counts, "value-counts"), [weight], by)
     aggs, out = quantile_parts(probs, weight)
     return (rows.groupBy(*by, "variable").agg(*aggs, F.count("*").alias("n_distinct"))
             .select(*by, "variable", "n_distinct", *[c.alias(n) for n, c in out.items()]))

@@ -7,7 +7,7 @@ in the same aggregates, so their number does not add scans.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,21 +20,49 @@ from panelscore.sources.sinks import stage
 LIGHTS = {"null_pct": profile.NULL_PCT_LIGHT, "zero_pct": (50.0, 90.0)}
 
 
-@dataclass(frozen=True)
 class Metrics:
-    """The metric tables of one run."""
+    """The metric tables of one run over the staged rows, each built when it is asked for."""
 
-    keys: DataFrame
-    profile: DataFrame
-    evolution: DataFrame
-    histogram: DataFrame
-    scores: DataFrame
-    drift: DataFrame
-    kpis: DataFrame
+    NAMES = ("keys", "profile", "evolution", "histogram", "scores", "drift", "kpis")
+
+    def __init__(self, rows: DataFrame, current: int, columns: Sequence[str], key: str,
+                 scores: Mapping[str, Sequence[float]], month: str, by: Sequence[str]):
+        self._rows, self._columns, self._key, self._cuts, self._month, self._by = rows, columns, key, scores, month, by
+        self._now, self._before = rows.where(F.col(month) == current), rows.where(F.col(month) < current)
+
+    @cached_property
+    def keys(self) -> DataFrame:
+        return profile.key_check(self._now, self._key, by=self._by)
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return with_lights(profile.variable_profile(self._now, self._columns, by=self._by))
+
+    @cached_property
+    def evolution(self) -> DataFrame:
+        return profile.moments(self._rows, self._columns, [*self._by, self._month])
+
+    @cached_property
+    def histogram(self) -> DataFrame:
+        return profile.histogram(self._now, self._columns, by=self._by)
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        return score_distribution(self._rows, self._cuts, self._month, self._by)
+
+    @cached_property
+    def drift(self) -> DataFrame:
+        return drift.drift(self._before, self._now, self._columns, by=self._by)
+
+    @cached_property
+    def kpis(self) -> DataFrame:
+        """Variables per segment, and how many of them have each light."""
+        return self.profile.groupBy(*self._by).agg(F.count("*").alias("n_variables"), *[
+            F.count_if(F.col("light") == c).alias(c) for c in ("green", "yellow", "red")])
 
     def frames(self) -> Mapping[str, DataFrame]:
         """By name, for ``sinks.write_metrics``."""
-        return dict(vars(self))
+        return {name: getattr(self, name) for name in self.NAMES}
 
 
 def with_lights(metrics: DataFrame, lights: Mapping[str, tuple[float, float]] = LIGHTS) -> DataFrame:
@@ -65,14 +93,4 @@ def run(rows: DataFrame, current: int, columns: Sequence[str], key: str, scores:
     """All metric tables for the month ``current``; ``rows`` has the current and earlier months."""
     kept = rows.where(F.col(month) <= current).select(*dict.fromkeys([*by, month, key, *columns, *scores]))
     kept = stage(kept, staged or new_folder(rows.sparkSession, "quality"))
-    now, before = kept.where(F.col(month) == current), kept.where(F.col(month) < current)
-    drifted = drift.drift(before, now, columns, by=by)
-    profiled = with_lights(profile.variable_profile(now, columns, by=by))
-    kpis = profiled.groupBy(*by).agg(
-        F.count("*").alias("n_variables"), *[F.count_if(F.col("light") == c).alias(c) for c in ("green", "yellow", "red")])
-    return Metrics(
-        keys=profile.key_check(now, key, by=by), profile=profiled, evolution=profile.moments(kept, columns, [*by, month]),
-        histogram=profile.histogram(now, columns, by=by), scores=score_distribution(kept, scores, month, by),
-        drift=drifted, kpis=kpis)
-
-
+    return Metrics(kept, current, columns, key, scores, month, by)

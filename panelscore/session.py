@@ -50,6 +50,13 @@ def new_folder(spark: SparkSession, name: str, default: str | None = None) -> st
     return f"{shared_dir(spark, default)}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to a new path below the shared folder and reads it back: computed once, whatever reads it."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame, default: str | None = None) -> DataFrame:
     """Reliable checkpoint in the shared folder; the result survives the loss of executors."""
     spark = df.sparkSession

@@ -251,11 +251,50 @@ def test_exact_quantiles(values):
         assert got[c]["n_distinct"] == len(set(x))
 
 
-def test_buckets_grow_with_the_value(spark):
-    x = sorted([0.0, 5e-324, 1e-300, 0.1, 0.1001, 1.0, 1.0001, 2.0, 1e6, 1e300, 1.7e308, float("inf")])
-    data = [(-v,) for v in x if v] + [(v,) for v in x]
-    got = [r[0] for r in spark.createDataFrame(data, "v double").orderBy("v").select(ranks.bucket(F.col("v"))).collect()]
-    assert got == sorted(got) and got[len(x) - 1] == 0 and got[-1] > got[-2] > got[-3]
+def test_images_are_the_bits_in_order(spark):
+    rnd = np.random.default_rng(3)
+    x = [0.0, 5e-324, 1e-310, 2.0 ** -1022, np.nextafter(2.0 ** -1022, 0), 1e-300, 0.1, np.nextafter(0.1, 1), 1.7e308,
+         np.finfo(float).max, float("inf"), *[2.0 ** k for k in range(-1074, 1024, 7)],
+         *[np.nextafter(2.0 ** k, 0) for k in range(-1021, 1024, 5)], *np.exp(rnd.normal(0, 200, 500))]
+    x = [float(v) for v in x] + [-float(v) for v in x if v]
+    made = ranks.with_image(spark.createDataFrame([(v,) for v in x], "value double")).collect()
+    for r in made:
+        assert r["image"] == int(np.float64(abs(r["value"])).view(np.int64)) * (-1 if r["value"] < 0 else 1)
+    none = ranks.with_image(spark.createDataFrame([(None,), (float("nan"),)], "value double")).collect()
+    assert [r["image"] for r in none] == [None, None]
+
+
+@pytest.mark.parametrize("most", [1, 7, 40])
+def test_ranges_are_split_until_they_are_small(spark, most):
+    """Values of a narrow range, as timestamps are: no window is larger than the bound, and the counts are exact."""
+    base = 1.7e9
+    data = [(s, "v", base + i * 0.25, 1 + i % 3) for s in ("x", None) for i in range(300)]
+    data += [("x", "v", -1e300, 2), ("x", "v", 0.0, 1), ("x", "w", 5.0, 4)]
+    counts = spark.createDataFrame(data, "segment string, variable string, value double, n long")
+    ranges = ranks.value_ranges(ranks.with_image(counts), ["n"], ["segment"], most)
+    assert len(ranges) > 1
+    for shift, leaves in ranges:
+        assert all(r["n_values"] <= most or shift == 0 for r in leaves.collect())
+    got = {(r["segment"], r["variable"], r["value"]): (r["cum_n"], r["total_n"])
+           for r in ranks.cumulative_counts(counts, ["n"], ["segment"], most).collect()}
+    assert len(got) == len(data)
+    for s, v in (("x", "v"), (None, "v"), ("x", "w")):
+        mine = sorted((x, n) for a, b, x, n in data if (a, b) == (s, v))
+        total, run = sum(n for _, n in mine), 0
+        for x, n in mine:
+            run += n
+            assert got[s, v, x] == (run, total)
+
+
+def test_drift_reads_each_side_once(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_shipdate", "l_quantity", "l_tax")
+    split = F.lit("1998-01-01").cast("date")
+    counts, nulls = drift.side_counts(rows.where(F.col("l_shipdate") < split), rows.where(F.col("l_shipdate") >= split),
+                                      ["l_quantity", "l_tax"])
+    for made in (counts, nulls):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "lineitem" not in plan and plan.count("Relation [") == 1
+    assert drift.statistics(rows.limit(0), rows, ["l_tax"]).count() <= 1
 
 
 def test_nan_counts_as_null(spark):
@@ -388,6 +427,60 @@ def test_lag_trace(spark):
     assert rows(trace.lag_trace(src, tgt, "k", "v", "t", 202501, 202502), "verdict", "n") == [("none", 1), ("previous", 5), ("process", 3)]
 
 
+def test_lag_evidence(spark):
+    src = [(202500 + m, k, float(k if k == 0 else k + 100 * m), 5.0, None if m == 2 and k == 1 else float(k * m)) for m in (1, 2, 3) for k in range(8)]
+    tgt = [(202503, k, float(k + 200), 5.0, float(k * (2 + k % 2))) for k in range(8)]
+    source = spark.createDataFrame(src, "month int, k int, a double, b double, c double")
+    target = spark.createDataFrame(tgt, "month int, k int, ta double, tb double, tc double")
+    got = trace.lag_evidence(source, target, "k", {"a": ("a", "ta"), "b": ("b", "tb"), "c": ("c", "tc")},
+                             [202501, 202502, 202503], 202503)
+    assert rows(got, "variable", "candidate", "voters", "votes", "verdict") == [
+        ("a", 202501, 7, 0, "202502"), ("a", 202502, 7, 7, "202502"), ("a", 202503, 7, 0, "202502"),
+        ("b", 202501, 0, 0, "ambiguous"), ("b", 202502, 0, 0, "ambiguous"), ("b", 202503, 0, 0, "ambiguous"),
+        ("c", 202501, 6, 0, "ambiguous"), ("c", 202502, 6, 3, "ambiguous"), ("c", 202503, 6, 3, "ambiguous")]
+    none = trace.lag_evidence(source, target.withColumn("ta", F.lit(-1.0)), "k", {"a": ("a", "ta")}, [202501, 202502], 202503)
+    assert {r["verdict"] for r in none.collect()} == {"none"}
+    empty = trace.lag_evidence(source.limit(0), target, "k", {"a": ("a", "ta")}, [202501], 202503)
+    assert rows(empty, "voters", "share", "verdict") == [(0, None, "ambiguous")]
+
+
+def test_segments_are_paired_once(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    copy = orders.where("o_orderkey % 17 <> 0").withColumn("o_totalprice", F.col("o_totalprice") + (F.col("o_orderkey") % 3) / 10)
+    report = certify.certify_segments(orders, copy, ["o_orderkey"], ["o_totalprice"], "o_orderpriority", critical=["o_totalprice"])
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2 and plan.count("ReusedExchange") >= 1
+    apart = certify.certify(orders, copy, ["o_orderkey"], ["o_totalprice"], critical=["o_totalprice"])
+    assert rows(report.where("segment = 'global'"), "check", "value", "light") == rows(apart, "check", "value", "light")
+
+
+def test_segment_pairs_with_repeated_and_missing_keys(spark):
+    base = spark.createDataFrame([(1, "s", 1.0), (1, "t", 2.0), (2, "s", 3.0), (None, "s", 4.0), (3, None, 5.0), (4, "t", 6.0)],
+                                 "k int, seg string, x double")
+    target = spark.createDataFrame([(1, "s", 1.0), (2, "t", 3.0), (None, "s", 4.0), (3, None, 5.0), (4, "t", 6.0), (4, "t", 6.0)],
+                                   "k int, seg string, x double")
+    whole, within = compare.paired_by_segment(base, target, ["k"], "seg", ["x"])
+    names = ("n_base", "n_target", "x_base", "x_target")
+    assert rows(whole, "k", *names) == rows(compare.paired(base, target, ["k"], ["x"]), "k", *names)
+    assert rows(within, "k", "seg", *names) == rows(compare.paired(base, target, ["k", "seg"], ["x"]), "k", "seg", *names)
+
+
+def test_equal_blocks_carry_no_rows(spark):
+    base = spark.range(20_000).select((F.col("id") % 4 + 202501).cast("int").alias("month"), "id", (F.col("id") * 0.5).alias("x"))
+    target = base.withColumn("x", F.when(F.col("id").isin(5, 4001), F.col("x") + 1).otherwise(F.col("x"))).where("id <> 77")
+    a, b, report = compare.differing_parts(base, target, ["id"], ["x"], "month", 16, 16)
+    assert report.count() == 64 and report.where("not same").count() <= 3
+    assert a.count() < 150 and b.count() == a.count() - 1
+    found = compare.compare_rows(a, b, ["id"], ["x"])
+    assert rows(found.where("x_eq = 0 or n_target = 0"), "id") == [(4001,), (5,), (77,)]
+    a, b, report = compare.differing_parts(base, base, ["id"], ["x"], "month", 16, 16)
+    assert a.count() == 0 and b.count() == 0 and report.where("not same").count() == 0
+    twice = base.unionByName(base.where("id = 9"))
+    a, b, _ = compare.differing_parts(base, twice, ["id"], ["x"], None, 16, 16)
+    assert b.where("id = 9").count() == 2
+
+
 # ---- models ----------------------------------------------------------------------------------
 
 
