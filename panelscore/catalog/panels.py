@@ -52,14 +52,8 @@ SELECT month, count(DISTINCT party)::bigint AS n_customers, count(*)::bigint AS
 FROM portfolio GROUP BY month
 """)
 def portfolio_by_month(spark, sf_dir):
-    p = portfolio(spark, sf_dir)
-    counts = rollup.distinct_per_group(p, ["month"], "party").select(
-        "month", F.col("n_distinct").alias("n_customers"), F.col("n_rows").alias("n_accounts"))
-    amount = rollup.month_summary(p, "month", "party", "balance").select(
-        "month", F.round("amount_millions", 6).alias("amount_millions"))
-    d = rollup.describe_by_month(p.withColumn("balance", F.col("balance").cast("double")), "month", "balance")
-    d = d.select("month", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min", "max")
-    return counts.join(amount, "month").join(d, "month")
+    out = rollup.portfolio_summary(portfolio(spark, sf_dir), "month", "party", "balance")
+    return out.withColumns({"amount_millions": F.round("amount_millions", 6), "mean": F.round("mean", 4), "std": F.round("std", 4)})
 
 
 @query("universe_canonical_id", """

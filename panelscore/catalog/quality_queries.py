@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from panelscore.catalog.mapping import CUSTOMER_PD_SQL, PORTFOLIO_SQL, customer_pd, portfolio, table
 from panelscore.catalog.registry import query
+from panelscore.functions import months as months_mod
 from panelscore.functions.months import first_day, in_months, month_key, month_list
 from panelscore.functions.scoring import PD_CUTS, bucket_labels
-from panelscore.operators import drift, profile, rollup
+from panelscore.operators import drift, profile, rollup, sketches
 from panelscore.plans import quality
-from panelscore.session import new_folder
+from panelscore.session import new_folder, staged
 from panelscore.sources import sinks
 
 COLUMNS = ["quantity", "price", "discount", "tax"]
@@ -387,3 +388,67 @@ def metric_bundle(spark, sf_dir):
     sinks.write_metrics(_job(spark, sf_dir).frames(), path)
     kinds = "segment string, n_variables long, green long, yellow long, red long"
     return spark.read.schema(kinds).json(f"{path}/kpis")
+
+
+_PROBS = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+#: Bounds of the errors: of distinct values as a share of them, of ranks as a share of the values.
+_DISTINCT_ERROR, _RANK_ERROR = 0.06, 0.025
+
+
+@query("sketch_bounds", f"""
+WITH {_LINES_SQL}, p AS ({_each('''
+SELECT '{c}' AS variable, count({c})::bigint AS n, round(100.0::double * count_if({c} IS NULL) / count(*), 6) AS null_pct,
+  round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c}) AS min, max({c}) AS max FROM lines''')})
+SELECT way, p.*, true AS distinct_within, true AS ranks_within FROM p, (SELECT unnest(['monthly state', 'one pass']) AS way)
+""")
+def sketch_bounds(spark, sf_dir):
+    """Profiles of all months merged from the monthly state, and of one approximate pass, held against exact values.
+
+    The state is written in two updates, and the last month is profiled once more.
+    """
+    lines = _lines(spark, sf_dir)
+    path, last = new_folder(spark, "state"), _last_month(spark, sf_dir)
+    months = months_mod.observed_months(table(spark, sf_dir, "lineitem"), "l_shipdate", month_key)
+    for part in (months[:-3], months[-3:], [last]):
+        sketches.update_state(lines, path, COLUMNS, part)
+    merged = sketches.merged_profile(sketches.read_state(spark, path), _PROBS)
+    passed = profile.variable_profile(lines, COLUMNS, exact=False)
+    exact = lines.agg(*[F.count_distinct(c).alias(c) for c in COLUMNS]).unpivot([], COLUMNS, "variable", "exact")
+    kept = ["variable", "n", "null_pct", "mean", "std", "min", "max", "n_distinct", *_PROBS]
+    out = None
+    for way, found in (("monthly state", merged), ("one pass", passed)):
+        found = staged(found.select(*kept), "profile")
+        errors = sketches.rank_errors(lines, found, _PROBS).select("variable", F.greatest(*_PROBS).alias("__rank"))
+        held = found.join(exact, "variable").join(errors, "variable").select(
+            F.lit(way).alias("way"), "variable", "n", F.round("null_pct", 6).alias("null_pct"), F.round("mean", 6).alias("mean"),
+            F.round("std", 6).alias("std"), "min", "max",
+            (F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), _DISTINCT_ERROR * F.col("exact"))).alias("distinct_within"),
+            (F.col("__rank") <= _RANK_ERROR).alias("ranks_within"))
+        out = held if out is None else out.unionByName(held)
+    return out
+
+
+@query("sketch_evolution", f"""
+WITH {_EVOLUTION_SQL}
+SELECT variable, month, n, round(null_pct, 6) AS null_pct, round(mean, 6) AS mean, round(std, 6) AS std FROM evo
+""")
+def sketch_evolution(spark, sf_dir):
+    """The months of the stored state, without the table they are from."""
+    path = new_folder(spark, "state")
+    months = months_mod.observed_months(table(spark, sf_dir, "lineitem"), "l_shipdate", month_key)
+    sketches.update_state(_lines(spark, sf_dir), path, COLUMNS, months)
+    out = sketches.evolution(sketches.read_state(spark, path))
+    return out.select("variable", "month", "n", *[F.round(c, 6).alias(c) for c in ("null_pct", "mean", "std")])
+
+
+@query("key_check_bounds", f"""
+WITH {PORTFOLIO_SQL}
+SELECT count_if(account IS NULL)::bigint AS null_keys, count(account)::bigint AS n_keys, true AS distinct_within FROM portfolio
+""")
+def key_check_bounds(spark, sf_dir):
+    """The approximate key check against the exact one."""
+    p = portfolio(spark, sf_dir)
+    rough = profile.key_check(p, "account", exact=False).withColumnRenamed("n_distinct", "__rough")
+    exact = profile.key_check(p, "account").select("n_distinct", F.col("n_keys").alias("__keys"))
+    both = rough.join(exact, F.col("n_keys") == F.col("__keys"))
+    return both.select("null_keys", "n_keys", (F.abs(F.col("__rough") - F.col("n_distinct")) <= 0.15 * F.col("n_distinct")).alias("distinct_within"))

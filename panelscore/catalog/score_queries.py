@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from panelscore.catalog.mapping import (CUSTOMER_PD_SQL, PORTFOLIO_SQL, customer_pd, log_odds_sql, portfolio, table)
@@ -95,7 +96,6 @@ WITH {CUSTOMER_PD_SQL}
 SELECT party, round(1 / (1 + exp(-({_linear_sql(_MODEL_A)}))), 8) AS numpd FROM customer_pd
 """)
 def vectorised_score(spark, sf_dir):
-    import numpy as np
     names = [f for f in _MODEL_A if f != models.INTERCEPT]
     weights = np.array([_MODEL_A[f] for f in names])
     bias = _MODEL_A[models.INTERCEPT]
@@ -145,3 +145,37 @@ def score_panel(spark, sf_dir):
     names = [f for f in _MODEL_A if f != models.INTERCEPT]
     out = jobs.score_panel(panel, lambda df: models.score_linear(df, _MODEL_A), names, (INTERCEPT, SLOPE))
     return out.select("month", "party", *[F.round(c, 8).alias(c) for c in ("pd_raw", "numxb", "numpd")], "numscore")
+
+
+_ROUTED_SQL = """
+c AS (SELECT c_custkey AS party, c_acctbal::double AS acctbal, c_nationkey::double AS nation,
+             CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END AS segment FROM customer),
+r AS (SELECT party, 1 AS segment_id, round(1 / (1 + exp(1.0::double + acctbal / 4000)), 8) AS pd_raw FROM c WHERE segment = 'BUILDING'
+      UNION ALL SELECT party, 2, round(nation / 50.0::double, 8) FROM c WHERE acctbal > 5000 OR segment = 'HOUSEHOLD'
+      UNION ALL SELECT party, 3, round(1 / (1 + exp(nation / 10)), 8) FROM c WHERE segment IS NOT NULL AND segment <> 'BUILDING')"""
+
+
+def _routed(spark, sf_dir, overlap):
+    segment = F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment"))
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("party"), F.col("c_acctbal").alias("acctbal"), F.col("c_nationkey").alias("nation"),
+        segment.alias("segment"))
+    by_segment = [(1, "segment = 'BUILDING'", ["acctbal"], lambda b: 1 / (1 + np.exp(1.0 + b["acctbal"] / 4000))),
+                  (2, "acctbal > 5000 or segment = 'HOUSEHOLD'", ["nation"], lambda b: b["nation"] / 50.0),
+                  (3, "segment <> 'BUILDING'", ["nation"], lambda b: 1 / (1 + np.exp(b["nation"] / 10)))]
+    out = models.score_routed(customers, by_segment, overlap)
+    return out.select("party", "segment_id", F.round("pd_raw", 8).alias("pd_raw"))
+
+
+@query("routed_models", f"""
+WITH {_ROUTED_SQL} SELECT party, min(segment_id)::int AS segment_id, arg_min(pd_raw, segment_id) AS pd_raw FROM r GROUP BY party
+""")
+def routed_models(spark, sf_dir):
+    """Three Python models in one pass; a customer goes to the first segment it is in, of which one is missing."""
+    return _routed(spark, sf_dir, "first")
+
+
+@query("routed_models_overlapping", f"WITH {_ROUTED_SQL} SELECT party, segment_id::int AS segment_id, pd_raw FROM r")
+def routed_models_overlapping(spark, sf_dir):
+    """The same with a row for each segment a customer is in."""
+    return _routed(spark, sf_dir, "all")

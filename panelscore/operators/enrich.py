@@ -117,9 +117,9 @@ def lag_snapshots(base: DataFrame, source: DataFrame, key: str, value: str, lags
 
 
 def membership(base: DataFrame, members: DataFrame, on: Sequence[str], flag: str = "is_member") -> DataFrame:
-    """Base with a 1/0 flag; ``members`` may hold duplicates."""
+    """Base with a 1/0 flag; ``members`` may hold duplicates. Rows without key are no members and are spread."""
     known = members.select(*on).distinct().withColumn(flag, F.lit(1))
-    return base.join(known, on=list(on), how="left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
+    return left_lookup(base, known, on, on, base.columns).withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
 
 
 def only_members(value: str | Column, flag: str = "is_member") -> Column:
@@ -130,5 +130,5 @@ def only_members(value: str | Column, flag: str = "is_member") -> Column:
 
 def attach_generated(master: DataFrame, scored: DataFrame, on: Sequence[str],
                      generated: Sequence[str]) -> DataFrame:
-    """Only the generated columns of a scored table, joined back to the untouched master."""
-    return master.join(scored.select(*on, *generated), on=list(on), how="left")
+    """Only the generated columns of a scored table, joined back to the untouched master. Rows without key are spread."""
+    return left_lookup(master, scored.select(*on, *generated), on, on, master.columns)

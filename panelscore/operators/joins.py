@@ -3,7 +3,7 @@
 No operator of the library forces a broadcast of a table.  Spark broadcasts a side when its own
 size estimate, or the size AQE measures at run time, is below the session threshold; everything
 else is a shuffled join.  ``broadcast`` is hinted only for relations whose row count is fixed by
-the plan (a list of months, one row per variable, a bounded list of hot keys).
+the plan (a list of months, one row per variable or segment of it).
 """
 
 from __future__ import annotations
@@ -89,7 +89,19 @@ def full_merge(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
 
 def with_side_flags(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "full",
                     flags: tuple[str, str] = ("in_left", "in_right")) -> DataFrame:
-    """Full or inner join with 1/0 flags telling on which side the key exists."""
+    """Full or inner join with 1/0 flags telling on which side the key exists.
+
+    Rows without key match nothing. An inner join drops them before the shuffle; a full join spreads those of both
+    sides by a hash of the row.
+    """
     a, b = left.withColumn(flags[0], F.lit(1)), right.withColumn(flags[1], F.lit(1))
-    return (a.join(b, on=list(on), how=how)
+    keys = list(on)
+    if how == "full":
+        missing = F.lit(False)
+        for c in keys:
+            missing = missing | F.col(c).isNull()
+        same = F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(1))
+        a, b = (s.withColumn(_SALT, F.when(missing, row_hash(s.columns)).otherwise(same)) for s in (a, b))
+        keys = [*keys, _SALT]
+    return (a.join(b, on=keys, how=how).drop(_SALT)
             .withColumns({f: F.coalesce(F.col(f), F.lit(0)) for f in flags}))

@@ -126,3 +126,36 @@ def score_segment_tables(df: DataFrame, segments: Sequence[tuple[int, Column | s
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def score_routed(df: DataFrame, models: Sequence[tuple[int, Column | str, Sequence[str], Callable[[pd.DataFrame], np.ndarray]]],
+                 overlap: str = "first", out: str = "pd_raw") -> DataFrame:
+    """Several Python models in one Arrow pass: (segment id, filter, features, predict) each.
+
+    Rows travel to Python once, with the features of all models; each batch is cut by segment, scored by the segment's
+    model and put back in order. ``overlap`` "first" gives a row to the first filter it meets, "all" returns it once for
+    every filter it meets, in order of the models. Rows that meet none, nulls in a filter included, are left out.
+    """
+    if overlap not in ("first", "all"):
+        raise ValueError("overlap must be 'first' or 'all'")
+    features = list(dict.fromkeys(f for _, _, names, _ in models for f in names))
+    require_features(df, features)
+    number = {segment_id: (list(names), predict) for segment_id, _, names, predict in models}
+    if len(number) != len(models):
+        raise ValueError("segment ids repeat")
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for batch in batches:
+            found = np.full(len(batch), np.nan)
+            for segment_id, rows in batch.groupby("__segment").indices.items():
+                names, predict = number[segment_id]
+                found[rows] = np.asarray(predict(batch[names].iloc[rows]), dtype="float64")
+            yield pd.Series(found).where(~np.isnan(found))
+
+    met = F.array_compact(F.array(*[
+        F.when(F.expr(rule) if isinstance(rule, str) else rule, F.lit(segment_id)) for segment_id, rule, _, _ in models]))
+    chosen = met if overlap == "all" else F.slice(met, 1, 1)
+    routed = df.withColumn("segment_id", F.explode(chosen))
+    packed = F.struct(F.col("segment_id").alias("__segment"), *[F.col(c).cast("double").alias(c) for c in features])
+    return routed.withColumn(out, score(packed))

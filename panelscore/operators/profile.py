@@ -181,13 +181,9 @@ def buckets_by_month(df: DataFrame, score: str, month: str = "month",
 
     ``total`` also covers values below 0, which have no bucket of their own in the report.
     """
-    counts = (df.withColumn("bucket", pd_bucket(score, cuts)).groupBy(*by, month, "bucket")
-              .agg(F.count("*").alias("n")))
     labels = bucket_labels(cuts)
-    per_month = counts.groupBy(*by, month).agg(
-        F.sum("n").alias("total"),
-        *[F.sum(F.when(F.col("bucket") == lab, F.col("n")).otherwise(0)).alias(f"__b{i}")
-          for i, lab in enumerate(labels)])
+    per_month = df.withColumn("__bucket", pd_bucket(score, cuts)).groupBy(*by, month).agg(
+        F.count("*").alias("total"), *[F.count_if(F.col("__bucket") == lab).alias(f"__b{i}") for i, lab in enumerate(labels)])
     rows = F.explode(F.array(*[F.struct(F.lit(lab).alias("bucket"), F.col(f"__b{i}").alias("n"))
                                for i, lab in enumerate(labels)]))
     return (per_month.select(*by, month, "total", rows.alias("r")).select(*by, month, "total", "r.*")

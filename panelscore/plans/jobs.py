@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,19 +25,53 @@ class MonthResult:
     error: str | None = None
 
 
-def run_months(months: Iterable[int], job: Callable[[int], int]) -> list[MonthResult]:
-    """Run a job month by month, oldest first; a failing month does not stop the others.
+def run_months(months: Iterable[int], job: Callable[[int], int], workers: int = 1, spark: SparkSession | None = None,
+               tag: str = "months", timeout: float | None = None) -> list[MonthResult]:
+    """Run a job for each month; a failing month does not stop the others. Results are in order of the months.
 
     The job returns the rows it wrote.  Months without rows count as failed.
+
+    With ``workers`` above 1 that many months run at a time, oldest first, in threads of their own; the session deals its
+    executors among them. ``spark`` is needed then: the jobs of a month have the tags ``tag`` and ``tag-month``, by which
+    ``cancel_months`` ends them, and so does ``timeout``, in seconds a month, which fails that month alone. Months of one
+    table may be replaced at the same time: each write stages its files in a folder of its own.
     """
-    out = []
-    for m in sorted(int(x) for x in months):
+    months = sorted(int(x) for x in months)
+
+    def one(m: int) -> MonthResult:
         try:
             n = job(m)
-            out.append(MonthResult(m, n, n > 0, None if n > 0 else "no rows"))
+            return MonthResult(m, n, n > 0, None if n > 0 else "no rows")
         except Exception as e:  # one month must not take the others with it
-            out.append(MonthResult(m, 0, False, f"{type(e).__name__}: {e}"))
-    return out
+            return MonthResult(m, 0, False, f"{type(e).__name__}: {e}")
+
+    if workers == 1 and timeout is None:
+        return [one(m) for m in months]
+    if spark is None:
+        raise ValueError("months that run at a time need the session")
+
+    def tagged(m: int) -> MonthResult:
+        spark.sparkContext.setInterruptOnCancel(True)  # of this thread: a cancelled task leaves its core at once
+        for name in (tag, f"{tag}-{m}"):
+            spark.sparkContext.addJobTag(name)
+        clock = threading.Timer(timeout, cancel_months, (spark, tag, m)) if timeout else None
+        try:
+            if clock:
+                clock.start()
+            return one(m)
+        finally:
+            if clock:
+                clock.cancel()
+            for name in (tag, f"{tag}-{m}"):
+                spark.sparkContext.removeJobTag(name)
+
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(tagged, months))
+
+
+def cancel_months(spark: SparkSession, tag: str = "months", month: int | None = None) -> None:
+    """Ends the running Spark jobs of one month, or of all; their months fail, months not begun yet still run."""
+    spark.sparkContext.cancelJobsWithTag(tag if month is None else f"{tag}-{int(month)}")
 
 
 def results_frame(spark: SparkSession, results: Sequence[MonthResult]) -> DataFrame:
@@ -44,20 +80,20 @@ def results_frame(spark: SparkSession, results: Sequence[MonthResult]) -> DataFr
 
 
 def backfill(build: Callable[[int], DataFrame], path: str, last: int, history: int,
-             month: str = "month") -> list[MonthResult]:
+             month: str = "month", workers: int = 1, spark: SparkSession | None = None) -> list[MonthResult]:
     """Build and replace ``last`` and the ``history`` months before it."""
-    return run_months(months_back(last, history), lambda m: sinks.replace_month(build(m), path, m, month))
+    return run_months(months_back(last, history), lambda m: sinks.replace_month(build(m), path, m, month), workers, spark)
 
 
 def rebuild_missing(spark: SparkSession, path: str, required: Sequence[int], build: Callable[[int], DataFrame],
-                    month: str = "month") -> list[MonthResult]:
+                    month: str = "month", workers: int = 1) -> list[MonthResult]:
     """Find the required months without rows and rebuild everything between the first and the last."""
     if exists(spark, path):
         present = months_present(spark.read.parquet(path), month)
         months = control.rebuild_range(control.missing_months(present, required))
     else:
         months = sorted(required)
-    return run_months(months, lambda m: sinks.replace_month(build(m), path, m, month))
+    return run_months(months, lambda m: sinks.replace_month(build(m), path, m, month), workers, spark)
 
 
 def score_panel(panel: DataFrame, predict: Callable[[DataFrame], DataFrame], features: Sequence[str],

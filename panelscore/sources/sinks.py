@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelscore.sources.tables import exists
@@ -19,7 +20,12 @@ from panelscore.sources.tables import exists
 def _schema_check(spark: SparkSession, df: DataFrame, path: str, allow_new: bool, fmt: str) -> None:
     if not exists(spark, path):
         return
-    old = {f.name: f.dataType for f in spark.read.format(fmt).load(path).schema.fields}
+    try:
+        old = {f.name: f.dataType for f in spark.read.format(fmt).load(path).schema.fields}
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return  # a folder without files yet: another month is being written for the first time
     new = {f.name: f.dataType for f in df.schema.fields}
     wrong = [c for c in new if c in old and old[c] != new[c]]
     absent = [c for c in old if c not in new]
@@ -28,6 +34,11 @@ def _schema_check(spark: SparkSession, df: DataFrame, path: str, allow_new: bool
         raise ValueError(f"schema differs from {path}: type {wrong}, absent {absent}, new {added}")
 
 
+#: What a write can observe of its rows.
+MEASURES = {"n_rows": lambda month: F.count(F.lit(1)), "first_month": lambda month: F.min(month),
+            "last_month": lambda month: F.max(month), "n_null_month": lambda month: F.count_if(F.col(month).isNull())}
+
+
 def balanced(df: DataFrame, month: str) -> DataFrame:
     """Rows gathered by month for writing.  AQE splits a month that is too large for one file and
     merges small ones, where a fixed number of partitions would do neither."""
@@ -35,9 +46,13 @@ def balanced(df: DataFrame, month: str) -> DataFrame:
 
 
 def write_months(df: DataFrame, path: str, month: str = "month", mode: str = "replace",
-                 allow_new_columns: bool = True, balance: bool = True, fmt: str = "parquet") -> None:
+                 allow_new_columns: bool = True, balance: bool = True, fmt: str = "parquet",
+                 observed: Observation | None = None) -> None:
     """Write by month.
 
+    ``observed`` collects ``MEASURES`` of the rows while they are written. They are measured in the last stage, after the
+    rows are dealt out, where a task that is run again counts once.
+
     mode "replace"  months present in ``df`` are replaced, all others stay
          "append"   rows are added
          "all"      the table is replaced as a whole, schema included
@@ -46,6 +61,8 @@ def write_months(df: DataFrame, path: str, month: str = "month", mode: str = "re
     if mode != "all":
         _schema_check(spark, df, path, allow_new_columns, fmt)
     rows = balanced(df, month) if balance else df
+    if observed is not None:
+        rows = rows.observe(observed, *[build(month).alias(name) for name, build in MEASURES.items()])
     writer = rows.write.format(fmt).partitionBy(month)
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -65,35 +82,24 @@ def drop_month(spark: SparkSession, path: str, month: str, value: int) -> bool:
     return bool(fs.delete(folder, True))
 
 
-def _files(spark: SparkSession, folder: str) -> set[str]:
-    """Names of the data files of one month; every write job uses new names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return set()
-    return {f.getPath().getName() for f in fs.listStatus(path) if not f.getPath().getName().startswith(("_", "."))}
-
-
 def replace_month(df: DataFrame, path: str, value: int, month: str = "month",
                   allow_new_columns: bool = True) -> int:
     """Replace exactly one month and return the rows written.
 
     A row of another month fails the job before anything is committed.  An empty result removes
-    the old month, which a partition overwrite alone would leave in place.
+    the old month, which a partition overwrite alone would leave in place.  Rows are counted by the
+    job that writes them; nothing is read again.
     """
     wrong = F.raise_error(F.concat(F.lit(f"row outside month {value}: "),
                                    F.coalesce(F.col(month).cast("string"), F.lit("null"))))
     guarded = df.withColumn(month, F.when(F.col(month) == F.lit(int(value)), F.col(month).cast("int"))
                             .otherwise(wrong.cast("int")))
-    spark, folder = df.sparkSession, f"{path}/{month}={int(value)}"
-    before = _files(spark, folder)
-    write_months(guarded, path, month, "replace", allow_new_columns)
-    after = _files(spark, folder)
-    if not after - before:
-        if after:
-            drop_month(spark, path, month, value)
-        return 0
-    return spark.read.parquet(folder).count()
+    observed = Observation()
+    write_months(guarded, path, month, "replace", allow_new_columns, observed=observed)
+    rows = observed.get["n_rows"]
+    if not rows:
+        drop_month(df.sparkSession, path, month, value)
+    return rows
 
 
 def stage(df: DataFrame, path: str, month: str | None = None) -> DataFrame:

@@ -36,6 +36,53 @@ def test_replace_month_rejects_other_months(spark, months, tmp_path):
     assert spark.read.parquet(path).agg(F.sum("x")).first()[0] == 30.0
 
 
+def test_writes_are_observed(spark, months, tmp_path):
+    from pyspark.sql import Observation
+    path, seen = str(tmp_path / "t"), Observation()
+    sinks.write_months(months, path, observed=seen)
+    assert seen.get == {"n_rows": 15, "first_month": 202411, "last_month": 202501, "n_null_month": 0}
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    assert sinks.replace_month(months.filter("month = 202412"), path, 202412) == 5
+    # the write with the shuffle before it, and nothing that reads the month again
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before <= 3
+
+
+def test_months_at_a_time(spark, months, tmp_path):
+    path = str(tmp_path / "t")
+    spread = spark.range(600).select((F.col("id") % 6 + 202501).cast("int").alias("month"), "id")
+
+    def job(m):
+        rows = tables.month_slice(spread, "month", m)
+        if m == 202503:
+            rows = rows.withColumn("id", F.raise_error(F.lit("broken")).cast("long"))
+        return sinks.replace_month(rows, path, m)
+
+    wanted = [202506, 202501, 202503, 202502, 202505, 202504, 202509]
+    serial = jobs.run_months(wanted, job)
+    assert [(r.month, r.rows, r.ok) for r in serial] == [
+        (202501, 100, True), (202502, 100, True), (202503, 0, False), (202504, 100, True), (202505, 100, True),
+        (202506, 100, True), (202509, 0, False)]
+    first = counts(spark, path)
+    path = str(tmp_path / "u")
+    together = jobs.run_months(wanted, job, workers=4, spark=spark)
+    assert [(r.month, r.rows, r.ok) for r in together] == [(r.month, r.rows, r.ok) for r in serial]
+    assert counts(spark, path) == first and "broken" in together[2].error
+    with pytest.raises(ValueError):
+        jobs.run_months(wanted, job, workers=4)
+
+
+def test_a_slow_month_is_cancelled_alone(spark):
+    def job(m):
+        rows = spark.range(100, numPartitions=1)
+        if m == 202502:
+            import time
+            rows = rows.mapInPandas(lambda batches: (time.sleep(40) or b for b in batches), "id long")
+        return rows.count()
+
+    found = jobs.run_months([202501, 202502, 202503], job, workers=2, spark=spark, timeout=15)
+    assert [r.ok for r in found] == [True, False, True]
+
+
 def test_write_modes_and_schema_drift(spark, months, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_months(months, path, mode="all")

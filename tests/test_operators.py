@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelscore.operators import (arrears, certify, compare, densify, drift, enrich, joins, models, profile, ranks,
+from panelscore.operators import (arrears, certify, compare, densify, drift, enrich, joins, models, profile, ranks, sketches,
                                   relations, rollup, shape, trace)
 
 
@@ -499,3 +499,60 @@ def test_models(spark):
     assert rows(seg, "k", "segment_id") == [(1, 1), (2, 2)]
     parts = models.score_segment_tables(df, [(1, "k = 1"), (2, "k >= 1")], lambda i, d: d.withColumn("p", F.lit(i)))
     assert rows(parts, "k", "segment_id", "p") == [(1, 1, 1), (1, 2, 2), (2, 2, 2)]
+
+
+def test_routed_models(spark):
+    data = [(i, "s" if i % 3 == 0 else None if i % 3 == 1 else "t", float(i), float(-i)) for i in range(30)]
+    df = spark.createDataFrame(data, "k int, seg string, a double, b double").repartition(3)
+    by_segment = [(7, "seg = 's'", ["a"], lambda x: x["a"] * 2), (3, "a >= 15", ["b", "a"], lambda x: x["b"] + x["a"] / 2)]
+    first = dict((r["k"], (r["segment_id"], r["pd_raw"])) for r in models.score_routed(df, by_segment).collect())
+    assert first == {i: (7, i * 2.0) if i % 3 == 0 else (3, -i / 2) for i in range(30) if i % 3 == 0 or i >= 15}
+    every = models.score_routed(df, by_segment, "all")
+    assert sorted(rows(every, "k", "segment_id")) == sorted([(i, 7) for i in range(0, 30, 3)] + [(i, 3) for i in range(15, 30)])
+    assert models.score_routed(df.limit(0), by_segment).count() == 0
+    with pytest.raises(ValueError):
+        models.score_routed(df, [*by_segment, by_segment[0]])
+
+
+def test_sketch_state_by_month(spark, tmp_path):
+    rnd = np.random.default_rng(2)
+    data = [(202501 + i % 3, "s" if i % 4 else None, None if i % 10 == 0 else float(rnd.normal(1e6, 1)), float(i % 50)) for i in range(3000)]
+    df = spark.createDataFrame(data, "month int, seg string, x double, y double")
+    path = str(tmp_path / "state")
+    sketches.update_state(df, path, ["x", "y"], [202501, 202502], by=["seg"])
+    before = {(r["month"], r["seg"], r["variable"]): r for r in sketches.read_state(spark, path).collect()}
+    sketches.update_state(df, path, ["x", "y"], [202502], by=["seg"])
+    again = {(r["month"], r["seg"], r["variable"]): r for r in sketches.read_state(spark, path).collect()}
+    assert before.keys() == again.keys() and {k[0] for k in again} == {202501, 202502}
+    assert all(before[k][c] == again[k][c] for k in again for c in ("n_rows", "n", "n_zero", "mean", "m2", "min", "max"))
+    sketches.update_state(df, path, ["x", "y"], [202503], by=["seg"])
+    whole = {(r["seg"], r["variable"]): r for r in sketches.merged_profile(sketches.read_state(spark, path), {"p50": 0.5}, ["seg"]).collect()}
+    for seg in ("s", None):
+        for at, name in ((2, "x"), (3, "y")):
+            v = np.array([r[at] for r in data if r[1] == seg and r[at] is not None])
+            got = whole[seg, name]
+            assert got["n"] == len(v) and got["min"] == v.min() and got["max"] == v.max()
+            assert got["mean"] == pytest.approx(v.mean(), rel=1e-12) and got["std"] == pytest.approx(v.std(ddof=1), rel=1e-9)
+            assert abs(got["n_distinct"] - len(set(v))) <= 0.06 * len(set(v)) + 1
+            assert abs((v <= got["p50"]).mean() - 0.5) < 0.05 or (v < got["p50"]).mean() <= 0.5 <= (v <= got["p50"]).mean()
+
+
+def test_rows_without_key_are_spread_in_every_join(spark):
+    left = spark.range(2000).select(F.when(F.col("id") < 500, F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.range(400, 1400).select(F.when(F.col("id") < 700, F.col("id")).alias("k"), F.col("id").alias("w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        full = joins.with_side_flags(left, right, ["k"])
+        assert full.count() == 2000 + 1000 - 100
+        assert full.where("in_left = 1 and in_right = 1").count() == 100
+        part = enrich.membership(left, right, ["k"])
+        assert part.count() == 2000 and part.where("is_member = 1").count() == 100
+        back = enrich.attach_generated(left, right.where("k is not null"), ["k"], ["w"])
+        assert back.count() == 2000 and back.where("w is not null").count() == 100
+        for df in (full, part, back):
+            sizes = [r["count"] for r in df.where("k is null").groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
