@@ -34,9 +34,9 @@ def side_counts(base: DataFrame, current: DataFrame, columns: Sequence[str],
     both = b.unionByName(current.select(*by, *columns).withColumn("__side", F.lit(1)))
     sides = {"b": F.lit(1) - F.col("__side"), "c": F.col("__side")}
     long = ranks.melt(both, columns, [*by, "__side"])
-    every = staged(long.withColumns(sides).groupBy(*by, "variable", "value").agg(
-        F.sum("b").alias("b"), F.sum("c").alias("c")), "drift-counts")
-    return every.where("value is not null"), every.where("value is null").drop("value")
+    every = staged(ranks.with_image(long.withColumns(sides).groupBy(*by, "variable", "value").agg(
+        F.sum("b").alias("b"), F.sum("c").alias("c"))), "drift-counts")
+    return every.where("value is not null"), every.where("value is null").drop("value", "image")
 
 
 def _share(n: str, total: str) -> Column:

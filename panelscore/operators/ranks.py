@@ -4,11 +4,11 @@ A cumulative count over all values of a variable would put the variable into one
 are counted with map-side combine, and a range of values is split again while it holds too many of them:
 
 * A double has an image, a signed 64-bit number in the same order: its bit pattern.
-* The first ranges are those of sign and exponent. A histogram over the ranges tells how many values each one holds. Ranges
+* The first ranges are those of sign, exponent and six more bits. A histogram over the ranges tells how many values each one holds. Ranges
   above ``MOST_VALUES`` are split by the next ``DIGIT`` bits, with a histogram over their parts alone, until none is left
-  that is too large; after six rounds a range is a single value.
+  that is too large; in the sixth round a range is a single value.
 * The ranges form a tree. A part's offset is that of the range it is from and the parts before it, so a window over
-  ranges has 2**DIGIT rows at most (4096 in the first round), and one over values ``MOST_VALUES``, whatever the
+  ranges has 2**DIGIT rows at most (2**18 in the first round), and one over values ``MOST_VALUES``, whatever the
   distribution: timestamps of one month, large ids and scores near 1 are cut as finely as they need.
 
 Nothing is sampled; of the data the driver learns only whether a range is left to split.
@@ -26,7 +26,8 @@ from panelscore.session import staged
 #: Distinct values of a range that is not split again, and the bits of a split.
 MOST_VALUES = 100_000
 DIGIT = 10
-_FRACTION = 52
+#: Bits of a double below its exponent, and those below the first ranges: 64 ranges an octave.
+_FRACTION, FIRST_SHIFT = 52, 46
 
 
 def melt(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
@@ -45,16 +46,16 @@ def with_image(df: DataFrame, value: str = "value", name: str = "image") -> Data
     plain = F.when((size >= least) & (size < float("inf")), size).otherwise(1.0)
     made = df.withColumn("__size", plain).withColumn(
         "__e", F.greatest(F.least(F.floor(F.log2("__size")), F.lit(1023)), F.lit(-1022)))
+    made = made.withColumn("__part", F.col("__size") / F.pow(F.lit(2.0), F.col("__e")))
     # the logarithm may be off by one beside a power of two
-    for _ in range(2):
-        part = F.col("__size") / F.pow(F.lit(2.0), F.col("__e"))
-        made = made.withColumn("__e", F.col("__e") + F.when(part >= 2, 1).when(part < 1, -1).otherwise(0))
-    part = F.col("__size") / F.pow(F.lit(2.0), F.col("__e")) - 1
-    normal = (F.col("__e") + 1023) * (1 << _FRACTION) + (part * float(1 << _FRACTION)).cast("long")
+    over, under = F.col("__part") >= 2, F.col("__part") < 1
+    part = F.col("__part") * F.when(over, 0.5).when(under, 2.0).otherwise(1.0) - 1
+    exponent = F.col("__e") + F.when(over, 1).when(under, -1).otherwise(0) + 1023
+    normal = exponent * (1 << _FRACTION) + (part * float(1 << _FRACTION)).cast("long")
     tiny = (F.when(size < least, size).otherwise(0.0) / 5e-324).cast("long")
     bits = F.when(size == float("inf"), F.lit(2047 << _FRACTION)).when(size < least, tiny).otherwise(normal)
     signed = F.when(F.col(value) < 0, -bits).when(F.col(value).isNotNull() & ~F.isnan(value), bits)
-    return made.withColumn(name, signed).drop("__size", "__e")
+    return made.withColumn(name, signed).drop("__size", "__e", "__part")
 
 
 def _start(shift: int) -> Column:
@@ -93,7 +94,7 @@ def value_ranges(counts: DataFrame, names: Sequence[str], by: Sequence[str] = ()
     ``total_`` of the variable. ``counts`` has an ``image`` and is read once a round.
     """
     names, group = list(names), [*by, "variable"]
-    shift, found, heavy = _FRACTION, [], None
+    shift, former, found, heavy = FIRST_SHIFT, FIRST_SHIFT, [], None
     while True:
         rows = counts.withColumn("start", _start(shift))
         if heavy is None:
@@ -101,9 +102,8 @@ def value_ranges(counts: DataFrame, names: Sequence[str], by: Sequence[str] = ()
         else:
             inside = _named(heavy.select(*group, "start", *[f"o_{n}" for n in names], *[f"total_{n}" for n in names]),
                             [*group, "start"], "__p_")
-            former = _start(min(shift + DIGIT, _FRACTION))
             kept = [f"o_{n}" for n in names] + [f"total_{n}" for n in names]
-            rows = rows.withColumn("__former", former).join(
+            rows = rows.withColumn("__former", _start(former)).join(
                 inside, _same(group, "__p_") & (F.col("__former") == F.col("__p_start")))
             sums = rows.groupBy(*group, "__former", *kept, "start")
         sums = sums.agg(F.count("*").alias("n_values"), *[F.sum(n).alias(n) for n in names])
@@ -120,17 +120,17 @@ def value_ranges(counts: DataFrame, names: Sequence[str], by: Sequence[str] = ()
         heavy = ranges.where(large)
         if not shift or heavy.isEmpty():
             return found
-        shift = max(0, shift - DIGIT)
+        shift, former = max(0, shift - DIGIT), shift
 
 
 def cumulative_counts(counts: DataFrame, names: Sequence[str], by: Sequence[str] = (),
                       most: int = MOST_VALUES) -> DataFrame:
     """``value_counts`` plus a ``cum_`` count and a ``total_`` per weight, in the order of the values.
 
-    ``counts`` is read several times; callers stage it.
+    Counts with an ``image`` are staged already; others are staged here, since they are read several times.
     """
     names, group = list(names), [*by, "variable"]
-    imaged = with_image(counts)
+    imaged = counts if "image" in counts.columns else staged(with_image(counts), "value-counts")
     parts = []
     for shift, ranges in value_ranges(imaged, names, by, most):
         inside = Window.partitionBy(*group, "start").orderBy("value").rowsBetween(
@@ -166,7 +166,7 @@ def quantile_parts(probs: Mapping[str, float], weight: str = "n") -> tuple[list[
 def exact_quantiles(counts: DataFrame, probs: Mapping[str, float], weight: str = "n",
                     by: Sequence[str] = ()) -> DataFrame:
     """One row per segment and variable: the quantiles and ``n_distinct``."""
-    rows = cumulative_counts(staged(counts, "value-counts"), [weight], by)
+    rows = cumulative_counts(counts, [weight], by)
     aggs, out = quantile_parts(probs, weight)
     return (rows.groupBy(*by, "variable").agg(*aggs, F.count("*").alias("n_distinct"))
             .select(*by, "variable", "n_distinct", *[c.alias(n) for n, c in out.items()]))

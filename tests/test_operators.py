@@ -270,6 +270,8 @@ def test_ranges_are_split_until_they_are_small(spark, most):
     base = 1.7e9
     data = [(s, "v", base + i * 0.25, 1 + i % 3) for s in ("x", None) for i in range(300)]
     data += [("x", "v", -1e300, 2), ("x", "v", 0.0, 1), ("x", "w", 5.0, 4)]
+    bits = np.array([3.0]).view(np.int64)[0]  # neighbours differ in the last bit
+    data += [("x", "u", float(np.array([bits + i]).view(float)[0]), 1) for i in range(12)]
     counts = spark.createDataFrame(data, "segment string, variable string, value double, n long")
     ranges = ranks.value_ranges(ranks.with_image(counts), ["n"], ["segment"], most)
     assert len(ranges) > 1
@@ -278,7 +280,7 @@ def test_ranges_are_split_until_they_are_small(spark, most):
     got = {(r["segment"], r["variable"], r["value"]): (r["cum_n"], r["total_n"])
            for r in ranks.cumulative_counts(counts, ["n"], ["segment"], most).collect()}
     assert len(got) == len(data)
-    for s, v in (("x", "v"), (None, "v"), ("x", "w")):
+    for s, v in (("x", "v"), (None, "v"), ("x", "w"), ("x", "u")):
         mine = sorted((x, n) for a, b, x, n in data if (a, b) == (s, v))
         total, run = sum(n for _, n in mine), 0
         for x, n in mine:
