@@ -219,8 +219,8 @@ def test_trie_unusual_rows(spark):
     want = brute_trie({7: [("0", 0), ("x", 1), ("x", 1)], 8: [("0", 0), ("x", 1)], 9: [("b", 100_000)], 10: [("ab:", 0)],
                        11: [("a:b", 1)]})
     assert found_trie(turns, convs) == as_sorted(want)
-    assert found_trie(turns.where("false"), convs.where("false")) == []
-    alone = found_trie(turns.where("false"), convs.where("conv = 7"))
+    assert found_trie(turns.where("false"), convs.where("false"), batches=1) == []
+    alone = found_trie(turns.where("false"), convs.where("conv = 7"), batches=1)
     assert alone == [(7, 0, None, 1, 0, 1, 0, hashlib.sha256(b"7").hexdigest())]
 
 
