@@ -101,18 +101,6 @@ def distinct_per_group(df: DataFrame, group: Sequence[str], column: str) -> Data
                                      F.count(column).alias("n_distinct"))
 
 
-def portfolio_summary(df: DataFrame, month: str, party: str, amount: str) -> DataFrame:
-    """Customers, accounts, total in millions and spread of the amount per month, in one aggregate over one reading.
-
-    Spark combines by (month, customer) first, since one measure is a distinct count: a frequent customer is one row.
-    """
-    value = F.col(amount).cast("double")
-    return df.groupBy(month).agg(
-        F.count_distinct(party).alias("n_customers"), F.count("*").alias("n_accounts"),
-        (F.sum(amount).cast("double") / F.lit(1e6)).alias("amount_millions"), F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
-
-
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
                     spread_by: Sequence[str], salts: int = 64) -> DataFrame:
     """First ``n`` rows of each group.
