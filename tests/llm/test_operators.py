@@ -3,6 +3,7 @@
 import itertools
 import math
 import re
+import statistics
 import zlib
 from collections import Counter
 
@@ -438,6 +439,52 @@ def test_quotas_are_exact(spark):
     assert dict(sources) == quotas and max(shards.values()) - min(shards.values()) <= 1 and len(shards) == 8
 
 
+def test_tree_is_dealt_over_tasks(spark):
+    quotas = {1: 40_000, 2: 9_000, 3: 13}
+    frame = spark.createDataFrame(list(quotas.items()), "number int, n long")
+    split = mixing.split_quotas(frame, 8)
+    assert split.rdd.getNumPartitions() > 8
+    rows, shards, sources = split.collect(), Counter(), Counter()
+    for r in rows:
+        shards[r["shard"]] += r["n"]
+        sources[r["number"]] += r["n"]
+    assert dict(sources) == quotas and len(shards) == 256 and max(shards.values()) - min(shards.values()) <= 1
+
+
+def test_draws_among_many_follow_the_distribution(spark):
+    n = 20_000_000
+    frame = spark.range(1, 10).select(mixing.hypergeometric(
+        F.lit(2 * n).cast("long"), F.lit(n).cast("long"), F.lit(n).cast("long"), F.col("id") / 10).alias("x"))
+    got, sd = sorted(r["x"] for r in frame.collect()), math.sqrt(n / 8)
+    assert got == pytest.approx([n / 2 + sd * statistics.NormalDist().inv_cdf(u / 10) for u in range(1, 10)], abs=3)
+
+
+def test_running_sums_match_one_window(spark):
+    rows = [(i % 3, i, f"{(i * 7919) % 65536:04x}" if i % 5 else "00ff", i) for i in range(3000)]
+    got = mixing._running(spark.createDataFrame(rows, "number int, block long, turn string, n long"), "turn", "n", "block")
+    want, sums = {}, Counter()
+    for number, block, turn, n in sorted(rows, key=lambda r: (r[0], r[2], r[1])):
+        want[number, block] = sums[number]
+        sums[number] += n
+    assert {(r["number"], r["block"]): r["before"] for r in got.collect()} == want
+
+
+def test_more_blocks_than_4096_and_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MIN_SHARDS", 512)
+    rows = spark.range(12_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("a b "), F.col("id")).alias("text"),
+        F.when(F.col("id") % 2 == 0, F.lit("s")).alias("source"))
+    dealt = mixing.deal(rows, block_docs=1).collect()
+    shards = Counter(s for r in dealt for s in r["shards"])
+    assert sum(r["taken"] for r in dealt) == pytest.approx(1.5 * 36_000, abs=2)
+    assert len(shards) == 512 and max(shards.values()) < 60
+    mixed = mixing.mix(rows, block_docs=1)
+    want = Counter()
+    for r in dealt:
+        want[r["doc_id"] is None, r["source"]] += len(r["shards"])
+    assert Counter((r["doc_id"] is None, r["source"]) for r in mixed.select("doc_id", "source").collect()) == want
+
+
 def test_mix_meets_targets(docs):
     rows = mixing.deal(docs).collect()
     assert sorted(map(repr, rows)) == sorted(map(repr, mixing.deal(docs).collect()))
@@ -459,7 +506,10 @@ def test_mix_unusual_rows(odd, empty):
     rows = mixing.deal(odd).collect()
     assert len(rows) == 10 and sum(r["taken"] for r in rows) == pytest.approx(1.5 * sum(r["size"] for r in rows), abs=3)
     assert {r["size"] for r in rows if r["doc_id"] in (1, 2, 3)} == {0}
-    assert mixing.mix(odd).columns == odd.columns and mixing.mix(odd).count() > 0
+    mixed = mixing.mix(odd)
+    assert mixed.columns == odd.columns and {r["row"] for r in mixed.collect()} == {1}
+    want = Counter(r["doc_id"] for r in rows for _ in r["shards"])
+    assert Counter(r["doc_id"] for r in mixed.collect()) == want and want[None] > 0
     assert mixing.deal(empty).count() == 0 and mixing.mix(empty).count() == 0
 
 
