@@ -43,16 +43,18 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
-#: The tool of the conversations: each turn of a user calls it, and the turn after it by the assistant is the result.
+#: The tool of the conversations: each turn of a user calls it, the turn after it by the assistant is the result, and the
+#: next turn of the user refers to that result.
 REPLY = {"reply": {"text": ("string", True), "turn": ("integer", True)}}
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _table(spark, sf_dir, "conversations").where("conv_id is not null and turn is not null")
+    """One row a turn. Turns without conversation or number have no identifier and are linked to nothing."""
+    turns = _table(spark, sf_dir, "conversations")
     name = F.concat(F.lit("call_"), F.col("conv_id"), F.lit("_"))
     calls = turns.where("role = 'user'").select(
         "conv_id", F.col("turn").alias("place"), F.concat(name, "turn").alias("call_id"), F.lit("reply").alias("name"),
-        F.to_json(F.struct("turn", "text")).alias("arguments"), F.lit(None).cast("string").alias("refers_to"))
+        F.to_json(F.struct("turn", "text")).alias("arguments"), F.concat(name, F.col("turn") - 2).alias("refers_to"))
     results = turns.where("role = 'assistant'").select(
         "conv_id", F.col("turn").alias("place"), F.concat(name, F.col("turn") - 1).alias("call_id"),
         F.col("text").alias("content"))
@@ -66,35 +68,34 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.unionByName(others)
 
 
+#: A turn never comes before what it refers to here, since its number is higher: places stay, levels are 0.
 OP5_SQL = """
-WITH turns AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
-calls AS (SELECT conv_id, turn AS place, 'call_' || conv_id || '_' || turn AS call_id, text
-          FROM turns WHERE role = 'user'),
+WITH calls AS (SELECT conv_id, turn AS place, 'call_' || conv_id || '_' || turn AS call_id, text
+               FROM conversations WHERE role = 'user'),
 results AS (SELECT conv_id, turn AS place, 'call_' || conv_id || '_' || (turn - 1) AS call_id, text
-            FROM turns WHERE role = 'assistant'),
-nc AS (SELECT conv_id, call_id, count(*) AS n_calls, min(place) AS call_place FROM calls GROUP BY ALL),
+            FROM conversations WHERE role = 'assistant'),
+nc AS (SELECT conv_id, call_id, count(*) AS n_calls FROM calls GROUP BY ALL),
 nr AS (SELECT conv_id, call_id, count(*) AS n_results FROM results GROUP BY ALL)
 SELECT c.conv_id, c.place AS turn, c.place AS sort_place, CAST(0 AS INTEGER) AS level, 'call' AS kind, c.call_id,
-       CASE WHEN n_calls > 1 OR coalesce(n_results, 0) > 1 THEN 'repeated' WHEN n_results IS NULL THEN 'unanswered'
-            ELSE 'linked' END AS status,
-       CASE WHEN c.text IS NULL THEN 'missing text' ELSE '' END AS errors,
-       '{"role":"assistant","tool_calls":[{"arguments":{' || coalesce('"text":' || to_json(c.text) || ',', '')
-       || '"turn":' || c.place || '},"id":' || to_json(c.call_id) || ',"name":"reply"}]}' AS json
-FROM calls c JOIN nc USING (conv_id, call_id) LEFT JOIN nr USING (conv_id, call_id)
+       CASE WHEN coalesce(n_calls, 0) > 1 OR coalesce(n_results, 0) > 1 THEN 'repeated'
+            WHEN n_results IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+       concat_ws('; ', CASE WHEN c.text IS NULL THEN 'missing text' END, CASE WHEN c.place IS NULL THEN 'missing turn' END)
+       AS errors,
+       '{"role":"assistant","tool_calls":[{"arguments":{'
+       || concat_ws(',', '"text":' || to_json(c.text), '"turn":' || c.place) || '}'
+       || coalesce(',"id":' || to_json(c.call_id), '') || ',"name":"reply"}]}' AS json
+FROM calls c LEFT JOIN nc USING (conv_id, call_id) LEFT JOIN nr USING (conv_id, call_id)
 UNION ALL
-SELECT r.conv_id, r.place, greatest(r.place, coalesce(call_place, r.place)),
-       CAST(CASE WHEN call_place >= r.place THEN 1 ELSE 0 END AS INTEGER), 'result', r.call_id,
-       CASE WHEN coalesce(n_calls, 0) > 1 OR n_results > 1 THEN 'repeated' WHEN n_calls IS NULL THEN 'orphan'
-            ELSE 'linked' END,
-       '', '{' || coalesce('"content":' || to_json(r.text) || ',', '') || '"role":"tool","tool_call_id":'
-       || to_json(r.call_id) || '}'
-FROM results r JOIN nr USING (conv_id, call_id) LEFT JOIN nc USING (conv_id, call_id)
+SELECT r.conv_id, r.place, r.place, CAST(0 AS INTEGER), 'result', r.call_id,
+       CASE WHEN coalesce(n_calls, 0) > 1 OR coalesce(n_results, 0) > 1 THEN 'repeated'
+            WHEN n_calls IS NULL THEN 'orphan' ELSE 'linked' END,
+       '', '{' || concat_ws(',', '"content":' || to_json(r.text), '"role":"tool"', '"tool_call_id":' || to_json(r.call_id))
+       || '}'
+FROM results r LEFT JOIN nr USING (conv_id, call_id) LEFT JOIN nc USING (conv_id, call_id)
 UNION ALL
 SELECT conv_id, turn, turn, CAST(0 AS INTEGER), 'message', NULL, 'plain', '',
-       '{' || coalesce('"content":' || to_json(text), '')
-       || CASE WHEN text IS NOT NULL AND role IS NOT NULL THEN ',' ELSE '' END
-       || coalesce('"role":' || to_json(role), '') || '}'
-FROM turns WHERE role IS NULL OR role NOT IN ('user', 'assistant')
+       '{' || concat_ws(',', '"content":' || to_json(text), '"role":' || to_json(role)) || '}'
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
 """
 
 

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 import re
 import statistics
 import zlib
@@ -12,6 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from panelscore.llm import queries as llm_queries
 from panelscore.llm import (chat, common, language, lm, mixing, passages, pieces, quality, search, simhash, toxicity)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -276,6 +278,92 @@ def test_chat_links_and_orders(spark):
     assert order[2, "call", 0] == (0, 0, 0)
 
 
+def sorted_out(messages):
+    """(sort_place, level) by following the references of each message one by one."""
+    first = {}
+    for conv, kind, call, place, to in sorted(messages, key=lambda m: (m[3], m[4] or "")):
+        first.setdefault((conv, kind, call), (place, to))
+    other = {"call": "result", "result": "call"}
+
+    def target(conv, kind, to):
+        key = (conv, other[kind], to)
+        return key if to is not None and key in first else None
+
+    def circular(key):
+        seen, at = set(), key
+        while at is not None and at not in seen:
+            seen.add(at)
+            at = target(at[0], at[1], first[at][1])
+            if at == key:
+                return True
+        return False
+
+    found = {}
+    for conv, kind, call, place, to in messages:
+        own, places = (conv, kind, call), [place]
+        stop = circular(own) and first[own] == (place, to)
+        at = None if stop else target(conv, kind, to)
+        while at is not None:
+            places.append(first[at][0])
+            at = None if circular(at) else target(at[0], at[1], first[at][1])
+        latest = max(places)
+        found[conv, kind, call, place, to] = (latest, max(i for i, p in enumerate(places) if p == latest), stop)
+    return found
+
+
+CHAT = "conv_id long, kind string, call_id string, place long, refers_to string, status string"
+
+
+def test_chat_chains_of_any_length_and_circles(spark):
+    rng = random.Random(5)
+    messages = [(1, "call", f"c{i}", 600 - 2 * i, f"c{i - 1}" if i else None) for i in range(300)]  # logged in reverse
+    messages += [(1, "result", f"c{i}", 601 - 2 * i, f"c{i}") for i in range(300)]
+    for conv in range(2, 30):  # random references: circles, tails that lead to them, repeated identifiers, no targets
+        for place in range(40):
+            kind = rng.choice(["call", "result"])
+            call = f"c{rng.randrange(15)}"
+            messages.append((conv, kind, call, place, call if kind == "result" else rng.choice([None, f"c{rng.randrange(17)}"])))
+    frame = common.session(spark).createDataFrame([(*m, "linked") for m in messages], CHAT)
+    want = sorted_out(messages)
+    rows = chat.ordered(frame).collect()
+    assert len(rows) == len(messages)
+    for r in rows:
+        got = (r["sort_place"], r["level"], r["status"] == "circular")
+        assert got == want[r["conv_id"], r["kind"], r["call_id"], r["place"], r["refers_to"]]
+    # the last result of the reversed chain follows the first result, 598 references away and latest of all
+    assert max(r["level"] for r in rows) == 598 and any(r["status"] == "circular" for r in rows)
+
+
+def test_chat_unusual_rows(spark):
+    long = "x" * 300_000
+    calls = common.session(spark).createDataFrame(
+        [(None, 1, "a", "f", "{}", "a", 1), (1, None, "a", "f", "{}", None, 1), (1, 2, None, None, None, "a", 1),
+         (1, 3, "b", "f", f'{{"x": "{long}"}}', "a", 1), (1, 3, "b", "f", f'{{"x": "{long}"}}', "a", 1)],
+        "conv_id long, place long, call_id string, name string, arguments string, refers_to string, n_results int")
+    results = spark.createDataFrame([(None, 0, "a", "r", 1, 1), (1, 1, None, None, 1, 1), (1, 1, "b", long, 1, 1)],
+                                    "conv_id long, place long, call_id string, content string, level int, node int")
+    rows = chat.link(calls, results, {"f": {"x": ("string", False)}}).collect()
+    status = Counter((r["conv_id"], r["kind"], r["place"], r["status"], r["sort_place"]) for r in rows)
+    assert status == Counter({(None, "call", 1, "unanswered", 1): 1, (1, "call", None, "unanswered", None): 1,
+                              (1, "call", 2, "unanswered", 2): 1, (1, "call", 3, "repeated", 3): 2,
+                              (None, "result", 0, "orphan", 0): 1, (1, "result", 1, "orphan", 1): 1,
+                              (1, "result", 1, "repeated", 3): 1})
+    assert sum(len(r["json"]) > 300_000 for r in rows) == 3
+
+
+def test_chat_query_keeps_turns_without_keys(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    rows = [(None, 0, "user", "a"), (1, None, "user", None), (1, None, "assistant", "b"), (None, None, None, None),
+            (1, 0, "user", "c"), (1, 1, "assistant", "d"), (1, 2, "user", None), (1, 2, "user", "e"), (1, 3, "assistant", None)]
+    common.session(spark).createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(
+        str(tmp_path / "conversations.parquet"))
+    got = llm_queries.op5_chat(spark, str(tmp_path))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = connection.execute(f"SELECT {', '.join(got.columns)} FROM ({llm_queries.OP5_SQL})").fetchall()
+    assert Counter(map(tuple, got.collect())) == Counter(want) and len(want) == len(rows)
+
+
 def test_chat_of_nothing(spark):
     calls = spark.createDataFrame([], "conv_id long, place long, call_id string, name string, arguments string, "
                                       "refers_to string")
