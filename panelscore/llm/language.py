@@ -9,8 +9,9 @@ The automaton is completed to a table: a letter that ends a phrase leads to wher
 is marked. So parsing is one table look-up a letter, done for all texts of an Arrow batch side by side. A parse begins
 anew after ``STRETCH`` classes, so that very long texts are parsed side by side as well; every letter is parsed.
 
-Bounds: the labelled texts are a sample of ``SAMPLE_ROWS`` documents a language in hash order, ``EXCERPT`` characters of
-each, and ``TRAIN_CHARS`` characters of all languages together. Prediction covers every text as a whole.
+Bounds: the labelled texts are a sample of ``SAMPLE_ROWS`` rows a language in hash order, and of each of them ``EXCERPT``
+characters from a hashed place. Both hold for every language by itself, however many there are; a language takes about
+two states a character. Prediction covers every text as a whole.
 
 Defined results: ``und`` with score 0 for null, empty and letterless texts, and for all texts if nothing is labelled. Of
 equally good languages the first in order wins. Letters that no labelled text has are phrases of their own. Repeated
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-SAMPLE_ROWS, EXCERPT, TRAIN_CHARS = 100, 4_000, 240_000
+SAMPLE_ROWS, EXCERPT = 100, 600
 STRETCH = 1024
 #: Letters with a class of their own; others share RARE classes by code point.
 LETTERS, RARE = 60, 4
@@ -37,19 +38,23 @@ RESULT = StructType([StructField("lang_pred", StringType()), StructField("score"
 
 
 def sample(docs: DataFrame, learn: Column, lang: str = "lang", doc_id: str = "doc_id", text: str = "text",
-           rows: int = SAMPLE_ROWS) -> dict[str, str]:
-    """Labelled text of each language, from rows for which ``learn`` holds."""
-    usable = docs.where(learn & F.col(lang).isNotNull() & (F.length(text) > 0))
-    ranked = usable.select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"), F.row_number().over(
-        Window.partitionBy(lang).orderBy(F.xxhash64(doc_id), doc_id)).alias("nth")).where(F.col("nth") <= rows)
-    chosen = F.broadcast(ranked.where("id is not null").select("id").distinct())
-    excerpts = usable.select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"),
-                             F.substring(text, 1, EXCERPT).alias("text")).join(chosen, "id", "left_semi")
+           rows: int = SAMPLE_ROWS, excerpt: int = EXCERPT) -> dict[str, str]:
+    """Labelled text of each language, from rows for which ``learn`` holds: ``rows`` of each, ``excerpt`` characters a row.
+
+    The limit is on rows, so that a repeated id counts once a row. Each partition keeps its first rows of a language
+    before they are shuffled.
+    """
+    size = F.length(text)
+    start = F.pmod(F.xxhash64(doc_id, size), F.greatest(size - excerpt, F.lit(0)) + 1) + 1
+    usable = docs.where(learn & F.col(lang).isNotNull() & (size > 0)).select(
+        F.col(lang).alias("lang"), F.xxhash64(doc_id).alias("hash"), F.col(doc_id).alias("id"),
+        F.substring(F.col(text), start.cast("int"), F.lit(excerpt)).alias("text"))
+    chosen = usable.withColumn("nth", F.row_number().over(
+        Window.partitionBy("lang").orderBy("hash", "id", "text"))).where(F.col("nth") <= rows)
     found: dict[str, list[tuple]] = {}
-    for row in excerpts.collect():
-        found.setdefault(row["lang"], []).append((row["id"], row["text"]))
-    share = TRAIN_CHARS // max(1, len(found))
-    return {k: " ".join(t for _, t in sorted(found[k]))[:share] for k in sorted(found)}
+    for row in chosen.select("lang", "nth", "text").collect():
+        found.setdefault(row["lang"], []).append((row["nth"], row["text"]))
+    return {k: " ".join(t for _, t in sorted(found[k])) for k in sorted(found)}
 
 
 @functools.lru_cache(1)

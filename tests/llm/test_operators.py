@@ -178,6 +178,19 @@ def test_language_unusual_rows(odd, empty):
     assert {r[0] for r in language.predict(odd, {}).select("language.lang_pred").collect()} == {"und"}
 
 
+def test_language_sample_is_bounded_by_rows_of_each_language(spark):
+    rows = [(i % 50, f"{'ab'[i % 2] * 5}{i:04d}" * 40, "ab"[i % 2], None, 0) for i in range(400)] + [
+        (1000 + i, "zz", f"l{i}", None, 0) for i in range(40)] + [(7, "ccccc" * 9, None, None, 0), (8, None, "a", None, 0)]
+    frame = common.session(spark).createDataFrame(rows, DOCS)
+    got = language.sample(frame, F.lit(True), rows=30, excerpt=100)
+    assert set(got) == {"a", "b"} | {f"l{i}" for i in range(40)} and {got[f"l{i}"] for i in range(40)} == {"zz"}
+    for k in "ab":
+        pieces_ = got[k].split(" ")
+        assert len(pieces_) == 30 and all(len(p) == 100 for p in pieces_)
+        assert len({p[:9] for p in pieces_}) > 5  # from places all over the texts
+    assert got == language.sample(frame.repartition(7), F.lit(True), rows=30, excerpt=100)
+
+
 # 3 toxicity
 
 def distance(a, b):
