@@ -124,25 +124,24 @@ def _linked(nodes: DataFrame) -> DataFrame:
 def _chains(links: DataFrame) -> tuple[DataFrame, int]:
     """The latest place on the chain of each node, the last step at which it is reached, and the chains without an end.
 
-    A chain of n nodes contains chains of every length below n. So once a round ends no chain, all that are still open
-    lead in circles.
+    A round joins only the chains that are still open, most of which end in the first rounds. A chain of n nodes contains
+    chains of every length below n. So once a round ends no chain, all that are still open lead in circles.
     """
-    current = stage(links.select("conv_id", "node", F.col("place").alias("top"), F.lit(0).alias("level"),
-                                 F.lit(1).alias("steps"), "next"), "chat-chains")
-    still_open, before = current.where("next is not null").count(), -1
-    while still_open and still_open != before:
-        ahead = current.select("conv_id", F.col("node").alias("next"), F.struct(
+    table = stage(links.select("conv_id", "node", F.col("place").alias("top"), F.lit(0).alias("level"),
+                               F.lit(1).alias("steps"), "next"), "chat-chains")
+    ended, still_open = table.where("next is null"), table.where("next is not null")
+    count, before = still_open.count(), -1
+    while count and count != before:
+        ahead = ended.unionByName(still_open).select("conv_id", F.col("node").alias("next"), F.struct(
             "top", "level", "steps", F.col("next").alias("next")).alias("ahead"))
         later = F.col("ahead.top") >= F.col("top")
-        after = stage(current.join(ahead, ["conv_id", "next"], "left").select(
+        table = stage(still_open.join(ahead, ["conv_id", "next"]).select(
             "conv_id", "node", F.greatest("top", "ahead.top").alias("top"),
             F.when(later, F.col("steps") + F.col("ahead.level")).otherwise(F.col("level")).alias("level"),
-            (F.col("steps") + F.coalesce("ahead.steps", F.lit(0))).alias("steps"), F.col("ahead.next").alias("next")),
-            "chat-chains")
-        discard(current)
-        current, before = after, still_open
-        still_open = current.where("next is not null").count()
-    return current, still_open
+            (F.col("steps") + F.col("ahead.steps")).alias("steps"), F.col("ahead.next").alias("next")), "chat-chains")
+        ended, still_open = ended.unionByName(table.where("next is null")), table.where("next is not null")
+        before, count = count, still_open.count()
+    return ended.unionByName(still_open), count
 
 
 def _circles(pointers: DataFrame) -> DataFrame:
