@@ -97,7 +97,22 @@ def test_unusual_tables(spark, tmp_path):
     session.createDataFrame([(3, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(
         str(tmp_path / "full" / "labels.parquet"))
     session.createDataFrame(rows, schema).write.parquet(str(tmp_path / "full" / "documents.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path / "full")).count() >= 0
+    docs, kept = session.read.parquet(str(tmp_path / "full" / "documents.parquet")), {}
+    for name, step in corpus_pipeline.STAGES:
+        docs = common.stage(step(session, docs, str(tmp_path / "full")), f"unusual-{name}")
+        kept[name] = docs.collect()
+    ids = {name: Counter(r["doc_id"] for r in found) for name, found in kept.items()}
+    # too few words in 1 and 2; 4 is a near copy; an id that repeats is one document, a row without an id its own
+    assert ids["quality_rules"] == {None: 1, 3: 2, 4: 1}
+    assert ids["simhash_near_dedup"] == ids["substring_dedup"] == {None: 1, 3: 2}
+    assert all(r["text"] == long for r in kept["substring_dedup"])
+    taken = Counter()
+    for r in kept["source_mixing"]:
+        taken[r["source"]] += len(WORD.findall(r["text"]))
+    assert taken == {"a": 10125, None: 3375}  # 150 % of 9000 words as 3 to 1
+    assert set(ids["sentencepiece"]) == {None, 3} and all(r["round_trip"] for r in kept["sentencepiece"])
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in kept["sentencepiece"]) == Counter(
+        (r["doc_id"], tuple(r["ids"])) for r in corpus_pipeline.run(spark, str(tmp_path / "full")).collect())
     session.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(
         str(tmp_path / "none" / "labels.parquet"))
     session.createDataFrame([], schema).write.parquet(str(tmp_path / "none" / "documents.parquet"))
