@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,20 +34,23 @@ def _is_sentinel(c: Column, kind: T.DataType, sentinels: Sequence[float]) -> Col
     return c.cast("double").isin([float(s) for s in sentinels])
 
 
-def null_sentinels(df: DataFrame, sentinels: Sequence[float] = RETAIL_SENTINELS,
+def null_sentinels(df: DataFrame, sentinels: Sequence[float] | Mapping[str, Sequence[float]] = RETAIL_SENTINELS,
                    columns: Iterable[str] | None = None) -> DataFrame:
     """Sentinel -> null on numeric columns; every other column is left alone.
 
     One projection with one set lookup per column.  Text such as ``"99999"`` is kept: comparing a
-    text column with numbers would be a failing cast under ANSI.
+    text column with numbers would be a failing cast under ANSI.  A mapping gives each column its own
+    sentinels, and leaves columns that it does not name alone: an amount may well be 99999.
     """
-    wanted = None if columns is None else {c.lower() for c in columns}
+    by_column = {c.lower(): s for c, s in sentinels.items()} if isinstance(sentinels, Mapping) else None
+    wanted = by_column if columns is None else {c.lower() for c in columns}
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         hit = None
         if isinstance(f.dataType, T.NumericType) and (wanted is None or f.name.lower() in wanted):
-            hit = _is_sentinel(c, f.dataType, sentinels)
+            own = sentinels if by_column is None else by_column.get(f.name.lower(), ())
+            hit = _is_sentinel(c, f.dataType, own) if own else None
         out.append(c if hit is None else F.when(~hit, c).alias(f.name))
     return df.select(*out)
 

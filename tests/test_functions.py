@@ -78,6 +78,13 @@ def test_sentinels_by_type(spark):
     assert cleaning.null_sentinels(business, cleaning.BUSINESS_SENTINELS).collect() == got
 
 
+def test_sentinels_of_one_column_are_values_of_another(spark):
+    df = spark.createDataFrame([(99999.0, 99999, "99999"), (1111111111.0, -99, "x"), (1.5, None, None)],
+                               "price double, supp long, flag string")
+    got = cleaning.null_sentinels(df, {"PRICE": [1111111111], "supp": [99999], "flag": [99999], "absent": [1]}).collect()
+    assert [tuple(r) for r in got] == [(99999.0, None, "99999"), (None, -99, "x"), (1.5, None, None)]
+
+
 def test_nan_and_fill(spark):
     df = spark.createDataFrame([(float("nan"), 1), (2.0, None)], "d double, i int")
     got = cleaning.fill_nulls(cleaning.nan_to_null(df), {"d": -1.0, "i": 0, "absent": 3}).collect()
