@@ -292,6 +292,10 @@ def retail_tables(spark, feat):
     }
 
 
+#: The columns of the role tables that hold codes; sums of prices and balances may be 99999 like any other number.
+RETAIL_CODES = {"guarantee_amount": [99999], "weighted_debt_48m": [1111111111]}
+
+
 def _clip_sql(x, lo, hi):
     return f"CASE WHEN ({x}) IS NOT NULL THEN least(greatest(({x})::double, {lo}), {hi}) END"
 
@@ -367,7 +371,8 @@ def retail_panel(spark, sf_dir):
     arrears = (portfolio(spark, sf_dir).filter(F.col("status") != "O")
                .groupBy("month", F.col("party").cast("string").alias("party_id"))
                .agg(F.max("maturity").alias("max_days_past_due")))
-    panel = retail.build(p, retail_tables(spark, feat), arrears, months[0], months[-1], unique_roles=retail.SOURCES)
+    panel = retail.build(p, retail_tables(spark, feat), arrears, months[0], months[-1], unique_roles=retail.SOURCES,
+                         sentinels=RETAIL_CODES)
     panel = shape.as_double(panel)
     digits = {"liability_asset_share_24m_cap": 8, "min_payment_share_6m_cap": 8,
               "revolving_share_3m_cap": 8, "min_savings_6m_cap": 8, "atm_operations_3m_cap": 8}

@@ -6,13 +6,13 @@ below; map other column names with ``withColumnsRenamed`` before the call.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelscore.functions import features
-from panelscore.functions.cleaning import null_sentinels
+from panelscore.functions.cleaning import RETAIL_SENTINELS, null_sentinels
 from panelscore.functions.months import add_months
 from panelscore.operators import enrich, rollup, shape
 from panelscore.operators.rollup import one_row_per_key
@@ -65,6 +65,9 @@ CLIPS = [
     ("guarantee_amount", "guarantee_amount_cap", 0, 1760351.33),
 ]
 
+# Columns that ``derived`` fills with the codes of ratios.
+RATIOS = ("max_debt_12_24", "arrears_growth")
+
 # Output contract.
 KEYS = ["month", "party_id", "unique_id", "internal_id", "days_past_due", "is_valid", "balance_local",
         "flag_card", "flag_personal_card", "flag_cash", "flag_vehicle", "flag_mortgage"]
@@ -139,11 +142,13 @@ def derived(panel: DataFrame) -> DataFrame:
 
 
 def build(portfolio: DataFrame, tables: Mapping[str, DataFrame], arrears: DataFrame, first: int,
-          last: int | None = None, one_per_unique: bool = True, unique_roles: Collection[str] = ()) -> DataFrame:
+          last: int | None = None, one_per_unique: bool = True, unique_roles: Collection[str] = (),
+          sentinels: Sequence[float] | Mapping[str, Sequence[float]] = RETAIL_SENTINELS) -> DataFrame:
     """The panel of one month or of a month range, in contract order.
 
     A range is built in one pass over every source, not month by month.  Tables named in
     ``unique_roles`` are known to have one row per month and key and are not de-duplicated.
+    ``sentinels`` that name their columns leave all others as they are, but for the codes of ratios.
     """
     last = first if last is None else last
     base = customer_months(accounts_of_month(portfolio, first, last), one_per_unique)
@@ -151,7 +156,9 @@ def build(portfolio: DataFrame, tables: Mapping[str, DataFrame], arrears: DataFr
     panel = enrich.lag_snapshots(base, arrears.withColumn("party_id", F.trim(F.col("party_id"))), "party_id",
                                  "max_days_past_due", range(6), "arrears")
     panel = enrich.enrich(panel, feature_sources(tables, first, last, unique_roles), spread_by=["month", "party_id"])
-    panel = derived(null_sentinels(panel))
-    panel = shape.as_double(null_sentinels(panel))
+    panel = derived(null_sentinels(panel, sentinels))
+    if isinstance(sentinels, Mapping):
+        sentinels = {**sentinels, **dict.fromkeys(RATIOS, RETAIL_SENTINELS)}
+    panel = shape.as_double(null_sentinels(panel, sentinels))
     panel = features.apply_clips(panel, CLIPS)
     return shape.contract(shape.align_types(panel, TYPES), KEYS, FEATURES, missing="error")

@@ -36,7 +36,7 @@ def amounts_like_codes(folder) -> None:
         FROM '{SF}/orders.parquet') TO '{folder}/orders.parquet'""")
 
 
-@pytest.mark.parametrize("name", ["sentinel_to_null"])
+@pytest.mark.parametrize("name", ["sentinel_to_null", "retail_panel"])
 def test_amounts_like_codes_are_kept(spark, tmp_path, name):
     amounts_like_codes(tmp_path)
     assert compare(connect(str(tmp_path)), entry.queries()[name](spark, str(tmp_path)), entry.oracle_sql()[name]) is None
