@@ -40,7 +40,7 @@ GROUP = 8192
 #: Sequences filled to this share of their tokens are closed after the first round.
 FULL = 0.97
 #: Words a worker remembers in each of two generations, the longest of them in bytes, and the bytes read or returned at once.
-KNOWN, KNOWN_BYTES, PART = 600_000, 128, 4 << 20
+KNOWN, KNOWN_BYTES, PART = 300_000, 128, 4 << 20
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Words that canonical composition leaves as they are, and whose letters have a lower case of their own.
 LATIN = re.compile("[!-~À-ÖØ-öø-ɏ]+")

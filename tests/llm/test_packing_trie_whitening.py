@@ -323,3 +323,12 @@ def test_scatter_of_large_entries(spark):
     x = [[int(v * 256) for v in r[1]] for r in rows]
     assert (n, sums) == (3, [sum(r[i] for r in x) for i in range(2)])
     assert matrix == [[3 * sum(r[i] * r[j] for r in x) - sums[i] * sums[j] for j in range(2)] for i in range(2)]
+
+
+def test_known_words_are_bounded():
+    """What a worker remembers fits the memory of an executor that runs several."""
+    words = packing.Words(open(TOKENIZER, encoding="utf-8").read())
+    for at in range(0, 700_000, 20_000):
+        words.encode(b" ".join(b"%x" % i for i in range(at, at + 20_000)))
+        assert len(words.known) + len(words.former) <= 650_000 and len(words.parts) <= 300_000
+    assert words.known and words.former
