@@ -6,7 +6,8 @@ array, sorted by as many characters as the longest piece has, is searched for ev
 suffixes that begin with a piece are its occurrences. These edges, sorted by where they end, are relaxed from left to
 right: of the pieces that end at a place, the one is taken that the model would leave unmerged beside the last piece of
 the text before it. For byte-pair merges this gives exactly the model's own encoding, and one piece at each place.
-Whether two pieces stay unmerged is found once a pair, by merging their characters.
+Whether two pieces stay unmerged is found for many pairs at once, from the last merges of each: the pieces that have been
+at its end, or its beginning, on the way from its characters are followed back in the order of their scores.
 
 The model file is read by the driver, and its pieces are broadcast: their number is that of the vocabulary.
 
@@ -65,8 +66,10 @@ class Coder:
         #: 0 ends a unit, 1 is any character that no piece has
         self.symbol = np.ones(0x110000, ">u2")
         self.symbol[[ord(c) for c in symbols]] = np.arange(2, len(symbols) + 2)
-        # a piece that its own characters don't merge to never occurs
-        self.pieces = [p for p in self.ids if self.merged(p) == [p]]
+        # a piece that its own characters don't merge to never occurs; the others by falling score
+        halves = {p: self.merged(p, 2) for p in self.ids}
+        self.pieces = sorted((p for p, h in halves.items() if "".join(h) == p and len(h) <= 2),
+                             key=self.score.__getitem__, reverse=True)
         self.numbers = [self.ids[p] for p in self.pieces]
         self.number_at = np.array([*self.numbers, 0, 0], IDS)  # none at -1 and -2
         width = max(map(len, self.pieces))
@@ -76,7 +79,7 @@ class Coder:
             keys[row, :len(p)] = ends[row, :len(p)] = self.symbol[[ord(c) for c in p]]
         self.low, self.high = self._strings(keys), self._strings(ends)
         self.lengths = np.array([len(p) for p in self.pieces])
-        self.beside: dict[int, bool] = {}
+        self._joins([halves[p] for p in self.pieces])
         # pairs by a hash of theirs, for looking up many at once
         self.pair_keys, self.pair_apart = np.full(1 << 20, -1), np.zeros(1 << 20, np.int8)
         # ids of words as bytes, four each
@@ -87,13 +90,27 @@ class Coder:
     def _strings(rows: np.ndarray) -> np.ndarray:
         return np.ascontiguousarray(rows).view(f"S{2 * rows.shape[1]}").ravel()
 
-    def merged(self, text: str) -> list[str]:
-        """Merges neighbours into pieces, the best score first, of equal ones the leftmost."""
-        if len(text) > 40:
+    def _joins(self, halves: list[list[str]]) -> None:
+        """The last merge of each piece, and what any two pieces make together, by number: a smaller one merges first."""
+        number = {p: i for i, p in enumerate(self.pieces)}
+        scores = [self.score[p] for p in self.pieces]
+        #: Pieces of one score merge from the left, whichever they are.
+        self.rank = np.searchsorted(-np.array(scores), -np.array(scores), "left")
+        self.begins = np.array([number[h[0]] if len(h) == 2 else -1 for h in halves])
+        self.ends = np.array([number[h[1]] if len(h) == 2 else -1 for h in halves])
+        pairs = [(number[a] * len(number) + number[b], self.score[p]) for p in self.ids for k in range(1, len(p))
+                 if (a := p[:k]) in number and (b := p[k:]) in number]
+        pairs.sort()
+        self.join_keys = np.array([k for k, _ in pairs] or [-1])
+        self.join_rank = np.searchsorted(-np.array(scores), -np.array([s for _, s in pairs] or [0.0]), "left")
+
+    def merged(self, text: str, least: int = 1) -> list[str]:
+        """Merges neighbours into pieces, the best score first, of equal ones the leftmost, until ``least`` are left."""
+        if len(text) > 40 and least == 1:
             return self._merged_by_queue(text)
         part, score = list(text), self.score.get
         scores = [score(a + b, NEVER) for a, b in zip(part, part[1:])]
-        while scores and (best := max(scores)) > NEVER:
+        while len(scores) >= least and (best := max(scores)) > NEVER:
             i = scores.index(best)
             part[i:i + 2] = [part[i] + part[i + 1]]
             del scores[i]
@@ -127,16 +144,27 @@ class Coder:
             offer(i)
         return [p for p in part if p is not None]
 
-    def unmerged(self, left: int, right: int) -> bool:
-        """Whether two pieces, by number, stay apart."""
-        pair = left * len(self.pieces) + right
-        found = self.beside.get(pair)
-        if found is None:
-            if len(self.beside) > 300_000:
-                self.beside.clear()
-            a, b = self.pieces[left], self.pieces[right]
-            found = self.beside[pair] = self.merged(a + b) == [a, b]
-        return found
+    def unmerged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether pairs of pieces, by number, stay apart.
+
+        The merge made last, on the left or on the right, is taken back, the right one of equals. What then meets at the
+        boundary has merged if its score comes before that merge; on the right also if it is equal, since it is further left.
+        """
+        apart = np.ones(len(left), bool)
+        which = np.arange(len(left))
+        until = np.full(len(left), np.iinfo(np.int64).max)
+        while len(which):
+            pair = left * len(self.pieces) + right
+            at = np.minimum(np.searchsorted(self.join_keys, pair), len(self.join_keys) - 1)
+            joins = (self.join_keys[at] == pair) & (self.join_rank[at] < until)
+            apart[which[joins]] = False
+            first, last = self.ends[left], self.begins[right]  # what they were made of at the boundary
+            on_left = (first >= 0) & ((last < 0) | (self.rank[left] > self.rank[right]))
+            until = np.where(on_left, self.rank[left], self.rank[right] + 1)
+            on = ~joins & ((first >= 0) | (last >= 0))
+            left, right = np.where(on_left, first, left)[on], np.where(on_left, right, last)[on]
+            which, until = which[on], until[on]
+        return apart
 
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(end, piece number) of all occurrences of pieces in the text, by end and then length."""
@@ -151,7 +179,7 @@ class Coder:
         piece = np.repeat(np.arange(len(count)), count)
         start = order[np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)]
         end = start + self.lengths[piece]
-        by_end = np.lexsort((-self.lengths[piece], end))
+        by_end = np.argsort(end * (self.longest + 1) - self.lengths[piece])  # no two of an end have one length
         return end[by_end], piece[by_end]
 
     def learn(self, words: list[str]) -> None:
@@ -167,18 +195,19 @@ class Coder:
     def _paths(self, text: str, begins: np.ndarray, ends: np.ndarray, last: np.ndarray,
                origin: np.ndarray) -> list[bytes]:
         """Ids of the units, from their ends back to their beginnings, a piece of every unit at a time."""
-        steps, at = [], ends.copy()
-        while (at > begins).any():
-            open_ = at > begins
-            steps.append(np.where(open_, last[at], -2))
-            at = np.where(open_, origin[at], at)
-        grid = np.array(steps[::-1]).reshape(len(steps), len(begins)).T
-        taken = grid != -2
-        counts = taken.sum(axis=1)
-        data = self.number_at[grid[taken]].tobytes()
-        bounds = np.r_[0, 4 * np.cumsum(counts)].tolist()
+        units, taken = [], []
+        unit, at = np.arange(len(begins)), ends
+        while len(unit):
+            open_ = at > begins[unit]
+            unit, at = unit[open_], at[open_]
+            units.append(unit)
+            taken.append(last[at])
+            at = origin[at]
+        unit, piece = np.concatenate(units[::-1]), np.concatenate(taken[::-1])  # of a unit in the order of the text
+        data = self.number_at[piece[np.argsort(unit, kind="stable")]].tobytes()
+        bounds = np.r_[0, 4 * np.cumsum(np.bincount(unit, minlength=len(begins)))].tolist()
         found = [data[a:b] for a, b in zip(bounds, bounds[1:])]
-        for i in np.flatnonzero((grid == -1).any(axis=1)).tolist():  # with characters written as bytes
+        for i in np.unique(unit[piece == -1]).tolist():  # with characters written as bytes
             found[i] = self._ids(text, int(begins[i]), int(ends[i]), last, origin)
         return found
 
@@ -194,8 +223,9 @@ class Coder:
         distance = end - begin
         first = np.flatnonzero(np.r_[True, end[1:] != end[:-1]][:len(end)])
         rank = np.arange(len(end)) - np.repeat(first, np.diff(np.r_[first, len(end)]))
-        order = np.lexsort((rank, distance))
-        step = np.r_[True, (np.diff(distance[order]) != 0) | (np.diff(rank[order]) != 0)][:len(order)]
+        turn = distance * self.longest + rank  # a place has at most one piece of each length
+        order = np.argsort(turn)
+        step = np.r_[True, np.diff(turn[order]) != 0][:len(order)]
         bounds = np.r_[np.flatnonzero(step), len(order)].tolist()
         last, origin = np.full(len(text) + 1, -1), np.arange(-1, len(text))
         for low, high in zip(bounds, bounds[1:]):
@@ -215,7 +245,7 @@ class Coder:
         left = np.flatnonzero(wanted & (found < 0))
         if len(left):
             kinds, index = np.unique(pairs[left], return_inverse=True)
-            values = np.array([self.unmerged(*divmod(k, len(self.pieces))) for k in kinds.tolist()], np.int8)
+            values = self.unmerged(*np.divmod(kinds, len(self.pieces))).astype(np.int8)
             found[left] = values[index]
             at = _scattered(kinds) & slots  # of pairs with the same slot, the last one stays
             self.pair_keys[at] = kinds

@@ -768,3 +768,37 @@ def test_quality_unusual_rows(odd, empty, spark):
     assert len(rows) == 10 and {r["doc_id"] for r in rows if r["kept"]} == {7}
     assert quality.kept_documents(odd, none).columns == odd.columns
     assert quality.kept_documents(empty, none).count() == 0
+
+
+def test_pairs_of_pieces_stay_apart_as_their_characters_merge():
+    coder = pieces.Coder(pieces.read_model())
+    n = len(coder.pieces)
+    random = np.random.default_rng(3)
+    cut = random.integers(0, len(coder.join_keys), 3000)
+    left = np.r_[random.integers(0, n, 2000), coder.join_keys[cut] // n, random.integers(0, 500, 2000)]
+    right = np.r_[random.integers(0, n, 2000), coder.join_keys[cut] % n, random.integers(0, 500, 2000)]
+    want = [coder.merged(coder.pieces[a] + coder.pieces[b]) == [coder.pieces[a], coder.pieces[b]]
+            for a, b in zip(left.tolist(), right.tolist())]
+    assert coder.unmerged(left, right).tolist() == want and True in want and False in want
+
+
+def test_pieces_of_equal_score_merge_from_the_left():
+    scores = {"▁": -9, "a": -9, "b": -9, "aa": -1, "ab": -1, "ba": -2, "aab": -2, "bb": -3, "aaa": -3, "aba": -4, "aaaa": -5}
+    coder = pieces.Coder(tuple((p, float(s), 0) for p, s in scores.items()))
+    grid = np.array([(a, b) for a in range(len(coder.pieces)) for b in range(len(coder.pieces))])
+    want = [coder.merged(coder.pieces[a] + coder.pieces[b]) == [coder.pieces[a], coder.pieces[b]] for a, b in grid.tolist()]
+    assert coder.unmerged(grid[:, 0], grid[:, 1]).tolist() == want
+
+
+def test_a_long_word_costs_no_memory_for_the_short_ones():
+    import tracemalloc
+    coder = pieces.Coder(pieces.read_model())
+    words = sorted({f"w{i}" for i in range(4000)} | {"xq7" * 3000})
+    tracemalloc.start()
+    coder.learn(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    assert [np.frombuffer(i, pieces.IDS).tolist() for i in coder.encode(words[-3:])] == [model.encode(w) for w in words[-3:]]
