@@ -1,26 +1,34 @@
 """Passages that repeat across documents, by compact windows.
 
-The tokens are the hashes of all runs of five words. For a hash function, the Cartesian tree over the hashed tokens of a
-text gives its compact windows: all runs of at least ``TOKENS`` tokens whose minimum is the same token form one window
-around this token. Two texts that share a passage share the token at the minimum of the passage, whatever surrounds it.
-
-1. One scan counts the documents of each window's minimum, one hash function after the other. A bitmap, of a size
-   bounded by ``MAX_BITS``, keeps the minima of two documents or more.
-2. One more scan passes on the windows whose minimum is in the bitmap, each with the hashes of some blocks of words
-   around the minimum. Blocks of ``LONG`` words lie so that any common passage of ``PASSAGE`` words contains one around
-   the minimum of the first hash function. Shorter blocks, of all functions, find passages with single words changed.
+The tokens are the hashes of all runs of five words. The Cartesian tree over the hashed tokens of a text gives its compact
+windows: all runs of at least ``RUN`` tokens whose minimum is the same token form one window around this token. Two texts
+that share such a run share the token at its minimum, whatever surrounds it. The minima are what the search needs; sliding
+minima find those of all texts of a batch at once.
+
+1. One scan counts the documents of each window's minimum. A bitmap, of a size bounded by ``MAX_BITS``, keeps the minima
+   of two documents or more.
+2. One more scan passes on the minima that are in the bitmap, each with the hashes of some blocks of words around it.
+   Blocks of ``LONG`` words lie so that any common passage of ``PASSAGE`` words contains one around the minimum of a window
+   of ``TOKENS`` tokens. Of the two short blocks around a minimum, any common run of ``RUN`` tokens contains one.
 3. Documents with an equal block are linked to the smallest of them, the representative. A block with many documents
    gives a link to each, and no pairs; the smallest id is a map-side combined minimum, and AQE splits the join.
-4. The equal blocks of two documents are joined to islands, across hash functions. They are candidates only.
+4. The equal blocks of two documents are joined to islands. They are candidates only.
 5. Verification: the words of an island and of ``PASSAGE`` words around it are read from both texts and their five-word
    runs aligned. A repeat is an equal run of ``LONG`` words or more, or an interval of ``PASSAGE`` words or more whose
    five-word runs on both sides have a Jaccard similarity of ``SIMILARITY`` or more. What continues an equal run has to
    reach this similarity without it, but for the words that it lacks to a passage.
+6. A document whose passage is no repeat of the representative's is held against the other documents of its block, unless
+   it is in the representative's class and its words there are a repeat already. The text ``PASSAGE`` words around a block
+   is its context; equal contexts are compared once. Of two that can be similar, ``OVERLAP`` tokens are equal, so they
+   share one of the rest if each leaves out its ``OVERLAP - 1`` most common ones (the prefix filter). A phrase that many
+   documents have in texts of their own is among those left out, and gives no pairs.
 
 A passage of ``PASSAGE`` words or more that two documents share is always found, and so is every further copy; up to
-nine words at its ends may be left out. A changed passage is found, with its ends, if it has an equal short block with a
-representative; at a similarity of 0.8, one of three hash functions gives it one in about 99 of 100 cases. A passage is
-not compared with documents that are the smallest of none of its blocks.
+nine words at its ends may be left out. Changed passages: a change of a word takes five tokens, so an interval with a
+similarity of 0.8 and without an equal run of ``LONG`` words has two equal runs beside each other with ``OVERLAP`` tokens
+together, one of them with ``RUN``; every such pair of documents shares a short block, and gets into one class. In texts that
+repeat a word or two over and over a change may take fewer tokens, and the runs be shorter. Of documents in one class not
+all pairs are compared.
 
 Defined results: texts with fewer than ``PASSAGE`` words have no windows. Null texts have no words. Rows with a null id
 have no class and no links; rows that repeat an id are one document. Repeats within one document don't count. Ids are
@@ -44,11 +52,15 @@ from panelscore.llm.common import components, discard, session, split_words, sta
 
 SHINGLE, PASSAGE, SIMILARITY = 5, 50, 0.8
 TOKENS = PASSAGE - SHINGLE + 1
-HASHES = 3
+#: Equal tokens of the least similar passage, at 9 equal tokens for 4 of either side; of these in its longer equal run.
+RUN = -(-(-(-4 * 2 * TOKENS // 9)) // 2)
 #: Words before and after the minimum's five: long blocks leave a gap of at most ten words to the ends of a passage.
 LONG_BLOCKS = ((0, 36), (10, 26), (20, 16), (30, 6), (36, 0))
-SHORT_BLOCKS = ((0, 10), (5, 5), (10, 0))
+SHORT_BLOCKS = ((0, RUN // 2), (RUN // 2, 0))
+SHORT = RUN // 2 + SHINGLE
 LONG = 36 + SHINGLE
+#: Equal tokens that any repeat has around a short block: a run of ``LONG`` words has fewer than a changed passage.
+OVERLAP = LONG - SHINGLE + 1
 #: By how much the distance of two blocks of an island may differ between the documents, and that of two aligned runs.
 SHIFT, DRIFT = 4, PASSAGE // 4
 BITS_PER_MINIMUM, MIN_BITS, MAX_BITS = 16, 1 << 20, 1 << 30
@@ -124,31 +136,51 @@ class Batch:
         self.starts = self.ends - sizes
         self.hashed = Hashed([x for _, w in split for x in w]) if split else None
 
-    def minima(self, hashes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each hash function: the windows' documents, the places of their minima, and the values of these."""
+    def minima(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The windows' documents, the places of their minima, the values of these, and which windows hold ``TOKENS``."""
+        values = np.maximum(_mixed(self.hashed.tokens() + np.uint64(0x632BE59BD9B4E019)), np.uint64(1))
+        # a run of tokens from a place on is within one document
+        left = np.repeat(self.ends - SHINGLE + 1, self.ends - self.starts)[:len(values)] - np.arange(len(values))
+        at = np.flatnonzero(_is_minimum(values, left, RUN))
+        wide = _is_minimum(values, left, TOKENS)[at]
+        return np.searchsorted(self.ends, at, "right"), at, values[at], wide
+
+    def blocks(self, bitmap: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+        """(hash, document, first word, size) of the blocks around shared minima."""
         if self.hashed is None:
             return
-        tokens = self.hashed.tokens()
-        for k in range(hashes):
-            values = _mixed(tokens + np.uint64((k + 1) * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF))
-            at, counts = [], []
-            for low, high in zip(self.starts.tolist(), self.ends.tolist()):
-                found = compact_windows(values[low:high - SHINGLE + 1], TOKENS)
-                at += [low + c for _, c, _ in found]
-                counts.append(len(found))
-            places = np.array(at, np.int64)
-            yield np.repeat(np.arange(len(counts)), counts), places, values[places]
-
-    def blocks(self, bitmap: np.ndarray, hashes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
-        """(hash, document, first word, size) of the blocks around shared minima."""
-        for k, (doc, at, value) in enumerate(self.minima(hashes)):
-            shared = _in_bits(bitmap, value)
-            doc, at, value = doc[shared], at[shared], value[shared]
-            for before, after in SHORT_BLOCKS + (LONG_BLOCKS if k == 0 else ()):
-                fits = (at - before >= self.starts[doc]) & (at + SHINGLE + after <= self.ends[doc])
-                start, size = at[fits] - before, before + SHINGLE + after
-                salt = np.uint64(2 * (before * 64 + after) + 1)
-                yield _mixed(self.hashed.runs(start, size) + value[fits] * salt), doc[fits], start, size
+        doc, at, value, wide = self.minima()
+        shared = _in_bits(bitmap, value)
+        doc, at, value, wide = doc[shared], at[shared], value[shared], wide[shared]
+        for before, after in SHORT_BLOCKS + LONG_BLOCKS:
+            size = before + SHINGLE + after
+            fits = (at - before >= self.starts[doc]) & (at + SHINGLE + after <= self.ends[doc])
+            fits &= wide if size == LONG else True
+            start = at[fits] - before
+            salt = np.uint64(2 * (before * 64 + after) + 1)
+            yield _mixed(self.hashed.runs(start, size) + value[fits] * salt), doc[fits], start, size
+
+
+def _sliding(values: np.ndarray, size: int, pick: Callable) -> np.ndarray:
+    """``pick`` (minimum or maximum) over each run of ``size`` values."""
+    width = 1
+    while 2 * width <= size:
+        values, width = pick(values[:-width], values[width:]), 2 * width
+    return pick(values[:len(values) - (size - width)], values[size - width:]) if width < size else values
+
+
+def _is_minimum(values: np.ndarray, left: np.ndarray, size: int) -> np.ndarray:
+    """Whether a token is the minimum of a run of ``size`` tokens; ``left`` is how many the document has from there on.
+
+    These are the minima of the compact windows of at least ``size`` tokens.
+    """
+    if len(values) < size:
+        return np.zeros(len(values), bool)
+    least = _sliding(values, size, np.minimum)
+    least[left[:len(least)] < size] = 0
+    around = np.zeros(len(values) + size - 1, np.uint64)
+    around[size - 1:size - 1 + len(least)] = least
+    return _sliding(around, size, np.maximum) == values
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
@@ -166,18 +198,15 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
             yield Batch(ids, texts)
 
 
-def _counted(hashes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Minima of the windows, each once a document."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _batches(batches):
-            found = list(batch.minima(hashes))
-            if found:
-                doc, value = np.concatenate([d for d, _, _ in found]), np.concatenate([v for _, _, v in found])
-                order = np.lexsort((doc, value))
-                doc, value = doc[order], value[order]
-                new = np.r_[True, (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])][:len(doc)]
-                yield pa.record_batch([pa.array(value[new].view(np.int64))], ["minimum"])
-    return run
+    for batch in _batches(batches):
+        if batch.hashed is not None:
+            doc, _, value, _ = batch.minima()
+            order = np.lexsort((doc, value))
+            doc, value = doc[order], value[order]
+            new = np.r_[True, (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])][:len(doc)]
+            yield pa.record_batch([pa.array(value[new].view(np.int64))], ["minimum"])
 
 
 def _bits(values: DataFrame) -> np.ndarray:
@@ -198,20 +227,20 @@ def _in_bits(bitmap: np.ndarray, value: np.ndarray) -> np.ndarray:
     return ((bitmap[slot.astype(np.int64)] >> (value & np.uint64(63))) & np.uint64(1)) == 1
 
 
-def _bitmap(docs: DataFrame, hashes: int) -> np.ndarray:
+def _bitmap(docs: DataFrame) -> np.ndarray:
     """Bits of the minima that two documents or more have."""
-    counted = docs.mapInArrow(_counted(hashes), "minimum long").groupBy("minimum").count()
+    counted = docs.mapInArrow(_counted, "minimum long").groupBy("minimum").count()
     minima = stage(counted.where("count > 1").select("minimum"), "passages-minima")
     bitmap = _bits(minima)
     discard(minima)
     return bitmap
 
 
-def _blocked(shared, hashes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _blocked(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(block, doc, at): ``at`` is twice 64 times the first word, and twice the size, and 1 at a block's first place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(batches):
-            found = list(batch.blocks(shared.value, hashes))
+            found = list(batch.blocks(shared.value))
             if found:
                 key, doc, start = (np.concatenate([x[i] for x in found]) for i in range(3))
                 size = np.repeat([x[3] for x in found], [len(x[0]) for x in found])
@@ -304,6 +333,11 @@ def _chained(runs: np.ndarray) -> list[tuple[int, int]]:
         if end > start:
             found.append((int(at[start]), int(at[end] + size[end])))
         start = None
+    return _outer(found)
+
+
+def _outer(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The intervals that no other one holds."""
     outer: list[tuple[int, int]] = []
     for a, b in sorted(found, key=lambda x: (x[0], -x[1])):
         if not outer or b > outer[-1][1]:
@@ -314,23 +348,34 @@ def _chained(runs: np.ndarray) -> list[tuple[int, int]]:
 def verified(mine: list[bytes], other: list[bytes], shift: int) -> list[tuple[int, int]]:
     """Intervals [start, end) of the words ``mine`` that repeat words of ``other`` with changes.
 
-    ``shift`` is the distance to begin with. Single equal runs are not among the intervals: blocks prove them.
+    ``shift`` is the distance to begin with. Of single equal runs only those shorter than a passage are among the intervals:
+    blocks prove the others.
     """
     if min(len(mine), len(other)) < SHINGLE:
         return []
-    runs = _aligned(Hashed(mine).tokens(), Hashed(other).tokens(), shift)
-    return [(a, b + SHINGLE - 1) for a, b in _chained(runs)]
+    own, others = Hashed(mine).tokens(), Hashed(other).tokens()
+    if np.isin(own, others).sum() < OVERLAP:
+        return []
+    runs = _aligned(own, others, shift)
+    equal = [(a, a + n) for a, _, n in runs.tolist() if LONG <= n + SHINGLE - 1 < PASSAGE]
+    return [(a, b + SHINGLE - 1) for a, b in _outer(_chained(runs) + equal)]
 
 
-def _only(wanted) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _only(wanted, name: str = "doc_id") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The rows whose id is in the bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy().view(np.uint64)
+            ids = batch.column(name).to_numpy().view(np.uint64)
             yield batch.filter(pa.array(_in_bits(wanted.value, _mixed(ids))))
     return run
 
 
+def _among(rows: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
+    """The rows whose ``name`` is among the single column of ``ids``, and a few others; nothing is shuffled."""
+    wanted = rows.sparkSession.sparkContext.broadcast(_bits(ids.mapInArrow(_hashed_ids, "hash long")))
+    return rows.mapInArrow(_only(wanted, name), rows.schema)
+
+
 def _hashed_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.record_batch([pa.array(_mixed(batch.column(0).to_numpy().view(np.uint64)).view(np.int64))], ["hash"])
@@ -373,12 +418,10 @@ def _verify(docs: DataFrame, islands: DataFrame) -> DataFrame:
 
     Only documents with islands are shuffled, and each run of words that islands ask for is read once.
     """
-    spark = docs.sparkSession
     asked = stage(islands.select(F.col("doc").alias("id"), "low", "high").unionByName(islands.select(
         F.col("of").alias("id"), F.col("of_low").alias("low"), F.col("of_high").alias("high"))).groupBy("id").agg(
         F.collect_set(F.struct("low", "high")).alias("asked")), "passages-asked")
-    wanted = spark.sparkContext.broadcast(_bits(asked.select("id").mapInArrow(_hashed_ids, "hash long")))
-    texts = docs.mapInArrow(_only(wanted), "doc_id long, text string").join(asked, F.col("doc_id") == F.col("id"))
+    texts = _among(docs, asked.select("id")).join(asked, F.col("doc_id") == F.col("id"))
     # rows that repeat an id and a text give one part
     parts = stage(texts.select("doc_id", "text", "asked").mapInArrow(_parts, "id long, low int, high int, words binary")
                   .repartition("id", "low", "high").distinct(), "passages-parts")
@@ -393,7 +436,125 @@ def _verify(docs: DataFrame, islands: DataFrame) -> DataFrame:
     return judged
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hashes: int = HASHES) -> DataFrame:
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, context, doc, start, failed, tokens): the asked blocks, with the tokens of ``PASSAGE`` words around them.
+
+    A token is numbered by how often it occurs in the context before, so that equal tokens count as often as they are.
+    """
+    kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64())
+    names = ["block", "context", "doc", "start", "failed", "tokens"]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    rows: list[tuple] = []
+    for batch in batches:
+        for doc, text, asked in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("asked")):
+            words = split_words(text.as_py())
+            hashed = Hashed(words)
+            tokens = hashed.tokens()
+            for a in asked.as_py():
+                low, high = max(a["start"] - PASSAGE, 0), min(a["start"] + SHORT + PASSAGE, len(words))
+                some = np.sort(tokens[low:high - SHINGLE + 1])
+                new = np.flatnonzero(np.r_[True, some[1:] != some[:-1]])
+                turn = np.arange(len(some)) - np.repeat(new, np.diff(np.r_[new, len(some)]))
+                numbered = _mixed(some + turn.astype(np.uint64) * np.uint64(INVERSE)).view(np.int64)
+                own = int(hashed.runs(np.array([low]), high - low).view(np.int64)[0])
+                rows.append((a["block"], own, doc, a["start"], a["failed"], numbered))
+                if len(rows) == 5000:
+                    yield batch_of(rows)
+                    rows = []
+    if rows:
+        yield batch_of(rows)
+
+
+def _others(docs: DataFrame, blocks: DataFrame, linked: DataFrame, islands: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc, of, start, end, shift) of blocks that a document shares with others than the representative.
+
+    For documents whose island with the representative holds no repeat, as step 6 of the module says. The staged tables
+    it is given but ``found`` are deleted once they are read.
+    """
+    core = islands.select("doc", "of", "first", "last").distinct()
+    classes = components(found.select(F.col("doc").alias("a"), F.col("of").alias("b")).distinct())
+    met = core.join(found, ["doc", "of"]).where("start < last and first < end").select("doc", "of", "first", "last").distinct()
+    unmet = core.join(met, ["doc", "of", "first", "last"], "left_anti")
+    covered = unmet.join(found.select("doc", "start", "end"), "doc").where("start < last and first < end").select(
+        "doc", "of", "first", "last").distinct().withColumn("covered", F.lit(True))
+    named = unmet.join(covered, ["doc", "of", "first", "last"], "left")
+    for end in ("doc", "of"):
+        named = named.join(classes.select(F.col("node").alias(end), F.col("component").alias(f"{end}_class")), end, "left")
+    open_ = named.where("covered is null or doc_class is null or of_class is null or doc_class <> of_class")
+    open_ = stage(open_.select("doc", "of", "first", "last"), "passages-open")
+    short = linked.where("block is not null")
+    failed = stage(short.join(open_, ["doc", "of"]).where("start >= first and start < last").select(
+        "block", "doc").distinct(), "passages-failed")
+    for used in (linked, islands, open_):
+        discard(used)
+    wanted = failed.select("block").distinct()
+    size = F.shiftright("at", 1).bitwiseAND(F.lit(63))
+    places = _among(blocks, wanted, "block").where(size == SHORT).select(
+        "block", "doc", F.shiftright("at", 7).cast("int").alias("start")).distinct().join(wanted, "block")
+    # where a word or a few are repeated over and over, their first block and the last one
+    along = Window.partitionBy("block", "doc").orderBy("start")
+    inner = (F.col("start") - F.lag("start").over(along) < SHORT) & (F.lead("start").over(along) - F.col("start") < SHORT)
+    places = places.withColumn("inner", F.coalesce(inner, F.lit(False))).where("not inner").drop("inner")
+    # a block of two places has no others
+    several = places.groupBy("block").agg(F.count("*").alias("n")).where("n > 2").select("block")
+    places = places.join(several, "block").join(
+        failed.withColumn("failed", F.lit(True)), ["block", "doc"], "left")
+    asked = stage(places.groupBy(F.col("doc").alias("id")).agg(F.collect_list(F.struct(
+        "block", "start", F.coalesce("failed", F.lit(False)).alias("failed"))).alias("asked")), "passages-asked")
+    for used in (blocks, failed):
+        discard(used)
+    texts = _among(docs, asked.select("id")).join(asked, F.col("doc_id") == F.col("id"))
+    seen = texts.select("doc_id", "text", "asked").mapInArrow(
+        _contexts, "block long, context long, doc long, start int, failed boolean, tokens array<long>")
+    first = F.struct("doc", "start")
+    contexts = stage(seen.groupBy("block", "context").agg(
+        F.min(first).alias("at"), F.max("failed").alias("failed"), F.min_by("tokens", first).alias("tokens")),
+        "passages-contexts")
+    discard(asked)
+    tokens = contexts.select("block", "at", "failed", F.explode("tokens").alias("token"))
+    often = tokens.groupBy("block", "token").agg(F.count("*").alias("n"), F.max("failed").alias("any")).where("n > 1")
+    common = Window.partitionBy("block", "at").orderBy(F.desc("n"), "token")
+    prefix = stage(tokens.join(often, ["block", "token"]).withColumn("turn", F.row_number().over(common)).where(
+        f"turn >= {OVERLAP} and any").select("block", "token", "at", "failed"), "passages-prefix")
+    discard(contexts)
+    one = prefix.where("failed").select("block", "token", F.col("at").alias("one"))
+    pairs = one.join(prefix.select("block", "token", F.col("at").alias("two")), ["block", "token"]).where(
+        "one.doc <> two.doc").select(F.greatest("one", "two").alias("one"), F.least("one", "two").alias("two")).distinct()
+    near = stage(pairs.select(
+        F.col("one.doc").alias("doc"), F.col("two.doc").alias("of"), F.col("one.start").alias("start"),
+        (F.col("one.start") + SHORT).alias("end"), (F.col("one.start") - F.col("two.start")).alias("shift")),
+        "passages-others")
+    discard(prefix)
+    return near
+
+
+def _islands(linked: DataFrame) -> DataFrame:
+    """Equal blocks (doc, of, start, end, shift) that lie together: (doc, of, low, high, of_low, of_high, shift, first, last).
+
+    The runs of words to compare, the distance to begin with, and where the blocks are.
+    """
+    order = Window.partitionBy("doc", "of").orderBy("start", "end", "shift")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    reached = linked.withColumn("reached", F.max("end").over(before)).withColumn(
+        "turn", F.lag("shift").over(order))
+    broken = (F.col("reached").isNull() | (F.col("start") > F.col("reached") + PASSAGE)
+              | (F.abs(F.col("shift") - F.col("turn")) > SHIFT))
+    islands = reached.withColumn("island", F.sum(broken.cast("int")).over(order))
+
+    def around(first: Column, last: Column, names: tuple[str, str]) -> tuple[Column, Column]:
+        return (F.greatest(F.min(first) - PASSAGE, F.lit(0)).alias(names[0]), (F.max(last) + PASSAGE).alias(names[1]))
+
+    return stage(islands.groupBy("doc", "of", "island").agg(
+        *around(F.col("start"), F.col("end"), ("low", "high")),
+        *around(F.col("start") - F.col("shift"), F.col("end") - F.col("shift"), ("of_low", "of_high")),
+        F.min_by("shift", F.struct("start", "end", "shift")).alias("shift"), F.min("start").alias("first"),
+        F.max("end").alias("last")).drop("island").distinct(), "passages-islands")
+
+
+def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, of, start, end): words [start, end) of a document repeat a passage of a document with a smaller id.
 
     A staged table; the tables it is made from are deleted once they are read.
@@ -401,42 +562,34 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hashes:
     spark = session(docs.sparkSession)
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(
         "doc_id is not null and text is not null")
-    shared = spark.sparkContext.broadcast(_bitmap(named, hashes))
-    blocks = stage(named.mapInArrow(_blocked(shared, hashes), "block long, doc long, at long"), "passages-blocks")
+    shared = spark.sparkContext.broadcast(_bitmap(named))
+    blocks = stage(named.mapInArrow(_blocked(shared), "block long, doc long, at long"), "passages-blocks")
     leads = F.col("at").bitwiseAND(F.lit(1)) == 1
     first = blocks.groupBy("block").agg(
         F.min("doc").alias("of"), F.min_by(F.when(leads, F.col("at")), F.when(leads, F.col("doc"))).alias("of_at"),
         F.max("doc").alias("last")).where("last > of").drop("last")
+    size = F.shiftright("at", 1).bitwiseAND(F.lit(63))
     linked = blocks.join(first, "block").where("doc > of").select(
-        "doc", "of", F.shiftright("at", 1).alias("at"), (F.shiftright("at", 7) - F.shiftright("of_at", 7)).alias("shift"))
+        F.when(size == SHORT, F.col("block")).alias("block"), "doc", "of", F.shiftright("at", 1).alias("at"),
+        (F.shiftright("at", 7) - F.shiftright("of_at", 7)).alias("shift"))
     # equal rows meet in the partition that the windows need
     once = linked.repartition("doc", "of").distinct()
     size = F.col("at").bitwiseAND(F.lit(63))
     linked = stage(once.select(
-        "doc", "of", F.shiftright("at", 6).cast("int").alias("start"),
+        "block", "doc", "of", F.shiftright("at", 6).cast("int").alias("start"),
         (F.shiftright("at", 6) + size).cast("int").alias("end"), F.col("shift").cast("int").alias("shift")), "passages-links")
-    discard(blocks)
-    order = Window.partitionBy("doc", "of").orderBy("start", "end", "shift")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    reached = linked.withColumn("reached", F.max("end").over(before)).withColumn(
-        "turn", F.lag("shift").over(order))
-    broken = (F.col("reached").isNull() | (F.col("start") > F.col("reached") + PASSAGE)
-              | (F.abs(F.col("shift") - F.col("turn")) > SHIFT))
-    islands = reached.withColumn("island", F.sum(broken.cast("int")).over(order))
-
-    def around(first: Column, last: Column, names: tuple[str, str]) -> tuple[Column, Column]:
-        return (F.greatest(F.min(first) - PASSAGE, F.lit(0)).alias(names[0]), (F.max(last) + PASSAGE).alias(names[1]))
-
-    candidates = stage(islands.groupBy("doc", "of", "island").agg(
-        *around(F.col("start"), F.col("end"), ("low", "high")),
-        *around(F.col("start") - F.col("shift"), F.col("end") - F.col("shift"), ("of_low", "of_high")),
-        F.min_by("shift", F.struct("start", "end", "shift")).alias("shift")).drop("island").distinct(), "passages-islands")
+    candidates = _islands(linked.drop("block"))
     # blocks at one distance that touch are one equal run; runs that overlap, as in texts that repeat themselves, are one
     equal = _joined(linked, "doc", "of", "shift").where(F.col("end") - F.col("start") >= LONG)
     found = stage(_joined(equal, "doc", "of").unionByName(_verify(named, candidates)).distinct(), "passages")
-    for used in (linked, candidates):
+    near = _others(named, blocks, linked, candidates, found)
+    if near.isEmpty():
+        return found
+    candidates = _islands(near)
+    whole = stage(found.unionByName(_verify(named, candidates)).distinct(), "passages")
+    for used in (near, candidates, found):
         discard(used)
-    return found
+    return whole
 
 
 def _joined(spans: DataFrame, *keys: str) -> DataFrame:
@@ -448,13 +601,13 @@ def _joined(spans: DataFrame, *keys: str) -> DataFrame:
         *keys, "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
 
 
-def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hashes: int = HASHES) -> DataFrame:
+def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, class_id, n_links, repeated_words, passages) of every row of ``docs``.
 
     A class holds documents that are linked by repeats; its id is the smallest of theirs. ``passages`` has the repeats
     of a document, ``n_links`` counts the documents that they link to, ``repeated_words`` the words that they cover.
     """
-    found = repeats(docs, doc_id, text, hashes)
+    found = repeats(docs, doc_id, text)
     classes = components(found.select(F.col("doc").alias("a"), F.col("of").alias("b")).distinct()).select(
         F.col("node").alias("doc"), F.col("component").alias("class_id"))
     passages = found.groupBy("doc").agg(
@@ -484,9 +637,9 @@ def cut_words(text: str, spans: list) -> str:
     return "".join(out) + text[kept:]
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hashes: int = HASHES) -> DataFrame:
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with each repeated passage left only where its id is smallest; documents left without words go."""
-    found = repeats(docs, doc_id, text, hashes)
+    found = repeats(docs, doc_id, text)
     # names that no column of the input has
     spans = found.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
     wanted = docs.sparkSession.sparkContext.broadcast(_bits(found.select("doc").distinct().mapInArrow(
