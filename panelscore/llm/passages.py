@@ -18,17 +18,20 @@ minima find those of all texts of a batch at once.
    five-word runs on both sides have a Jaccard similarity of ``SIMILARITY`` or more. What continues an equal run has to
    reach this similarity without it, but for the words that it lacks to a passage.
 6. A document whose passage is no repeat of the representative's is held against the other documents of its block, unless
-   it is in the representative's class and its words there are a repeat already. The text ``PASSAGE`` words around a block
+   it is in the representative's class and its words there are a repeat already. The text ``AROUND`` words around a block
    is its context; equal contexts are compared once. Of two that can be similar, ``OVERLAP`` tokens are equal, so they
-   share one of the rest if each leaves out its ``OVERLAP - 1`` most common ones (the prefix filter). A phrase that many
-   documents have in texts of their own is among those left out, and gives no pairs.
+   share one of the rest if each leaves out its most common ones (the prefix filter), in any run of tokens around the block that
+   can hold them. A phrase that many documents have in texts of their own is among those left out, and gives no pairs.
+7. The contexts that share a token are held against the smallest of them first: one row a context and token, no pairs.
+   Pairs are made of what this leaves open: contexts of different classes, and those whose greater document has no repeat
+   there yet. Near copies and texts in one class by another passage give no pairs.
 
 A passage of ``PASSAGE`` words or more that two documents share is always found, and so is every further copy; up to
 nine words at its ends may be left out. Changed passages: a change of a word takes five tokens, so an interval with a
 similarity of 0.8 and without an equal run of ``LONG`` words has two equal runs beside each other with ``OVERLAP`` tokens
 together, one of them with ``RUN``; every such pair of documents shares a short block, and gets into one class. In texts that
 repeat a word or two over and over a change may take fewer tokens, and the runs be shorter. Of documents in one class not
-all pairs are compared.
+all pairs are compared: a document whose words are a repeat already may repeat more of its class.
 
 Defined results: texts with fewer than ``PASSAGE`` words have no windows. Null texts have no words. Rows with a null id
 have no class and no links; rows that repeat an id are one document. Repeats within one document don't count. Ids are
@@ -39,11 +42,13 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
@@ -61,6 +66,12 @@ SHORT = RUN // 2 + SHINGLE
 LONG = 36 + SHINGLE
 #: Equal tokens that any repeat has around a short block: a run of ``LONG`` words has fewer than a changed passage.
 OVERLAP = LONG - SHINGLE + 1
+#: Words of a context before and after its block: what two equal runs shorter than ``LONG`` and the gap between may reach.
+AROUND = 75
+#: Runs of a context's tokens that hold two equal runs and up to 5, 6, 8, 10, 12 and 14 other tokens between, and one more than
+#: these. What 5 for a shared token and -4 for another sum up to in such a run at least.
+RARE = ((42, 6), (46, 7), (52, 9), (62, 11), (72, 13), (82, 15))
+LEAST_SHARED = 160
 #: By how much the distance of two blocks of an island may differ between the documents, and that of two aligned runs.
 SHIFT, DRIFT = 4, PASSAGE // 4
 BITS_PER_MINIMUM, MIN_BITS, MAX_BITS = 16, 1 << 20, 1 << 30
@@ -353,8 +364,21 @@ def verified(mine: list[bytes], other: list[bytes], shift: int) -> list[tuple[in
     """
     if min(len(mine), len(other)) < SHINGLE:
         return []
-    own, others = Hashed(mine).tokens(), Hashed(other).tokens()
-    if np.isin(own, others).sum() < OVERLAP:
+    return _repeated(Hashed(mine).tokens(), Hashed(other).tokens(), shift)
+
+
+def _can_repeat(own: np.ndarray, others: np.ndarray) -> bool:
+    """Whether an interval of ``TOKENS`` tokens or more has four fifths of them among the others, wherever these are."""
+    known = np.isin(own, others)
+    if len(own) <= TOKENS:
+        return bool(known.sum() >= OVERLAP)
+    sums = np.r_[0, np.cumsum(np.where(known, 1, -4))]
+    return bool((sums[TOKENS:] >= np.minimum.accumulate(sums[:-TOKENS])).any())
+
+
+def _repeated(own: np.ndarray, others: np.ndarray, shift: int) -> list[tuple[int, int]]:
+    """``verified`` for the tokens of both."""
+    if not _can_repeat(own, others):
         return []
     runs = _aligned(own, others, shift)
     equal = [(a, a + n) for a, _, n in runs.tolist() if LONG <= n + SHINGLE - 1 < PASSAGE]
@@ -402,12 +426,17 @@ def _part_rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @lru_cache(4000)  # representatives occur over and over
+    def tokens(words: bytes) -> np.ndarray:
+        split = words.split()
+        return Hashed(split).tokens() if len(split) >= SHINGLE else np.zeros(0, np.uint64)
+
     for batch in batches:
         out = []
         columns = (batch.column(c).to_pylist() for c in ("doc", "of", "low", "of_low", "shift"))
         for doc, of, low, of_low, shift, mine, other in zip(*columns, batch.column("mine"), batch.column("other")):
-            out += [(doc, of, low + a, low + b) for a, b in verified(
-                mine.as_py().split(), other.as_py().split(), shift - low + of_low)]
+            out += [(doc, of, low + a, low + b) for a, b in _repeated(
+                tokens(mine.as_py()), tokens(other.as_py()), shift - low + of_low)]
         if out:
             kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32()
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["doc", "of", "start", "end"])
@@ -437,12 +466,12 @@ def _verify(docs: DataFrame, islands: DataFrame) -> DataFrame:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, context, doc, start, failed, tokens): the asked blocks, with the tokens of ``PASSAGE`` words around them.
+    """(block, context, doc, start, failed, lead, tokens): the asked blocks, with the tokens of ``AROUND`` words around them.
 
-    A token is numbered by how often it occurs in the context before, so that equal tokens count as often as they are.
+    ``lead`` is the number of tokens before the block's.
     """
-    kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64())
-    names = ["block", "context", "doc", "start", "failed", "tokens"]
+    kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.list_(pa.int64())
+    names = ["block", "context", "doc", "start", "failed", "lead", "tokens"]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -452,15 +481,13 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, text, asked in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("asked")):
             words = split_words(text.as_py())
             hashed = Hashed(words)
-            tokens = hashed.tokens()
-            for a in asked.as_py():
-                low, high = max(a["start"] - PASSAGE, 0), min(a["start"] + SHORT + PASSAGE, len(words))
-                some = np.sort(tokens[low:high - SHINGLE + 1])
-                new = np.flatnonzero(np.r_[True, some[1:] != some[:-1]])
-                turn = np.arange(len(some)) - np.repeat(new, np.diff(np.r_[new, len(some)]))
-                numbered = _mixed(some + turn.astype(np.uint64) * np.uint64(INVERSE)).view(np.int64)
-                own = int(hashed.runs(np.array([low]), high - low).view(np.int64)[0])
-                rows.append((a["block"], own, doc, a["start"], a["failed"], numbered))
+            tokens = hashed.tokens().view(np.int64)
+            places = asked.as_py()
+            start = np.array([a["start"] for a in places], np.int64)
+            low, high = np.maximum(start - AROUND, 0), np.minimum(start + SHORT + AROUND, len(words))
+            own = _mixed((hashed.sums[high] - hashed.sums[low]) * hashed.up[high]).view(np.int64)
+            for a, i, j, context in zip(places, low.tolist(), high.tolist(), own.tolist()):
+                rows.append((a["block"], context, doc, a["start"], a["failed"], a["start"] - i, tokens[i:j - SHINGLE + 1]))
                 if len(rows) == 5000:
                     yield batch_of(rows)
                     rows = []
@@ -468,14 +495,64 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(rows)
 
 
+def _rarest(order: np.ndarray, lead: int) -> np.ndarray:
+    """Which tokens of a context to compare it by, given a number for each by which all contexts of the block order them.
+
+    Two equal runs beside each other, with the block in one, and ``m`` equal tokens together have at most ``m / 4 - 4`` other
+    tokens between them on either side. In a run of tokens around the block that holds these and ``u`` others, the first of
+    the equal tokens is among the ``u + 1`` first.
+    """
+    after = lead + SHORT - SHINGLE + 1
+    chosen = np.zeros(len(order), bool)
+    for width, first in RARE:
+        low, high = max(after - width, 0), min(lead + width, len(order))
+        run = order[low:high]
+        if len(run) <= width:
+            least = np.sort(run)[min(first, len(run)) - 1]
+        else:
+            ends = np.full(len(run) + width - 1, -1)
+            ends[width - 1:len(run)] = np.partition(sliding_window_view(run, width), first - 1, axis=1)[:, first - 1]
+            least = _sliding(ends, width, np.maximum)
+        chosen[low:high] |= run <= least
+    return chosen
+
+
+def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, token, at, failed): the tokens of each context by which it is compared; of tokens that others have as well."""
+    for batch in batches:
+        size, lead = batch.column("size").to_pylist(), batch.column("lead").to_pylist()
+        found = batch.column("found")
+        bounds, flat = found.offsets.to_numpy(), found.values
+        place, often, token = (flat.field(i).to_numpy() for i in range(3))
+        order = (np.minimum(often, 1 << 30) << 32) | (token & 0xFFFFFFFF)
+        rows, taken = [], []
+        for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+            whole = np.zeros(size[i], np.int64)
+            whole[place[a:b]] = order[a:b]
+            shared = np.where(whole > 0, 5, -4)
+            end = lead[i] + SHORT - SHINGLE + 1
+            most = (shared[lead[i]:end].sum() + np.cumsum(shared[:lead[i]][::-1]).max(initial=0)
+                    + np.cumsum(shared[end:]).max(initial=0))
+            if most < LEAST_SHARED:
+                continue
+            own = a + np.flatnonzero(_rarest(whole, lead[i])[place[a:b]])
+            own = own[np.unique(token[own], return_index=True)[1]]
+            rows.append(np.full(len(own), i))
+            taken.append(own)
+        if rows:
+            row, own = pa.array(np.concatenate(rows)), np.concatenate(taken)
+            yield pa.record_batch([batch.column("block").take(row), pa.array(token[own]), batch.column("at").take(row),
+                                   batch.column("failed").take(row)], ["block", "token", "at", "failed"])
+
+
 def _others(docs: DataFrame, blocks: DataFrame, linked: DataFrame, islands: DataFrame, found: DataFrame) -> DataFrame:
-    """(doc, of, start, end, shift) of blocks that a document shares with others than the representative.
+    """``found`` and the repeats in blocks that a document shares with others than the representative.
 
-    For documents whose island with the representative holds no repeat, as step 6 of the module says. The staged tables
-    it is given but ``found`` are deleted once they are read.
+    For documents whose island with the representative holds no repeat, as steps 6 and 7 of the module say. The staged
+    tables it is given are deleted once they are read.
     """
     core = islands.select("doc", "of", "first", "last").distinct()
-    classes = components(found.select(F.col("doc").alias("a"), F.col("of").alias("b")).distinct())
+    classes = stage(components(found.select(F.col("doc").alias("a"), F.col("of").alias("b")).distinct()), "passages-classes")
     met = core.join(found, ["doc", "of"]).where("start < last and first < end").select("doc", "of", "first", "last").distinct()
     unmet = core.join(met, ["doc", "of", "first", "last"], "left_anti")
     covered = unmet.join(found.select("doc", "start", "end"), "doc").where("start < last and first < end").select(
@@ -490,6 +567,55 @@ def _others(docs: DataFrame, blocks: DataFrame, linked: DataFrame, islands: Data
         "block", "doc").distinct(), "passages-failed")
     for used in (linked, islands, open_):
         discard(used)
+    prefix = _prefixes(docs, blocks, failed)
+    near = stage(_candidates(prefix.where("failed and low.doc <> at.doc").select(
+        F.col("at").alias("one"), F.col("low").alias("two")).distinct()), "passages-nearest")
+    first = stage(_verify(docs, _islands(near)).distinct(), "passages")
+    classes = stage(components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(
+        first.select(F.col("doc").alias("a"), F.col("of").alias("b"))).distinct()), "passages-classes")
+    # a block within a repeat has nothing to add in its class
+    spans = found.select("doc", "start", "end").unionByName(first.select("doc", "start", "end")).distinct()
+    ids = prefix.groupBy("block", "at").agg(F.max("failed").alias("failed")).select("block", "at", "failed", F.col("at.doc").alias("id"))
+    within = ids.where("failed").join(spans.withColumnRenamed("doc", "id"), "id").where(
+        f"start <= at.start and end >= at.start + {SHORT}").select("block", "at").distinct()
+    known = ids.join(within.withColumn("within", F.lit(True)), ["block", "at"], "left").join(
+        classes.withColumnRenamed("node", "id"), "id", "left").select(
+        "block", "at", F.coalesce("component", "id").alias("class"), F.expr("failed and within is null").alias("bare"))
+    known = stage(known, "passages-known")
+    # blocks of one class whose repeats are all found have nothing left to compare; the same for single tokens
+    busy = known.groupBy("block").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.max("bare").alias("any")).where(
+        "a <> b or any").select("block")
+    rows = stage(prefix.select("block", "token", "at", F.col("at.doc").alias("id")).join(busy, "block").join(
+        known, ["block", "at"]), "passages-rows")
+    busy = rows.groupBy("block", "token").agg(
+        F.min("class").alias("a"), F.max("class").alias("b"), F.max(F.when(F.col("bare"), F.col("id"))).alias("last"),
+        F.min("id").alias("low")).where("a <> b or last > low").select("block", "token")
+    rows = rows.join(busy, ["block", "token"])
+    one, two = rows.alias("one"), rows.alias("two")
+    pairs = one.join(two, (F.col("one.block") == F.col("two.block")) & (F.col("one.token") == F.col("two.token")) & (
+        F.col("one.id") > F.col("two.id")) & (F.col("one.bare") | (F.col("one.class") != F.col("two.class"))))
+    pairs = pairs.select(F.col("one.at").alias("one"), F.col("two.at").alias("two")).distinct()
+    # those held against the smallest have been compared
+    others = stage(_candidates(pairs).join(near, near.columns, "left_anti"), "passages-others")
+    second = _verify(docs, _islands(others))
+    whole = stage(found.unionByName(first).unionByName(second).distinct(), "passages")
+    for used in (found, failed, prefix, near, first, classes, known, others, second):
+        discard(used)
+    return whole
+
+
+def _candidates(pairs: DataFrame) -> DataFrame:
+    """(doc, of, start, end, shift) of the pairs (one, two) of contexts' places; ``one`` is in the greater document."""
+    return pairs.select(
+        F.col("one.doc").alias("doc"), F.col("two.doc").alias("of"), F.col("one.start").alias("start"),
+        (F.col("one.start") + SHORT).alias("end"), (F.col("one.start") - F.col("two.start")).alias("shift")).distinct()
+
+
+def _prefixes(docs: DataFrame, blocks: DataFrame, failed: DataFrame) -> DataFrame:
+    """(block, token, at, failed, low): the tokens that contexts are compared by, and the smallest context with the token.
+
+    For the blocks of ``failed`` (block, doc). ``blocks`` is deleted once it is read.
+    """
     wanted = failed.select("block").distinct()
     size = F.shiftright("at", 1).bitwiseAND(F.lit(63))
     places = _among(blocks, wanted, "block").where(size == SHORT).select(
@@ -504,31 +630,29 @@ def _others(docs: DataFrame, blocks: DataFrame, linked: DataFrame, islands: Data
         failed.withColumn("failed", F.lit(True)), ["block", "doc"], "left")
     asked = stage(places.groupBy(F.col("doc").alias("id")).agg(F.collect_list(F.struct(
         "block", "start", F.coalesce("failed", F.lit(False)).alias("failed"))).alias("asked")), "passages-asked")
-    for used in (blocks, failed):
-        discard(used)
+    discard(blocks)
     texts = _among(docs, asked.select("id")).join(asked, F.col("doc_id") == F.col("id"))
     seen = texts.select("doc_id", "text", "asked").mapInArrow(
-        _contexts, "block long, context long, doc long, start int, failed boolean, tokens array<long>")
+        _contexts, "block long, context long, doc long, start int, failed boolean, lead int, tokens array<long>")
     first = F.struct("doc", "start")
     contexts = stage(seen.groupBy("block", "context").agg(
-        F.min(first).alias("at"), F.max("failed").alias("failed"), F.min_by("tokens", first).alias("tokens")),
-        "passages-contexts")
+        F.min(first).alias("at"), F.max("failed").alias("failed"), F.first("lead").alias("lead"),
+        F.first("tokens").alias("tokens")), "passages-contexts")
     discard(asked)
-    tokens = contexts.select("block", "at", "failed", F.explode("tokens").alias("token"))
-    often = tokens.groupBy("block", "token").agg(F.count("*").alias("n"), F.max("failed").alias("any")).where("n > 1")
-    common = Window.partitionBy("block", "at").orderBy(F.desc("n"), "token")
-    prefix = stage(tokens.join(often, ["block", "token"]).withColumn("turn", F.row_number().over(common)).where(
-        f"turn >= {OVERLAP} and any").select("block", "token", "at", "failed"), "passages-prefix")
+    # a row a token is narrow; what else is known of a context is joined to its list of tokens
+    contexts = contexts.withColumns({"id": F.xxhash64("at"), "size": F.size("tokens")})
+    tokens = contexts.select("block", "id", F.posexplode("tokens").alias("place", "token"))
+    often = tokens.withColumn("n", F.count("*").over(Window.partitionBy("block", "token"))).where("n > 1")
+    found = often.groupBy("block", "id").agg(F.collect_list(F.struct("place", "n", "token")).alias("found")).join(
+        contexts.drop("tokens"), ["block", "id"])
+    rare = stage(found.mapInArrow(
+        _rare, "block long, token long, at struct<doc:bigint,start:int>, failed boolean"), "passages-rare")
+    used = rare.groupBy("block", "token").agg(
+        F.count("*").alias("n"), F.max("failed").alias("any"), F.min("at").alias("low")).where("n > 1 and any")
+    prefix = stage(rare.join(used.drop("n", "any"), ["block", "token"]), "passages-prefix")
+    discard(rare)
     discard(contexts)
-    one = prefix.where("failed").select("block", "token", F.col("at").alias("one"))
-    pairs = one.join(prefix.select("block", "token", F.col("at").alias("two")), ["block", "token"]).where(
-        "one.doc <> two.doc").select(F.greatest("one", "two").alias("one"), F.least("one", "two").alias("two")).distinct()
-    near = stage(pairs.select(
-        F.col("one.doc").alias("doc"), F.col("two.doc").alias("of"), F.col("one.start").alias("start"),
-        (F.col("one.start") + SHORT).alias("end"), (F.col("one.start") - F.col("two.start")).alias("shift")),
-        "passages-others")
-    discard(prefix)
-    return near
+    return prefix
 
 
 def _islands(linked: DataFrame) -> DataFrame:
@@ -582,14 +706,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     # blocks at one distance that touch are one equal run; runs that overlap, as in texts that repeat themselves, are one
     equal = _joined(linked, "doc", "of", "shift").where(F.col("end") - F.col("start") >= LONG)
     found = stage(_joined(equal, "doc", "of").unionByName(_verify(named, candidates)).distinct(), "passages")
-    near = _others(named, blocks, linked, candidates, found)
-    if near.isEmpty():
-        return found
-    candidates = _islands(near)
-    whole = stage(found.unionByName(_verify(named, candidates)).distinct(), "passages")
-    for used in (near, candidates, found):
-        discard(used)
-    return whole
+    return _others(named, blocks, linked, candidates, found)
 
 
 def _joined(spans: DataFrame, *keys: str) -> DataFrame:

@@ -748,6 +748,24 @@ def test_minima_are_those_of_the_compact_windows():
             for _, minimum, _ in passages.compact_windows(values[low:high - passages.SHINGLE + 1], least)}
 
 
+def test_documents_of_one_class_are_not_paired(spark, monkeypatch):
+    rng, real, staged = np.random.default_rng(9), passages.stage, {}
+
+    def stage(df, name):
+        staged.setdefault(name, []).append(real(df, name))
+        return staged[name][-1]
+
+    monkeypatch.setattr(passages, "stage", stage)
+    monkeypatch.setattr(passages, "discard", lambda df: None)
+    # the smallest document of the block repeats the word too seldom to be linked to the others
+    some = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10**9, 60))
+    rows = [(i, f"{some()} {' '.join(['of'] * (60 if i else 30))} {some()}") for i in range(41)]
+    got = {r["doc_id"]: r for r in passages.cluster(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0]["class_id"] == 0 and all(got[i]["class_id"] == 1 for i in range(1, 41))
+    assert all(got[i]["repeated_words"] == 60 for i in range(2, 41))
+    assert sum(df.count() for name in ("passages-nearest", "passages-others") for df in staged.get(name, [])) <= 2 * 41
+
+
 def test_passages_unusual_rows(odd, empty):
     rows = passages.cluster(odd).collect()
     assert sorted(r["doc_id"] or 0 for r in rows) == [0, 1, 2, 3, 5, 6, 7, 7, 8, 9]
