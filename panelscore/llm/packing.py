@@ -44,6 +44,8 @@ KNOWN, KNOWN_BYTES, PART = 300_000, 128, 4 << 20
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Words that canonical composition leaves as they are, and whose letters have a lower case of their own.
 LATIN = re.compile("[!-~À-ÖØ-öø-ɏ]+")
+#: All letters of these words, and of the same in lower case; their only numbers are 0-9.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ʯⱥⱦ"
 #: Weights of tokens, pieces and attention cost: tokens decide, the others break ties.
 WEIGHTS = (1.0, 1e-3, 1e-3)
 
@@ -66,7 +68,11 @@ class Words:
         self.letters = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(True))]
         parsed = json.loads(definition)
         self.added = [t["content"] for t in parsed["added_tokens"]]
-        self.lower, self.pattern = _latin_rule(parsed)
+        self.lower, pattern = _latin_rule(parsed)
+        self.find = pattern.findall if pattern else None
+        self.plain = LATIN.fullmatch
+        self.special = re.compile("|".join(map(re.escape, self.added)) or "(?!)").search
+        self.ids_of = self.tokenizer.model.tokenize
 
     def encode(self, text: bytes) -> bytes:
         found, at = [], 0
@@ -80,22 +86,28 @@ class Words:
     def _part(self, words: list[bytes]) -> bytes:
         new = list(set(words).difference(self.known))
         if new:
-            others = []
+            others, known, former, parts = [], self.known, self.former, self.parts.get
             for word in new:
-                if word in self.former:
-                    self.known[word] = self.former[word]
-                    continue
-                text = word.decode("utf-8", "replace")
-                if self.pattern and LATIN.fullmatch(text) and not any(a in text for a in self.added):
-                    self.known[word] = b"".join(map(self._part_ids, self.pattern.findall(text.lower() if self.lower else text)))
-                else:
-                    others.append((word, text))
-            encoded = self.tokenizer.encode_batch_fast([t for _, t in others], add_special_tokens=False)
-            self.known.update((w, self._bytes(e.ids)) for (w, _), e in zip(others, encoded))
+                ids = former.get(word)
+                if ids is None:
+                    text = word.decode("utf-8", "replace")
+                    if self.find is None or not self.plain(text) or self.special(text):
+                        others.append((word, text))
+                        continue
+                    found = self.find(text.lower() if self.lower else text)
+                    if len(found) == 1:
+                        ids = parts(found[0]) or self._part_ids(found[0])
+                    else:
+                        ids = b"".join([parts(p) or self._part_ids(p) for p in found])
+                known[word] = ids
+            if others:
+                encoded = self.tokenizer.encode_batch_fast([t for _, t in others], add_special_tokens=False)
+                known.update((w, self._bytes(e.ids)) for (w, _), e in zip(others, encoded))
         joined = b"".join(map(self.known.__getitem__, words))
-        for word in new:
-            if len(word) > KNOWN_BYTES:
-                del self.known[word]
+        if new and max(map(len, new)) > KNOWN_BYTES:
+            for word in new:
+                if len(word) > KNOWN_BYTES:
+                    del self.known[word]
         if len(self.known) > KNOWN:  # words that occur again move on, the others go
             self.former, self.known = self.known, {}
         return joined
@@ -106,7 +118,8 @@ class Words:
     def _part_ids(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            found = self._bytes([t.id for t in self.tokenizer.model.tokenize(_as_bytes(part))])
+            tokens = self.ids_of(part if part.isascii() else _as_bytes(part))
+            found = self.letters[tokens[0].id] if len(tokens) == 1 else self._bytes([t.id for t in tokens])
             if len(self.parts) >= KNOWN:
                 self.parts.clear()
             if len(part) <= KNOWN_BYTES:
@@ -128,7 +141,7 @@ def _as_bytes(part: str) -> str:
     return part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_LETTERS)
 
 
-def _latin_rule(definition: dict) -> tuple[bool, regex.Pattern | None]:
+def _latin_rule(definition: dict) -> tuple[bool, re.Pattern | regex.Pattern | None]:
     """Whether a tokenizer lower-cases, and its pattern of parts, if it treats LATIN by these two alone."""
     steps = definition["normalizer"]
     steps = steps["normalizers"] if steps and steps["type"] == "Sequence" else [steps]
@@ -139,7 +152,14 @@ def _latin_rule(definition: dict) -> tuple[bool, regex.Pattern | None]:
     plain = (kinds <= {"NFC", "Replace", "Lowercase"} and not blanks and [s["type"] for s in split] == ["Split", "ByteLevel"]
              and split[0]["behavior"] == "Removed" and split[0]["invert"] and "Regex" in split[0]["pattern"]
              and not split[1]["add_prefix_space"] and not split[1]["use_regex"])
-    return "Lowercase" in kinds, regex.compile(split[0]["pattern"]["Regex"]) if plain else None
+    return "Lowercase" in kinds, _latin_pattern(split[0]["pattern"]["Regex"]) if plain else None
+
+
+def _latin_pattern(pattern: str) -> re.Pattern | regex.Pattern:
+    """The pattern for LATIN words, in lower case or not; by the faster library where classes of letters can be spelt out."""
+    spelt = pattern.replace(r"\p{L}", LETTERS).replace(r"\p{N}", "0-9")
+    within = re.sub(r"\[[^\[\]]*\]", "", pattern)  # what is outside of brackets
+    return regex.compile(pattern) if r"\p" in within or r"\p" in spelt.lower() else re.compile(spelt)
 
 
 @functools.lru_cache(1)

@@ -332,3 +332,16 @@ def test_known_words_are_bounded():
         words.encode(b" ".join(b"%x" % i for i in range(at, at + 20_000)))
         assert len(words.known) + len(words.former) <= 650_000 and len(words.parts) <= 300_000
     assert words.known and words.former
+
+
+def test_latin_words_are_split_alike_by_both_libraries():
+    import re
+
+    import regex
+    pattern = r"'s|'t|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    found = packing._latin_pattern(pattern)
+    assert isinstance(found, re.Pattern)
+    assert not isinstance(packing._latin_pattern(r"\p{L}+"), re.Pattern)
+    letters = [c for c in map(chr, range(0x21, 0x250)) if packing.LATIN.fullmatch(c)]
+    words = [a + b for c in letters for a in (c, c.lower()) for b in ("", "a", "7", "'s", "_", ".")]
+    assert [found.findall(w) for w in words] == [regex.findall(pattern, w) for w in words]
