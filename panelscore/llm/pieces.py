@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding of whole texts with a given BPE model, by suffix-array matching.
 
-A text is its units, each the spaces before a word and the word; no piece crosses from one unit into the next, so a unit
-is encoded once a worker and looked up from then on. The new units of an Arrow batch are joined to one text. Its suffix
-array, sorted by as many characters as the longest piece has, is searched for every piece of the model: the range of
+A text is its units: it is cut before every space, and where two characters meet that no piece has side by side. No piece
+crosses from one unit into the next, so a unit is encoded once a worker and looked up from then on. The new units of an
+Arrow batch are joined to one text. Its suffix array, sorted by as many
+characters as the longest piece has, by doubling, is searched for every piece of the model: the range of
 suffixes that begin with a piece are its occurrences. These edges, sorted by where they end, are relaxed from left to
 right: of the pieces that end at a place, the one is taken that the model would leave unmerged beside the last piece of
 the text before it. For byte-pair merges this gives exactly the model's own encoding, and one piece at each place.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,10 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-KNOWN = 300_000
-#: Characters of a batch that are split into words at once.
+KNOWN = 200_000
+#: Characters of a batch that are cut into units at once, and of new units that are encoded at once.
 SPLIT = 1_000_000
+LEARNT = 100_000
 NEVER = float("-inf")
 IDS = np.dtype("<i4")
 Vocabulary = tuple[tuple[str, float, int], ...]
@@ -77,15 +80,26 @@ class Coder:
         ends = np.full((len(self.pieces), width), 0xFFFF, ">u2")
         for row, p in enumerate(self.pieces):
             keys[row, :len(p)] = ends[row, :len(p)] = self.symbol[[ord(c) for c in p]]
-        self.low, self.high = self._strings(keys), self._strings(ends)
-        self.lengths = np.array([len(p) for p in self.pieces])
+        self.low, self.high = self._sorted(self._strings(keys)), self._sorted(self._strings(ends))
+        #: Whether a piece has the two symbols side by side; not for spaces, whose runs are merged on their own.
+        self.beside = np.zeros((len(symbols) + 2, len(symbols) + 2), bool)
+        for p in self.ids:
+            at = self.symbol[[ord(c) for c in p]]
+            self.beside[at[:-1], at[1:]] = True
+        self.lengths = np.array([len(p) for p in self.pieces], np.int32)
         self._joins([halves[p] for p in self.pieces])
         # pairs by a hash of theirs, for looking up many at once
         self.pair_keys, self.pair_apart = np.full(1 << 20, -1), np.zeros(1 << 20, np.int8)
-        # ids of words as bytes, four each
+        self.beside[:, self.symbol[ord(SPACE)]] = False
+        # ids of units as bytes, four each
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    @staticmethod
+    def _sorted(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(strings)
+        return strings[order], order
+
     @staticmethod
     def _strings(rows: np.ndarray) -> np.ndarray:
         return np.ascontiguousarray(rows).view(f"S{2 * rows.shape[1]}").ravel()
@@ -166,31 +180,77 @@ class Coder:
             which, until = which[on], until[on]
         return apart
 
+    def _symbols(self, text: str) -> np.ndarray:
+        return self.symbol[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+
+    def _suffixes(self, symbols: np.ndarray) -> np.ndarray:
+        """The suffix array, by ``longest`` symbols or more: ranks by four symbols, then by twice as many each time."""
+        width, size = 4, len(symbols)
+        rank = np.zeros(size + 4, np.uint64)
+        rank[:size] = symbols
+        key = rank[:size] << np.uint64(48)
+        for k in (1, 2, 3):
+            key |= rank[k:size + k] << np.uint64(48 - 16 * k)
+        while True:
+            order = np.argsort(key)
+            if width >= self.longest:
+                return order
+            ordered = key[order]
+            ranks = np.zeros(size + width, np.uint64)  # beyond the end
+            ranks[order] = np.cumsum(np.r_[True, ordered[1:] != ordered[:-1]][:size]).astype(np.uint64)
+            key = (ranks[:size] << np.uint64(32)) | ranks[width:]
+            width *= 2
+
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(end, piece number) of all occurrences of pieces in the text, by end and then length."""
-        symbols = self.symbol[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+        symbols = self._symbols(text)
         padded = np.r_[symbols, np.zeros(self.longest, ">u2")].astype(">u2")
         windows = np.lib.stride_tricks.sliding_window_view(padded, self.longest)[:len(symbols)]
-        suffixes = self._strings(windows)
-        order = np.argsort(suffixes, kind="stable")
-        ordered = suffixes[order]
-        first = np.searchsorted(ordered, self.low, "left")
-        count = np.searchsorted(ordered, self.high, "right") - first
-        piece = np.repeat(np.arange(len(count)), count)
+        order = self._suffixes(symbols).astype(np.int32)
+        ordered = self._strings(windows[order])
+        first, count = np.empty(len(self.pieces), np.int64), np.empty(len(self.pieces), np.int64)
+        first[self.low[1]] = np.searchsorted(ordered, self.low[0], "left")
+        count[self.high[1]] = np.searchsorted(ordered, self.high[0], "right")
+        count -= first
+        piece = np.repeat(np.arange(len(count), dtype=np.int32), count)
         start = order[np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)]
         end = start + self.lengths[piece]
-        by_end = np.argsort(end * (self.longest + 1) - self.lengths[piece])  # no two of an end have one length
+        by_end = np.argsort(end.astype(np.int64) * (self.longest + 1) - self.lengths[piece])  # no two of an end have one length
         return end[by_end], piece[by_end]
 
     def learn(self, words: list[str]) -> None:
-        """Encodes the words, with a space in front of each, and keeps their ids."""
-        for at in range(0, len(words), 20_000):
-            some = words[at:at + 20_000]
-            text = SPACE + ("\0" + SPACE).join(some)
-            lengths = np.array([len(w) + 2 for w in some])
+        """Encodes the words, with a space in front of each, and keeps the ids of their units."""
+        self.encode(words)
+
+    def _learnt(self, units: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        at = 0
+        while at < len(units):
+            size, first = 0, at
+            while at < len(units) and size < LEARNT:
+                size, at = size + len(units[at]), at + 1
+            some = units[first:at]
+            text = "\0".join(some)
+            lengths = np.array([len(u) + 1 for u in some])
             begins = np.cumsum(lengths) - lengths
             last, origin = self._relaxed(text, begins)
-            self.known.update(zip(some, self._paths(text, begins, begins + lengths - 1, last, origin)))
+            out += self._paths(text, begins, begins + lengths - 1, last, origin)
+        return out
+
+    def _ids_of(self, units: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, units))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = {units[i] for i in missing}
+        again = {u: self.older[u] for u in new & self.older.keys()}
+        if len(self.known) + len(new) > KNOWN:  # units of the batches before this half stay known once more
+            self.known, self.older = {}, self.known
+        fresh = list(new.difference(again))
+        again.update(zip(fresh, self._learnt(fresh)))
+        for i in missing:
+            found[i] = again[units[i]]
+        if len(again) <= KNOWN:
+            self.known.update(again)
+        return found
 
     def _paths(self, text: str, begins: np.ndarray, ends: np.ndarray, last: np.ndarray,
                origin: np.ndarray) -> list[bytes]:
@@ -264,14 +324,6 @@ class Coder:
             end = int(origin[end])
         return np.array(found[::-1], IDS).tobytes()
 
-    def spaced(self, n: int, word: str) -> bytes:
-        """Ids of a word with n more spaces in front. Runs of spaces merge after everything else."""
-        tail = self.known[word] if word else b""
-        space = np.array([self.ids[SPACE]], IDS).tobytes()
-        if tail[:4] == space:
-            n, tail = n + 1, tail[4:]
-        return np.array([self.ids[p] for p in self.merged(SPACE * n)], IDS).tobytes() + tail
-
     def encode(self, texts: list[str | None]) -> list[bytes | None]:
         """For each text its ids, as bytes."""
         out: list[bytes | None] = []
@@ -285,28 +337,44 @@ class Coder:
         return out + self._encoded(some)
 
     def _encoded(self, texts: list[str | None]) -> list[bytes | None]:
-        split = [None if t is None else t.replace(SPACE, " ").split(" ") if t else [] for t in texts]
-        new = set().union(*(w for w in split if w)).difference(self.known)
-        if len(self.known) + len(new) > KNOWN:  # words of the batches before this half stay known once more
-            self.older, self.known = self.known, {}
-            new = set().union(*(w for w in split if w))
-        for word in new & self.older.keys():
-            self.known[word] = self.older[word]
-        self.learn(sorted(new.difference(self.known, ("",))))
-        return [None if words is None else b"".join(
-            self._spaced_text(words) if "" in words else map(self.known.__getitem__, words)) for words in split]
-
-    def _spaced_text(self, words: list[str]) -> list[bytes]:
-        ids, spaces = [], 0
-        for w in words:
-            if not w:
-                spaces += 1
-            elif spaces:
-                ids.append(self.spaced(spaces, w))
-                spaces = 0
-            else:
-                ids.append(self.known[w])
-        return ids + [self.spaced(spaces, "")] if spaces else ids
+        spaced = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
+        whole = "\0".join(spaced)
+        lengths = np.array([len(t) + 1 for t in spaced])
+        begins = np.cumsum(lengths) - lengths
+        starts = self._cuts(whole)
+        units = [whole[a:b] for a, b in itertools.pairwise(starts.tolist())]
+        ids = self._ids_of(units)
+        first = np.searchsorted(starts, begins).tolist()
+        last = np.searchsorted(starts, begins + lengths - 1).tolist()  # of the zero after the text, or the end
+        return [None if t is None else b"".join(
+            self._spaced(units[a:b], ids[a:b]) if SPACE * 2 in s or s[-1:] == SPACE else ids[a:b])
+            for t, s, a, b in zip(texts, spaced, first, last)]
+
+    def _cuts(self, text: str) -> np.ndarray:
+        """Where the units of a text begin, and its end."""
+        symbols = self._symbols(text)
+        cut = np.ones(len(text) + 1, bool)
+        cut[1:-1] = ~self.beside[symbols[:-1], symbols[1:]]
+        return np.flatnonzero(cut)
+
+    def _spaced(self, units: list[str], ids: list[bytes]) -> list[bytes]:
+        """Ids of a text with runs of spaces, which merge after everything else."""
+        space = self._run(1)
+        out, n = [], 0
+        for unit, found in zip(units, ids):
+            if unit == SPACE:
+                n += 1
+                continue
+            if n and unit[0] == SPACE and found[:4] == space:
+                n, found = n + 1, found[4:]
+            if n:
+                out.append(self._run(n))
+            out.append(found)
+            n = 0
+        return out + [self._run(n)] if n else out
+
+    def _run(self, n: int) -> bytes:
+        return np.array([self.ids[p] for p in self.merged(SPACE * n)], IDS).tobytes()
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -350,10 +418,10 @@ def decoder(spark: SparkSession, model: str = MODEL):
     shared = spark.sparkContext.broadcast(_read(model))
 
     def run(ids: pa.Array) -> pa.Array:
-        coder, offsets, flat = _coder(shared, model), ids.offsets.to_pylist(), ids.values.to_pylist()
+        coder, offsets, flat = _coder(shared, model), ids.offsets.to_pylist(), ids.values.to_numpy(zero_copy_only=False)
         valid = ids.is_valid().to_pylist()
-        return pa.array([coder.decode(flat[a:b]) if v else None for v, a, b in zip(valid, offsets, offsets[1:])],
-                        pa.string())
+        return pa.array([coder.decode(flat[a:b].tolist()) if v else None
+                         for v, a, b in zip(valid, offsets, offsets[1:])], pa.string())
 
     run.__annotations__ = {"ids": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, StringType())

@@ -856,3 +856,16 @@ def test_a_long_word_costs_no_memory_for_the_short_ones():
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     assert [np.frombuffer(i, pieces.IDS).tolist() for i in coder.encode(words[-3:])] == [model.encode(w) for w in words[-3:]]
+
+
+def test_words_share_what_no_piece_joins(monkeypatch):
+    import sentencepiece
+    coder, searched = pieces.Coder(pieces.read_model()), []
+    edges = coder.edges
+    monkeypatch.setattr(coder, "edges", lambda text: searched.append(len(text)) or edges(text))
+    marks = [".", ",", "&&&", "###", ".\n", "$$$", "日", ""]
+    texts = [" ".join(f"thinouat{a}{b}{m}" for a in "abcdefghij" for b in "klmnopqrst") for m in marks]
+    texts += ["", " ", "  ", "日  a", "  日 ", "x\0 \0"]
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    assert [np.frombuffer(i, pieces.IDS).tolist() for i in coder.encode(texts)] == [model.encode(t) for t in texts]
+    assert sum(searched) < sum(map(len, texts)) / 4
