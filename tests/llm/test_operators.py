@@ -489,6 +489,39 @@ def test_search_of_few_and_none(spark):
     assert search.top_k(frame, frame.limit(0), 5).count() == 0
 
 
+def test_search_never_broadcasts_look_ups(spark, monkeypatch):
+    plans = []
+
+    def staged(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return common.stage(df, name)
+
+    monkeypatch.setattr(search, "stage", staged)
+    frame = spark.createDataFrame([(i, i * 0x9E3779B97F4A7C15 % 2 ** 63) for i in range(60)], "id long, code long")
+    assert search.top_k(frame, frame.where("id < 5"), 3).count() == 15
+    found = [plan for name, plan in plans if name == "search-found"]
+    # a few queries, estimated small, have thousands of look-ups each
+    assert found and not any("BroadcastExchange" in plan for plan in found)
+
+
+@pytest.mark.parametrize("m", [8, 5, 4])
+def test_search_rounds_cover_their_distance(m):
+    rng, found = np.random.default_rng(m), search.rounds(m)
+    bounds = [64 * i // m for i in range(m + 1)]
+    assert found[-1][0] == 64 and [c for c, _ in found] == sorted({c for c, _ in found})
+    for covered, radii in found:
+        for _ in range(200):
+            differ = rng.permutation(64) < covered  # any bits
+            assert any(differ[low:high].sum() <= r for low, high, r in zip(bounds, bounds[1:], radii))
+
+
+def test_search_of_far_queries(spark):
+    rows = [(i, (1 << i % 20) - 1) for i in range(40)] + [(100, -1)]
+    frame = spark.createDataFrame(rows, "id long, code long")
+    got = search.top_k(frame, frame.where("id = 100"), 4).orderBy("rank").collect()
+    assert [(r["id"], r["distance"]) for r in got] == [(19, 45), (39, 45), (18, 46), (38, 46)]
+
+
 def test_sign_codes(spark):
     frame = spark.createDataFrame([([1.0, -1.0, 2.0],), ([],), ([None, 3.0],)], "v array<double>")
     assert [r[0] for r in frame.select(search.sign_code(F.col("v"))).collect()] == [5, 0, 2]
